@@ -13,6 +13,7 @@ from revtide.functions import (
     money,
     month_label,
     pct,
+    safe_ratio,
     to_units,
     transition,
 )
@@ -131,23 +132,24 @@ def waterfall(bridge: DataFrame) -> DataFrame:
 def by_plan(orgs: DataFrame) -> DataFrame:
     """Customers and revenue per known plan, with revenue per paying customer."""
     totals = orgs.filter(F.col("plan").isin(*PLAN_ORDER)).groupBy("plan").agg(
-        to_units(F.coalesce(F.sum("mrr_cents"), F.lit(0))).alias("mrr"),
+        F.coalesce(F.sum("mrr_cents"), F.lit(0)).alias("mrr_cents"),
         F.count("org_id").alias("orgs"),
         count_true(F.col("is_paying")).alias("paying"),
         F.sum("active_user_count").alias("active_users"),
     )
+    mrr = to_units(F.col("mrr_cents"))
     return totals.select(
-        display_rank(F.col("plan"), PLAN_ORDER).alias("position"), "plan", "mrr", "orgs",
-        "paying", "active_users",
-        F.when(F.col("paying") > 0, F.col("mrr") / F.col("paying")).alias("arpa"),
+        display_rank(F.col("plan"), PLAN_ORDER).alias("position"), "plan", "mrr_cents",
+        mrr.alias("mrr"), "orgs", "paying", "active_users",
+        F.when(F.col("paying") > 0, mrr / F.col("paying")).alias("arpa"),
     )
 
 
 def plan_share(plans: DataFrame) -> DataFrame:
     """Share of revenue; one row per plan, so the total is a small window."""
-    total = F.sum("mrr").over(Window.partitionBy())
+    total = F.sum("mrr_cents").over(Window.partitionBy())
     return plans.select(
-        "plan", "mrr", F.when(total != 0, F.col("mrr") / total).alias("mrr_share")
+        "plan", "mrr", safe_ratio(F.col("mrr_cents"), total).alias("mrr_share")
     )
 
 
