@@ -1,176 +1,165 @@
-"""Expressions over change envelopes and their JSON values.
+"""SQL expressions over change envelopes and their JSON values.
 
-Values inside an image are variants, so the JSON type of each value is known
-and decides how it converts.
+Every function takes SQL expressions as text and gives one back: a projection
+over many columns is then one text for Spark to parse. Values inside an image
+are variants, so the JSON type of each value is known and decides how it
+converts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-STRICT = {"allowSingleQuotes": "false"}
+STRICT = "map('allowSingleQuotes', 'false')"
 OPS = ("c", "u", "d", "r")
 PAYLOAD_CHARS = 8000
 MILLIS_ABOVE = 10_000_000_000
-# Largest distance from 1970 that stays within the calendar, in seconds.
-EPOCH_RANGE = 253_402_300_800
-
-# Fixed value: the shape of an ISO-8601 date or timestamp.
-ISO_SHAPE = (
-    r"^\d{4}-\d{2}-\d{2}"
-    r"([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
-)
-ZONE_SUFFIX = r"\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)$"
+# Largest distance from 1970 that stays within the calendar, in microseconds.
+EPOCH_RANGE = 253_402_300_800_000_000
 
+# The shapes of an ISO-8601 date or timestamp and of its zone.
+TIME_SHAPE = r"\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
+ZONE_SHAPE = r"(Z|[+-]\d{2}(:?\d{2})?)"
+ISO_SHAPE = rf"^\d{{4}}-\d{{2}}-\d{{2}}([T ]{TIME_SHAPE}{ZONE_SHAPE}?)?$"
+ZONED_SHAPE = rf"{TIME_SHAPE}{ZONE_SHAPE}$"
 
-def decode(raw: Column) -> Column:
-    return raw.cast("string")
 
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
 
-def is_text(raw: Column) -> Column:
-    """Bytes that are valid UTF-8; null counts as text."""
-    return F.coalesce(F.is_valid_utf8(raw.cast("string")), F.lit(True))
 
+def listed(texts) -> str:
+    return ", ".join(quoted(t) for t in texts)
 
-def _closes_once(text: Column) -> Column:
-    # "[text]" can hide a text that closes the bracket itself; that needs a "]".
-    inside = F.from_json(F.concat(F.lit('{"x":'), text, F.lit("}")), "x string", STRICT)["x"]
-    return ~F.contains(text, F.lit("]")) | inside.isNotNull()
 
+def parse_one(text: str, schema: str) -> str:
+    """Parse a text that holds exactly one JSON value; null otherwise.
 
-def parse_one(text: Column, schema: str) -> Column:
-    """Parse a text that holds exactly one JSON value; null otherwise."""
-    items = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{schema}>", STRICT)
-    return F.when((F.size(items) == 1) & _closes_once(text), F.get(items, F.lit(0)))
+    The text is read as the only item of an array. A text that closes the
+    bracket itself would pass, so one with a "]" is also read as a field.
+    """
+    items = f"from_json(concat('[', {text}, ']'), 'array<{schema}>', {STRICT})"
+    inside = f"""from_json(concat('{{"x":', {text}, '}}'), 'x string', {STRICT}).x"""
+    return (f"case when size({items}) = 1 and (not contains({text}, ']') or {inside} is not null) "
+            f"then get({items}, 0) end")
 
 
-def fields_of(value: Column) -> Column:
+def fields_of(value: str) -> str:
     """Fields of a variant object as a map; null for any other value."""
-    return value.try_cast("map<string,variant>")
+    return f"try_cast({value} as map<string,variant>)"
 
 
-def field(fields: Column, name: str) -> Column:
-    return F.try_element_at(fields, F.lit(name))
+def field(fields: str, name: str) -> str:
+    return f"try_element_at({fields}, {quoted(name)})"
 
 
-def is_absent(value: Column) -> Column:
-    return value.isNull() | F.is_variant_null(value)
+def is_present(value: str) -> str:
+    return f"({value} is not null and not is_variant_null({value}))"
 
 
-def json_kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
+def text_of(value: str) -> str:
+    """Text of a JSON value; booleans read True and False, nested values stay JSON."""
+    return (f"case when schema_of_variant({value}) = 'BOOLEAN' "
+            f"then initcap(try_cast({value} as string)) else try_cast({value} as string) end")
 
 
-def text_of(value: Column) -> Column:
-    """Text of a JSON value; booleans read True and False, nested values stay JSON."""
-    text = value.try_cast("string")
-    return F.when(json_kind(value) == "BOOLEAN", F.initcap(text)).otherwise(text)
+def bigint_of(value: str) -> str:
+    """Numbers lose their fraction; text counts only when it is a whole number."""
+    return f"try_cast({value} as bigint)"
 
 
-def bool_of(value: Column) -> Column:
+def bool_of(value: str) -> str:
     """Strings are true only for true, t and 1; other values when not empty or zero."""
-    kind, text = json_kind(value), value.try_cast("string")
-    return (
-        F.when(kind == "BOOLEAN", value.try_cast("boolean"))
-        .when(kind == "STRING", F.lower(text).isin("true", "t", "1"))
-        .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), ~text.isin("{}", "[]"))
-        .otherwise(value.try_cast("double") != 0)
-    )
+    kind, text = f"schema_of_variant({value})", f"try_cast({value} as string)"
+    return (f"case when {kind} = 'BOOLEAN' then try_cast({value} as boolean) "
+            f"when {kind} = 'STRING' then lower({text}) in ('true', 't', '1') "
+            f"when {kind} like 'OBJECT%' or {kind} like 'ARRAY%' then {text} not in ('{{}}', '[]') "
+            f"else try_cast({value} as double) <> 0 end")
 
 
-def ntz_from_micros(micros: Column) -> Column:
+def ntz_from_micros(micros: str) -> str:
     """Zone-free UTC timestamp, whatever the session time zone is."""
-    seconds = (micros.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
-    zero = F.lit(0)
-    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
+    seconds = f"cast(cast({micros} as decimal(20,0)) / 1000000 as decimal(18,6))"
+    return f"timestamp_ntz'1970-01-01' + make_dt_interval(0, 0, 0, {seconds})"
 
 
-def epoch_to_ts(number: Column) -> Column:
+def epoch_to_ts(number: str) -> str:
     """Epoch number to UTC; above ten billion it counts milliseconds, else seconds."""
-    exact = number.try_cast("decimal(28,9)")
-    scale = F.when(F.abs(exact) > MILLIS_ABOVE, F.lit(1_000)).otherwise(F.lit(1_000_000))
-    micros = F.round(exact * scale, 0)
-    return F.when(
-        F.abs(micros) < EPOCH_RANGE * 1_000_000, ntz_from_micros(micros.try_cast("bigint"))
-    )
+    exact = f"try_cast({number} as decimal(28,9))"
+    micros = (f"round({exact} * case when abs({exact}) > {MILLIS_ABOVE} then 1000 "
+              "else 1000000 end, 0)")
+    return (f"case when abs({micros}) < {EPOCH_RANGE} "
+            f"then {ntz_from_micros(f'try_cast({micros} as bigint)')} end")
 
 
-def iso_to_ts(text: Column) -> Column:
+def iso_to_ts(text: str) -> str:
     """ISO-8601 text to naive UTC; an offset is applied, no offset means UTC."""
     # An offset needs seconds before it to be read.
-    full = F.regexp_replace(text, r"^(.{10}[T ]\d{2}:\d{2})(Z|[+-])", "$1:00$2")
-    zoned = ntz_from_micros(F.unix_micros(full.try_cast("timestamp")))
-    plain = text.try_cast("timestamp_ntz")
-    return F.when(text.rlike(ISO_SHAPE), F.when(text.rlike(ZONE_SUFFIX), zoned).otherwise(plain))
+    full = rf"regexp_replace({text}, r'^(.{{10}}[T ]\d{{2}}:\d{{2}})(Z|[+-])', '$1:00$2')"
+    zoned = ntz_from_micros(f"unix_micros(try_cast({full} as timestamp))")
+    return (f"case when not {text} rlike r'{ISO_SHAPE}' then null "
+            f"when {text} rlike r'{ZONED_SHAPE}' then {zoned} "
+            f"else try_cast({text} as timestamp_ntz) end")
 
 
-def ts_of(value: Column) -> Column:
-    kind = json_kind(value)
-    return F.when(kind == "STRING", iso_to_ts(value.try_cast("string"))).when(
-        _is_number(kind), epoch_to_ts(value)
-    )
+def ts_of(value: str) -> str:
+    kind = f"schema_of_variant({value})"
+    return (f"case when {kind} = 'STRING' then {iso_to_ts(f'try_cast({value} as string)')} "
+            f"when {kind} in ('BIGINT', 'DOUBLE') or {kind} like 'DECIMAL%' "
+            f"then {epoch_to_ts(value)} end")
 
 
-def date_of(value: Column) -> Column:
+def date_of(value: str) -> str:
     """Whole numbers are days since 1970; strings give their first ten characters."""
-    kind = json_kind(value)
-    day = F.substring(value.try_cast("string"), 1, 10)
-    days = value.try_cast("int")
-    return F.when(
-        kind == "STRING", F.when(day.rlike(r"^\d{4}-\d{2}-\d{2}$"), day.try_cast("date"))
-    ).when(kind == "BIGINT", F.date_from_unix_date(days))
+    kind, day = f"schema_of_variant({value})", f"substring(try_cast({value} as string), 1, 10)"
+    return (rf"case when {kind} = 'BIGINT' then date_from_unix_date(try_cast({value} as int)) "
+            rf"when {kind} = 'STRING' and {day} rlike r'^\d{{4}}-\d{{2}}-\d{{2}}$' "
+            rf"then try_cast({day} as date) end")
 
 
-def _is_number(kind: Column) -> Column:
-    return (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
+CONVERSIONS = {
+    "varchar": text_of,
+    "bigint": bigint_of,
+    "boolean": bool_of,
+    "timestamp": ts_of,
+    "date": date_of,
+}
 
 
-def value_of(value: Column, typ: str) -> Column:
+def value_of(value: str, typ: str) -> str:
     """A JSON value as a contract type; null when absent or not convertible."""
-    convert = {
-        "varchar": text_of,
-        "bigint": lambda v: v.try_cast("bigint"),
-        "boolean": bool_of,
-        "timestamp": ts_of,
-        "date": date_of,
-    }[typ]
-    return F.when(~is_absent(value), convert(value))
+    return f"case when {is_present(value)} then {CONVERSIONS[typ](value)} end"
 
 
-def table_from_topic(topic: Column, prefix: str, tables: list[str]) -> Column:
-    name = F.substring(topic, F.lit(len(prefix) + 1), F.length(topic))
-    return F.when(topic.startswith(prefix) & name.isin(*tables), name)
+def table_from_topic(topic: str, prefix: str, tables) -> str:
+    name = f"substring({topic}, {len(prefix) + 1})"
+    return (f"case when startswith({topic}, {quoted(prefix)}) and {name} in ({listed(tables)}) "
+            f"then {name} end")
 
 
-def pk_from_key(key: Column, parsed: Column, pk: str) -> Column:
+def pk_from_key(key: str, parsed: str, pk: str) -> str:
     """Primary key out of a record key: JSON field, JSON string or plain text."""
-    named = fields_of(parsed)
-    in_object = F.when(~is_absent(field(named, pk)), text_of(field(named, pk)))
-    return (
-        F.when(key.isNull() | (key == ""), F.lit(None).cast("string"))
-        .when(parsed.isNull(), key)
-        .when(named.isNotNull(), in_object)
-        .when(json_kind(parsed) == "STRING", parsed.try_cast("string"))
-    )
+    named = field(fields_of(parsed), pk)
+    return (f"case when {key} is null or {key} = '' then null when {parsed} is null then {key} "
+            f"when {fields_of(parsed)} is not null "
+            f"then case when {is_present(named)} then {text_of(named)} end "
+            f"when schema_of_variant({parsed}) = 'STRING' then try_cast({parsed} as string) end")
 
 
-def dedup_token(lsn: Column, topic: Column, partition: Column, offset: Column) -> Column:
+def dedup_token(lsn: str, topic: str, partition: str, offset: str) -> str:
     """Same delivery, same token; a log position at a new offset is a new delivery."""
-    by_log = F.concat(F.lit("lsn:"), lsn, F.lit(":offset:"), offset)
-    by_offset = F.concat(F.lit("kafka:"), topic, F.lit(":"), partition, F.lit(":"), offset)
-    return F.when(lsn.isNotNull(), by_log).otherwise(by_offset)
+    return (f"case when {lsn} is not null then concat('lsn:', {lsn}, ':offset:', {offset}) "
+            f"else concat('kafka:', {topic}, ':', {partition}, ':', {offset}) end")
 
 
-def dead_letter_id(topic: Column, partition: Column, offset: Column) -> Column:
-    return F.concat(topic, F.lit(":"), partition, F.lit(":"), offset)
+def dead_letter_id(topic: str, partition: str, offset: str) -> str:
+    return f"concat({topic}, ':', {partition}, ':', {offset})"
 
 
-def payload(key: Column, value: Column) -> Column:
-    return F.substring(F.coalesce(value, key, F.lit("")), 1, PAYLOAD_CHARS)
+def payload(key: str, value: str) -> str:
+    return f"substring(coalesce({value}, {key}, ''), 1, {PAYLOAD_CHARS})"
 
 
-def extra_json(fields: Column, known: list[str]) -> Column:
+def extra_json(fields: str, known) -> str:
     """Fields outside the contract as JSON text; null when there are none."""
-    rest = F.map_filter(fields, lambda name, _: ~name.isin(*known))
-    return F.when(F.size(rest) > 0, F.to_json(rest, {"ignoreNullFields": "false"}))
+    rest = f"map_filter({fields}, (name, _) -> name not in ({listed(known)}))"
+    return (f"case when size({rest}) > 0 "
+            f"then to_json({rest}, map('ignoreNullFields', 'false')) end")

@@ -10,10 +10,16 @@ from pyspark.sql import functions as F
 
 from revtide.contracts import ENTITIES, PLAN_PRICE_CENTS
 from revtide.operators import current, history, marts, movements, quality, reports, staging, upsert
-from revtide.plans.oracle import compose
-from revtide.session import configure
+from revtide.plans.oracle import compose, rule_sql
+from revtide.plans.ingest import ingest, raw_table
+from revtide.plans.publish import Publisher
+from revtide.session import configure, work_folder
 from revtide.sources import samples
+from revtide.sources.changes import read_change_files
+from revtide.sources.lake import Lake
 from revtide.streaming import lag, promotion
+from revtide.streaming.envelope import parse_envelopes, with_table
+from revtide.streaming.landing import Landing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -562,3 +568,200 @@ def _(spark, sf):
         "event_id", "event_type", F.col("props").alias("_extra")
     )
     return promotion.backfill_promoted(changes, "k", "bigint")
+
+
+# --- change stream --------------------------------------------------------
+
+LANDED = ["org_id", "name", "status", "updated_at", "_op", "_source_lsn", "_kafka_topic",
+          "_kafka_partition", "_kafka_offset", "_source_ts", "_deleted", "_dedup_token", "_extra"]
+
+
+def _record_files(spark, sf, root: str) -> str:
+    """The change records as files, in two parts by offset order."""
+    records = samples.change_records(spark, sf)
+    half = records.agg((F.max("offset") / 2).cast("bigint")).first()[0]
+    for part, rows in enumerate((F.col("offset") <= half, F.col("offset") > half)):
+        records.filter(rows).write.parquet(f"{root}/records/part={part}")
+    return f"{root}/records"
+
+
+def _stream(spark, landing: Landing, files: str, checkpoint: str, files_per_batch=None) -> None:
+    """Run the landing stream over the files until all are landed."""
+    stream = read_change_files(spark, f"{files}/*", files_per_batch)
+    landing.start(stream, checkpoint, {"availableNow": True}).awaitTermination()
+
+
+def _landed(spark, sf) -> tuple[Landing, str]:
+    root = work_folder(spark, "landing")
+    files, landing = _record_files(spark, sf, root), Landing(spark, f"{root}/cdc")
+    _stream(spark, landing, files, f"{root}/checkpoint")
+    return landing, root
+
+
+PARSED = [name for name in LANDED if name != "_deleted"]
+
+
+@query("parse_envelopes", f"""select {", ".join(PARSED)}, cast(null as varchar) as error
+    from org_records
+  union all select null, null, null, null, null, null, topic, partition_id, offset_id, null,
+    'kafka:' || dead_letter_id, null, error
+    from broken_records where topic = 'saas.app.organizations'""")
+def _(spark, sf):
+    """Envelopes of one topic as typed columns; broken records carry their reason."""
+    records = with_table(samples.change_records(spark, sf))
+    mine = records.filter("_table = 'organizations'")
+    parsed = parse_envelopes(mine, "organizations").select(*PARSED, "error")
+    # The key of a broken record may still name an organization.
+    return parsed.withColumn("org_id", F.when(F.col("error").isNull(), F.col("org_id")))
+
+
+@query("cdc_land", f"select {', '.join(LANDED)} from org_records")
+def _(spark, sf):
+    """A stream of change records landed by micro-batches."""
+    return _landed(spark, sf)[0].changes("organizations").select(*LANDED)
+
+
+@query("dead_letters", "select * from broken_records")
+def _(spark, sf):
+    return _landed(spark, sf)[0].dead_letters().drop("_loaded_at", "_source_system")
+
+
+@query("cdc_replay", """select 'organizations' as table_name, count(*) as n_rows,
+    count(distinct _dedup_token) as n_tokens, 0 as surplus from org_records""")
+def _(spark, sf):
+    """The whole input again under a new checkpoint adds and changes nothing."""
+    landing, root = _landed(spark, sf)
+    before = landing.changes("organizations")
+    _stream(spark, landing, f"{root}/records", f"{root}/checkpoint-2")
+    after = landing.changes("organizations")
+    surplus = lag.assert_replay_safe(before, after, "org_id").agg(F.count("*").cast("int")).scalar()
+    return after.agg(
+        F.lit("organizations").alias("table_name"), F.count("*").alias("n_rows"),
+        F.count_distinct("_dedup_token").alias("n_tokens"), surplus.alias("surplus"),
+    )
+
+
+@query("cdc_crash", """select 'saas-cdc-consumer' as consumer_group,
+    'saas.app.' || case when user_id % 2 = 0 then 'organizations' else 'users' end as topic,
+    user_id % 3 as partition_id, max(event_id) + 1 as committed_offset, 0 as inserted_again
+  from events group by all""")
+def _(spark, sf):
+    """A batch that died after its write: the restart inserts nothing and commits."""
+    landing = Landing(spark, work_folder(spark, "crash"))
+    records = samples.change_records(spark, sf)
+    landing.apply_records(records, "crashed", commit_offsets=False)
+    again = landing.apply_records(records, "restart", commit_offsets=True)
+    return landing.offsets().drop("updated_at").withColumn(
+        "inserted_again", F.lit(again["inserted"])
+    )
+
+
+@query("cdc_drift", """select org_id, _kafka_offset,
+    json_extract_string(_extra, '$.plan_note') as plan_note from org_records""")
+def _(spark, sf):
+    """An unknown field is promoted between two batches and filled in for the first."""
+    root = work_folder(spark, "drift")
+    records = samples.change_records(spark, sf)
+    half = records.agg((F.max("offset") / 2).cast("bigint")).first()[0]
+    Landing(spark, root).apply_records(records.filter(F.col("offset") <= half), "before")
+    promoted = {"organizations": {"plan_note": "varchar"}}
+    landing = Landing(spark, root, promoted)
+    landing.apply_records(records.filter(F.col("offset") > half), "after")
+    filled = promotion.backfill_promoted(landing.changes("organizations"), "plan_note", "varchar")
+    return filled.select("org_id", "_kafka_offset", "plan_note")
+
+
+@query("landing_signature", "select count(*) as n_rows from org_records")
+def _(spark, sf):
+    return lag.landing_signature(_landed(spark, sf)[0].changes("organizations"), "org_id").drop("digest")
+
+
+@query("current_from_stream", """select org_id, name, status from (
+  select *, row_number() over (partition by org_id order by version desc, source desc) as n from (
+    select cast(org_id as varchar) as org_id, name, status, false as gone, _loaded_at as version,
+      0 as source from organizations
+    union all
+    select org_id, name, status, _deleted, coalesce(_source_ts, timestamp '2100-01-01'), 1
+    from org_records qualify row_number() over (partition by org_id order by _kafka_offset desc) = 1
+  )) where n = 1 and not gone""")
+def _(spark, sf):
+    """Batch organizations merged with the landed change table.
+
+    A tombstone has no source time and counts from when it landed.
+    """
+    batch = samples.organizations(spark, sf).withColumn("org_id", F.col("org_id").cast("string"))
+    landed = _landed(spark, sf)[0].changes("organizations")
+    return current.current_entity(batch, landed, "organizations").select("org_id", "name", "status")
+
+
+# --- whole runs -----------------------------------------------------------
+
+@query("ingest", """select cast(invoice_id as varchar) as invoice_id, cast(org_id as varchar) as org_id,
+  cast(subscription_id as varchar) as subscription_id, amount_cents, currency,
+  case when recorded_at >= (select max(recorded_at) from invoices
+    where recorded_at <= timestamp '2001-06-01') - interval 2 day then upper(status) else status end
+    as status, period_start, period_end, issued_at, paid_at, recorded_at from invoices""")
+def _(spark, sf):
+    """Two batch runs: a first load, then a merge of what the lookback re-reads."""
+    lake = Lake(spark, work_folder(spark, "lake"))
+
+    def first(table: str) -> DataFrame:
+        rows = samples.BATCH[table](spark, sf)
+        mark = ENTITIES[table].watermark
+        return rows.filter(F.col(mark) <= samples.ntz("2001-06-01")) if table == "invoices" else rows
+
+    def second(table: str) -> DataFrame:
+        rows = samples.BATCH[table](spark, sf)
+        return rows.withColumn("status", F.upper("status")) if table == "invoices" else rows
+
+    ingest(lake, first)
+    ingest(lake, second)
+    return raw_table(lake, "invoices").drop("_loaded_at", "_batch_id", "_source_system")
+
+
+def _gate_inputs(spark, sf):
+    """Batch and change frames that pass the gate: no organization is deleted."""
+    def changes(table: str) -> DataFrame:
+        rows = samples.CHANGES[table](spark, sf)
+        return rows.withColumn("_deleted", F.lit(False)) if table == "organizations" else rows
+
+    return (lambda table: samples.BATCH[table](spark, sf)), changes
+
+
+@query("run_checks", " union all ".join(rule_sql(r) for r in quality.UPSTREAM_RULES))
+def _(spark, sf):
+    """All upstream rules over the staged entities, movements and month states."""
+    lake = Lake(spark, work_folder(spark, "checks"))
+    publisher = Publisher(
+        lake, lambda t: samples.BATCH[t](spark, sf), lambda t: samples.CHANGES[t](spark, sf)
+    )
+    return quality.run_checks(publisher.upstream({}), quality.UPSTREAM_RULES)
+
+
+@query("gate_blocks_publish", """select 'fct_mrr_monthly' as mart,
+    timestamp '2024-02-01' as built_at, count(*) as n_rows, true as unchanged from mrr_monthly
+  union all select 'dim_organizations', timestamp '2024-02-01',
+    (select count(*) from (select org_id from organizations union select org_id from organizations_cdc)),
+    true""")
+def _(spark, sf):
+    """A negative amount stops the second publication; the first stays as it was."""
+    raw, changes = _gate_inputs(spark, sf)
+    lake = Lake(spark, work_folder(spark, "gate"))
+
+    def signature() -> DataFrame:
+        reader = Publisher(lake, raw, changes)
+        return quality.publish_signature(
+            reader.published("fct_mrr_monthly"), reader.published("dim_organizations")
+        )
+
+    def broken(table: str) -> DataFrame:
+        rows = changes(table)
+        return rows.withColumn("mrr_cents", F.lit(-500)) if table == "subscriptions" else rows
+
+    if not Publisher(lake, raw, changes).publish("2024-02-01 00:00:00").published:
+        raise RuntimeError("the clean input did not pass the gate")
+    before = signature()
+    if Publisher(lake, raw, broken).publish("2024-02-02 00:00:00").published:
+        raise RuntimeError("a negative amount passed the gate")
+    after = signature()
+    return after.join(quality.gate_audit(before, after).drop("moved"), "mart")

@@ -295,6 +295,36 @@ def logins_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as change records, every event one record.
+
+    Even users go to the organizations topic, odd ones to the users topic.
+    Clicks create, purchases update and carry a field outside the contract,
+    errors delete, signups are tombstones and views are broken payloads.
+    """
+    events = table(spark, sf_dir, "events").selectExpr(
+        "*", "user_id % 2 = 0 as _org", "cast(user_id as string) as _key",
+        "unix_millis(to_utc_timestamp(cast(ts as string), 'UTC')) as _ms",
+    )
+    image = """named_struct('org_id', _key, 'user_id', if(_org, null, _key),
+      'name', if(_org, concat('Name ', event_id), null),
+      'full_name', if(_org, null, concat('Name ', event_id)), 'status', event_type,
+      'updated_at', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+      'plan_note', if(event_type = 'purchase', concat('note ', event_id), null))"""
+    op = "case event_type when 'click' then 'c' when 'purchase' then 'u' else 'd' end"
+    body = f"""to_json(named_struct('op', {op},
+      'before', if(event_type = 'error', {image}, null),
+      'after', if(event_type = 'error', null, {image}),
+      'source', named_struct('lsn', event_id * 10, 'ts_ms', _ms)))"""
+    return events.selectExpr(
+        "concat('saas.app.', if(_org, 'organizations', 'users')) as topic",
+        "cast(user_id % 3 as int) as partition", "event_id as offset",
+        "cast(if(_org, concat('{\"org_id\":\"', _key, '\"}'), _key) as binary) as key",
+        f"""cast(case event_type when 'signup' then null when 'view' then concat('broken ', event_id)
+          else {body} end as binary) as value""",
+    )
+
+
 BATCH = {
     "organizations": organizations,
     "users": users,

@@ -2,40 +2,29 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from revtide.contracts import (
-    ENTITIES,
-    SPARK_TYPES,
-    STREAM_SOURCE,
-    TOPIC_PREFIX,
-    promoted_columns,
-)
+from pyspark.sql import DataFrame
+
+from revtide.contracts import ENTITIES, STREAM_SOURCE, TOPIC_PREFIX, promoted_columns
 from revtide.functions import envelope as E
 
 ENVELOPE = "struct<op:variant,before:variant,after:variant,source:variant>"
+SQL_TYPES = {"varchar": "string", "timestamp": "timestamp_ntz"}
 
 
 def with_table(records: DataFrame) -> DataFrame:
     """Decode the records and name the table of each topic (null: not a change topic)."""
-    table = E.table_from_topic(F.col("topic"), TOPIC_PREFIX, list(ENTITIES))
-    return records.select(
-        "topic", F.col("partition").cast("bigint").alias("partition"), "offset",
-        E.decode(F.col("key")).alias("key"), E.decode(F.col("value")).alias("value"),
-        (E.is_text(F.col("key")) & E.is_text(F.col("value"))).alias("_readable"),
-        table.alias("_table"),
+    return records.selectExpr(
+        "topic", "cast(partition as bigint) as partition", "offset",
+        "cast(key as string) as key", "cast(value as string) as value",
+        "coalesce(is_valid_utf8(cast(key as string)), true) "
+        "and coalesce(is_valid_utf8(cast(value as string)), true) as _readable",
+        f"{E.table_from_topic('topic', TOPIC_PREFIX, ENTITIES)} as _table",
     )
 
 
-def _first(checks: list[tuple[Column, Column | str]]) -> Column:
-    """First failing check wins; null when none fails."""
-    chain = reduce(
-        lambda acc, c: acc.when(c[0], c[1]), checks[1:], F.when(checks[0][0], checks[0][1])
-    )
-    return chain.otherwise(F.lit(None).cast("string"))
+def _first_reason(checks: list[tuple[str, str]]) -> str:
+    """The reason of the first failing check; null when none fails."""
+    return "case " + " ".join(f"when {test} then {reason}" for test, reason in checks) + " end"
 
 
 def parse_envelopes(records: DataFrame, table: str, promoted: dict | None = None) -> DataFrame:
@@ -44,89 +33,83 @@ def parse_envelopes(records: DataFrame, table: str, promoted: dict | None = None
     Every record gives one row: the typed change columns, and `error` with the
     first reason that makes it a dead letter. The heavy parts (JSON parse,
     field map, conversions) each live in their own step so Spark computes
-    them once per row.
+    them once per row. Persist the result before filtering it, or the filter
+    is pushed down and repeats them.
     """
-    entity = ENTITIES[table]
-    columns = list(entity.columns) + promoted_columns(promoted, table)
-    value, key = F.col("value"), F.col("key")
-    tombstone = value.isNull()
-
-    opened = records.withColumns(
-        {"_body": E.parse_one(value, ENVELOPE), "_key_json": E.parse_one(key, "variant")}
-    ).withColumns(
-        {
-            "_op": F.when(tombstone, F.lit("d")).otherwise(F.col("_body.op").try_cast("string")),
-            "_source": E.fields_of(F.col("_body.source")),
-            "_key_pk": E.pk_from_key(key, F.col("_key_json"), entity.pk),
-        }
+    pk, kinds = ENTITIES[table].pk, dict(ENTITIES[table].columns)
+    kinds |= dict(promoted_columns(promoted, table))
+    known = list(kinds)
+    pk_type = SQL_TYPES.get(kinds[pk], kinds[pk])
+    place = ["topic", "partition", "offset", "key", "value", "_readable"]
+
+    opened = records.selectExpr(
+        *place, f"{E.parse_one('value', ENVELOPE)} as _body",
+        f"{E.parse_one('key', 'variant')} as _key_json",
+    )
+    imaged = opened.selectExpr(
+        *place, "_body",
+        "case when value is null then 'd' else try_cast(_body.op as string) end as _op",
+        f"{E.fields_of('_body.source')} as _source",
+        f"{E.pk_from_key('key', '_key_json', pk)} as _key_pk",
+    ).selectExpr(
+        "*", f"{E.fields_of('if(_op = \'d\', _body.before, _body.after)')} as _image"
     )
-    image = F.when(F.col("_op") == "d", F.col("_body.before")).otherwise(F.col("_body.after"))
-    imaged = opened.withColumn("_image", E.fields_of(image))
-    found = imaged.withColumns(
-        {
-            "_lsn": E.field(F.col("_source"), "lsn"),
-            "_ts": E.field(F.col("_source"), "ts_ms"),
-            **{f"_v_{name}": E.field(F.col("_image"), name) for name, _ in columns},
-        }
+    found = imaged.selectExpr(
+        *place, "_op", "_key_pk", "_image", "_body is null as _no_body",
+        "_source is null as _no_source", f"{E.field('_source', 'lsn')} as _lsn",
+        f"{E.field('_source', 'ts_ms')} as _ts",
+        *[f"{E.field('_image', name)} as _v_{name}" for name in known],
     )
-    typed = found.withColumns(
-        {
-            "_source_lsn": E.value_of(F.col("_lsn"), "bigint"),
-            "_source_ts": E.value_of(F.col("_ts"), "timestamp"),
-            **{name: E.value_of(F.col(f"_v_{name}"), typ) for name, typ in columns},
-        }
+    typed = found.selectExpr(
+        "*", f"{E.value_of('_lsn', 'bigint')} as _source_lsn",
+        f"{E.value_of('_ts', 'timestamp')} as _source_ts",
+        *[f"{E.value_of(f'_v_{name}', typ)} as {name}" for name, typ in kinds.items()],
     )
 
-    def broken(raw: str, converted: str) -> Column:
-        return ~E.is_absent(F.col(raw)) & F.col(converted).isNull()
+    def broken(raw: str, converted: str) -> str:
+        return f"{E.is_present(raw)} and {converted} is null"
 
-    pk_type = SPARK_TYPES[dict(columns)[entity.pk]]
-    pk_value = F.coalesce(F.col(entity.pk), F.col("_key_pk").try_cast(pk_type))
-    not_object = F.when(E.parse_one(value, "variant").isNotNull(), "payload is not a json object")
+    pk_value = f"coalesce({pk}, try_cast(_key_pk as {pk_type}))"
+    not_json = (f"if({E.parse_one('value', 'variant')} is null, 'payload is not json', "
+                "'payload is not a json object')")
     checks = [
-        (~F.col("_readable"), "payload is not utf-8 text"),
-        (tombstone & F.col("_key_pk").isNull(), f"tombstone key has no {entity.pk}"),
-        (~tombstone & F.col("_body").isNull(),
-         F.coalesce(not_object, F.lit("payload is not json"))),
-        (~tombstone & ~F.coalesce(F.col("_op").isin(*E.OPS), F.lit(False)),
-         "missing or unknown op"),
-        (~tombstone & F.col("_source").isNull(), "source metadata is missing"),
-        (~tombstone & F.col("_image").isNull(), "change image is missing"),
-        (broken("_lsn", "_source_lsn"), "source lsn is not a bigint"),
-        (broken("_ts", "_source_ts"), "source ts_ms is not a timestamp"),
-        *[(broken(f"_v_{name}", name), f"column {name} is not a {typ}") for name, typ in columns],
-        (pk_value.isNull(), f"missing primary key {entity.pk}"),
+        ("not _readable", "'payload is not utf-8 text'"),
+        ("value is null and _key_pk is null", f"'tombstone key has no {pk}'"),
+        ("value is not null and _no_body", not_json),
+        (f"_op is null or _op not in ({E.listed(E.OPS)})", "'missing or unknown op'"),
+        ("value is not null and _no_source", "'source metadata is missing'"),
+        ("value is not null and _image is null", "'change image is missing'"),
+        (broken("_lsn", "_source_lsn"), "'source lsn is not a bigint'"),
+        (broken("_ts", "_source_ts"), "'source ts_ms is not a timestamp'"),
+        *[(broken(f"_v_{name}", name), f"'column {name} is not a {typ}'")
+          for name, typ in kinds.items()],
+        (f"{pk_value} is null", f"'missing primary key {pk}'"),
     ]
-    where = [F.col("topic"), F.col("partition"), F.col("offset")]
-    known = [name for name, _ in columns]
-    return typed.select(
-        *[(pk_value if name == entity.pk else F.col(name)).alias(name) for name in known],
-        "_op", "_source_lsn", F.col("topic").alias("_kafka_topic"),
-        F.col("partition").alias("_kafka_partition"), F.col("offset").alias("_kafka_offset"),
-        "_source_ts", (F.col("_op") == "d").alias("_deleted"),
-        E.dedup_token(F.col("_source_lsn"), *where).alias("_dedup_token"),
-        E.extra_json(F.col("_image"), known).alias("_extra"),
-        F.lit(STREAM_SOURCE).alias("_source_system"),
-        _first(checks).alias("error"),
-        E.payload(key, value).alias("payload"),
+    where = ("topic", "partition", "offset")
+    return typed.selectExpr(
+        *[f"{pk_value} as {name}" if name == pk else name for name in known],
+        "_op", "_source_lsn", "topic as _kafka_topic", "partition as _kafka_partition",
+        "offset as _kafka_offset", "_source_ts", "_op = 'd' as _deleted",
+        f"{E.dedup_token('_source_lsn', *where)} as _dedup_token",
+        f"{E.extra_json('_image', known)} as _extra",
+        f"{E.quoted(STREAM_SOURCE)} as _source_system",
+        f"{_first_reason(checks)} as error", f"{E.payload('key', 'value')} as payload",
     )
 
 
 def reject_unknown(records: DataFrame) -> DataFrame:
     """Records of topics outside the contract, in the columns dead letters need."""
-    return records.filter("_table is null").select(
-        F.col("topic").alias("_kafka_topic"), F.col("partition").alias("_kafka_partition"),
-        F.col("offset").alias("_kafka_offset"),
-        F.concat(F.lit("topic "), "topic", F.lit(" is not an app change feed")).alias("error"),
-        E.payload(F.col("key"), F.col("value")).alias("payload"),
+    return records.filter("_table is null").selectExpr(
+        "topic as _kafka_topic", "partition as _kafka_partition", "offset as _kafka_offset",
+        "concat('topic ', topic, ' is not an app change feed') as error",
+        f"{E.payload('key', 'value')} as payload",
     )
 
 
 def as_dead_letters(rejected: DataFrame, loaded_at) -> DataFrame:
-    where = [F.col("_kafka_topic"), F.col("_kafka_partition"), F.col("_kafka_offset")]
-    return rejected.filter("error is not null").select(
-        E.dead_letter_id(*where).alias("dead_letter_id"), where[0].alias("topic"),
-        where[1].alias("partition_id"), where[2].alias("offset_id"), "error", "payload",
-        F.lit(loaded_at).cast("timestamp_ntz").alias("_loaded_at"),
-        F.lit(STREAM_SOURCE).alias("_source_system"),
+    where = ("_kafka_topic", "_kafka_partition", "_kafka_offset")
+    return rejected.filter("error is not null").selectExpr(
+        f"{E.dead_letter_id(*where)} as dead_letter_id", "_kafka_topic as topic",
+        "_kafka_partition as partition_id", "_kafka_offset as offset_id", "error", "payload",
+        f"timestamp_ntz'{loaded_at}' as _loaded_at", f"{E.quoted(STREAM_SOURCE)} as _source_system",
     )

@@ -158,13 +158,15 @@ class Landing:
         held = [tagged]
         try:
             spans = tagged.groupBy("topic", "partition", "_table").agg(
-                F.min("offset").alias("first"), F.max("offset").alias("last")
+                F.min("offset").alias("first"), F.max("offset").alias("last"),
+                F.count("*").alias("n"),
             )
             found = spans.collect()
             stats = {"inserted": 0, "skipped": 0, "dead_letters": 0}
             if not found:
                 return stats
-            stats |= {"parsed_changes": 0, "parsed_dead_letters": 0}
+            unknown = sum(row["n"] for row in found if row["_table"] is None)
+            stats |= {"parsed_changes": 0, "parsed_dead_letters": unknown}
             rejected = [reject_unknown(tagged)]
             for table in ENTITIES:
                 mine = [row for row in found if row["_table"] == table]
@@ -177,6 +179,7 @@ class Landing:
                 rejected.append(parsed.select(*rejected[0].columns))
                 good = parsed.filter("error is null").count()
                 stats["parsed_changes"] += good
+                stats["parsed_dead_letters"] += sum(row["n"] for row in mine) - good
                 span = (min(r["first"] for r in mine), max(r["last"] for r in mine))
                 own = f"{self.root}/{table}_cdc/landing={landing_id}/epoch={epoch}"
                 if good or folders.exists(self.spark, own):
@@ -186,7 +189,6 @@ class Landing:
                     stats["inserted"] += inserted
                     stats["skipped"] += good - inserted
             letters = as_dead_letters(reduce(DataFrame.unionByName, rejected), loaded_at)
-            stats["parsed_dead_letters"] = letters.count()
             if stats["parsed_dead_letters"]:
                 span = (min(r["first"] for r in found), max(r["last"] for r in found))
                 stats["dead_letters"] = self.land_dead_letters(letters, span, landing_id, epoch)
