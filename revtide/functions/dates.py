@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from revtide.contracts import LATE_DAYS
-
-__all__ = ["month_of", "day_of", "add_months", "is_late", "month_label"]
+__all__ = ["month_of", "day_of", "add_months", "month_label"]
 
 
 def month_of(ts: Column) -> Column:
@@ -23,10 +21,5 @@ def add_months(day: Column, n: int) -> Column:
     return F.add_months(day, n)
 
 
-def is_late(business: Column, recorded: Column, days: int = LATE_DAYS) -> Column:
-    """Recorded at least `days` calendar-day boundaries after it happened."""
-    return F.datediff(recorded, business) >= days
-
-
 def month_label(day: Column, pattern: str = "MMM yyyy") -> Column:
     return F.date_format(day, pattern)

@@ -1,4 +1,4 @@
-"""Text expressions: cleaning and report labels."""
+"""Texts shown in reports."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-__all__ = ["clean", "org_month_key", "money", "pct", "transition", "capitalized", "display_rank"]
+__all__ = ["money", "pct", "transition", "capitalized", "display_rank"]
 
 # Characters used in report texts.
 MINUS = "−"
@@ -15,14 +15,6 @@ DASH = "—"
 ARROW = " → "
 
 
-def clean(text: Column) -> Column:
-    return F.lower(F.trim(text))
-
-
-def org_month_key(org: Column, month: Column) -> Column:
-    return F.concat_ws("-", org.cast("string"), month.cast("string"))
-
-
 def money(units: Column, signed: bool = False) -> Column:
     """Whole dollars with thousands separators and a leading sign."""
     plus = F.lit("+" if signed else "")

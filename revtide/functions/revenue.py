@@ -5,20 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-__all__ = ["movement_type", "safe_ratio", "to_units", "sum_when", "count_true"]
+__all__ = ["movement_type", "safe_ratio", "to_units", "count_true"]
 
 
-def movement_type(before: Column, after: Column, event_type: Column) -> Column:
-    """Revenue movement of one event; both amounts are non-null cents."""
-    starts = (before == 0) & (after > 0)
-    return (
-        F.when(starts & (event_type == "reactivated"), "reactivation")
-        .when(starts, "new")
-        .when((before > 0) & (after > before), "expansion")
-        .when((after > 0) & (after < before), "contraction")
-        .when((before > 0) & (after == 0), "churn")
-        .otherwise("other")
-    )
+def movement_type(before: str, after: str, event_type: str) -> str:
+    """Revenue movement of one event as SQL text; both amounts are non-null cents."""
+    return f"""case
+        when {before} = 0 and {after} > 0
+            then if({event_type} <=> 'reactivated', 'reactivation', 'new')
+        when {before} > 0 and {after} > {before} then 'expansion'
+        when {after} > 0 and {after} < {before} then 'contraction'
+        when {before} > 0 and {after} = 0 then 'churn'
+        else 'other' end"""
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
@@ -30,9 +28,5 @@ def to_units(cents: Column) -> Column:
     return cents / F.lit(100)
 
 
-def sum_when(condition: Column, value: Column) -> Column:
-    return F.sum(F.when(condition, value).otherwise(F.lit(0))).cast("bigint")
-
-
 def count_true(condition: Column) -> Column:
     return F.count_if(condition).cast("bigint")

@@ -41,25 +41,17 @@ def current_entity(batch: DataFrame, changes: DataFrame, table: str) -> DataFram
     kept = entity.column_names + ["_loaded_at", "_batch_id", "_source_system"]
 
     snapshot = first_per_key(
-        batch.select(*kept), [entity.pk], [F.col("_loaded_at").desc_nulls_last()]
-    ).select(
-        F.col(entity.pk).alias("_key"), F.lit(True).alias("_in_batch"),
-        *[F.col(name).alias(f"b_{name}") for name in kept],
+        batch.select(kept), [entity.pk], [F.col("_loaded_at").desc_nulls_last()]
+    ).selectExpr(
+        f"{entity.pk} as _key", "true as _in_batch", *[f"{name} as b_{name}" for name in kept]
     )
-    change = latest_change(changes, entity.pk).select(
-        F.col(entity.pk).alias("_key"), F.lit(True).alias("_in_changes"),
-        F.coalesce(F.col("_deleted"), F.lit(False)).alias("_gone"),
-        F.coalesce("_source_ts", "_loaded_at").alias("_changed_at"),
-        *[F.col(name).alias(f"c_{name}") for name in kept],
+    change = latest_change(changes, entity.pk).selectExpr(
+        f"{entity.pk} as _key", "true as _in_changes", "coalesce(_deleted, false) as _gone",
+        "coalesce(_source_ts, _loaded_at) as _changed_at",
+        *[f"{name} as c_{name}" for name in kept],
     )
     # A missing version time sorts last, so only a dated batch row can beat a change.
-    loaded = F.col("b__loaded_at")
-    newer = loaded.isNotNull() & (F.col("_changed_at").isNull() | (loaded > F.col("_changed_at")))
-    from_batch = F.col("_in_changes").isNull() | (F.col("_in_batch").isNotNull() & newer)
-    merged = snapshot.join(change, "_key", "full").filter(from_batch | ~F.col("_gone"))
-    return merged.select(
-        *[
-            F.when(from_batch, F.col(f"b_{name}")).otherwise(F.col(f"c_{name}")).alias(name)
-            for name in kept
-        ]
-    )
+    from_batch = """(_in_changes is null or (_in_batch is not null and b__loaded_at is not null
+        and (_changed_at is null or b__loaded_at > _changed_at)))"""
+    merged = snapshot.join(change, "_key", "full").filter(f"{from_batch} or not _gone")
+    return merged.selectExpr(*[f"if({from_batch}, b_{name}, c_{name}) as {name}" for name in kept])

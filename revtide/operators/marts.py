@@ -33,28 +33,28 @@ def dim_organizations(
 
     Users and logins are reduced to one row per organization before the join.
     """
-    subscription = subs.select(
-        "org_id", "subscription_id", "plan", F.col("status").alias("subscription_status"),
-        "mrr_cents", "seats", F.col("started_at").alias("subscription_started_at"), "canceled_at",
+    subscription = subs.selectExpr(
+        "org_id", "subscription_id", "plan", "status as subscription_status", "mrr_cents", "seats",
+        "started_at as subscription_started_at", "canceled_at",
     )
-    organization = orgs.select(
+    organization = orgs.selectExpr(
         "org_id", "org_name", "domain", "industry", "employee_band", "country_code",
-        F.col("status").alias("org_status"), "created_at",
+        "status as org_status", "created_at",
     )
     joined = (
         organization.join(subscription, "org_id", "left")
         .join(user_counts(users), "org_id", "left")
         .join(last_login(logins), "org_id", "left")
     )
-    billed = F.col("subscription_status").isin("active", "past_due")
-    live = billed | (F.col("subscription_status") == "trialing")
-    return joined.select(
-        *organization.columns, *subscription.columns[1:],
-        F.coalesce("user_count", F.lit(0)).alias("user_count"),
-        F.coalesce("active_user_count", F.lit(0)).alias("active_user_count"),
-        "last_successful_login_at",
-        F.coalesce((F.col("org_status") == "active") & live, F.lit(False)).alias("is_active"),
-        F.coalesce((F.col("mrr_cents") > 0) & billed, F.lit(False)).alias("is_paying"),
+    return joined.selectExpr(
+        "org_id", "org_name", "domain", "industry", "employee_band", "country_code", "org_status",
+        "created_at", "subscription_id", "plan", "subscription_status", "mrr_cents", "seats",
+        "subscription_started_at", "canceled_at", "coalesce(user_count, 0) as user_count",
+        "coalesce(active_user_count, 0) as active_user_count", "last_successful_login_at",
+        "coalesce(org_status = 'active' "
+        "and subscription_status in ('trialing', 'active', 'past_due'), false) as is_active",
+        "coalesce(mrr_cents > 0 and subscription_status in ('active', 'past_due'), false) "
+        "as is_paying",
     )
 
 

@@ -2,34 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtide.functions import (
-    add_months,
-    count_true,
-    month_of,
-    movement_type,
-    org_month_key,
-    safe_ratio,
-    sum_when,
-)
+from revtide.functions import add_months, count_true, month_of, movement_type, safe_ratio
 
 FLOWS = ["new", "expansion", "contraction", "churn", "reactivation"]
 
 
 def subscription_movements(events: DataFrame) -> DataFrame:
     """Classify each staged subscription event into one revenue movement."""
-    amounts = events.withColumns(
-        {name: F.coalesce(name, F.lit(0)) for name in ("mrr_cents_before", "mrr_cents_after")}
-    )
-    before, after = F.col("mrr_cents_before"), F.col("mrr_cents_after")
-    return amounts.select(
+    return events.selectExpr(
+        "event_id", "subscription_id", "org_id", "event_type", "from_plan", "to_plan",
+        "coalesce(mrr_cents_before, 0) as mrr_cents_before",
+        "coalesce(mrr_cents_after, 0) as mrr_cents_after", "occurred_at", "recorded_at",
+        "cast(trunc(occurred_at, 'month') as date) as occurred_month", "is_late_arriving",
+    ).selectExpr(
         "event_id", "subscription_id", "org_id", "event_type", "from_plan", "to_plan",
-        "mrr_cents_before", "mrr_cents_after", (after - before).alias("mrr_delta_cents"),
-        "occurred_at", "recorded_at", month_of(F.col("occurred_at")).alias("occurred_month"),
-        "is_late_arriving",
-        movement_type(before, after, F.col("event_type")).alias("movement_type"),
+        "mrr_cents_before", "mrr_cents_after",
+        "mrr_cents_after - mrr_cents_before as mrr_delta_cents", "occurred_at", "recorded_at",
+        "occurred_month", "is_late_arriving",
+        movement_type("mrr_cents_before", "mrr_cents_after", "event_type") + " as movement_type",
     )
 
 
@@ -54,22 +47,22 @@ def org_month_steps(movements: DataFrame) -> DataFrame:
     its months before the shuffle. The later windows per organization see at
     most one row per calendar month.
     """
-    dated = movements.filter("occurred_at is not null")
-    last = F.max_by("mrr_cents_after", F.struct("occurred_at", "event_id"))
-    kind, delta = F.col("movement_type"), F.col("mrr_delta_cents")
-    flows = [sum_when(kind == flow, delta).alias(f"{flow}_mrr_cents") for flow in FLOWS]
-    steps = dated.groupBy("org_id", F.col("occurred_month").alias("month_start")).agg(
-        last.alias("mrr_cents_after"),
+    flows = [
+        F.expr(f"sum(if(movement_type = '{flow}', mrr_delta_cents, 0)) as {flow}_mrr_cents")
+        for flow in FLOWS
+    ]
+    steps = movements.filter("occurred_at is not null").groupBy(
+        "org_id", F.col("occurred_month").alias("month_start")
+    ).agg(
+        F.expr("max_by(mrr_cents_after, struct(occurred_at, event_id)) as mrr_cents_after"),
         *flows,
-        F.bool_or(kind == "new").alias("has_new"),
-        F.bool_or(kind == "churn").alias("has_churn"),
+        F.expr("bool_or(movement_type = 'new') as has_new"),
+        F.expr("bool_or(movement_type = 'churn') as has_churn"),
     )
-    by_org = Window.partitionBy("org_id").orderBy("month_start")
-    return steps.withColumns(
-        {
-            "previous_mrr_cents": F.coalesce(F.lag("mrr_cents_after").over(by_org), F.lit(0)),
-            "next_month": F.lead("month_start").over(by_org),
-        }
+    return steps.selectExpr(
+        "*",
+        "coalesce(lag(mrr_cents_after) over (partition by org_id order by month_start), 0) "
+        "as previous_mrr_cents",
     )
 
 
@@ -79,25 +72,24 @@ def asof_month_state(movements: DataFrame) -> DataFrame:
     Each month with events holds until the month before the next one, so the
     month-by-event range join becomes a sequence per step.
     """
-    dated = movements.filter("occurred_at is not null")
-    last = F.max_by("mrr_cents_after", F.struct("occurred_at", "event_id"))
-    steps = dated.groupBy("org_id", F.col("occurred_month").alias("step_month")).agg(
-        last.alias("mrr_cents_after")
-    )
-    following = F.lead("step_month").over(Window.partitionBy("org_id").orderBy("step_month"))
+    steps = movements.filter("occurred_at is not null").groupBy(
+        "org_id", F.col("occurred_month").alias("step_month")
+    ).agg(F.expr("max_by(mrr_cents_after, struct(occurred_at, event_id)) as mrr_cents_after"))
     last_month = month_bounds(movements).select("last_month").scalar()
-    held = steps.withColumn("_until", add_months(following, -1)).withColumn(
-        "_until", F.coalesce("_until", last_month)
+    held = steps.selectExpr(
+        "*", "add_months(lead(step_month) over (partition by org_id order by step_month), -1) "
+        "as _until",
+    ).withColumn("_until", F.coalesce("_until", last_month))
+    return held.selectExpr(
+        "explode(sequence(step_month, _until, interval 1 month)) as month_start", "org_id",
+        "mrr_cents_after",
     )
-    months = F.sequence("step_month", "_until", F.expr("interval 1 month"))
-    return held.select(F.explode(months).alias("month_start"), "org_id", "mrr_cents_after")
 
 
 def org_month_mrr(movements: DataFrame) -> DataFrame:
-    return asof_month_state(movements).select(
-        org_month_key(F.col("org_id"), F.col("month_start")).alias("org_month_key"),
-        "month_start", "org_id", "mrr_cents_after",
-        (F.col("mrr_cents_after") > 0).alias("is_paying"),
+    return asof_month_state(movements).selectExpr(
+        "concat(org_id, '-', month_start) as org_month_key", "month_start", "org_id",
+        "mrr_cents_after", "mrr_cents_after > 0 as is_paying",
     )
 
 
@@ -109,10 +101,10 @@ def ending_state(org_month: DataFrame) -> DataFrame:
 
 
 def month_flows(movements: DataFrame) -> DataFrame:
-    kind, delta = F.col("movement_type"), F.col("mrr_delta_cents")
     return movements.groupBy(F.col("occurred_month").alias("month_start")).agg(
-        *[sum_when(kind == flow, delta).alias(f"{flow}_mrr_cents") for flow in FLOWS],
-        F.count_distinct(F.when(kind == "new", F.col("org_id"))).alias("new_orgs"),
+        *[F.expr(f"sum(if(movement_type = '{flow}', mrr_delta_cents, 0)) as {flow}_mrr_cents")
+          for flow in FLOWS],
+        F.expr("count(distinct if(movement_type = 'new', org_id, null)) as new_orgs"),
     )
 
 
@@ -137,20 +129,17 @@ def mrr_bridge(ending: DataFrame, flows: DataFrame, churn: DataFrame) -> DataFra
 
 def _with_opening(months: DataFrame) -> DataFrame:
     """Carry the previous month's ending state over; one row per calendar month."""
-    in_order = Window.orderBy("month_start")
-    counted = [f"{flow}_mrr_cents" for flow in FLOWS] + ["new_orgs", "churned_orgs"]
-    opened = months.withColumns(
-        {
-            "beginning_mrr_cents": F.coalesce(F.lag("ending_mrr_cents").over(in_order), F.lit(0)),
-            "active_orgs_start": F.coalesce(F.lag("active_orgs_end").over(in_order), F.lit(0)),
-            **{name: F.coalesce(name, F.lit(0)) for name in counted},
-        }
-    )
-    return opened.select(
-        "month_start", "beginning_mrr_cents", *[f"{flow}_mrr_cents" for flow in FLOWS],
-        "ending_mrr_cents", "active_orgs_start", "active_orgs_end", "new_orgs", "churned_orgs",
-        safe_ratio(F.col("churned_orgs"), F.col("active_orgs_start")).alias("logo_churn_rate"),
+    flows = [f"coalesce({flow}_mrr_cents, 0) as {flow}_mrr_cents" for flow in FLOWS]
+    opened = months.selectExpr(
+        "month_start",
+        "coalesce(lag(ending_mrr_cents) over (order by month_start), 0) as beginning_mrr_cents",
+        *flows, "ending_mrr_cents",
+        "coalesce(lag(active_orgs_end) over (order by month_start), 0) as active_orgs_start",
+        "active_orgs_end", "coalesce(new_orgs, 0) as new_orgs",
+        "coalesce(churned_orgs, 0) as churned_orgs",
     )
+    rate = safe_ratio(F.col("churned_orgs"), F.col("active_orgs_start"))
+    return opened.withColumn("logo_churn_rate", rate)
 
 
 def mrr_monthly(movements: DataFrame) -> DataFrame:
@@ -161,37 +150,30 @@ def mrr_monthly(movements: DataFrame) -> DataFrame:
     (organization, month), and sums per month. `mrr_bridge` over
     `org_month_mrr` gives the same rows.
     """
-    state, previous = F.col("mrr_cents_after"), F.col("previous_mrr_cents")
-    gained = (state > 0).cast("int") - (previous > 0).cast("int")
-    lost = F.col("has_churn") & (previous > 0) & F.col("org_id").isNotNull()
-    started = F.col("has_new") & F.col("org_id").isNotNull()
     flows = [f"{flow}_mrr_cents" for flow in FLOWS]
-    monthly = org_month_steps(movements).groupBy("month_start").agg(
-        F.sum(state - previous).alias("state_change"),
-        F.sum(gained).alias("paying_change"),
-        *[F.sum(name).alias(name) for name in flows],
-        count_true(started).alias("new_orgs"),
-        count_true(lost).alias("churned_orgs"),
-    )
+    changes = org_month_steps(movements).selectExpr(
+        "month_start", "mrr_cents_after - previous_mrr_cents as state_change",
+        "int(mrr_cents_after > 0) - int(previous_mrr_cents > 0) as paying_change", *flows,
+        "int(has_new and org_id is not null) as new_orgs",
+        "int(has_churn and previous_mrr_cents > 0 and org_id is not null) as churned_orgs",
+    )
+    sums = [name for name in changes.columns if name != "month_start"]
+    monthly = changes.groupBy("month_start").agg(*[F.sum(name).alias(name) for name in sums])
     # From here on there is one row per calendar month; fill the quiet months.
-    months = Window.orderBy("month_start")
-    until = F.coalesce(add_months(F.lead("month_start").over(months), -1), F.col("month_start"))
-    spine = monthly.withColumn("_until", until).select(
-        F.posexplode(F.sequence("month_start", "_until", F.expr("interval 1 month"))).alias(
-            "_gap", "_month"
-        ),
-        *[name for name in monthly.columns if name != "month_start"],
-    )
-    filled = spine.select(
-        F.col("_month").alias("month_start"),
-        *[F.when(F.col("_gap") == 0, F.col(name)).otherwise(F.lit(0)).alias(name)
-          for name in monthly.columns if name != "month_start"],
-    )
-    so_far = months.rowsBetween(Window.unboundedPreceding, 0)
-    totals = filled.select(
+    spine = monthly.selectExpr(
+        "*",
+        "coalesce(add_months(lead(month_start) over (order by month_start), -1), month_start) "
+        "as _until",
+    ).selectExpr(
+        "posexplode(sequence(month_start, _until, interval 1 month)) as (_gap, _month)", *sums
+    )
+    filled = spine.selectExpr(
+        "_month as month_start", *[f"if(_gap = 0, {name}, 0) as {name}" for name in sums]
+    )
+    totals = filled.selectExpr(
         "month_start",
-        F.sum("state_change").over(so_far).alias("ending_mrr_cents"),
-        F.sum("paying_change").over(so_far).alias("active_orgs_end"),
+        "sum(state_change) over (order by month_start) as ending_mrr_cents",
+        "sum(paying_change) over (order by month_start) as active_orgs_end",
         *flows, "new_orgs", "churned_orgs",
     )
     return _with_opening(totals)

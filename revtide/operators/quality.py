@@ -146,49 +146,45 @@ class Rule:
         parts = [self.kind, self.table, self.column]
         return ".".join(p for p in parts if p)
 
-    def condition(self) -> Column | None:
-        """What one failing row looks like; None for rules over many rows."""
-        col = F.col(self.column) if self.column else None
+    def condition(self) -> str | None:
+        """What one failing row looks like as SQL; None for rules over many rows."""
+        values = ", ".join(f"'{v}'" for v in self.values)
         failing = {
-            "not_null": lambda: col.isNull(),
-            "accepted_values": lambda: ~col.isin(*self.values),
-            "non_negative": lambda: col < 0,
-            "canceled_has_timestamp": lambda: F.expr("status = 'canceled' and canceled_at is null"),
-            "paid_has_timestamp": lambda: F.expr("status = 'paid' and paid_at is null"),
+            "not_null": f"{self.column} is null",
+            "accepted_values": f"{self.column} not in ({values})",
+            "non_negative": f"{self.column} < 0",
+            "canceled_has_timestamp": "status = 'canceled' and canceled_at is null",
+            "paid_has_timestamp": "status = 'paid' and paid_at is null",
         }.get(self.kind)
         if failing is None:
             return None
-        return F.expr(self.where) & failing() if self.where else failing()
+        return f"({self.where}) and ({failing})" if self.where else failing
 
 
 def _row_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """All row-level rules of one table in a single pass."""
-    counts = df.agg(*[F.count_if(r.condition()).alias(f"r{i}") for i, r in enumerate(rules)])
-    rows = F.array(
-        *[
-            F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"),
-                     F.col(f"r{i}").alias("failures"))
-            for i, r in enumerate(rules)
-        ]
+    results = ", ".join(
+        f"struct('{r.name}' as rule, '{r.severity}' as severity, "
+        f"count_if({r.condition()}) as failures)" for r in rules
     )
-    return counts.select(F.inline(rows))
+    return df.selectExpr(f"array({results}) as results").selectExpr("inline(results)")
 
 
-def _counted(rule: Rule, failing: DataFrame, measure: Column) -> DataFrame:
-    return failing.agg(
-        F.lit(rule.name).alias("rule"), F.lit(rule.severity).alias("severity"),
-        F.coalesce(measure, F.lit(0)).cast("bigint").alias("failures"),
+def _counted(rule: Rule, failing: DataFrame, measure: str) -> DataFrame:
+    return failing.selectExpr(
+        f"'{rule.name}' as rule", f"'{rule.severity}' as severity",
+        f"coalesce({measure}, 0L) as failures",
     )
 
 
 def _set_rule(rule: Rule, frames: dict[str, DataFrame]) -> DataFrame:
-    df, count = frames.get(rule.table), F.count("*")
+    df, count = frames.get(rule.table), "count(*)"
     if rule.kind == "unique":
         return _counted(rule, unique(df, rule.column), count)
     if rule.kind == "relationships":
         parent, parent_col = rule.parent
         orphans = relationships(df, rule.column, frames[parent], parent_col, rule.where)
-        return _counted(rule, orphans, F.sum("n_rows"))
+        return _counted(rule, orphans, "sum(n_rows)")
     if rule.kind == "bridge_identity":
         return _counted(rule, bridge_violations(df), count)
     if rule.kind == "churn_bounds":

@@ -7,68 +7,53 @@ logins and change records. Every expression is deterministic.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtide.contracts import BATCH_SOURCE, STREAM_SOURCE
 from revtide.operators.current import first_per_key
 
 # Load times of the full-mode snapshots, and the cut-off dates of the history runs.
-SNAPSHOT_AT = "2024-01-30 12:00:00"
+SNAPSHOT_AT = "timestamp_ntz'2024-01-30 12:00:00'"
 SUBSCRIPTIONS_AT = "1999-01-01 00:00:00"
 HISTORY_CUTS = ["1997-01-01", "1999-01-01", "2002-01-01"]
 
+MRR = "if(o_orderstatus = 'F', 0L, cast(round(o_totalprice * 100) as bigint))"
+
 
 def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def days(n: Column | int) -> Column:
-    return F.make_dt_interval(n if isinstance(n, Column) else F.lit(n))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _loaded(df: DataFrame, at: Column) -> DataFrame:
-    return df.withColumns(
-        {
-            "_loaded_at": at,
-            "_batch_id": F.lit("batch-1"),
-            "_source_system": F.lit(BATCH_SOURCE),
-        }
+def _loaded(df: DataFrame, at: str) -> DataFrame:
+    return df.selectExpr(
+        "*", f"{at} as _loaded_at", "'batch-1' as _batch_id",
+        f"'{BATCH_SOURCE}' as _source_system",
     )
 
 
-def _changed(df: DataFrame, offset: Column, at: Column, op: Column) -> DataFrame:
-    """Add the change-table columns; the log position follows the offset."""
-    lsn = offset * 10
-    return df.withColumns(
-        {
-            "_op": op,
-            "_source_lsn": lsn,
-            "_kafka_offset": offset,
-            "_source_ts": at,
-            "_deleted": op == "d",
-            "_dedup_token": F.concat(F.lit("lsn:"), lsn, F.lit(":offset:"), offset),
-            "_extra": F.lit(None).cast("string"),
-            "_loaded_at": at + days(1),
-            "_batch_id": F.lit("stream-1"),
-            "_source_system": F.lit(STREAM_SOURCE),
-        }
+def _changed(df: DataFrame, columns: str, offset: str, at: str, op: str) -> DataFrame:
+    """The named columns and the change-table columns; the log position follows the offset."""
+    return df.selectExpr(
+        *columns.split(), f"{op} as _op", f"{offset} * 10 as _source_lsn",
+        f"{offset} as _kafka_offset", f"{at} as _source_ts", f"{op} = 'd' as _deleted",
+        f"concat('lsn:', {offset} * 10, ':offset:', {offset}) as _dedup_token",
+        "cast(null as string) as _extra", f"{at} + interval 1 day as _loaded_at",
+        "'stream-1' as _batch_id", f"'{STREAM_SOURCE}' as _source_system",
     )
 
 
-def _cents(price: Column) -> Column:
-    return F.round(price * 100).cast("bigint")
+def _plan(cents: str) -> str:
+    return f"""case when {cents} = 0 then 'trial' when {cents} < 15000000 then 'starter'
+        when {cents} < 35000000 then 'growth' else 'enterprise' end"""
 
 
-def _plan(cents: Column) -> Column:
-    return (
-        F.when(cents == 0, "trial").when(cents < 15_000_000, "starter")
-        .when(cents < 35_000_000, "growth").otherwise("enterprise")
-    )
+EVENT_COLUMNS = ("event_id subscription_id org_id event_type from_plan to_plan "
+                 "mrr_cents_before mrr_cents_after occurred_at recorded_at")
 
 
 def subscription_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,90 +63,75 @@ def subscription_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     organization is cut into days: the lag runs inside a day, and what a day
     inherits comes from a window over one row per organization and day.
     """
-    base = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("event_id"),
-        F.col("o_custkey").alias("org_id"),
-        F.col("o_orderdate").alias("occurred_at"),
-        F.to_date("o_orderdate").alias("_day"),
-        F.when(F.col("o_orderstatus") == "F", F.lit(0).cast("bigint"))
-        .otherwise(_cents(F.col("o_totalprice"))).alias("mrr_cents_after"),
+    base = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as event_id", "o_custkey as org_id", "o_orderdate as occurred_at",
+        "to_date(o_orderdate) as _day", f"{MRR} as mrr_cents_after",
     )
     per_day = base.groupBy("org_id", "_day").agg(
-        F.max_by("mrr_cents_after", F.struct("occurred_at", "event_id")).alias("_last"),
+        F.expr("max_by(mrr_cents_after, struct(occurred_at, event_id)) as _last"),
         F.max("mrr_cents_after").alias("_top"),
     )
-    by_org = Window.partitionBy("org_id").orderBy("_day")
-    earlier = by_org.rowsBetween(Window.unboundedPreceding, -1)
-    inherited = per_day.select(
-        "org_id", "_day",
-        F.coalesce(F.lag("_last").over(by_org), F.lit(0)).alias("_inherited"),
-        F.coalesce(F.max("_top").over(earlier), F.lit(0)).alias("_earlier_top"),
+    by_org = "over (partition by org_id order by _day"
+    inherited = per_day.selectExpr(
+        "org_id", "_day", f"coalesce(lag(_last) {by_org}), 0) as _inherited",
+        f"coalesce(max(_top) {by_org} rows between unbounded preceding and 1 preceding), 0) "
+        "as _earlier_top",
     )
-    in_day = Window.partitionBy("org_id", "_day").orderBy("occurred_at", "event_id")
-    so_far = in_day.rowsBetween(Window.unboundedPreceding, -1)
-    events = base.withColumns(
-        {
-            "_before": F.lag("mrr_cents_after").over(in_day),
-            "_day_top": F.coalesce(F.max("mrr_cents_after").over(so_far), F.lit(0)),
-        }
+    in_day = "over (partition by org_id, _day order by occurred_at, event_id"
+    events = base.selectExpr(
+        "*", f"lag(mrr_cents_after) {in_day}) as _before",
+        f"coalesce(max(mrr_cents_after) {in_day} rows between unbounded preceding "
+        "and 1 preceding), 0) as _day_top",
     ).join(inherited, ["org_id", "_day"])
-    before = F.coalesce("_before", "_inherited")
-    after = F.col("mrr_cents_after")
-    event_type = (
-        F.when(F.greatest("_day_top", "_earlier_top") <= 0, "created")
-        .when((after == 0) & (F.col("mrr_cents_before") > 0), "canceled")
-        .when((F.col("mrr_cents_before") == 0) & (after > 0), "reactivated")
-        .when(after > F.col("mrr_cents_before"), "upgraded")
-        .otherwise("downgraded")
+    shaped = events.selectExpr(
+        "*", "coalesce(_before, _inherited) as mrr_cents_before"
+    ).selectExpr(
+        "event_id", "org_id as subscription_id", "org_id",
+        """case when greatest(_day_top, _earlier_top) <= 0 then 'created'
+            when mrr_cents_after = 0 and mrr_cents_before > 0 then 'canceled'
+            when mrr_cents_before = 0 and mrr_cents_after > 0 then 'reactivated'
+            when mrr_cents_after > mrr_cents_before then 'upgraded'
+            else 'downgraded' end as event_type""",
+        f"if(mrr_cents_before > 0, {_plan('mrr_cents_before')}, null) as from_plan",
+        f"{_plan('mrr_cents_after')} as to_plan", "mrr_cents_before", "mrr_cents_after",
+        "occurred_at",
+        "occurred_at + make_dt_interval(cast(event_id % 5 as int)) as recorded_at",
     )
-    shaped = events.withColumn("mrr_cents_before", before).select(
-        "event_id", F.col("org_id").alias("subscription_id"), "org_id",
-        event_type.alias("event_type"),
-        F.when(F.col("mrr_cents_before") > 0, _plan(F.col("mrr_cents_before"))).alias("from_plan"),
-        _plan(after).alias("to_plan"), "mrr_cents_before", "mrr_cents_after", "occurred_at",
-        (F.col("occurred_at") + days((F.col("event_id") % 5).cast("int"))).alias("recorded_at"),
-    )
-    return _loaded(shaped, F.col("recorded_at"))
+    return _loaded(shaped, "recorded_at")
 
 
 def subscription_events_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event once more as a snapshot read, three days after it happened."""
     events = subscription_events(spark, sf_dir)
-    return _changed(
-        events, F.col("event_id"), F.col("occurred_at") + days(3), F.lit("r")
-    )
+    return _changed(events, EVENT_COLUMNS, "event_id", "(occurred_at + interval 3 days)", "'r'")
+
+
+SUBSCRIPTION_COLUMNS = ("subscription_id org_id plan status mrr_cents seats started_at "
+                        "canceled_at updated_at")
 
 
 def _subscription_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The subscription as each order leaves it."""
-    mrr = F.when(F.col("o_orderstatus") == "F", F.lit(0).cast("bigint")).otherwise(
-        _cents(F.col("o_totalprice"))
-    )
-    rows = table(spark, sf_dir, "orders").withColumn("mrr_cents", mrr)
-    org, cents = F.col("o_custkey"), F.col("mrr_cents")
-    status = (
-        F.when((cents == 0) & (org % 11 == 0), "trialing").when(cents == 0, "canceled")
-        .when(org % 13 == 0, "past_due").otherwise("Active")
-    )
-    plan = F.when(F.col("o_orderkey") % 33 == 0, F.upper(_plan(cents))).otherwise(
-        F.concat(F.lit(" "), _plan(cents))
-    )
-    canceled_at = F.when((status == "canceled") & (org % 20 != 0), F.col("o_orderdate"))
-    return rows.select(
-        org.alias("subscription_id"), org.alias("org_id"), plan.alias("plan"),
-        status.alias("status"), cents, (org % 40 + 1).alias("seats"),
-        ntz("1994-01-01").alias("started_at"), canceled_at.alias("canceled_at"),
-        F.col("o_orderdate").alias("updated_at"), "o_orderkey",
+    return table(spark, sf_dir, "orders").selectExpr("*", f"{MRR} as mrr_cents").selectExpr(
+        "o_custkey as subscription_id", "o_custkey as org_id",
+        f"if(o_orderkey % 33 = 0, upper({_plan('mrr_cents')}), "
+        f"concat(' ', {_plan('mrr_cents')})) as plan",
+        """case when mrr_cents = 0 then if(o_custkey % 11 = 0, 'trialing', 'canceled')
+            when o_custkey % 13 = 0 then 'past_due' else 'Active' end as status""",
+        "mrr_cents", "o_custkey % 40 + 1 as seats", "timestamp_ntz'1994-01-01' as started_at",
+        """if(mrr_cents = 0 and o_custkey % 11 <> 0 and o_custkey % 20 <> 0, o_orderdate, null)
+            as canceled_at""",
+        "o_orderdate as updated_at", "o_orderkey",
     )
 
 
 def subscriptions_at(spark: SparkSession, sf_dir: str, cut: str) -> DataFrame:
     """Latest subscription row per organization before a cut-off time."""
-    rows = _subscription_rows(spark, sf_dir).filter(F.col("updated_at") < ntz(cut))
+    rows = _subscription_rows(spark, sf_dir).filter(f"updated_at < timestamp_ntz'{cut}'")
     latest = first_per_key(
         rows, ["subscription_id"], [F.desc("updated_at"), F.desc("o_orderkey")]
     )
-    return _loaded(latest.drop("o_orderkey"), ntz(cut))
+    return _loaded(latest.drop("o_orderkey"), f"timestamp_ntz'{cut}'")
 
 
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,127 +140,122 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def subscriptions_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as an update of its subscription; offsets follow order time."""
+    offset = "(datediff(updated_at, date'1990-01-01') * 10000000000 + o_orderkey)"
     rows = _subscription_rows(spark, sf_dir)
-    day = F.datediff("updated_at", F.lit("1990-01-01").cast("date")).cast("bigint")
-    offset = day * 10_000_000_000 + F.col("o_orderkey")
-    return _changed(rows, offset, F.col("updated_at"), F.lit("u")).drop("o_orderkey")
+    return _changed(rows, SUBSCRIPTION_COLUMNS, offset, "updated_at", "'u'")
+
+
+INVOICE_COLUMNS = ("invoice_id org_id subscription_id amount_cents currency status period_start "
+                   "period_end issued_at paid_at recorded_at")
 
 
 def _invoice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    key, at = F.col("o_orderkey"), F.col("o_orderdate")
-    status = (
-        F.when(F.col("o_orderstatus") == "F", "Paid").when(F.col("o_orderstatus") == "O", "Open")
-        .otherwise("Void")
-    )
-    currency = F.when(key % 10 == 0, "GBP").otherwise("USD")
-    return orders.select(
-        key.alias("invoice_id"), F.col("o_custkey").alias("org_id"),
-        F.col("o_custkey").alias("subscription_id"),
-        _cents(F.col("o_totalprice")).alias("amount_cents"),
-        F.when(key % 50 == 0, F.lower(currency)).otherwise(currency).alias("currency"),
-        status.alias("status"), F.trunc(at, "month").alias("period_start"),
-        F.last_day(at).alias("period_end"), at.alias("issued_at"),
-        F.when((status == "Paid") & (key % 33 != 0), at + days(5)).alias("paid_at"),
-        (at + days((key % 5).cast("int"))).alias("recorded_at"), "o_orderpriority",
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as invoice_id", "o_custkey as org_id", "o_custkey as subscription_id",
+        "cast(round(o_totalprice * 100) as bigint) as amount_cents",
+        """case when o_orderkey % 50 = 0 then 'gbp' when o_orderkey % 10 = 0 then 'GBP'
+            else 'USD' end as currency""",
+        "case o_orderstatus when 'F' then 'Paid' when 'O' then 'Open' else 'Void' end as status",
+        "trunc(o_orderdate, 'month') as period_start", "last_day(o_orderdate) as period_end",
+        "o_orderdate as issued_at",
+        """if(o_orderstatus = 'F' and o_orderkey % 33 <> 0, o_orderdate + interval 5 days, null)
+            as paid_at""",
+        "o_orderdate + make_dt_interval(cast(o_orderkey % 5 as int)) as recorded_at",
+        "o_orderpriority",
     )
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _loaded(_invoice_rows(spark, sf_dir).drop("o_orderpriority"), F.col("recorded_at"))
+    return _loaded(_invoice_rows(spark, sf_dir).drop("o_orderpriority"), "recorded_at")
 
 
 def invoices_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every invoice again three days after issue; low-priority ones are deleted."""
-    rows = _invoice_rows(spark, sf_dir)
-    op = F.when(F.col("o_orderpriority") == "5-LOW", "d").otherwise("u")
-    changed = _changed(rows, F.col("invoice_id"), F.col("issued_at") + days(3), op)
-    return changed.drop("o_orderpriority")
+    return _changed(
+        _invoice_rows(spark, sf_dir), INVOICE_COLUMNS, "invoice_id",
+        "(issued_at + interval 3 days)", "if(o_orderpriority = '5-LOW', 'd', 'u')",
+    )
 
 
 def organizations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    created = ntz("2023-01-01") + days((key % 365).cast("int"))
-    rows = table(spark, sf_dir, "customer").select(
-        key.alias("org_id"), F.col("c_name").alias("name"),
-        F.concat(F.lit("c"), key, F.lit(".example")).alias("domain"),
-        F.lower("c_mktsegment").alias("industry"),
-        F.when(F.col("c_nationkey") < 12, "11-50").otherwise("51-200").alias("employee_band"),
-        F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("country_code"),
-        F.when(F.col("c_acctbal") < 0, "CHURNED").otherwise("Active").alias("status"),
-        created.alias("created_at"), (created + days((key % 30).cast("int"))).alias("updated_at"),
+    rows = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as org_id", "c_name as name", "concat('c', c_custkey, '.example') as domain",
+        "lower(c_mktsegment) as industry",
+        "if(c_nationkey < 12, '11-50', '51-200') as employee_band",
+        "lpad(string(c_nationkey), 2, '0') as country_code",
+        "if(c_acctbal < 0, 'CHURNED', 'Active') as status",
+        "timestamp_ntz'2023-01-01' + make_dt_interval(int(c_custkey % 365)) as created_at",
+        "timestamp_ntz'2023-01-01' + make_dt_interval(int(c_custkey % 365 + c_custkey % 30)) "
+        "as updated_at",
     )
-    return _loaded(rows, ntz(SNAPSHOT_AT))
+    return _loaded(rows, SNAPSHOT_AT)
 
 
 def organizations_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a change of the organization with the user's number."""
-    user, ts = F.col("user_id"), F.col("ts")
-    rows = table(spark, sf_dir, "events").select(
-        user.alias("org_id"), F.concat(F.lit("Org "), F.col("event_id")).alias("name"),
-        F.concat(F.lit("u"), user, F.lit(".example")).alias("domain"),
-        F.col("event_type").alias("industry"), F.lit("1-10").alias("employee_band"),
-        F.lit("US").alias("country_code"), F.lit("ACTIVE").alias("status"),
-        ntz("2023-01-01").alias("created_at"), ts.alias("updated_at"), "event_id",
+    rows = table(spark, sf_dir, "events").selectExpr(
+        "user_id as org_id", "concat('Org ', event_id) as name",
+        "concat('u', user_id, '.example') as domain", "event_type as industry",
+        "'1-10' as employee_band", "'US' as country_code", "'ACTIVE' as status",
+        "timestamp_ntz'2023-01-01' as created_at", "ts as updated_at", "event_id",
     )
-    op = F.when(F.col("industry") == "error", "d").otherwise("u")
-    return _changed(rows, F.col("event_id"), F.col("updated_at"), op).drop("event_id")
-
-
-def _orphan(user: Column) -> Column:
-    return user % 37 == 0
+    columns = ("org_id name domain industry employee_band country_code status created_at "
+               "updated_at")
+    return _changed(rows, columns, "event_id", "updated_at", "if(industry = 'error', 'd', 'u')")
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users seen in events; every 37th is unknown to the application."""
-    user = F.col("user_id")
-    seen = table(spark, sf_dir, "events").select("user_id").distinct().filter(~_orphan(user))
-    rows = seen.select(
-        user, user.alias("org_id"),
-        F.when(user % 25 != 0, F.concat(F.lit("u"), user, F.lit("@mail.example"))).alias("email"),
-        F.concat(F.lit("User "), user).alias("full_name"),
-        F.when(user % 3 == 0, "Owner").when(user % 3 == 1, "Admin").otherwise("Member").alias("role"),
-        F.when(user % 7 == 0, "Deactivated").otherwise("Active").alias("status"),
-        ntz("2023-06-01").alias("created_at"), ntz("2023-12-01").alias("updated_at"),
+    seen = table(spark, sf_dir, "events").select("user_id").distinct()
+    rows = seen.filter("user_id % 37 <> 0").selectExpr(
+        "user_id", "user_id as org_id",
+        "if(user_id % 25 <> 0, concat('u', user_id, '@mail.example'), null) as email",
+        "concat('User ', user_id) as full_name",
+        "case user_id % 3 when 0 then 'Owner' when 1 then 'Admin' else 'Member' end as role",
+        "if(user_id % 7 = 0, 'Deactivated', 'Active') as status",
+        "timestamp_ntz'2023-06-01' as created_at", "timestamp_ntz'2023-12-01' as updated_at",
     )
-    return _loaded(rows, ntz(SNAPSHOT_AT))
+    return _loaded(rows, SNAPSHOT_AT)
 
 
 def users_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event of a known user as an update of that user."""
-    user = F.col("user_id")
-    rows = table(spark, sf_dir, "events").filter(~_orphan(user)).select(
-        user, user.alias("org_id"),
-        F.when(user % 25 != 0, F.concat(F.lit("e"), F.col("event_id"), F.lit("@mail.example")))
-        .alias("email"),
-        F.concat(F.lit("User "), user).alias("full_name"), F.lit("MEMBER").alias("role"),
-        F.when(F.col("event_type") == "error", "deactivated").otherwise("active").alias("status"),
-        ntz("2023-06-01").alias("created_at"), F.col("ts").alias("updated_at"), "event_id",
+    rows = table(spark, sf_dir, "events").filter("user_id % 37 <> 0").selectExpr(
+        "user_id", "user_id as org_id",
+        "if(user_id % 25 <> 0, concat('e', event_id, '@mail.example'), null) as email",
+        "concat('User ', user_id) as full_name", "'MEMBER' as role",
+        "if(event_type = 'error', 'deactivated', 'active') as status",
+        "timestamp_ntz'2023-06-01' as created_at", "ts as updated_at", "event_id",
     )
-    return _changed(rows, F.col("event_id"), F.col("updated_at"), F.lit("u")).drop("event_id")
+    columns = "user_id org_id email full_name role status created_at updated_at"
+    return _changed(rows, columns, "event_id", "updated_at", "'u'")
 
 
-def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    event, ts = F.col("event_id"), F.col("ts")
-    idp = (
-        F.when(event % 5 == 0, "Okta").when(event % 5 == 1, "azure_ad")
-        .when(event % 5 == 2, "google_workspace").when(event % 5 == 3, "onelogin")
-    )
-    rows = table(spark, sf_dir, "events").select(
-        event.alias("login_id"),
-        F.when(event % 50 == 1, event - 1).otherwise(event).alias("client_event_id"),
-        F.col("user_id"), F.col("user_id").alias("org_id"), idp.alias("idp"),
-        F.when(F.col("event_type") != "view", F.col("event_type") != "error").alias("success"),
-        F.lit("US").alias("ip_country"), ts.alias("logged_in_at"),
-        (ts + days((event % 4).cast("int"))).alias("recorded_at"),
+LOGIN_COLUMNS = ("login_id client_event_id user_id org_id idp success ip_country logged_in_at "
+                 "recorded_at")
+
+
+def _login_rows(spark: SparkSession, sf_dir: str, country: str) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id as login_id",
+        "if(event_id % 50 = 1, event_id - 1, event_id) as client_event_id", "user_id",
+        "user_id as org_id",
+        """case event_id % 5 when 0 then 'Okta' when 1 then 'azure_ad'
+            when 2 then 'google_workspace' when 3 then 'onelogin' end as idp""",
+        "if(event_type <> 'view', event_type <> 'error', null) as success",
+        f"'{country}' as ip_country", "ts as logged_in_at",
+        "ts + make_dt_interval(int(event_id % 4)) as recorded_at",
     )
-    return _loaded(rows, F.col("recorded_at"))
+
+
+def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _loaded(_login_rows(spark, sf_dir, "US"), "recorded_at")
 
 
 def logins_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every login again as a change at login time, seen from another country."""
-    rows = logins(spark, sf_dir).withColumn("ip_country", F.lit("DE"))
-    return _changed(rows, F.col("login_id"), F.col("logged_in_at"), F.lit("c")).withColumn(
+    rows = _login_rows(spark, sf_dir, "DE")
+    return _changed(rows, LOGIN_COLUMNS, "login_id", "logged_in_at", "'c'").withColumn(
         "_loaded_at", F.col("recorded_at")
     )
 
