@@ -47,32 +47,37 @@ def fields_of(value: str) -> str:
     return f"try_cast({value} as map<string,variant>)"
 
 
-def field(fields: str, name: str) -> str:
-    return f"try_element_at({fields}, {quoted(name)})"
+def text_at(image: str, name: str) -> str:
+    """Text of a field; null only when the field is missing or null."""
+    return f"try_variant_get({image}, '$.{name}', 'string')"
 
 
-def is_present(value: str) -> str:
-    return f"({value} is not null and not is_variant_null({value}))"
+def kind_at(image: str, name: str) -> str:
+    return f"schema_of_variant(variant_get({image}, '$.{name}', 'variant'))"
 
 
-def text_of(value: str) -> str:
+# Conversions take the image, the name of a field and the field's text (`text_at`).
+# The JSON type is looked up only where the text does not settle the result.
+
+
+def text_of(image: str, name: str, text: str) -> str:
     """Text of a JSON value; booleans read True and False, nested values stay JSON."""
-    return (f"case when schema_of_variant({value}) = 'BOOLEAN' "
-            f"then initcap(try_cast({value} as string)) else try_cast({value} as string) end")
+    return (f"if({text} in ('true', 'false') and {kind_at(image, name)} = 'BOOLEAN', "
+            f"initcap({text}), {text})")
 
 
-def bigint_of(value: str) -> str:
+def bigint_of(image: str, name: str, text: str) -> str:
     """Numbers lose their fraction; text counts only when it is a whole number."""
-    return f"try_cast({value} as bigint)"
+    return f"try_variant_get({image}, '$.{name}', 'bigint')"
 
 
-def bool_of(value: str) -> str:
+def bool_of(image: str, name: str, text: str) -> str:
     """Strings are true only for true, t and 1; other values when not empty or zero."""
-    kind, text = f"schema_of_variant({value})", f"try_cast({value} as string)"
-    return (f"case when {kind} = 'BOOLEAN' then try_cast({value} as boolean) "
-            f"when {kind} = 'STRING' then lower({text}) in ('true', 't', '1') "
+    kind = kind_at(image, name)
+    return (f"case when {text} is null then null "
+            f"when {kind} in ('BOOLEAN', 'STRING') then lower({text}) in ('true', 't', '1') "
             f"when {kind} like 'OBJECT%' or {kind} like 'ARRAY%' then {text} not in ('{{}}', '[]') "
-            f"else try_cast({value} as double) <> 0 end")
+            f"else try_cast({text} as double) <> 0 end")
 
 
 def ntz_from_micros(micros: str) -> str:
@@ -100,19 +105,21 @@ def iso_to_ts(text: str) -> str:
             f"else try_cast({text} as timestamp_ntz) end")
 
 
-def ts_of(value: str) -> str:
-    kind = f"schema_of_variant({value})"
-    return (f"case when {kind} = 'STRING' then {iso_to_ts(f'try_cast({value} as string)')} "
-            f"when {kind} in ('BIGINT', 'DOUBLE') or {kind} like 'DECIMAL%' "
-            f"then {epoch_to_ts(value)} end")
+def ts_of(image: str, name: str, text: str) -> str:
+    """ISO text or an epoch number; no number reads like an ISO text."""
+    kind = kind_at(image, name)
+    return (f"case when {text} rlike r'{ISO_SHAPE}' then {iso_to_ts(text)} "
+            f"when {text} is not null and "
+            f"({kind} in ('BIGINT', 'DOUBLE') or {kind} like 'DECIMAL%') "
+            f"then {epoch_to_ts(text)} end")
 
 
-def date_of(value: str) -> str:
+def date_of(image: str, name: str, text: str) -> str:
     """Whole numbers are days since 1970; strings give their first ten characters."""
-    kind, day = f"schema_of_variant({value})", f"substring(try_cast({value} as string), 1, 10)"
-    return (rf"case when {kind} = 'BIGINT' then date_from_unix_date(try_cast({value} as int)) "
-            rf"when {kind} = 'STRING' and {day} rlike r'^\d{{4}}-\d{{2}}-\d{{2}}$' "
-            rf"then try_cast({day} as date) end")
+    day, kind = f"substring({text}, 1, 10)", kind_at(image, name)
+    return (rf"case when {day} rlike r'^\d{{4}}-\d{{2}}-\d{{2}}$' then try_cast({day} as date) "
+            f"when {text} is not null and {kind} = 'BIGINT' "
+            f"then date_from_unix_date(try_cast({text} as int)) end")
 
 
 CONVERSIONS = {
@@ -124,11 +131,6 @@ CONVERSIONS = {
 }
 
 
-def value_of(value: str, typ: str) -> str:
-    """A JSON value as a contract type; null when absent or not convertible."""
-    return f"case when {is_present(value)} then {CONVERSIONS[typ](value)} end"
-
-
 def table_from_topic(topic: str, prefix: str, tables) -> str:
     name = f"substring({topic}, {len(prefix) + 1})"
     return (f"case when startswith({topic}, {quoted(prefix)}) and {name} in ({listed(tables)}) "
@@ -137,10 +139,9 @@ def table_from_topic(topic: str, prefix: str, tables) -> str:
 
 def pk_from_key(key: str, parsed: str, pk: str) -> str:
     """Primary key out of a record key: JSON field, JSON string or plain text."""
-    named = field(fields_of(parsed), pk)
     return (f"case when {key} is null or {key} = '' then null when {parsed} is null then {key} "
             f"when {fields_of(parsed)} is not null "
-            f"then case when {is_present(named)} then {text_of(named)} end "
+            f"then {text_of(parsed, pk, text_at(parsed, pk))} "
             f"when schema_of_variant({parsed}) = 'STRING' then try_cast({parsed} as string) end")
 
 

@@ -656,6 +656,19 @@ def _(spark, sf):
     )
 
 
+@query("cdc_poison", """select (select count(*) from events where event_type <> 'view') -
+    (select count(*) from broken_records where error like 'tombstone%') as inserted,
+  0 as skipped, (select count(*) from broken_records) as dead_letters,
+  (select count(*) from events) - (select count(*) from broken_records) as parsed_changes,
+  (select count(*) from broken_records) as parsed_dead_letters""")
+def _(spark, sf):
+    """Statistics of one batch in which broken records stand between valid ones."""
+    landing = Landing(spark, work_folder(spark, "poison"))
+    stats = landing.apply_records(samples.change_records(spark, sf), "poison")
+    columns = ", ".join(f"{name} long" for name in stats)
+    return spark.createDataFrame([tuple(stats.values())], columns)
+
+
 @query("cdc_drift", """select org_id, _kafka_offset,
     json_extract_string(_extra, '$.plan_note') as plan_note from org_records""")
 def _(spark, sf):

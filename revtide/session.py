@@ -15,6 +15,8 @@ RUNTIME = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Generated methods above this size are never compiled by the JVM.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Recording the Python call site of every expression slows plan building down.
     "spark.sql.dataFrameQueryContext.enabled": "false",
 }

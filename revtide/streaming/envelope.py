@@ -42,32 +42,32 @@ def parse_envelopes(records: DataFrame, table: str, promoted: dict | None = None
     pk_type = SQL_TYPES.get(kinds[pk], kinds[pk])
     place = ["topic", "partition", "offset", "key", "value", "_readable"]
 
-    opened = records.selectExpr(
-        *place, f"{E.parse_one('value', ENVELOPE)} as _body",
-        f"{E.parse_one('key', 'variant')} as _key_json",
+    opened = records.selectExpr(*place, f"{E.parse_one('value', ENVELOPE)} as _body").selectExpr(
+        *place, "_body is null as _no_body", "_body.source as _source",
+        "case when value is null then 'd' else try_cast(_body.op as string) end as _op",
+        "_body.before as _before", "_body.after as _after",
     )
     imaged = opened.selectExpr(
-        *place, "_body",
-        "case when value is null then 'd' else try_cast(_body.op as string) end as _op",
-        f"{E.fields_of('_body.source')} as _source",
-        f"{E.pk_from_key('key', '_key_json', pk)} as _key_pk",
-    ).selectExpr(
-        "*", f"{E.fields_of('if(_op = \'d\', _body.before, _body.after)')} as _image"
+        *place, "_no_body", "_source", "_op", "if(_op = 'd', _before, _after) as _image"
     )
-    found = imaged.selectExpr(
-        *place, "_op", "_key_pk", "_image", "_body is null as _no_body",
-        "_source is null as _no_source", f"{E.field('_source', 'lsn')} as _lsn",
-        f"{E.field('_source', 'ts_ms')} as _ts",
-        *[f"{E.field('_image', name)} as _v_{name}" for name in known],
+    read = imaged.selectExpr(
+        "*", f"{E.fields_of('_source')} is null as _no_source",
+        f"{E.fields_of('_image')} as _fields", f"{E.text_at('_source', 'lsn')} as _t_lsn",
+        f"{E.text_at('_source', 'ts_ms')} as _t_ts_ms",
+        *[f"{E.text_at('_image', name)} as _t_{name}" for name in known],
     )
-    typed = found.selectExpr(
-        "*", f"{E.value_of('_lsn', 'bigint')} as _source_lsn",
-        f"{E.value_of('_ts', 'timestamp')} as _source_ts",
-        *[f"{E.value_of(f'_v_{name}', typ)} as {name}" for name, typ in kinds.items()],
+    # The record key matters only where the image has no primary key.
+    keyed = read.selectExpr("*", f"if(_t_{pk} is null, {E.parse_one('key', 'variant')}, null) as _key_json")
+    typed = keyed.selectExpr(
+        "*", f"if(_t_{pk} is null, {E.pk_from_key('key', '_key_json', pk)}, null) as _key_pk",
+        f"{E.bigint_of('_source', 'lsn', '_t_lsn')} as _source_lsn",
+        f"{E.ts_of('_source', 'ts_ms', '_t_ts_ms')} as _source_ts",
+        *[f"{E.CONVERSIONS[typ]('_image', name, f'_t_{name}')} as {name}"
+          for name, typ in kinds.items()],
     )
 
-    def broken(raw: str, converted: str) -> str:
-        return f"{E.is_present(raw)} and {converted} is null"
+    def broken(text: str, converted: str) -> str:
+        return f"{text} is not null and {converted} is null"
 
     pk_value = f"coalesce({pk}, try_cast(_key_pk as {pk_type}))"
     not_json = (f"if({E.parse_one('value', 'variant')} is null, 'payload is not json', "
@@ -78,11 +78,12 @@ def parse_envelopes(records: DataFrame, table: str, promoted: dict | None = None
         ("value is not null and _no_body", not_json),
         (f"_op is null or _op not in ({E.listed(E.OPS)})", "'missing or unknown op'"),
         ("value is not null and _no_source", "'source metadata is missing'"),
-        ("value is not null and _image is null", "'change image is missing'"),
-        (broken("_lsn", "_source_lsn"), "'source lsn is not a bigint'"),
-        (broken("_ts", "_source_ts"), "'source ts_ms is not a timestamp'"),
-        *[(broken(f"_v_{name}", name), f"'column {name} is not a {typ}'")
-          for name, typ in kinds.items()],
+        ("value is not null and _fields is null", "'change image is missing'"),
+        (broken("_t_lsn", "_source_lsn"), "'source lsn is not a bigint'"),
+        (broken("_t_ts_ms", "_source_ts"), "'source ts_ms is not a timestamp'"),
+        # Every JSON value has a text, so a text column cannot fail.
+        *[(broken(f"_t_{name}", name), f"'column {name} is not a {typ}'")
+          for name, typ in kinds.items() if typ != "varchar"],
         (f"{pk_value} is null", f"'missing primary key {pk}'"),
     ]
     where = ("topic", "partition", "offset")
@@ -91,7 +92,7 @@ def parse_envelopes(records: DataFrame, table: str, promoted: dict | None = None
         "_op", "_source_lsn", "topic as _kafka_topic", "partition as _kafka_partition",
         "offset as _kafka_offset", "_source_ts", "_op = 'd' as _deleted",
         f"{E.dedup_token('_source_lsn', *where)} as _dedup_token",
-        f"{E.extra_json('_image', known)} as _extra",
+        f"{E.extra_json('_fields', known)} as _extra",
         f"{E.quoted(STREAM_SOURCE)} as _source_system",
         f"{_first_reason(checks)} as error", f"{E.payload('key', 'value')} as payload",
     )

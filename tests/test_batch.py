@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from revtide.contracts import ENTITIES, PLAN_PRICE_CENTS, raw_schema
-from revtide.operators import history, marts, movements, quality, upsert
+from revtide.operators import history, marts, movements, quality, reports, upsert
 from revtide.operators.current import current_entity, latest_change
 from revtide.plans.ingest import ensure_tables, ingest, raw_table, read_watermarks
 from revtide.plans.publish import Publisher
@@ -282,6 +282,10 @@ def test_gate(spark, folder):
     assert healed.published
     assert all(r["moved"] for r in quality.gate_audit(before, signature()).collect())
     assert lake.version() == 2
+    frames = reports.report_frames({n: clean.published(n) for n in (
+        "fct_mrr_monthly", "dim_organizations", "fct_login_activity_daily", "fct_plan_changes")})
+    assert {n: df.count() > 0 for n, df in frames.items()} == dict.fromkeys(frames, True)
+    assert dict(frames["mrr"].dtypes)["ending_mrr_cents"] == "double"
     # Nothing new was loaded, so the fact keeps its rows and history its versions.
     assert clean.published("fct_logins").count() == clean.published("stg_logins").count()
     assert clean.published("subscriptions_history").filter("not is_current").count() == 0

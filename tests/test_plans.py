@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from revtide.operators import movements, quality, upsert
+from revtide.operators import marts, movements, quality, upsert
 from revtide.plans.queries import live, moved
 from revtide.sources import samples
 
@@ -53,6 +53,32 @@ def test_monthly_bridge_never_builds_the_month_table(spark, folder):
     assert text.count("Exchange hashpartitioning") == 3
 
 
+def test_hot_user_is_split_at_run_time(spark, folder):
+    """Half of the logins belong to one user; the join task of that user is split."""
+    rows = spark.range(200_000).selectExpr(
+        "id as login_id", "if(id % 2 = 0, 7, id) as user_id", "uuid() as idp"
+    )
+    rows.repartition(16).write.parquet(folder)
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+    }
+    before = {key: spark.conf.get(key, None) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        flagged = marts.flag_known(spark.read.parquet(folder), spark.range(100).toDF("user_id"))
+        assert flagged.filter("is_known_user").count() == 100_000 + 50
+        flagged.collect()
+        assert "skew=true" in plan(flagged)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_hot_key_results(spark):
     """A third of the rows on one key: same results as without the skew handling."""
     rows = spark.range(3000).select(
