@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 
 from revtide.contracts import ENTITIES, STATE_COLUMNS, raw_schema, struct_of
 from revtide.operators.upsert import incremental_scan, ingest_state, normalize, stamp
+from revtide.session import side_by_side
 from revtide.sources.lake import Lake
 
 STATE = "_ingest_state"
@@ -63,9 +64,10 @@ def ingest(
     marks = {} if full_refresh else read_watermarks(lake)
     now = now or datetime.now(UTC).replace(tzinfo=None)
     batch_id = now.strftime("%Y%m%dT%H%M%SZ") + "-" + uuid.uuid4().hex[:8]
-    staged, states = {}, []
-    for table, entity in ENTITIES.items():
-        name, schema = f"raw.{table}", raw_schema(table)
+    staged: dict[str, list[str]] = {}
+
+    def load(table: str) -> DataFrame:
+        entity, name, schema = ENTITIES[table], f"raw.{table}", raw_schema(table)
         rows = incremental_scan(
             normalize(source(table), table), table, marks.get(table), full_refresh=full_refresh
         )
@@ -76,7 +78,9 @@ def ingest(
         else:
             staged[name] = lake.upsert(name, stamped, entity.pk, schema)
         loaded = lake.read(name, schema, staged[name])
-        states.append(ingest_state(loaded, table, "full" if replaced else "upsert", now))
+        return ingest_state(loaded, table, "full" if replaced else "upsert", now)
+
+    states = side_by_side(lake.spark, load, ENTITIES)
     state = reduce(DataFrame.unionByName, states).coalesce(1)
     staged[STATE] = lake.replace(STATE, state)
     lake.commit(staged, based_on=started)

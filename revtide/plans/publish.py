@@ -16,6 +16,7 @@ from revtide.operators import history, marts, movements
 from revtide.operators.current import current_entity
 from revtide.operators.quality import MART_RULES, UPSTREAM_RULES, freshness, run_checks
 from revtide.operators.staging import STAGING
+from revtide.session import side_by_side
 from revtide.sources.lake import Lake
 
 HISTORY = "subscriptions_history"
@@ -42,10 +43,16 @@ class Publisher:
         self.raw = raw
         self.changes = changes
 
-    def _stage(self, name: str, df: DataFrame, staged: dict[str, list[str]]) -> DataFrame:
-        """Write a frame once and go on from the written table."""
-        staged[name] = self.lake.replace(name, df)
-        return self.lake.read(name, df.schema, staged[name])
+    def _stage(
+        self, models: dict[str, Callable[[], DataFrame]], staged: dict[str, list[str]]
+    ) -> dict[str, DataFrame]:
+        """Write independent frames side by side and go on from the written tables."""
+        def write(name: str) -> DataFrame:
+            df = models[name]()
+            staged[name] = self.lake.replace(name, df)
+            return self.lake.read(name, df.schema, staged[name])
+
+        return dict(zip(models, side_by_side(self.lake.spark, write, models), strict=True))
 
     def published(self, name: str) -> DataFrame | None:
         """A published table, or None before its first publication."""
@@ -67,17 +74,20 @@ class Publisher:
         return reduce(DataFrame.unionByName, parts)
 
     def upstream(self, staged: dict[str, list[str]]) -> dict[str, DataFrame]:
-        frames = {}
-        for table, clean in STAGING.items():
-            current = current_entity(self.raw(table), self.changes(table), table)
-            frames[f"stg_{table}"] = self._stage(f"stg_{table}", clean(current), staged)
-        moves = movements.subscription_movements(frames["stg_subscription_events"])
-        frames["int_subscription_movements"] = self._stage("int_subscription_movements", moves, staged)
+        def staging(table: str) -> Callable[[], DataFrame]:
+            return lambda: STAGING[table](
+                current_entity(self.raw(table), self.changes(table), table)
+            )
+
+        frames = self._stage({f"stg_{table}": staging(table) for table in STAGING}, staged)
+        events = frames["stg_subscription_events"]
+        frames |= self._stage(
+            {"int_subscription_movements": lambda: movements.subscription_movements(events)}, staged
+        )
         moves = frames["int_subscription_movements"]
-        frames["int_org_month_mrr"] = self._stage(
-            "int_org_month_mrr", movements.org_month_mrr(moves), staged
+        return frames | self._stage(
+            {"int_org_month_mrr": lambda: movements.org_month_mrr(moves)}, staged
         )
-        return frames
 
     def _login_fact(self, frames: dict[str, DataFrame], staged: dict, full_refresh: bool, at):
         """Merge newly loaded logins into the published fact, segment by segment."""
@@ -101,25 +111,24 @@ class Publisher:
     def build_marts(
         self, frames: dict[str, DataFrame], staged: dict[str, list[str]], now, full_refresh: bool
     ) -> dict[str, DataFrame]:
-        moves = frames["int_subscription_movements"]
-        built = {"fct_logins": self._login_fact(frames, staged, full_refresh, now)}
+        moves, subs = frames["int_subscription_movements"], frames["stg_subscriptions"]
+        fact = self._login_fact(frames, staged, full_refresh, now)
         models = {
-            "fct_mrr_monthly": movements.mrr_monthly(moves),
-            "fct_plan_changes": marts.fct_plan_changes(moves),
-            "dim_organizations": marts.dim_organizations(
-                frames["stg_organizations"], frames["stg_subscriptions"], frames["stg_users"],
-                frames["stg_logins"],
+            "fct_mrr_monthly": lambda: movements.mrr_monthly(moves),
+            "fct_plan_changes": lambda: marts.fct_plan_changes(moves),
+            "dim_organizations": lambda: marts.dim_organizations(
+                frames["stg_organizations"], subs, frames["stg_users"], frames["stg_logins"]
             ),
-            "fct_login_activity_daily": marts.login_activity_daily(built["fct_logins"]),
-            "fct_invoices": marts.fct_invoices(frames["stg_invoices"]),
+            "fct_login_activity_daily": lambda: marts.login_activity_daily(fact),
+            "fct_invoices": lambda: marts.fct_invoices(frames["stg_invoices"]),
         }
-        for name, df in models.items():
-            built[name] = self._stage(name, marts.with_built_at(df, now), staged)
-        versions = history.subscriptions_history(
-            self.published(HISTORY), frames["stg_subscriptions"], now
-        )
-        built[HISTORY] = self._stage(HISTORY, versions, staged)
-        return built
+
+        def stamped(build: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+            return lambda: marts.with_built_at(build(), now)
+
+        stages = {name: stamped(build) for name, build in models.items()}
+        stages[HISTORY] = lambda: history.subscriptions_history(self.published(HISTORY), subs, now)
+        return {"fct_logins": fact, **self._stage(stages, staged)}
 
     def publish(
         self, now: datetime | None = None, full_refresh: bool = False, clock=None

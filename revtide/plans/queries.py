@@ -578,7 +578,7 @@ LANDED = ["org_id", "name", "status", "updated_at", "_op", "_source_lsn", "_kafk
 
 def _record_files(spark, sf, root: str) -> str:
     """The change records as files, in two parts by offset order."""
-    records = samples.change_records(spark, sf)
+    records = samples.change_records(spark, sf).repartition(spark.sparkContext.defaultParallelism)
     half = records.agg((F.max("offset") / 2).cast("bigint")).first()[0]
     for part, rows in enumerate((F.col("offset") <= half, F.col("offset") > half)):
         records.filter(rows).write.parquet(f"{root}/records/part={part}")
@@ -658,7 +658,7 @@ def _(spark, sf):
 
 @query("cdc_poison", """select (select count(*) from events where event_type <> 'view') -
     (select count(*) from broken_records where error like 'tombstone%') as inserted,
-  0 as skipped, (select count(*) from broken_records) as dead_letters,
+  cast(0 as bigint) as skipped, (select count(*) from broken_records) as dead_letters,
   (select count(*) from events) - (select count(*) from broken_records) as parsed_changes,
   (select count(*) from broken_records) as parsed_dead_letters""")
 def _(spark, sf):

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Runtime settings every operator relies on; safe to set on a running session.
@@ -51,3 +54,16 @@ def work_folder(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def side_by_side(spark: SparkSession, work: Callable, items: Iterable) -> list:
+    """Run independent Spark jobs at the same time; results in the order of the items.
+
+    Meant for one job per table: small tables then do not wait for large ones.
+    """
+    items = list(items)
+    if len(items) < 2:
+        return [work(item) for item in items]
+    with ThreadPoolExecutor(len(items)) as pool:
+        run = inheritable_thread_target(spark)(work)
+        return list(pool.map(run, items))

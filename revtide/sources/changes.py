@@ -10,14 +10,21 @@ from revtide.contracts import DEAD_LETTER_TOPIC, ENTITIES, RECORD_SCHEMA
 FIELDS = [field.name for field in RECORD_SCHEMA]
 
 
-def read_changes(spark: SparkSession, servers: str) -> DataFrame:
-    """Stream of the six change topics; needs the Kafka connector on the classpath."""
+def read_changes(spark: SparkSession, servers: str, min_partitions: int | None = None) -> DataFrame:
+    """Stream of the six change topics; needs the Kafka connector on the classpath.
+
+    Long offset ranges are split until there are `min_partitions` read tasks
+    (the session's parallelism by default), so one busy topic partition does
+    not become one long task.
+    """
+    tasks = min_partitions or spark.sparkContext.defaultParallelism
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(e.topic for e in ENTITIES.values()))
         .option("startingOffsets", "earliest")
         .option("failOnDataLoss", "false")
+        .option("minPartitions", tasks)
         .load()
         .select(*FIELDS)
     )

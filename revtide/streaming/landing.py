@@ -27,7 +27,7 @@ from revtide.contracts import (
     struct_of,
 )
 from revtide.operators.current import first_per_key
-from revtide.session import configure
+from revtide.session import configure, side_by_side
 from revtide.sources import folders
 from revtide.streaming.envelope import (
     as_dead_letters,
@@ -167,27 +167,30 @@ class Landing:
                 return stats
             unknown = sum(row["n"] for row in found if row["_table"] is None)
             stats |= {"parsed_changes": 0, "parsed_dead_letters": unknown}
-            rejected = [reject_unknown(tagged)]
-            for table in ENTITIES:
+
+            def land_table(table: str) -> tuple[DataFrame, int, int, int]:
                 mine = [row for row in found if row["_table"] == table]
-                if not mine:
-                    continue
                 parsed = parse_envelopes(
                     tagged.filter(F.col("_table") == table), table, self.promoted
                 ).persist(keep)
                 held.append(parsed)
-                rejected.append(parsed.select(*rejected[0].columns))
-                good = parsed.filter("error is null").count()
-                stats["parsed_changes"] += good
-                stats["parsed_dead_letters"] += sum(row["n"] for row in mine) - good
+                good, inserted = parsed.filter("error is null").count(), 0
                 span = (min(r["first"] for r in mine), max(r["last"] for r in mine))
                 own = f"{self.root}/{table}_cdc/landing={landing_id}/epoch={epoch}"
                 if good or folders.exists(self.spark, own):
                     inserted = self.land_changes(
                         parsed, table, span, batch_id, loaded_at, landing_id, epoch
                     )
-                    stats["inserted"] += inserted
-                    stats["skipped"] += good - inserted
+                return parsed, sum(row["n"] for row in mine), good, inserted
+
+            present = [t for t in ENTITIES if any(row["_table"] == t for row in found)]
+            rejected = [reject_unknown(tagged)]
+            for parsed, seen, good, inserted in side_by_side(self.spark, land_table, present):
+                rejected.append(parsed.select(*rejected[0].columns))
+                stats["parsed_changes"] += good
+                stats["parsed_dead_letters"] += seen - good
+                stats["inserted"] += inserted
+                stats["skipped"] += good - inserted
             letters = as_dead_letters(reduce(DataFrame.unionByName, rejected), loaded_at)
             if stats["parsed_dead_letters"]:
                 span = (min(r["first"] for r in found), max(r["last"] for r in found))
