@@ -176,11 +176,17 @@ def moves_summary(moves: DataFrame) -> DataFrame:
     )
 
 
-def recent_changes(moves: DataFrame, k: int = 8) -> DataFrame:
-    """The k newest plan changes as display texts; the event id breaks ties."""
+def recent_changes(moves: DataFrame, orgs: DataFrame, k: int = 8) -> DataFrame:
+    """The k newest plan changes as display texts; the event id breaks ties.
+
+    The top k are taken before names are looked up, and only the names of
+    those k rows are fetched, so neither side of the join is shuffled whole.
+    """
     newest = commercial_moves(moves).orderBy(F.desc("occurred_at"), F.desc("event_id")).limit(k)
+    wanted = F.broadcast(newest.select("org_id"))  # k rows
+    named = changes_with_org(newest, orgs.join(wanted, "org_id", "left_semi"))
     kind = F.col("movement_type")
-    return newest.select(
+    return named.select(
         "event_id", F.date_format("occurred_at", "MMM dd, yyyy").alias("when"),
         F.col("org_name").alias("customer"), capitalized(kind).alias("movement"),
         transition(F.col("from_plan"), F.col("to_plan"), kind).alias("from_to"),

@@ -520,7 +520,9 @@ def _(spark, sf):
   {_money_sql("(mrr_delta_cents / 100)", "+")} as mrr_change
   from moves where movement_type <> 'other' order by occurred_at desc, event_id desc limit 8""")
 def _(spark, sf):
-    return reports.recent_changes(named_moves(spark, sf))
+    return reports.recent_changes(
+        marts.fct_plan_changes(moved(spark, sf)), staged(spark, sf, "organizations")
+    )
 
 
 @query("reporting_numeric", """select month_start, cast(ending_mrr_cents as double) as ending_mrr_cents,

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
@@ -45,14 +46,22 @@ def local_session(cores: str = "8", memory: str = "8g") -> SparkSession:
     return configure(spark)
 
 
+@cache
+def _single_machine_folder() -> str:
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared checkpoint folder of the cluster."""
+    """A fresh folder under the shared checkpoint folder of the cluster.
+
+    Without that setting a run on one machine uses a temporary folder; a
+    cluster run is refused, since its executors would not share one.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _single_machine_folder()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 

@@ -1,6 +1,7 @@
 """Loads, versioned tables, incremental facts, history and the publish gate."""
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
@@ -11,6 +12,7 @@ from revtide.operators import history, marts, movements, quality, reports, upser
 from revtide.operators.current import current_entity, latest_change
 from revtide.plans.ingest import ensure_tables, ingest, raw_table, read_watermarks
 from revtide.plans.publish import Publisher
+from revtide.session import work_folder
 from revtide.sources import samples
 from revtide.sources.lake import Lake
 
@@ -18,6 +20,18 @@ SF_DIR = "/root/testdata/sf0.001"
 SUBS = "subscription_id long, plan string, status string, mrr_cents long, seats long, canceled_at timestamp_ntz"
 
 
+def test_work_folder_needs_a_shared_place_on_a_cluster(spark):
+    def session(master, folder):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda *_: folder), sparkContext=SimpleNamespace(master=master)
+        )
+
+    assert work_folder(session("yarn", "hdfs:///shared/"), "x").startswith("hdfs:///shared/x-")
+    assert work_folder(session("local[2]", None), "x").startswith("/tmp/run-")
+    with pytest.raises(RuntimeError):
+        work_folder(session("spark://host:7077", None), "x")
+
+
 def pairs(df):
     return sorted((r["k"], r["v"]) for r in df.collect())
 
