@@ -6,7 +6,6 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from functools import cache
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
@@ -33,35 +32,26 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: str = "8", memory: str = "8g") -> SparkSession:
-    """A single-machine session for tests and the benchmark."""
+    """A single-machine session for tests and the benchmark, with a checkpoint folder of its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("revtide")
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
 
 
-@cache
-def _single_machine_folder() -> str:
-    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
-
-
 def work_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared checkpoint folder of the cluster.
+    """A fresh folder under the folder that all executors share.
 
-    Without that setting a run on one machine uses a temporary folder; a
-    cluster run is refused, since its executors would not share one.
+    That is `spark.checkpoint.dir`; where it is unset, the warehouse folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _single_machine_folder()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/work"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 

@@ -20,16 +20,12 @@ SF_DIR = "/root/testdata/sf0.001"
 SUBS = "subscription_id long, plan string, status string, mrr_cents long, seats long, canceled_at timestamp_ntz"
 
 
-def test_work_folder_needs_a_shared_place_on_a_cluster(spark):
-    def session(master, folder):
-        return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda *_: folder), sparkContext=SimpleNamespace(master=master)
-        )
+def test_work_folder_lies_in_a_shared_place(spark):
+    def session(**settings):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, *_: settings.get(key.split(".")[1])))
 
-    assert work_folder(session("yarn", "hdfs:///shared/"), "x").startswith("hdfs:///shared/x-")
-    assert work_folder(session("local[2]", None), "x").startswith("/tmp/run-")
-    with pytest.raises(RuntimeError):
-        work_folder(session("spark://host:7077", None), "x")
+    assert work_folder(session(checkpoint="hdfs:///shared/", sql="/w"), "x").startswith("hdfs:///shared/x-")
+    assert work_folder(session(sql="s3a://warehouse"), "x").startswith("s3a://warehouse/work/x-")
 
 
 def pairs(df):

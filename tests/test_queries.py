@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from revtide.plans.queries import QUERIES
 from tests.compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -13,7 +14,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, con, name):
     got = entry.queries()[name](spark, SF_DIR).toPandas()
     want = con.execute(entry.oracle_sql()[name]).df()
