@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from revtide.llm import bpe, quality_model
+from revtide.llm import bpe, quality_model, simhash, token_counts
 from revtide.llm.base import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +36,17 @@ def split_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+@query("op1_token_counts")
+def _(spark, sf):
+    counts = token_counts.token_counts(read(spark, sf, "documents"), tokenizer("word_bpe_49k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query("op3_simhash")
+def _(spark, sf):
+    return simhash.near_duplicates(read(spark, sf, "documents"))
+
+
 @query("op6_quality_classifier")
 def _(spark, sf):
     return quality_model.predictions(read(spark, sf, "documents"), read(spark, sf, "labels"))
