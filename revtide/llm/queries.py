@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtide.llm import bpe, quality_model, simhash, token_counts
+from revtide.llm import bpe, interpolation, quality_model, simhash, token_counts
 from revtide.llm.base import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,11 @@ def _(spark, sf):
     return simhash.near_duplicates(read(spark, sf, "documents"))
 
 
+@query("op4_deleted_interpolation")
+def _(spark, sf):
+    return interpolation.score(read(spark, sf, "documents"))
+
+
 @query("op6_quality_classifier")
 def _(spark, sf):
     return quality_model.predictions(read(spark, sf, "documents"), read(spark, sf, "labels"))
