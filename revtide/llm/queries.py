@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtide.llm import bpe, interpolation, quality_model, simhash, token_counts
+from revtide.llm import bpe, interpolation, mixing, quality_model, simhash, token_counts
 from revtide.llm.base import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,11 @@ def _(spark, sf):
     return quality_model.predictions(read(spark, sf, "documents"), read(spark, sf, "labels"))
 
 
+@query("op7_mixing")
+def _(spark, sf):
+    return mixing.report(read(spark, sf, "documents"))
+
+
 @query("op8_byte_bpe")
 def _(spark, sf):
     return bpe.digests(
