@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtide.llm import bpe, interpolation, mixing, quality_model, simhash, token_counts
+from revtide.llm import bpe, interpolation, mixing, quality_model, simhash, token_counts, warc
 from revtide.llm.base import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def _(spark, sf):
     return bpe.digests(
         read(spark, sf, "documents"), tokenizer("byte_bpe_multi_50k.tiktoken"), split_pattern()
     )
+
+
+@query("op10_warc", warc.SQL)
+def _(spark, sf):
+    return warc.round_trip(read(spark, sf, "pages"))
