@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtide.llm import bpe, interpolation, mixing, quality_model, simhash, token_counts, warc
+from revtide.llm import bpe, interpolation, mixing, quality_model, rules, simhash, token_counts, warc
 from revtide.llm.base import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,11 @@ def _(spark, sf):
     )
 
 
+@query("op9_quality_rules", rules.SQL)
+def _(spark, sf):
+    return rules.judged(read(spark, sf, "documents"))
+
+
 @query("op10_warc", warc.SQL)
 def _(spark, sf):
     return warc.round_trip(read(spark, sf, "pages"))
