@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtide.llm import bpe, interpolation, mixing, quality_model, rules, simhash, token_counts, warc
+from revtide.llm import ann, bpe, interpolation, mixing, quality_model, rules, simhash, token_counts, warc
 from revtide.llm.base import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,12 @@ def _(spark, sf):
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+@query("op2_adaptive_scan")
+def _(spark, sf):
+    found = ann.search(read(spark, sf, "embeddings"), "vec_id", "embedding", F.col("id") % 20 == 0, 20)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 @query("op3_simhash")
 def _(spark, sf):
     return simhash.near_duplicates(read(spark, sf, "documents"))
