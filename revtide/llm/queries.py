@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtide.llm import ann, bpe, interpolation, mixing, quality_model, rules, simhash, token_counts, warc
+from revtide.llm import ann, bpe, interpolation, mixing, quality_model, rules, secrets, simhash, token_counts, warc
 from revtide.llm.base import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,11 @@ def _(spark, sf):
     return interpolation.score(read(spark, sf, "documents"))
 
 
+@query("op5_secret_scan")
+def _(spark, sf):
+    return secrets.report(read(spark, sf, "documents"))
+
+
 @query("op6_quality_classifier")
 def _(spark, sf):
     return quality_model.predictions(read(spark, sf, "documents"), read(spark, sf, "labels"))
