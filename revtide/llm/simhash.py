@@ -22,6 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from revtide.llm.base import stored, utf8
@@ -55,13 +56,13 @@ def fingerprint(text: bytes) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and `print`, the fingerprint as a signed 64-bit integer."""
-    source = docs.select("doc_id", "text")
+    """key, doc_id and `print`, the fingerprint as a signed 64-bit integer."""
+    source = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
 
     def run(batches):
         for batch in batches:
-            prints = np.array([fingerprint(t) for t in utf8(batch.column(1))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], ["doc_id", "print"])
+            prints = np.array([fingerprint(t) for t in utf8(batch.column(2))], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints)], ["key", "doc_id", "print"])
 
     return source.mapInArrow(run, source.drop("text").withColumn("print", F.lit(0).cast("long")).schema)
 
@@ -223,14 +224,36 @@ def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFr
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fingerprint and component_id, the smallest doc_id that links can reach."""
+def classified(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(key, doc_id, print, component, component_id) of each document.
+
+    `key` is a hash of id and text; `component` is the smallest linked fingerprint.
+    """
     prints = stored(fingerprints(docs), "prints")
     classes = stored(prints.groupBy("print").agg(F.min("doc_id").alias("first")), "classes")
     component = connected_components(links(classes.select("print"), radius))
     linked = classes.join(component, F.col("print") == F.col("node"))
     least = linked.groupBy("component").agg(F.min("first").alias("component_id"))
-    moved = linked.join(least, "component").select("print", "component_id")
+    moved = linked.join(least, "component").select("print", "component", "component_id")
     owner = classes.join(moved, "print", "left").select(
-        "print", F.coalesce("component_id", "first").alias("component_id"))
-    return prints.join(owner, "print").select("doc_id", hex_text(F.col("print")).alias("fingerprint"), "component_id")
+        "print", F.coalesce("component", "print").alias("component"), F.coalesce("component_id", "first").alias("component_id"))
+    return prints.join(owner, "print")
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """doc_id, fingerprint and component_id, the smallest doc_id that links can reach."""
+    return classified(docs, radius).select("doc_id", hex_text(F.col("print")).alias("fingerprint"), "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """One row of each component, that with the smallest id; nulls come last. All columns."""
+    each = classified(docs, radius).groupBy("component", "doc_id", "key").agg(F.count("*").alias("n"))
+    first = F.struct(F.isnull("doc_id"), "doc_id", "key")
+    chosen = stored(each.groupBy("component").agg(F.min_by(F.struct("doc_id", "key", "n"), first).alias("x")).select(
+        F.col("x.doc_id").alias("_id"), F.col("x.key").alias("_key"), F.col("x.n").alias("_n")), "chosen")
+    mine = F.xxhash64(docs["doc_id"], docs["text"]) == chosen["_key"]
+    kept = docs.join(chosen, mine & docs["doc_id"].eqNullSafe(chosen["_id"]))
+    if chosen.filter("_n > 1").head(1):  # the row itself is repeated
+        nth = F.row_number().over(W.partitionBy("_key", "_id").orderBy("_id"))
+        kept = kept.withColumn("_nth", nth).filter("_nth = 1")
+    return kept.select(*[docs[c] for c in docs.columns])
