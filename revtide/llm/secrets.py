@@ -137,12 +137,14 @@ def findings(docs: DataFrame, known: Language, path: str = "source") -> Column:
 def labelled(found: DataFrame) -> DataFrame:
     """Findings whose kind their form settles, with `label`; the others are left out.
 
-    Secrets: keys in an issuer's format, and values of hexadecimal or mixed characters
-    that a secret's name is given to. Harmless: addresses, versions, dates, placeholders.
+    Secrets: keys in an issuer's format, and values of plain characters that a secret's
+    name is given to. Harmless: addresses, versions, dates, placeholders, and digests of
+    the usual lengths without a secret's name near them.
     """
     value, before = F.col("value"), F.col("before")
+    digest = value.rlike("^([0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{64})$") & ~before.rlike(SECRET_WORDS)
     harmless = (F.col("word").rlike(r"@|://|(?i)example|changeme|placeholder|x{4,}|\*{3,}") & ~value.rlike(ISSUED)) | value.rlike(
-        r"^v?[0-9]+([._-][0-9A-Za-z]{1,4})+$|\.(com|net|org|html?|js|py|png|jpe?g|pdf)$|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-")
+        r"^v?[0-9]+([._-][0-9A-Za-z]{1,4})+$|\.(com|net|org|html?|js|py|png|jpe?g|pdf)$|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-") | digest
     secret = value.rlike(ISSUED) | (before.rlike(SECRET_WORDS) & value.rlike(r"^[A-Za-z0-9+/_~-]{12,}={0,2}$"))
     return found.withColumn("label", F.when(harmless, 0.0).when(secret, 1.0)).filter("label is not null")
 
