@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by inner product, with an adaptive dimension scan.
 
 Index: every vector joins the list of its nearest centroid (of k-means on a bounded
-sample) and is stored rotated by a random orthogonal matrix, in blocks of bounded size.
+sample). Lists are packed into blocks of bounded size, a large one into several, and are
+scanned as vectors rotated by a random orthogonal matrix.
 Rows with the same vector are one entry with the ids of its copies; only as many of the
 smallest ids as a result can hold are listed, since copies tie and ties go to smaller ids.
 
@@ -36,8 +37,8 @@ from revtide.llm.base import stored
 SAMPLE, ROUNDS, PER_LIST, MOST_LISTS = 16_384, 12, 1_000, 4_096
 #: A query visits as many lists as hold this share of the sample's true neighbours.
 COVERAGE, TRIALS, NEIGHBOURS = 0.97, 256, 20
-#: Entries of a list in a block; dimensions in a column block; errors that the test allows.
-BLOCK, COLUMNS, ERRORS = 4_096, 16, 2.1
+#: Entries in a block; dimensions in a column block; errors that the test allows.
+BLOCK, COLUMNS, ERRORS = 16_384, 16, 2.1
 
 
 def usable(vectors: DataFrame, id_column: str, vector: str) -> DataFrame:
@@ -98,18 +99,24 @@ def lists_needed(rows: np.ndarray, centroids: np.ndarray) -> int:
     return int(found[int(np.ceil(COVERAGE * len(found))) - 1]) + 1
 
 
-def in_lists(rows: DataFrame, index: Index, n: int) -> DataFrame:
-    """Each row once for each of its n lists, as `list`."""
+def in_lists(rows: DataFrame, index: Index, n: int, groups: int) -> DataFrame:
+    """Each row once per group with some of its n lists: columns `group` and `lists`."""
     shared = rows.sparkSession.sparkContext.broadcast(index)  # at most MOST_LISTS centroids
     names = rows.columns
 
     def run(batches):
         for batch in batches:
             found = shared.value.lists(np.stack(batch.column("v").to_numpy(zero_copy_only=False)), n)
-            out = batch.take(pa.array(np.repeat(np.arange(batch.num_rows), found.shape[1])))
-            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(found.ravel().astype(np.int64))], [*names, "list"])
+            row, group = np.repeat(np.arange(batch.num_rows), found.shape[1]), found.ravel() % groups
+            order = np.lexsort((group, row))
+            row, group, found = row[order], group[order], found.ravel()[order]
+            start = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (group[1:] != group[:-1])])
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[start, len(row)], pa.int32()), pa.array(found, pa.int64()))
+            out = batch.take(pa.array(row[start]))
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(group[start], pa.int64()), lists], [*names, "group", "lists"])
 
-    return rows.mapInArrow(run, rows.withColumn("list", F.lit(0).cast("long")).schema)
+    schema = rows.withColumns({"group": F.lit(0).cast("long"), "lists": F.array(F.lit(0).cast("long"))}).schema
+    return rows.mapInArrow(run, schema)
 
 
 # --- the scan -------------------------------------------------------------
@@ -123,10 +130,10 @@ def exact(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """Entries of a list block: rotated vectors in column blocks, with their squared norms."""
+    """Entries of a block: rotated vectors in column blocks, with their squared norms."""
 
-    def __init__(self, vectors: np.ndarray, rotation: np.ndarray):
-        self.vectors = vectors
+    def __init__(self, vectors: np.ndarray, lists: np.ndarray, rotation: np.ndarray):
+        self.vectors, self.lists = vectors, lists
         turned = vectors @ rotation
         self.cuts = list(range(0, turned.shape[1], COLUMNS)) + [turned.shape[1]]
         parts = [turned[:, a:b] for a, b in zip(self.cuts, self.cuts[1:])]
@@ -134,23 +141,24 @@ class Block:
         self.norms = [(p * p).sum(axis=1) for p in parts]
         self.whole = (vectors * vectors).sum(axis=1)
 
-    def search(self, query: np.ndarray, turned: np.ndarray, k: int) -> np.ndarray:
-        """Places of the entries that may be among the k best.
+    def search(self, query: np.ndarray, turned: np.ndarray, lists: np.ndarray, k: int) -> np.ndarray:
+        """Places of the entries of these lists that may be among their k best.
 
         The first column block ranks the entries; those that look best there set the
         inner product that the others have to reach.
         """
-        size, all_dims = len(self.vectors), self.cuts[-1]
-        if size <= k:
-            return np.arange(size)
-        left, partial = np.arange(size), np.zeros(size)
+        left, all_dims = np.flatnonzero(np.isin(self.lists, lists)), self.cuts[-1]
+        if len(left) <= k:
+            return left
         for b, (start, end) in enumerate(zip(self.cuts, self.cuts[1:])):
             part = turned[start:end]
-            partial = partial + part @ part + self.norms[b][left] - 2 * (part @ self.columns[b][:, left])
             if not b:
-                first = np.argpartition(partial - self.whole, k - 1)[:k]
+                partial = (part @ part + self.norms[0] - 2 * (part @ self.columns[0]))[left]
+                first = left[np.argpartition(partial - self.whole[left], k - 1)[:k]]
                 bar = exact(query, self.vectors[first]).min()
                 within = np.maximum(query @ query + self.whole - 2 * bar, 0) + 1e-9 * (query @ query + self.whole)
+            else:
+                partial = partial + part @ part + self.norms[b][left] - 2 * (part @ self.columns[b][:, left])
             error = ERRORS / np.sqrt(end) if end < all_dims else 0.0
             stays = partial * (all_dims / end) <= (1 + error) ** 2 * within[left]
             left, partial = left[stays], partial[stays]
@@ -172,42 +180,42 @@ def search(vectors: DataFrame, id_column: str, vector: str, queries: Column, k:
     copies = rows.withColumn("n", F.row_number().over(W.partitionBy("v").orderBy("id"))).filter(F.col("n") <= k + 1)
     entries = stored(copies.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("id", F.get("ids", F.lit(0))), "entries")
     index = fit(entries)
-    listed = stored(in_lists(entries, index, 1), "lists")
-    # Blocks of a list, by its size; one row for each of at most MOST_LISTS lists.
-    sizes = F.broadcast(listed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks")))
-    block = F.pmod(F.xxhash64("id"), "blocks")
-    stocked = listed.join(sizes, "list").select("list", block.alias("block"), "id", "ids", "v")
-    # Queries with the same vector search once.
-    asked = rows.filter(queries).select("v").distinct().select("v", F.xxhash64("v").alias("q"))
-    sent = in_lists(asked, index, index.probes).join(sizes, "list").select(
-        "list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "v")
+    groups = max(1, -(-entries.count() // BLOCK))
+    listed = stored(in_lists(entries, index, 1, groups), "lists").withColumn("list", F.get("lists", F.lit(0)))
+    # Groups of lists over the bound, as one with a very full list is, are cut by hash.
+    sizes = listed.groupBy("group").agg(F.ceil(F.count("*") / (2 * BLOCK)).cast("long").alias("blocks"))
+    stocked = listed.join(sizes, "group").select(
+        "group", F.pmod(F.xxhash64("id"), "blocks").alias("block"), "list", "id", "ids", "v")
+    # Queries with the same vector search once, under the smallest of their ids.
+    asked = stored(rows.filter(queries).groupBy("v").agg(F.min("id").alias("q")), "queries")
+    sent = in_lists(asked, index, index.probes, groups).join(sizes, "group").select(
+        "group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "lists", "q", "v")
     shared = vectors.sparkSession.sparkContext.broadcast(index)
 
     def scan(stock: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(stock) and len(wanted):
-            held, rotation = Block(_matrix(stock["v"]), shared.value.rotation), shared.value.rotation
+            rotation = shared.value.rotation
+            held = Block(_matrix(stock["v"]), stock["list"].to_numpy(), rotation)
             ids, first = stock["ids"].to_numpy(), stock["id"].to_numpy()
-            for v in wanted["v"]:
+            for q, lists, v in zip(wanted["q"], wanted["lists"], wanted["v"]):
                 query = np.asarray(v)
-                left = held.search(query, query @ rotation, k + 1)
+                left = held.search(query, query @ rotation, lists, k + 1)
                 scores = exact(query, held.vectors[left])
                 best = np.lexsort((first[left], -scores))[:k + 1]
-                out += [(v, ids[left[i]], scores[i]) for i in best]
-        return pd.DataFrame(out, columns=["v", "ids", "score"])
+                out += [(q, ids[left[i]], scores[i]) for i in best]
+        return pd.DataFrame(out, columns=["q", "ids", "score"])
 
-    found = stocked.groupBy("list", "block").cogroup(sent.groupBy("list", "block")).applyInPandas(
-        scan, "v array<double>, ids array<long>, score double")
+    found = stocked.groupBy("group", "block").cogroup(sent.groupBy("group", "block")).applyInPandas(
+        scan, "q long, ids array<long>, score double")
     # The k + 1 best entries of each query vector hold its k best rows, itself left out.
-    place = F.row_number().over(W.partitionBy("v").orderBy(F.desc("score"), F.get("ids", F.lit(0))))
+    place = F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), F.get("ids", F.lit(0))))
     best = found.withColumn("n", place).filter(F.col("n") <= k + 1)
-    near = best.select("v", "score", F.explode("ids").alias("near"))
-    listed_first = F.row_number().over(W.partitionBy("v").orderBy(F.desc("score"), "near"))
-    near = near.withColumn("n", listed_first).filter(F.col("n") <= k + 1).select("v", "score", "near")
-    # Back to the query rows: only the answers' vectors are joined, k + 1 rows each.
-    answers = near.groupBy("v").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("far"), "near"))).alias("all"))
-    mine = rows.filter(queries).select(F.col("id").alias("query_id"), F.col("v").alias("own"))
-    joined = mine.join(answers, F.col("own") == F.col("v"))
+    near = best.select("q", "score", F.explode("ids").alias("near"))
+    place = F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "near"))
+    near = near.withColumn("n", place).filter(F.col("n") <= k + 1)
+    answers = near.groupBy("q").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("far"), "near"))).alias("all"))
+    mine = rows.filter(queries).select(F.col("id").alias("query_id"), "v").join(asked, "v").select("query_id", "q")
     others = F.slice(F.filter("all", lambda x: x["near"] != F.col("query_id")), 1, k)
-    return joined.select("query_id", F.posexplode(others).alias("at", "x")).select(
+    return mine.join(answers, "q").select("query_id", F.posexplode(others).alias("at", "x")).select(
         "query_id", (F.col("at") + 1).alias("rank"), F.col("x.near").alias("id"), (-F.col("x.far")).alias("score"))
