@@ -53,48 +53,94 @@ class Entity:
         return TOPIC_PREFIX + self.name
 
 
-def _entity(name: str, mode: str, watermark: str, columns: str) -> Entity:
-    pairs = tuple(tuple(item.split(":")) for item in columns.split())
-    return Entity(name, pairs[0][0], mode, watermark, pairs)
-
-
 # The six source tables. The first column is the primary key.
 ENTITIES: dict[str, Entity] = {
-    e.name: e
-    for e in [
-        _entity(
-            "organizations", "full", "updated_at",
-            "org_id:varchar name:varchar domain:varchar industry:varchar employee_band:varchar "
-            "country_code:varchar status:varchar created_at:timestamp updated_at:timestamp",
+    "organizations": Entity(
+        "organizations", "org_id", "full", "updated_at",
+        (
+            ("org_id", "varchar"),
+            ("name", "varchar"),
+            ("domain", "varchar"),
+            ("industry", "varchar"),
+            ("employee_band", "varchar"),
+            ("country_code", "varchar"),
+            ("status", "varchar"),
+            ("created_at", "timestamp"),
+            ("updated_at", "timestamp"),
         ),
-        _entity(
-            "users", "full", "updated_at",
-            "user_id:varchar org_id:varchar email:varchar full_name:varchar role:varchar "
-            "status:varchar created_at:timestamp updated_at:timestamp",
+    ),
+    "users": Entity(
+        "users", "user_id", "full", "updated_at",
+        (
+            ("user_id", "varchar"),
+            ("org_id", "varchar"),
+            ("email", "varchar"),
+            ("full_name", "varchar"),
+            ("role", "varchar"),
+            ("status", "varchar"),
+            ("created_at", "timestamp"),
+            ("updated_at", "timestamp"),
         ),
-        _entity(
-            "subscriptions", "full", "updated_at",
-            "subscription_id:varchar org_id:varchar plan:varchar status:varchar mrr_cents:bigint "
-            "seats:bigint started_at:timestamp canceled_at:timestamp updated_at:timestamp",
+    ),
+    "subscriptions": Entity(
+        "subscriptions", "subscription_id", "full", "updated_at",
+        (
+            ("subscription_id", "varchar"),
+            ("org_id", "varchar"),
+            ("plan", "varchar"),
+            ("status", "varchar"),
+            ("mrr_cents", "bigint"),
+            ("seats", "bigint"),
+            ("started_at", "timestamp"),
+            ("canceled_at", "timestamp"),
+            ("updated_at", "timestamp"),
         ),
-        _entity(
-            "logins", "upsert", "recorded_at",
-            "login_id:varchar client_event_id:varchar user_id:varchar org_id:varchar idp:varchar "
-            "success:boolean ip_country:varchar logged_in_at:timestamp recorded_at:timestamp",
+    ),
+    "logins": Entity(
+        "logins", "login_id", "upsert", "recorded_at",
+        (
+            ("login_id", "varchar"),
+            ("client_event_id", "varchar"),
+            ("user_id", "varchar"),
+            ("org_id", "varchar"),
+            ("idp", "varchar"),
+            ("success", "boolean"),
+            ("ip_country", "varchar"),
+            ("logged_in_at", "timestamp"),
+            ("recorded_at", "timestamp"),
         ),
-        _entity(
-            "subscription_events", "upsert", "recorded_at",
-            "event_id:varchar subscription_id:varchar org_id:varchar event_type:varchar "
-            "from_plan:varchar to_plan:varchar mrr_cents_before:bigint mrr_cents_after:bigint "
-            "occurred_at:timestamp recorded_at:timestamp",
+    ),
+    "subscription_events": Entity(
+        "subscription_events", "event_id", "upsert", "recorded_at",
+        (
+            ("event_id", "varchar"),
+            ("subscription_id", "varchar"),
+            ("org_id", "varchar"),
+            ("event_type", "varchar"),
+            ("from_plan", "varchar"),
+            ("to_plan", "varchar"),
+            ("mrr_cents_before", "bigint"),
+            ("mrr_cents_after", "bigint"),
+            ("occurred_at", "timestamp"),
+            ("recorded_at", "timestamp"),
         ),
-        _entity(
-            "invoices", "upsert", "recorded_at",
-            "invoice_id:varchar org_id:varchar subscription_id:varchar amount_cents:bigint "
-            "currency:varchar status:varchar period_start:date period_end:date "
-            "issued_at:timestamp paid_at:timestamp recorded_at:timestamp",
+    ),
+    "invoices": Entity(
+        "invoices", "invoice_id", "upsert", "recorded_at",
+        (
+            ("invoice_id", "varchar"),
+            ("org_id", "varchar"),
+            ("subscription_id", "varchar"),
+            ("amount_cents", "bigint"),
+            ("currency", "varchar"),
+            ("status", "varchar"),
+            ("period_start", "date"),
+            ("period_end", "date"),
+            ("issued_at", "timestamp"),
+            ("paid_at", "timestamp"),
+            ("recorded_at", "timestamp"),
         ),
-    ]
+    ),
 }
 
 # Columns that loads and the stream add to every row.

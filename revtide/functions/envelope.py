@@ -10,7 +10,6 @@ from __future__ import annotations
 
 STRICT = "map('allowSingleQuotes', 'false')"
 OPS = ("c", "u", "d", "r")
-PAYLOAD_CHARS = 8000
 MILLIS_ABOVE = 10_000_000_000
 # Largest distance from 1970 that stays within the calendar, in microseconds.
 EPOCH_RANGE = 253_402_300_800_000_000
@@ -156,7 +155,8 @@ def dead_letter_id(topic: str, partition: str, offset: str) -> str:
 
 
 def payload(key: str, value: str) -> str:
-    return f"substring(coalesce({value}, {key}, ''), 1, {PAYLOAD_CHARS})"
+    """The whole rejected record, so that it can be published again."""
+    return f"coalesce({value}, {key}, '')"
 
 
 def extra_json(fields: str, known) -> str:

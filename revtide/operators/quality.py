@@ -206,71 +206,103 @@ def run_checks(frames: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _rules(table: str, spec: str, **accepted: tuple) -> list[Rule]:
-    """Rules from a compact list: `kind:column` or `kind`, `!` marks a warning."""
-    rules = []
-    for item in spec.split():
-        severity = "warn" if item.endswith("!") else "error"
-        kind, _, column = item.rstrip("!").partition(":")
-        rules.append(Rule(table, kind, column, severity))
-    return rules + [Rule(table, "accepted_values", c, values=v) for c, v in accepted.items()]
-
-
-def _parents(table: str, **links: tuple[str, str]) -> list[Rule]:
-    return [Rule(table, "relationships", c, parent=p) for c, p in links.items()]
-
-
-ORG, SUB = ("stg_organizations", "org_id"), ("stg_subscriptions", "subscription_id")
-
 # The rules and value lists that guard publication.
 UPSTREAM_RULES: list[Rule] = [
-    *_rules("stg_organizations", "unique:org_id not_null:org_id not_null:org_name not_null:status",
-            status=("active", "churned")),
-    *_rules("stg_users", "unique:user_id not_null:user_id not_null:org_id not_null:email! "
-            "not_null:role not_null:status",
-            role=("owner", "admin", "member"), status=("active", "deactivated")),
-    *_parents("stg_users", org_id=ORG),
-    *_rules("stg_subscriptions", "unique:subscription_id not_null:subscription_id unique:org_id "
-            "not_null:org_id not_null:plan not_null:status not_null:mrr_cents "
-            "non_negative:mrr_cents canceled_has_timestamp!",
-            plan=("trial", "starter", "growth", "enterprise"),
-            status=("trialing", "active", "past_due", "canceled")),
-    *_parents("stg_subscriptions", org_id=ORG),
-    *_rules("stg_subscription_events", "unique:event_id not_null:event_id "
-            "not_null:subscription_id not_null:org_id not_null:event_type not_null:occurred_at "
-            "non_negative:mrr_cents_after",
-            event_type=("created", "upgraded", "downgraded", "canceled", "reactivated")),
-    *_parents("stg_subscription_events", subscription_id=SUB, org_id=ORG),
-    *_rules("stg_logins", "unique:login_id not_null:login_id unique:client_event_id "
-            "not_null:client_event_id not_null:org_id not_null:logged_in_at"),
-    *_parents("stg_logins", org_id=ORG),
-    Rule("stg_logins", "relationships", "user_id", "warn", "user_id is not null",
-         parent=("stg_users", "user_id")),
-    Rule("stg_logins", "accepted_values", "idp", where="idp is not null",
-         values=("okta", "azure_ad", "google_workspace", "onelogin")),
-    *_rules("stg_invoices", "unique:invoice_id not_null:invoice_id not_null:org_id "
-            "not_null:amount_cents non_negative:amount_cents not_null:currency not_null:status "
-            "paid_has_timestamp!",
-            currency=("USD", "EUR", "GBP"), status=("open", "paid", "void")),
-    *_parents("stg_invoices", org_id=ORG),
-    *_rules("int_subscription_movements", "unique:event_id not_null:event_id "
-            "not_null:movement_type not_null:occurred_month",
-            movement_type=("new", "expansion", "contraction", "churn", "reactivation", "other")),
-    *_rules("int_org_month_mrr", "unique:org_month_key not_null:org_month_key "
-            "not_null:month_start not_null:org_id not_null:mrr_cents_after "
-            "non_negative:mrr_cents_after"),
+    Rule("stg_organizations", "unique", "org_id"),
+    Rule("stg_organizations", "not_null", "org_id"),
+    Rule("stg_organizations", "not_null", "org_name"),
+    Rule("stg_organizations", "not_null", "status"),
+    Rule("stg_organizations", "accepted_values", "status", values=("active", "churned")),
+    Rule("stg_users", "unique", "user_id"),
+    Rule("stg_users", "not_null", "user_id"),
+    Rule("stg_users", "not_null", "org_id"),
+    Rule("stg_users", "not_null", "email", severity="warn"),
+    Rule("stg_users", "not_null", "role"),
+    Rule("stg_users", "not_null", "status"),
+    Rule("stg_users", "accepted_values", "role", values=("owner", "admin", "member")),
+    Rule("stg_users", "accepted_values", "status", values=("active", "deactivated")),
+    Rule("stg_users", "relationships", "org_id", parent=("stg_organizations", "org_id")),
+    Rule("stg_subscriptions", "unique", "subscription_id"),
+    Rule("stg_subscriptions", "not_null", "subscription_id"),
+    Rule("stg_subscriptions", "unique", "org_id"),
+    Rule("stg_subscriptions", "not_null", "org_id"),
+    Rule("stg_subscriptions", "not_null", "plan"),
+    Rule("stg_subscriptions", "not_null", "status"),
+    Rule("stg_subscriptions", "not_null", "mrr_cents"),
+    Rule("stg_subscriptions", "non_negative", "mrr_cents"),
+    Rule("stg_subscriptions", "canceled_has_timestamp", severity="warn"),
+    Rule("stg_subscriptions", "accepted_values", "plan", values=("trial", "starter", "growth", "enterprise")),
+    Rule("stg_subscriptions", "accepted_values", "status", values=("trialing", "active", "past_due", "canceled")),
+    Rule("stg_subscriptions", "relationships", "org_id", parent=("stg_organizations", "org_id")),
+    Rule("stg_subscription_events", "unique", "event_id"),
+    Rule("stg_subscription_events", "not_null", "event_id"),
+    Rule("stg_subscription_events", "not_null", "subscription_id"),
+    Rule("stg_subscription_events", "not_null", "org_id"),
+    Rule("stg_subscription_events", "not_null", "event_type"),
+    Rule("stg_subscription_events", "not_null", "occurred_at"),
+    Rule("stg_subscription_events", "non_negative", "mrr_cents_after"),
+    Rule("stg_subscription_events", "accepted_values", "event_type", values=("created", "upgraded", "downgraded", "canceled", "reactivated")),
+    Rule("stg_subscription_events", "relationships", "subscription_id", parent=("stg_subscriptions", "subscription_id")),
+    Rule("stg_subscription_events", "relationships", "org_id", parent=("stg_organizations", "org_id")),
+    Rule("stg_logins", "unique", "login_id"),
+    Rule("stg_logins", "not_null", "login_id"),
+    Rule("stg_logins", "unique", "client_event_id"),
+    Rule("stg_logins", "not_null", "client_event_id"),
+    Rule("stg_logins", "not_null", "org_id"),
+    Rule("stg_logins", "not_null", "logged_in_at"),
+    Rule("stg_logins", "relationships", "org_id", parent=("stg_organizations", "org_id")),
+    Rule("stg_logins", "relationships", "user_id", severity="warn", where="user_id is not null", parent=("stg_users", "user_id")),
+    Rule("stg_logins", "accepted_values", "idp", where="idp is not null", values=("okta", "azure_ad", "google_workspace", "onelogin")),
+    Rule("stg_invoices", "unique", "invoice_id"),
+    Rule("stg_invoices", "not_null", "invoice_id"),
+    Rule("stg_invoices", "not_null", "org_id"),
+    Rule("stg_invoices", "not_null", "amount_cents"),
+    Rule("stg_invoices", "non_negative", "amount_cents"),
+    Rule("stg_invoices", "not_null", "currency"),
+    Rule("stg_invoices", "not_null", "status"),
+    Rule("stg_invoices", "paid_has_timestamp", severity="warn"),
+    Rule("stg_invoices", "accepted_values", "currency", values=("USD", "EUR", "GBP")),
+    Rule("stg_invoices", "accepted_values", "status", values=("open", "paid", "void")),
+    Rule("stg_invoices", "relationships", "org_id", parent=("stg_organizations", "org_id")),
+    Rule("int_subscription_movements", "unique", "event_id"),
+    Rule("int_subscription_movements", "not_null", "event_id"),
+    Rule("int_subscription_movements", "not_null", "movement_type"),
+    Rule("int_subscription_movements", "not_null", "occurred_month"),
+    Rule("int_subscription_movements", "accepted_values", "movement_type", values=("new", "expansion", "contraction", "churn", "reactivation", "other")),
+    Rule("int_org_month_mrr", "unique", "org_month_key"),
+    Rule("int_org_month_mrr", "not_null", "org_month_key"),
+    Rule("int_org_month_mrr", "not_null", "month_start"),
+    Rule("int_org_month_mrr", "not_null", "org_id"),
+    Rule("int_org_month_mrr", "not_null", "mrr_cents_after"),
+    Rule("int_org_month_mrr", "non_negative", "mrr_cents_after"),
     Rule("staging", "no_duplicate_keys"),
 ]
 MART_RULES: list[Rule] = [
-    *_rules("fct_mrr_monthly", "unique:month_start not_null:month_start "
-            "not_null:ending_mrr_cents non_negative:ending_mrr_cents "
-            "not_null:beginning_mrr_cents non_negative:beginning_mrr_cents "
-            "bridge_identity churn_bounds"),
-    *_rules("fct_plan_changes", "unique:event_id not_null:event_id not_null:movement_type"),
-    *_rules("fct_logins", "unique:login_id not_null:login_id not_null:org_id not_null:logged_in_at"),
-    *_rules("fct_login_activity_daily", "not_null:activity_date not_null:org_id not_null:login_count"),
-    *_rules("dim_organizations", "unique:org_id not_null:org_id not_null:is_active not_null:is_paying"),
-    *_rules("fct_invoices", "unique:invoice_id not_null:invoice_id not_null:amount_cents "
-            "non_negative:amount_cents"),
-    *_rules("subscriptions_history", "not_null:subscription_id"),
+    Rule("fct_mrr_monthly", "unique", "month_start"),
+    Rule("fct_mrr_monthly", "not_null", "month_start"),
+    Rule("fct_mrr_monthly", "not_null", "ending_mrr_cents"),
+    Rule("fct_mrr_monthly", "non_negative", "ending_mrr_cents"),
+    Rule("fct_mrr_monthly", "not_null", "beginning_mrr_cents"),
+    Rule("fct_mrr_monthly", "non_negative", "beginning_mrr_cents"),
+    Rule("fct_mrr_monthly", "bridge_identity"),
+    Rule("fct_mrr_monthly", "churn_bounds"),
+    Rule("fct_plan_changes", "unique", "event_id"),
+    Rule("fct_plan_changes", "not_null", "event_id"),
+    Rule("fct_plan_changes", "not_null", "movement_type"),
+    Rule("fct_logins", "unique", "login_id"),
+    Rule("fct_logins", "not_null", "login_id"),
+    Rule("fct_logins", "not_null", "org_id"),
+    Rule("fct_logins", "not_null", "logged_in_at"),
+    Rule("fct_login_activity_daily", "not_null", "activity_date"),
+    Rule("fct_login_activity_daily", "not_null", "org_id"),
+    Rule("fct_login_activity_daily", "not_null", "login_count"),
+    Rule("dim_organizations", "unique", "org_id"),
+    Rule("dim_organizations", "not_null", "org_id"),
+    Rule("dim_organizations", "not_null", "is_active"),
+    Rule("dim_organizations", "not_null", "is_paying"),
+    Rule("fct_invoices", "unique", "invoice_id"),
+    Rule("fct_invoices", "not_null", "invoice_id"),
+    Rule("fct_invoices", "not_null", "amount_cents"),
+    Rule("fct_invoices", "non_negative", "amount_cents"),
+    Rule("subscriptions_history", "not_null", "subscription_id"),
 ]

@@ -19,6 +19,7 @@ from revtide.functions import (
 )
 from revtide.operators.movements import FLOWS
 
+# The columns that reports read of an organization.
 ORGS_READ = [
     "org_id", "org_name", "plan", "subscription_status", "mrr_cents", "seats", "user_count",
     "active_user_count", "is_active", "is_paying",
@@ -179,12 +180,11 @@ def moves_summary(moves: DataFrame) -> DataFrame:
 def recent_changes(moves: DataFrame, orgs: DataFrame, k: int = 8) -> DataFrame:
     """The k newest plan changes as display texts; the event id breaks ties.
 
-    The top k are taken before names are looked up, and only the names of
-    those k rows are fetched, so neither side of the join is shuffled whole.
+    The top k are taken once, before names are looked up by a plain left join whose
+    form Spark chooses by the measured size of its sides.
     """
     newest = commercial_moves(moves).orderBy(F.desc("occurred_at"), F.desc("event_id")).limit(k)
-    wanted = F.broadcast(newest.select("org_id"))  # k rows
-    named = changes_with_org(newest, orgs.join(wanted, "org_id", "left_semi"))
+    named = changes_with_org(newest, orgs)
     kind = F.col("movement_type")
     return named.select(
         "event_id", F.date_format("occurred_at", "MMM dd, yyyy").alias("when"),

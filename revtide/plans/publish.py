@@ -42,6 +42,7 @@ class Publisher:
         self.lake = lake
         self.raw = raw
         self.changes = changes
+        self.schemas: dict[str, T.StructType] = {}  # of what this publication stages
 
     def _stage(
         self, models: dict[str, Callable[[], DataFrame]], staged: dict[str, list[str]]
@@ -49,17 +50,19 @@ class Publisher:
         """Write independent frames side by side and go on from the written tables."""
         def write(name: str) -> DataFrame:
             df = models[name]()
-            staged[name] = self.lake.replace(name, df)
+            staged[name], self.schemas[name] = self.lake.replace(name, df), df.schema
             return self.lake.read(name, df.schema, staged[name])
 
         return dict(zip(models, side_by_side(self.lake.spark, write, models), strict=True))
 
     def published(self, name: str) -> DataFrame | None:
-        """A published table, or None before its first publication."""
-        live = self.lake.segments(name)
-        if not live:
-            return None
-        return self.lake.spark.read.parquet(*[f"{self.lake.root}/{s}" for s in live])
+        """A published table, or None before its first publication.
+
+        Read by the schema it was published with: a column that came later is null in
+        older segments, whichever file Spark opens first.
+        """
+        schema = self.lake.schema(name)
+        return None if schema is None else self.lake.read(name, schema)
 
     def check_freshness(self, now) -> DataFrame:
         """One row per batch source; change tables are not checked, quiet is fine there."""
@@ -97,7 +100,7 @@ class Publisher:
         )
         old = [] if target is None else target.schema.fields
         added = [f for f in rows.schema.fields if f.name not in {o.name for o in old}]
-        schema = T.StructType([*old, *added])
+        schema = self.schemas["fct_logins"] = T.StructType([*old, *added])
         if target is None:
             staged["fct_logins"] = self.lake.replace("fct_logins", rows)
         else:
@@ -131,31 +134,34 @@ class Publisher:
         return {"fct_logins": fact, **self._stage(stages, staged)}
 
     def publish(
-        self, now: datetime | None = None, full_refresh: bool = False, clock=None
+        self, now: datetime | None = None, full_refresh: bool = False, clock=None,
+        check_freshness: bool = True,
     ) -> Outcome:
         """Freshness, then staging with its rules, then marts with theirs.
 
         A failing rule of error severity stops before the commit: what was
-        published stays as it is. Pass `clock` to check freshness.
+        published stays as it is. Freshness is measured at `clock`, by default the
+        build time; turn it off only for data that is meant to be old.
         """
         started = self.lake.version()
         now = now or datetime.now(UTC).replace(tzinfo=None)
-        checks = None
-        if clock is not None:
-            checks = self._settle(self.check_freshness(clock))
-            if self._blocked(checks):
-                return Outcome(False, "freshness", checks)
+        fresh = None
+        if check_freshness:
+            fresh = self._settle(self.check_freshness(clock or now))
+            if self._blocked(fresh):
+                return Outcome(False, "freshness", fresh)
         staged: dict[str, list[str]] = {}
         frames = self.upstream(staged)
-        checks = self._settle(run_checks(frames, UPSTREAM_RULES))
-        if self._blocked(checks):
+        upstream = self._settle(run_checks(frames, UPSTREAM_RULES))
+        checks = upstream if fresh is None else fresh.unionByName(upstream)
+        if self._blocked(upstream):
             return Outcome(False, "upstream", checks)
         built = self.build_marts(frames, staged, now, full_refresh)
         mart_checks = self._settle(run_checks(built, MART_RULES))
         checks = checks.unionByName(mart_checks)
         if self._blocked(mart_checks):
             return Outcome(False, "marts", checks)
-        self.lake.commit(staged, based_on=started)
+        self.lake.commit(staged, based_on=started, schemas=self.schemas)
         return Outcome(True, "published", checks)
 
     def _settle(self, checks: DataFrame) -> DataFrame:

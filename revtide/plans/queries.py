@@ -142,6 +142,37 @@ def _(spark, sf):
     return movements.churn_bounds_violations(movements.mrr_monthly(moved(spark, sf)))
 
 
+def _disturbed(spark, sf):
+    """The bridge with a wrong flow every third month and a wrong churn every fifth."""
+    months = movements.mrr_monthly(moved(spark, sf))
+    place = F.year("month_start") * 12 + F.month("month_start")
+    return months.withColumns({
+        "churn_mrr_cents": F.col("churn_mrr_cents") + F.when(place % 3 == 0, 1).otherwise(0),
+        "churned_orgs": F.when(place % 5 == 0, F.col("active_orgs_start") + 2).otherwise(F.col("churned_orgs")),
+        "logo_churn_rate": F.when(place % 7 == 0, F.lit(1.5)).otherwise(F.col("logo_churn_rate")),
+    })
+
+
+_DISTURBED = """(select * replace (
+    if((year(month_start) * 12 + month(month_start)) % 3 = 0, churn_mrr_cents + 1, churn_mrr_cents) as churn_mrr_cents,
+    if((year(month_start) * 12 + month(month_start)) % 5 = 0, active_orgs_start + 2, churned_orgs) as churned_orgs,
+    if((year(month_start) * 12 + month(month_start)) % 7 = 0, 1.5, logo_churn_rate) as logo_churn_rate)
+  from mrr_monthly)"""
+
+
+@query("mrr_bridge_violations_found", f"""select month_start, beginning_mrr_cents, new_mrr_cents,
+  expansion_mrr_cents, contraction_mrr_cents, churn_mrr_cents, reactivation_mrr_cents, ending_mrr_cents
+  from {_DISTURBED} where (year(month_start) * 12 + month(month_start)) % 3 = 0""")
+def _(spark, sf):
+    return movements.bridge_violations(_disturbed(spark, sf))
+
+
+@query("churn_bounds_violations_found", f"""select month_start, active_orgs_start, churned_orgs, logo_churn_rate
+  from {_DISTURBED} where logo_churn_rate = 1.5 or churned_orgs = active_orgs_start + 2""")
+def _(spark, sf):
+    return movements.churn_bounds_violations(_disturbed(spark, sf))
+
+
 # --- current rows and staging ---------------------------------------------
 
 @query("latest_change", """select * from organizations_cdc qualify row_number() over (
@@ -370,6 +401,17 @@ def _(spark, sf):
     return quality.no_duplicate_keys({n: staged(spark, sf, n) for n in ENTITIES})
 
 
+@query("duplicate_current_keys", " union all ".join(
+    f"select cast({e.pk} as varchar) as entity_key, '{n}' as entity from stg_{n} "
+    f"where cast({e.pk} as bigint) % 10 = 3" for n, e in ENTITIES.items()))
+def _(spark, sf):
+    """Every tenth key stands twice and must be found, in all six entities."""
+    def doubled(df, pk):
+        return df.unionByName(df.filter(F.col(pk).cast("bigint") % 10 == 3))
+
+    return quality.no_duplicate_keys({n: doubled(staged(spark, sf, n), e.pk) for n, e in ENTITIES.items()})
+
+
 @query("freshness", " union all ".join(
     f"select '{n}' as source, max(_loaded_at) as max_loaded_at, "
     "case when max(_loaded_at) is null or max(_loaded_at) < timestamp '2024-02-01 12:00' - interval 72 hour "
@@ -753,6 +795,45 @@ def _(spark, sf):
     return quality.run_checks(publisher.upstream({}), quality.UPSTREAM_RULES)
 
 
+@query("stale_blocks_publish", " union all ".join(
+    f"select 'freshness.{n}' as rule, case when max(_loaded_at) < timestamp '2024-02-02' - interval 72 hour then 'error' "
+    "when max(_loaded_at) < timestamp '2024-02-02' - interval 36 hour then 'warn' else 'error' end as severity, "
+    "cast(max(_loaded_at) < timestamp '2024-02-02' - interval 36 hour as bigint) as failures, false as published "
+    f"from {n}" for n in ENTITIES))
+def _(spark, sf):
+    """By default old sources stop a publication before anything is built."""
+    lake = Lake(spark, work_folder(spark, "stale"))
+    outcome = Publisher(lake, *_gate_inputs(spark, sf)).publish("2024-02-02 00:00:00")
+    if outcome.stage != "freshness" or lake.version():
+        raise RuntimeError("stale sources were published")
+    return outcome.checks.select("rule", "severity", "failures", F.lit(outcome.published).alias("published"))
+
+
+@query("fct_logins_new_column", """select login_id, 'DE' as region from (
+    select * from logins where login_id % 2 = 1)
+  union all select login_id, null from (select * from logins where login_id % 2 = 0)""")
+def _(spark, sf):
+    """A published table whose later segment has one more column keeps it for all rows."""
+    lake = Lake(spark, work_folder(spark, "columns"))
+    logins = samples.logins(spark, sf).select("login_id")
+    first = lake.write("fct_logins", logins.filter("login_id % 2 = 0"))
+    lake.commit({"fct_logins": [first]}, schemas={"fct_logins": logins.schema})
+    later = logins.filter("login_id % 2 = 1").withColumn("region", F.lit("DE"))
+    lake.commit({"fct_logins": [first, lake.write("fct_logins", later)]}, schemas={"fct_logins": later.schema})
+    return Publisher(lake, *_gate_inputs(spark, sf)).published("fct_logins")
+
+
+@query("run_mart_checks", " union all ".join(
+    f"select '{r.name}' as rule, '{r.severity}' as severity, cast(0 as bigint) as failures" for r in quality.MART_RULES))
+def _(spark, sf):
+    """All rules over the marts of a clean publication."""
+    raw, changes = _gate_inputs(spark, sf)
+    lake = Lake(spark, work_folder(spark, "marts"))
+    outcome = Publisher(lake, raw, changes).publish("2024-02-01 00:00:00", check_freshness=False)
+    names = [r.name for r in quality.MART_RULES]
+    return outcome.checks.filter(F.col("rule").isin(*names)).select("rule", "severity", "failures")
+
+
 @query("gate_blocks_publish", """select 'fct_mrr_monthly' as mart,
     timestamp '2024-02-01' as built_at, count(*) as n_rows, true as unchanged from mrr_monthly
   union all select 'dim_organizations', timestamp '2024-02-01',
@@ -773,10 +854,10 @@ def _(spark, sf):
         rows = changes(table)
         return rows.withColumn("mrr_cents", F.lit(-500)) if table == "subscriptions" else rows
 
-    if not Publisher(lake, raw, changes).publish("2024-02-01 00:00:00").published:
+    if not Publisher(lake, raw, changes).publish("2024-02-01 00:00:00", check_freshness=False).published:
         raise RuntimeError("the clean input did not pass the gate")
     before = signature()
-    if Publisher(lake, raw, broken).publish("2024-02-02 00:00:00").published:
+    if Publisher(lake, raw, broken).publish("2024-02-02 00:00:00", check_freshness=False).published:
         raise RuntimeError("a negative amount passed the gate")
     after = signature()
     return after.join(quality.gate_audit(before, after).drop("moved"), "mart")

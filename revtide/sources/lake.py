@@ -19,6 +19,7 @@ from revtide.operators.quality import duplicate_keys
 from revtide.sources import folders
 
 MANIFESTS = "_manifests"
+SCHEMAS = "_schemas"  # in a manifest: the schema of each table, as JSON
 
 
 class Lake:
@@ -42,16 +43,26 @@ class Lake:
     def segments(self, table: str) -> list[str]:
         return self._latest()[1].get(table, [])
 
-    def commit(self, staged: dict[str, list[str]], based_on: int | None = None) -> int:
-        """Make staged tables visible together.
+    def schema(self, table: str) -> T.StructType | None:
+        """The schema that a table was committed with, if it was named then."""
+        text = self._latest()[1].get(SCHEMAS, {}).get(table)
+        return T.StructType.fromJson(text) if text else None
+
+    def commit(
+        self, staged: dict[str, list[str]], based_on: int | None = None,
+        schemas: dict[str, T.StructType] | None = None,
+    ) -> int:
+        """Make staged tables visible together, with the schemas to read them by.
 
         Fails when another writer committed since `based_on`; nothing is then visible.
         """
         number, tables = self._latest()
         if based_on is not None and based_on != number:
             raise RuntimeError(f"lake moved from version {based_on} to {number} during this load")
+        named = {table: schema.jsonValue() for table, schema in (schemas or {}).items()}
+        state = {**tables, **staged, SCHEMAS: {**tables.get(SCHEMAS, {}), **named}}
         path = f"{self.root}/{MANIFESTS}/{number + 1:010d}.json"
-        if not folders.create_text(self.spark, path, json.dumps({**tables, **staged}, sort_keys=True)):
+        if not folders.create_text(self.spark, path, json.dumps(state, sort_keys=True)):
             raise RuntimeError(f"another writer took version {number + 1}")
         return number + 1
 

@@ -5,9 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from revtide.operators import marts, movements, quality, upsert
-from revtide.plans.queries import live, moved
+from revtide.plans.queries import QUERIES, live, moved
 from revtide.sources import samples
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -17,13 +16,13 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-BATCH_ONLY = [n for n in entry.queries() if not n.startswith(("cdc_", "gate_", "landing_signature"))
-              and n not in ("ingest", "run_checks", "dead_letters", "current_from_stream")]
+BATCH_ONLY = [n for n in QUERIES if not n.startswith(("cdc_", "gate_", "landing_signature", "stale_"))
+              and n not in ("ingest", "run_checks", "run_mart_checks", "dead_letters", "current_from_stream")]
 
 
 @pytest.mark.parametrize("name", BATCH_ONLY)
 def test_no_python_and_no_nested_loops(spark, name):
-    text = plan(entry.queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in text
 

@@ -28,7 +28,7 @@ def committed(landing):
 
 def test_replay_adds_nothing(spark, folder):
     landing = Landing(spark, folder)
-    records = frame(spark, [change("c", org(), 10, 0), change("u", org(name="Northwind Inc"), 11, 1)])
+    records = frame(spark, [change("c", org(), 10, 0), change("u", org(name="Acme Works"), 11, 1)])
     assert landing.apply_records(records, "seed")["inserted"] == 2
     before = landing_signature(landing.changes("organizations"), "org_id").first()
     first = landing.changes("organizations").cache()
@@ -91,7 +91,7 @@ def test_poison_is_isolated(spark, folder):
     letter = landing.dead_letters().first()
     assert letter["dead_letter_id"] == "saas.app.organizations:0:1"
     assert "json" in letter["error"] and letter["payload"] == "not-json"
-    assert [r["name"] for r in landed(landing)] == ["Northwind", "Late"]
+    assert [r["name"] for r in landed(landing)] == ["Acme Tools", "Late"]
     assert landing.apply_records(frame(spark, records), "again")["dead_letters"] == 0
     assert landing.dead_letters().count() == 1
     sent = spark.read.parquet(f"{folder}/topic").collect()
@@ -148,10 +148,10 @@ def test_every_reason_for_a_dead_letter(spark, folder):
     assert other["error"].startswith("topic saas.app.not_a_table")
 
 
-def test_long_payload_is_cut_only_in_the_dead_letter(spark, folder):
+def test_long_payload_comes_back_whole(spark, folder):
     landing = Landing(spark, folder)
-    landing.apply_records(frame(spark, [raw(0, "x" * 9000), change("c", org(name="y" * 9000), 1, 1)]), "b")
-    assert len(landing.dead_letters().first()["payload"]) == 8000
+    landing.apply_records(frame(spark, [raw(0, "x" * 20000), change("c", org(name="y" * 9000), 1, 1)]), "b")
+    assert landing.dead_letters().first()["payload"] == "x" * 20000
     assert len(landed(landing)[0]["name"]) == 9000
 
 
@@ -172,7 +172,7 @@ def test_values_convert_by_their_json_type(spark, folder):
     (row,) = landed(landing, "invoices")
     assert row["amount_cents"] == 4
     assert (row["period_start"], row["period_end"]) == (dt.date(2022, 1, 8), dt.date(2024, 1, 5))
-    assert row["issued_at"] == dt.datetime(2023, 11, 14, 22, 13, 20)
+    assert row["issued_at"] == dt.datetime(2022, 4, 15, 5, 20)
     assert row["paid_at"] == dt.datetime(2023, 11, 14, 22, 13, 20, 123000)
     assert row["recorded_at"] == dt.datetime(2024, 1, 1, 4, 30, 0, 500000)
     assert landing.dead_letters().first()["error"] == "column amount_cents is not a bigint"
@@ -192,7 +192,7 @@ def test_session_zone_does_not_move_times(spark, folder):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert row["created_at"] == dt.datetime(2024, 1, 1)
-    assert row["updated_at"] == row["_source_ts"] == dt.datetime(2023, 11, 14, 22, 13, 20)
+    assert row["updated_at"] == row["_source_ts"] == dt.datetime(2022, 4, 15, 5, 20)
 
 
 def test_order_and_split_of_the_input_do_not_matter(spark, folder):
