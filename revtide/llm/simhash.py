@@ -237,7 +237,8 @@ def classified(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     moved = linked.join(least, "component").select("print", "component", "component_id")
     owner = classes.join(moved, "print", "left").select(
         "print", F.coalesce("component", "print").alias("component"), F.coalesce("component_id", "first").alias("component_id"))
-    return prints.join(owner, "print")
+    # Written, so that the join below stands on plain shuffles, whose hot parts Spark splits.
+    return prints.join(stored(owner, "owners"), "print")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
