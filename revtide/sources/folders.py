@@ -17,6 +17,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder with what it holds."""
+    target, fs = _path(spark, path)
+    fs.delete(target, True)
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names directly under a folder; empty when the folder is missing."""
     target, fs = _path(spark, path)

@@ -1,9 +1,10 @@
 """Idempotent landing of change records into append-only change tables.
 
-Every landed batch owns one folder per table, `landing=<id>/epoch=<n>`. The id
-belongs to one checkpoint. A retried epoch replaces its own folder and is
-compared with all others, so a crash at any point neither loses nor repeats a
-change; a replay under a new checkpoint has a new id and adds nothing.
+Rows lie by offset, and below that by batch: `bucket=<offset div BUCKET>/landing=<id>/
+epoch=<n>`. The id belongs to one checkpoint. A retried epoch replaces its own folders and
+is compared with all others, so a crash at any point neither loses nor repeats a change; a
+replay under a new checkpoint has a new id and adds nothing. A batch opens only the
+buckets that its offsets lie in, so its cost does not grow with history.
 """
 
 from __future__ import annotations
@@ -38,9 +39,15 @@ from revtide.streaming.envelope import (
 
 DEAD_LETTERS = "_dead_letters"
 OFFSETS = "_offsets"
+BUCKET = 10_000  # offsets
 BATCH_FIELDS = [T.StructField("landing", T.StringType()), T.StructField("epoch", T.LongType())]
 
 
+def spanned(found: list) -> set[int]:
+    """The buckets that the offsets of these topic partitions lie in."""
+    return {b for r in found for b in range(r["first"] // BUCKET, r["last"] // BUCKET + 1)}
+
+
 class Landing:
     """Change tables, dead letters and offsets under one folder."""
 
@@ -57,13 +64,17 @@ class Landing:
 
     # --- reads ------------------------------------------------------------
 
-    def _read(self, name: str, schema: T.StructType) -> DataFrame:
-        """All landed rows with their batch folder; empty before the first batch."""
+    def _read(self, name: str, schema: T.StructType, buckets: set[int] | None = None) -> DataFrame:
+        """Landed rows with their batch, of all buckets or some; empty before the first batch."""
         path = f"{self.root}/{name}"
         full = T.StructType(schema.fields + BATCH_FIELDS)
-        if not folders.names(self.spark, path):
+        found = folders.names(self.spark, path)
+        if buckets is not None:
+            found = [n for n in found if n in {f"bucket={b}" for b in buckets}]
+        if not found:
             return self.spark.createDataFrame([], full)
-        return self.spark.read.schema(full).parquet(path)
+        paths = [path] if buckets is None else [f"{path}/{n}" for n in found]
+        return self.spark.read.schema(full).option("basePath", path).parquet(*paths)
 
     def changes(self, table: str) -> DataFrame:
         """A change table; columns promoted later read as null in older files."""
@@ -85,26 +96,40 @@ class Landing:
 
     # --- writes -----------------------------------------------------------
 
-    def _write(self, df: DataFrame, name: str, landing_id: str, epoch: int) -> int:
-        """Replace this batch's own folder; returns the rows written."""
+    def _write(
+        self, df: DataFrame, name: str, offset: str, buckets: set[int], landing_id: str, epoch: int
+    ) -> int:
+        """Replace this batch's own folders; returns the rows written."""
+        for bucket in self._own(name, buckets, landing_id, epoch):
+            folders.delete(self.spark, bucket)
         seen = Observation()
-        target = f"{self.root}/{name}/landing={landing_id}/epoch={epoch}"
-        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(target)
+        rows = df.observe(seen, F.count(F.lit(1)).alias("n")).withColumns({
+            "bucket": F.floor(F.col(offset) / BUCKET), "landing": F.lit(landing_id), "epoch": F.lit(epoch)})
+        rows.write.mode("append").partitionBy("bucket", "landing", "epoch").parquet(f"{self.root}/{name}")
         return seen.get["n"]
 
-    def _others(self, name: str, schema: T.StructType, landing_id: str, epoch: int) -> DataFrame:
+    def _own(self, name: str, buckets: set[int], landing_id: str, epoch: int) -> list[str]:
+        """The folders that an earlier attempt of this batch has left."""
+        path = f"{self.root}/{name}"
+        present = set(folders.names(self.spark, path))
+        own = [f"{path}/bucket={b}/landing={landing_id}/epoch={epoch}" for b in buckets if f"bucket={b}" in present]
+        return [folder for folder in own if folders.exists(self.spark, folder)]
+
+    def _others(
+        self, name: str, schema: T.StructType, buckets: set[int], landing_id: str, epoch: int
+    ) -> DataFrame:
         own = (F.col("landing") == landing_id) & (F.col("epoch") == epoch)
-        return self._read(name, schema).filter(~own)
+        return self._read(name, schema, buckets).filter(~own)
 
     def land_changes(
-        self, parsed: DataFrame, table: str, span: tuple[int, int], batch_id: str, loaded_at,
+        self, parsed: DataFrame, table: str, buckets: set[int], batch_id: str, loaded_at,
         landing_id: str, epoch: int,
     ) -> int:
         """Append the changes whose (key, token) is not there yet.
 
         Inside the batch the first delivery in offset order wins. Both token
-        forms carry the offset, so only rows in the offset span of the batch
-        can match; the filter keeps the comparison small as history grows.
+        forms carry the offset, so only rows in the buckets of the batch can
+        match, and no others are opened.
         """
         schema, pk = change_schema(table, self.promoted), ENTITIES[table].pk
         fresh = first_per_key(
@@ -114,32 +139,41 @@ class Landing:
         stamped = fresh.withColumns(
             {"_loaded_at": F.lit(loaded_at).cast("timestamp_ntz"), "_batch_id": F.lit(batch_id)}
         ).select(*schema.names)
-        landed = self._others(f"{table}_cdc", schema, landing_id, epoch).filter(
-            F.col("_kafka_offset").between(*span)
-        )
+        landed = self._others(f"{table}_cdc", schema, buckets, landing_id, epoch)
         new = stamped.join(landed.select(pk, "_dedup_token"), [pk, "_dedup_token"], "left_anti")
-        return self._write(new.select(*schema.names), f"{table}_cdc", landing_id, epoch)
+        return self._write(
+            new.select(*schema.names), f"{table}_cdc", "_kafka_offset", buckets, landing_id, epoch)
 
     def land_dead_letters(
-        self, letters: DataFrame, span: tuple[int, int], landing_id: str, epoch: int
+        self, letters: DataFrame, buckets: set[int], landing_id: str, epoch: int
     ) -> int:
         schema = struct_of(DEAD_LETTER_COLUMNS)
         once = first_per_key(letters, ["dead_letter_id"], [F.col("offset_id")])
-        landed = self._others(DEAD_LETTERS, schema, landing_id, epoch).filter(
-            F.col("offset_id").between(*span)
-        )
+        landed = self._others(DEAD_LETTERS, schema, buckets, landing_id, epoch)
         new = once.join(landed.select("dead_letter_id"), "dead_letter_id", "left_anti")
-        return self._write(new.select(*schema.names), DEAD_LETTERS, landing_id, epoch)
-
-    def save_offsets(self, spans: DataFrame, saved_at, landing_id: str, epoch: int) -> int:
-        """Next offset to read per topic partition of this batch."""
-        rows = spans.select(
-            F.lit(self.group).alias("consumer_group"), "topic",
-            F.col("partition").cast("bigint").alias("partition_id"),
-            (F.col("last") + 1).alias("committed_offset"),
-            F.lit(saved_at).cast("timestamp_ntz").alias("updated_at"),
-        )
-        return self._write(rows, OFFSETS, landing_id, epoch)
+        return self._write(
+            new.select(*schema.names), DEAD_LETTERS, "offset_id", buckets, landing_id, epoch)
+
+    def save_offsets(self, found: list, saved_at, landing_id: str, epoch: int) -> None:
+        """Next offset to read per topic partition, one row of `found` each.
+
+        Each epoch writes the whole ledger of its landing, a row per topic partition that
+        it has seen, and then drops those of other epochs.
+        """
+        schema, path = struct_of(OFFSET_COLUMNS), f"{self.root}/{OFFSETS}/landing={landing_id}"
+        ledger = {}
+        if folders.exists(self.spark, path):
+            rows = self._read(OFFSETS, schema).filter(F.col("landing") == landing_id)
+            for row in sorted(rows.select(*schema.names).collect(), key=lambda r: r["updated_at"]):
+                ledger[row["topic"], row["partition_id"]] = tuple(row)
+        for row in found:
+            ledger[row["topic"], row["partition"]] = (
+                self.group, row["topic"], row["partition"], row["last"] + 1, saved_at)
+        fresh = self.spark.createDataFrame(list(ledger.values()), schema).coalesce(1)
+        fresh.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        for name in folders.names(self.spark, path):
+            if name != f"epoch={epoch}":
+                folders.delete(self.spark, f"{path}/{name}")
 
     def apply_records(
         self, records: DataFrame, batch_id: str | None = None, commit_offsets: bool = True,
@@ -175,11 +209,10 @@ class Landing:
                 ).persist(keep)
                 held.append(parsed)
                 good, inserted = parsed.filter("error is null").count(), 0
-                span = (min(r["first"] for r in mine), max(r["last"] for r in mine))
-                own = f"{self.root}/{table}_cdc/landing={landing_id}/epoch={epoch}"
-                if good or folders.exists(self.spark, own):
+                buckets = spanned(mine)
+                if good or self._own(f"{table}_cdc", buckets, landing_id, epoch):
                     inserted = self.land_changes(
-                        parsed, table, span, batch_id, loaded_at, landing_id, epoch
+                        parsed, table, buckets, batch_id, loaded_at, landing_id, epoch
                     )
                 return parsed, sum(row["n"] for row in mine), good, inserted
 
@@ -193,10 +226,10 @@ class Landing:
                 stats["skipped"] += good - inserted
             letters = as_dead_letters(reduce(DataFrame.unionByName, rejected), loaded_at)
             if stats["parsed_dead_letters"]:
-                span = (min(r["first"] for r in found), max(r["last"] for r in found))
-                stats["dead_letters"] = self.land_dead_letters(letters, span, landing_id, epoch)
+                stats["dead_letters"] = self.land_dead_letters(
+                    letters, spanned(found), landing_id, epoch)
             if commit_offsets:
-                self.save_offsets(spans, loaded_at, landing_id, epoch)
+                self.save_offsets(found, loaded_at, landing_id, epoch)
             if self.publish and stats["parsed_dead_letters"]:
                 self.publish(letters)
             return stats

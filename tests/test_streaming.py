@@ -11,7 +11,9 @@ from revtide.operators.staging import stg_organizations
 from revtide.contracts import raw_schema
 from revtide.operators.quality import duplicate_keys
 from revtide.sources.changes import publish_to_files, read_change_files
-from revtide.streaming.landing import Landing
+from revtide.contracts import change_schema
+from revtide.sources import folders
+from revtide.streaming.landing import Landing, spanned
 from revtide.streaming.lag import assert_replay_safe, broker_lag, landing_signature
 from revtide.streaming.promotion import backfill_promoted
 from tests.records import change, frame, org, raw
@@ -172,7 +174,7 @@ def test_values_convert_by_their_json_type(spark, folder):
     (row,) = landed(landing, "invoices")
     assert row["amount_cents"] == 4
     assert (row["period_start"], row["period_end"]) == (dt.date(2022, 1, 8), dt.date(2024, 1, 5))
-    assert row["issued_at"] == dt.datetime(2022, 4, 15, 5, 20)
+    assert row["issued_at"] == dt.datetime(2023, 11, 14, 22, 13, 20)
     assert row["paid_at"] == dt.datetime(2023, 11, 14, 22, 13, 20, 123000)
     assert row["recorded_at"] == dt.datetime(2024, 1, 1, 4, 30, 0, 500000)
     assert landing.dead_letters().first()["error"] == "column amount_cents is not a bigint"
@@ -263,3 +265,16 @@ def test_broker_lag(spark):
     done = spark.createDataFrame([("t", 0, 4), ("t", 1, 2)], "topic string, partition_id long, committed_offset long")
     ends = spark.createDataFrame([("t", 0, 9)], "topic string, partition_id long, end_offset long")
     assert {r["partition_id"]: r["lag"] for r in broker_lag(done, ends).collect()} == {0: 5, 1: -2}
+
+
+def test_a_batch_opens_only_the_buckets_of_its_offsets(spark, folder):
+    landing = Landing(spark, folder)
+    for epoch, offset in enumerate((0, 5, 25_000, 25_001, 90_000)):
+        landing.apply_records(frame(spark, [change("u", org(f"o{offset}"), offset, offset)]), "b", True, "check", epoch)
+    assert spanned([{"first": 9_999, "last": 10_000}, {"first": 7, "last": 8}]) == {0, 1}
+    schema = change_schema("organizations")
+    opened = landing._read("organizations_cdc", schema, {2, 3}).inputFiles()
+    assert opened and all("/bucket=2/" in f for f in opened)
+    assert landing.changes("organizations").count() == 5
+    ledger = [n for n in folders.names(spark, f"{folder}/_offsets/landing=check")]
+    assert ledger == ["epoch=4"] and landing.offsets().first()["committed_offset"] == 90_001
