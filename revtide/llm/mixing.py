@@ -91,10 +91,14 @@ def tilts(cells: DataFrame, goals: DataFrame) -> DataFrame:
     state = stored(goals.select(
         *columns, F.when(full, top).otherwise(0.0).alias("tilt"), (-60 * top).alias("low"), top.alias("high")), "tilts")
     for _ in range(ITERATIONS):
-        rate, words = _rate(F.col("tilt")), F.col("n") * F.col("size")
+        rate = _rate(F.col("tilt"))
+        n, size = F.col("n").cast("decimal(12,0)"), F.col("size").cast("decimal(12,0)")
+        taken = n * size * rate.cast("decimal(10,9)")
+        steep = F.when(rate < LIMIT, n * (size * size).cast("decimal(16,0)") * rate.cast("decimal(10,9)"))
+        # Decimal sums are the same in any order of the rows.
         sums = _with_source(cells, state).groupBy(*state.columns).agg(
-            F.sum(words * rate).alias("got"),
-            F.sum(F.when(rate < LIMIT, words * rate * F.col("size") / F.col("mean")).otherwise(0.0)).alias("slope"))
+            F.sum(taken).cast("double").alias("got"),
+            (F.coalesce(F.sum(steep).cast("double"), F.lit(0.0)) / F.col("mean")).alias("slope"))
         miss = F.col("target") - F.col("got")
         low = F.when(miss > 0, F.col("tilt")).otherwise(F.col("low"))
         high = F.when(miss < 0, F.col("tilt")).otherwise(F.col("high"))
@@ -107,8 +111,7 @@ def tilts(cells: DataFrame, goals: DataFrame) -> DataFrame:
         state = state.drop("done")
         if not open_sources:
             break
-    # Rounded, since sums of a rerun may differ in the last digits.
-    return state.select(*columns, F.round("tilt", 9).alias("tilt"))
+    return state.select(*columns, "tilt")
 
 
 def _quota() -> Column:
