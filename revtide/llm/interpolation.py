@@ -32,9 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revtide.llm.base import crc_fold, stored, utf8
-from revtide.llm.chunks import CHUNK_BYTES, Numbering, bucket_count, pack, slices, unpack
+from revtide.llm.chunks import Numbering, bucket_count, pack, slices, unpack
 
 FOLDS, HELD_OUT, DELETED = 7, 2, 0
+#: Text bytes in a chunk; a task builds one for each of the three parts at once.
+CHUNK_BYTES = 8 << 20
 KEPT_PART, DELETED_PART, TEST_PART = 0, 1, 2
 START, END = 1, 0  # their numbers among a chunk's words
 #: Cells per factor of two when held-out events are summed up for the mixture weights.
@@ -139,7 +141,8 @@ def corpus_counts(state: DataFrame) -> DataFrame:
 
     def ask(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):  # a chunk is large: one at a time
+                (row,) = batch.slice(i, 1).to_pylist()
                 chunk = Chunk(row)
                 cut = list(slices(chunk.keys, n))
                 steps = [pack(np.diff(chunk.keys[s:e], prepend=np.uint64(0)), "<u8") for _, s, e in cut]
