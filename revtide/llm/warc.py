@@ -245,7 +245,9 @@ def read_archives(archives: DataFrame, folder: str, payload: bool = True) -> Dat
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema=schema)
 
-    spread = archives.select("path").repartition("path")
+    # As a number, since Spark would merge so few small rows into one task.
+    n, cores = archives.count(), archives.sparkSession.sparkContext.defaultParallelism
+    spread = archives.select("path").repartition(max(1, min(n, 4 * cores), n // 16))
     return spread.mapInArrow(run, ddl)
 
 
