@@ -157,7 +157,8 @@ def vocabulary_counts(state: DataFrame, path: str) -> DataFrame:
 
     def ask(batches):
         for batch in batches:
-            for chunk, names in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for i in range(batch.num_rows):  # a chunk is large: one at a time
+                chunk, names = batch.slice(i, 1).to_pylist()[0].values()
                 hashes = np.fromiter(map(hashed, names), np.uint64, len(names))
                 cut = list(slices(hashes, n))
                 yield pa.RecordBatch.from_arrays(
