@@ -22,7 +22,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.base import native_words, stored
+from revtide.llm.base import native_words, smallest_hashes, stored
 
 #: Findings the forest is trained on, and its size.
 SAMPLE_FINDINGS, TREES, DEPTH, THRESHOLD = 5_000, 24, 5, 0.5
@@ -76,8 +76,8 @@ class Language:
 
 def language(docs: DataFrame) -> Language:
     """From a bounded sample of texts."""
-    few = docs.select("doc_id", "text").filter(F.octet_length("text") <= SAMPLE_BYTES)
-    few = few.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(SAMPLE_TEXTS)
+    few = smallest_hashes(docs.select("doc_id", "text"), SAMPLE_TEXTS, "doc_id", F.xxhash64("text"))
+    few = few.filter(F.octet_length("text") <= SAMPLE_BYTES)
     words = few.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
     counted = stored(words.groupBy("word").count(), "language")
     pairs = counted.select("count", F.explode(F.transform(
