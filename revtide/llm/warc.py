@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from revtide.llm.base import stored, utf8
+from revtide.llm.base import smallest_hashes, stored, utf8
 from revtide.session import work_folder
 
 MIN_REVISIT = 100
@@ -118,9 +118,8 @@ def _file_system(folder: str):
 
 def train_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from a bounded sample of pages; empty where there are too few."""
-    few = pages.select("page_id", "html").filter(
-        (F.octet_length("html") <= SAMPLE_PAGE_BYTES) & (F.octet_length("html") > 0))
-    few = few.orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(SAMPLE_PAGES)
+    few = smallest_hashes(pages.select("page_id", "html"), SAMPLE_PAGES, "page_id", F.xxhash64("html"))
+    few = few.filter((F.octet_length("html") <= SAMPLE_PAGE_BYTES) & (F.octet_length("html") > 0))
     samples = [row.html.encode() for row in few.toLocalIterator()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes() if samples else b""
