@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.base import crc_fold, utf8
+from revtide.llm.base import crc_fold, smallest_hashes, utf8
 
 #: The training sample: at most so many labelled rows, each of at most so many bytes.
 SAMPLE_ROWS, SAMPLE_BYTES = 4_000, 32_768
@@ -119,7 +119,7 @@ def sample(docs: DataFrame, labels: DataFrame, seed: int = 7) -> DataFrame:
         F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & (crc_fold(F.col("doc_id"), 3) != 1)
     )
     order = [F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "label"]
-    chosen = F.broadcast(marked.orderBy(*order).limit(SAMPLE_ROWS))  # a bounded side
+    chosen = F.broadcast(smallest_hashes(marked, SAMPLE_ROWS, "doc_id", "label", seed=seed))  # a bounded side
     rows = docs.select("doc_id", "text").filter(F.octet_length("text") <= SAMPLE_BYTES)
     return rows.join(chosen, "doc_id").orderBy(*order, F.xxhash64("text")).limit(SAMPLE_ROWS)
 
