@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from revtide.llm.base import stored
+from revtide.llm.base import smallest_hashes, stored
 
 #: The k-means sample and its rounds; vectors per list aimed at, and the most lists.
 SAMPLE, ROUNDS, PER_LIST, MOST_LISTS = 16_384, 12, 1_000, 4_096
@@ -68,7 +68,7 @@ class Index:
 
 def fit(entries: DataFrame, seed: int = 11) -> Index:
     """Spherical k-means on the entries with the smallest hashed ids."""
-    few = entries.select("id", "v").orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(SAMPLE).toPandas()
+    few = smallest_hashes(entries.select("id", "v"), SAMPLE, "id", seed=seed).toPandas()
     rows = np.stack(few["v"]) if len(few) else np.zeros((1, 1))
     n = entries.count()
     k = int(np.clip(n // PER_LIST, 1, min(MOST_LISTS, len(rows))))
