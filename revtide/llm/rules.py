@@ -17,11 +17,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.base import native_words
+from revtide.llm.base import native_words, smallest_hashes
 
 WINDOW, LEAST_WORDS, REPEATED_PERCENT = 3, 50, 50
-#: Documents that rules are measured on, and how often each is run; the bound of the sample.
-SAMPLE_ROWS, SAMPLE_BYTES, RUNS = 400, 16_384, 3
+#: Twice so many documents, of at most so many bytes, are what rules are measured on; runs of each.
+SAMPLE_ROWS, SAMPLE_BYTES, RUNS = 200, 16_384, 3
 SYMBOLS, SPACE_CHARS = "#*$%&|<>", " \t\n\x0b\x0c\r"
 
 
@@ -104,8 +104,8 @@ RULES = [
 
 def sample(docs: DataFrame) -> DataFrame:
     """A bounded sample for measuring rules; it decides only their order."""
-    few = docs.select("doc_id", "text").filter(F.octet_length("text") <= SAMPLE_BYTES)
-    return few.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(SAMPLE_ROWS)
+    few = smallest_hashes(docs.select("doc_id", "text"), 2 * SAMPLE_ROWS, "doc_id", F.xxhash64("text"))
+    return few.filter(F.octet_length("text") <= SAMPLE_BYTES)
 
 
 def measured(docs: DataFrame, rules: list[Rule]) -> list[tuple[Rule, float, float]]:
