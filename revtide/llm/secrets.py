@@ -1,7 +1,9 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-A candidate is the value in a word of 12 characters or more that holds letters and digits:
-what follows `name=` or `name:`, else its longest plain run. A random forest judges it by
+A word of 12 characters or more that holds letters and digits gives candidates, each with
+a digit: what follows `name=` or `name:` at its start, else its first plain run; and of each
+piece between delimiters what follows a name (quoted names and URL parameters too), and
+every plain run. A random forest judges a candidate by
 length, character transitions, dictionary coverage, the path it comes from and the words
 around it. The forest is Spark's, trained on a bounded sample of labelled findings; its
 trees become one SQL expression, so scanning, scoring and redaction are a single pass over
@@ -32,6 +34,12 @@ REDACTED = "[SECRET]"
 
 NAMED = r"^[^A-Za-z0-9]*[A-Za-z][A-Za-z0-9_.-]*(?:=|:)+[\"']?([^\"',;]{8,})"
 PLAIN = r"[A-Za-z0-9+/_.~-]{12,}={0,2}"
+#: A piece of a word: a name with its sign, if any, and what runs up to the next delimiter.
+NAME = r"(?<![A-Za-z0-9_.-])[_.-]*+[A-Za-z][A-Za-z0-9_.-]*+(?:\\?[\"'])?[=:]++(?:\\?[\"'])?"
+BODY = r"[!#-%*+\-./0-9@A-Z^_a-z~]{8,}={0,2}"
+#: The host of a mail address is no candidate of its own beside what comes before it.
+HOST = r"@[a-z0-9-]++(?:\.[a-z0-9-]+)*\.[a-z]{2,}(?![A-Za-z0-9+/_~-])"
+PIECE, NAMED_PIECE = f"(?:{NAME})?{BODY}", f"^{NAME}({BODY})$"
 SECRET_WORDS = "pass(word|wd|phrase)?|pwd|secret|token|api.?key|access.?key|private|credential|auth|bearer|client.?id"
 HARMLESS_WORDS = "example|sample|dummy|test|fake|placeholder|your|version|commit|hash|checksum|uuid|http|www|mail"
 HARMLESS_PATHS = "test|example|sample|docs?/|fixture|mock"
@@ -42,26 +50,55 @@ ISSUED = (r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-|^
 
 # --- findings -------------------------------------------------------------
 
+KIND = "array<struct<value:string,named:boolean,before:string,word:string>>"
+
+
 def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def candidates(text: Column, path: Column) -> Column:
-    """An array of (at, value, named, before, after, path); `at` counts the words before."""
+    """An array of (at, value, named, before, after, path, word); `at` counts the words before.
+
+    `word` is the piece that the value is in, or the whole word.
+    """
     def near(words: Column, i: Column, steps: range) -> Column:
         return F.lower(F.concat_ws(" ", *[F.get(words, i + k) for k in steps]))
 
+    def found(value: Column, named: Column, before: Column, word: Column) -> Column:
+        return F.struct(F.rtrim(value, F.lit("\"'.)")).alias("value"), named.alias("named"),
+                        F.lower(F.coalesce(before, F.lit(""))).alias("before"), word.alias("word"))
+
+    def of_piece(pieces: Column, piece: Column, j: Column) -> Column:
+        """What is named in a piece, and its plain runs; a run without a name has the piece before it."""
+        def values(body: Column) -> Column:
+            name = F.regexp_extract(piece, r"^(.*?)[=:]", 1)
+            before = F.when(name != "", name).when(j > 0, F.get(pieces, j - 1))
+            named = F.when(body != "", F.array(found(body, F.lit(True), before, piece)))
+            runs = F.filter(F.regexp_extract_all(F.regexp_replace(piece, HOST, "@"), F.lit(PLAIN), F.lit(0)), lambda r: r != body)
+            return F.concat(F.coalesce(named, F.array().cast(KIND)), F.transform(runs, lambda r: found(r, F.lit(False), before, piece)))
+
+        return _let(F.regexp_extract(piece, NAMED_PIECE, 1), values)
+
+    def of_word(word: Column) -> Column:
+        def with_whole(inner: Column) -> Column:
+            named = F.regexp_extract(word, NAMED, 1)
+            value = F.when(named != "", named).otherwise(F.regexp_extract(word, PLAIN, 0))
+            whole = found(value, named != "", F.regexp_extract(word, r"^(.*?)[=:]", 1), word)
+            return _let(whole, lambda x: F.when(F.exists(inner, lambda y: y["value"] == x["value"]), inner).otherwise(F.concat(F.array(x), inner)))
+
+        pieces = F.regexp_extract_all(word, F.lit(PIECE), F.lit(0))
+        return _let(_let(pieces, lambda p: F.flatten(F.transform(p, lambda piece, j: of_piece(p, piece, j)))), with_whole)
+
     def one(words: Column, word: Column, i: Column) -> Column:
-        named = F.regexp_extract(word, NAMED, 1)
-        value = F.when(named != "", named).otherwise(F.regexp_extract(word, PLAIN, 0))
         shaped = (F.length(word) >= 12) & word.rlike("[0-9]") & word.rlike("[A-Za-z]")
-        return F.when(shaped, F.struct(
-            i.alias("at"), F.rtrim(value, F.lit("\"'.)")).alias("value"), (named != "").alias("named"),
-            F.concat_ws(" ", near(words, i, range(-3, 0)), F.lower(F.regexp_extract(word, r"^(.*?)[=:]", 1))).alias("before"),
-            near(words, i, range(1, 2)).alias("after"), F.lower(F.coalesce(path, F.lit(""))).alias("path"), word.alias("word")))
+        return F.when(shaped, F.transform(F.filter(of_word(word), lambda x: x["value"].rlike("[0-9]")), lambda x: F.struct(
+            i.alias("at"), x["value"].alias("value"), x["named"].alias("named"),
+            F.concat_ws(" ", near(words, i, range(-3, 0)), x["before"]).alias("before"),
+            near(words, i, range(1, 2)).alias("after"), F.lower(F.coalesce(path, F.lit(""))).alias("path"), x["word"].alias("word"))))
 
-    return _let(native_words(text), lambda w: F.filter(
-        F.transform(w, lambda x, i: one(w, x, i)), lambda f: f.isNotNull() & f["value"].rlike("[0-9]")))
+    return _let(native_words(text), lambda w: F.flatten(F.filter(
+        F.transform(w, lambda x, i: one(w, x, i)), lambda f: f.isNotNull())))
 
 
 # --- features -------------------------------------------------------------
