@@ -5,7 +5,7 @@ a digit: what follows `name=` or `name:` at its start, else its first plain run;
 piece between delimiters what follows a name (quoted names and URL parameters too), and
 every plain run. A random forest judges a candidate by
 length, character transitions, dictionary coverage, the path it comes from and the words
-around it. The forest is Spark's, trained on a bounded sample of labelled findings; its
+around it. The forest is Spark's, trained on a bounded sample of labelled findings of each kind; its
 trees become one SQL expression, so scanning, scoring and redaction are a single pass over
 each text, in DataFrame functions only.
 
@@ -197,14 +197,17 @@ def _tree_sql(node) -> str:
 def train(examples: DataFrame, seed: int = 5) -> str:
     """The forest as SQL over a finding `x`: the share of trees that call it a secret.
 
-    At most SAMPLE_FINDINGS examples, those with the smallest hashes.
+    Half of SAMPLE_FINDINGS of each kind at most, over distinct (value, before), those with
+    the smallest hashes; a constant only if all examples are of one kind.
     """
-    order = [F.xxhash64("value", "before"), "value", "before", "doc_id", "at"]
-    few = stored(examples.select(*order[1:], "f", "label").orderBy(*order).limit(SAMPLE_FINDINGS), "labelled")
-    kinds = [r[0] for r in few.select("label").distinct().collect()]
+    same = examples.groupBy("label", "value", "before").agg(F.min(F.struct("doc_id", "at", "f")).alias("x"))
+    keyed = stored(same.select(F.xxhash64("value", "before").alias("key"), "value", "before", "x.f", "label"), "examples")
+    kinds = sorted(r[0] for r in keyed.select("label").distinct().collect())
     if len(kinds) < 2:
         return f"{kinds[0] if kinds else 1.0}D"
-    rows = few.repartition(1).sortWithinPartitions(*order).select(*[f"f.{n}" for n in NAMES], "label")
+    few = [smallest_hashes(keyed.filter(F.col("label") == k), SAMPLE_FINDINGS // 2, "key", "value", "before") for k in kinds]
+    few = stored(few[0].union(few[1]), "labelled")
+    rows = few.repartition(1).sortWithinPartitions("key", "value", "before", "label").select(*[f"f.{n}" for n in NAMES], "label")
     vectors = VectorAssembler(inputCols=NAMES, outputCol="features").transform(rows)
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, subsamplingRate=0.8).fit(vectors)
     trees = [_tree_sql(tree._call_java("rootNode")) for tree in forest.trees]

@@ -83,6 +83,14 @@ def test_every_secret_of_a_word_is_a_candidate_and_redacted(spark, text, want):
     assert not any(s in hidden for s in want)
 
 
+def test_the_sample_holds_both_kinds_whatever_their_shares(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "SAMPLE_FINDINGS", 40)
+    secret = [f"AKIA{i:016d}" for i in range(12)]
+    texts = [f"see https://host{i}.net/page{i}" for i in range(3000)] + ["mail me.1@mail7.example.com"] * 3000 + [f"key {s}" for s in secret]
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    assert {r.value for r in secrets.scan(docs).filter("is_secret").collect()} == set(secret)
+
+
 # --- mixing ---------------------------------------------------------------
 
 def water_filling(sizes):
