@@ -28,8 +28,8 @@ from revtide.llm.base import native_words, smallest_hashes, stored
 
 #: Findings the forest is trained on, and its size.
 SAMPLE_FINDINGS, TREES, DEPTH, THRESHOLD = 5_000, 24, 5, 0.5
-#: The sample of texts behind the dictionary, and how many words and letter pairs it keeps.
-SAMPLE_TEXTS, SAMPLE_BYTES, WORDS, PAIRS = 1_000, 16_384, 400, 150
+#: How many words and letter pairs of all texts the dictionary keeps.
+WORDS, PAIRS = 400, 150
 REDACTED = "[SECRET]"
 
 NAMED = r"^[^A-Za-z0-9]*[A-Za-z][A-Za-z0-9_.-]*(?:=|:)+[\"']?([^\"',;]{8,})"
@@ -112,10 +112,8 @@ class Language:
 
 
 def language(docs: DataFrame) -> Language:
-    """From a bounded sample of texts."""
-    few = smallest_hashes(docs.select("doc_id", "text"), SAMPLE_TEXTS, "doc_id", F.xxhash64("text"))
-    few = few.filter(F.octet_length("text") <= SAMPLE_BYTES)
-    words = few.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
+    """From the word counts of all texts."""
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
     counted = stored(words.groupBy("word").count(), "language")
     pairs = counted.select("count", F.explode(F.transform(
         F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substr("word", i, F.lit(2)))).alias("pair"))

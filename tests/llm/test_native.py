@@ -91,6 +91,12 @@ def test_the_sample_holds_both_kinds_whatever_their_shares(spark, monkeypatch):
     assert {r.value for r in secrets.scan(docs).filter("is_secret").collect()} == set(secret)
 
 
+def test_the_dictionary_counts_all_texts(spark):
+    docs = [(7, "common words")] * 2000 + [(i, "palabra rara " * 300) for i in range(4)] + [(90, "largo " * 20000)]
+    known = secrets.language(spark.createDataFrame([(i, t, None) for i, t in docs], "doc_id long, text string, source string"))
+    assert known.words == ("largo", "common", "words", "palabra", "rara")
+
+
 # --- mixing ---------------------------------------------------------------
 
 def water_filling(sizes):
