@@ -248,7 +248,12 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One row of each component, that with the smallest id; nulls come last. All columns."""
-    each = classified(docs, radius).groupBy("component", "doc_id", "key").agg(F.count("*").alias("n"))
+    return first_of_each(docs, classified(docs, radius))
+
+
+def first_of_each(docs: DataFrame, component_of: DataFrame) -> DataFrame:
+    """The row with the smallest id of each component; rows of `component_of` are (key, doc_id, component)."""
+    each = component_of.groupBy("component", "doc_id", "key").agg(F.count("*").alias("n"))
     first = F.struct(F.isnull("doc_id"), "doc_id", "key")
     chosen = stored(each.groupBy("component").agg(F.min_by(F.struct("doc_id", "key", "n"), first).alias("x")).select(
         F.col("x.doc_id").alias("_id"), F.col("x.key").alias("_key"), F.col("x.n").alias("_n")), "chosen")
