@@ -73,6 +73,7 @@ def fit(entries: DataFrame, seed: int = 11) -> Index:
     n = entries.count()
     k = int(np.clip(n // PER_LIST, 1, min(MOST_LISTS, len(rows))))
     random = np.random.default_rng(seed)
+    whole = rows
     rows = rows / np.linalg.norm(rows, axis=1, keepdims=True).clip(1e-300)
     centroids = rows[random.choice(len(rows), k, replace=False)]
     for _ in range(ROUNDS):
@@ -82,15 +83,17 @@ def fit(entries: DataFrame, seed: int = 11) -> Index:
         norms = np.linalg.norm(sums, axis=1, keepdims=True)
         centroids = np.where(norms > 0, sums / norms.clip(1e-300), centroids)
     rotation = np.linalg.qr(random.standard_normal((rows.shape[1],) * 2))[0]
-    return Index(centroids, rotation, lists_needed(rows, centroids))
+    return Index(centroids, rotation, lists_needed(whole, centroids))
 
 
 def lists_needed(rows: np.ndarray, centroids: np.ndarray) -> int:
-    """How many lists hold COVERAGE of the nearest sample rows of some sample rows.
+    """How many lists hold COVERAGE of the sample rows with the largest inner products with some of them.
+
+    Lists go by direction, neighbours by the vectors as they are.
 
     Nearer neighbours, as a fuller table has them, lie in no more lists.
     """
-    own, some = np.argmax(rows @ centroids.T, axis=1), rows[:TRIALS]
+    own, some = np.argmax(rows @ centroids.T, axis=1), rows[:TRIALS]  # a length moves no argmax
     scores = some @ rows.T
     scores[np.arange(len(some)), np.arange(len(some))] = -np.inf
     near = np.argsort(-scores, axis=1)[:, :min(NEIGHBOURS, len(rows))]

@@ -56,6 +56,20 @@ def test_several_lists_and_blocks_with_very_many_copies(spark, monkeypatch):
     assert got[300] == want[300] and got[590] == want[590]
 
 
+def test_lists_to_visit_hold_the_best_of_clustered_vectors_of_uneven_length(spark, monkeypatch):
+    monkeypatch.setattr(ann, "PER_LIST", 100)
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((20, 32))
+    vectors = centres[rng.integers(0, 20, 2000)] + 0.3 * rng.standard_normal((2000, 32))
+    vectors *= np.exp(rng.standard_normal((2000, 1))) / np.linalg.norm(vectors, axis=1, keepdims=True)
+    ids = list(range(2000))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors)], "vec_id long, v array<double>")
+    got = found(ann.search(frame, "vec_id", "v", F.col("id") % 20 == 0, 20))
+    want = exact(ids, vectors, range(0, 2000, 20), 20)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.93 * 20 * len(want)
+
+
 def test_test_never_abandons_the_clearly_best():
     rng = np.random.default_rng(7)
     vectors = rng.standard_normal((500, 64))
