@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtide.llm import ann, bpe, interpolation, mixing, quality_model, rules, secrets, simhash, token_counts, warc
+from revtide.llm import (
+    ann, bpe, interpolation, mixing, quality_model, repair, rules, secrets, simhash, token_counts, warc,
+)
 from revtide.llm.base import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +90,8 @@ def _(spark, sf):
 @query("op10_warc", warc.SQL)
 def _(spark, sf):
     return warc.round_trip(read(spark, sf, "pages"))
+
+
+@query("op13_structure_repair", repair.SQL)
+def _(spark, sf):
+    return repair.report(read(spark, sf, "conversations"))
