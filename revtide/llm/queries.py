@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtide.llm import (
-    ann, bpe, interpolation, mixing, quality_model, repair, rules, secrets, simhash, token_counts, warc,
+    ann, bpe, interpolation, mixing, quality_model, repair, rules, secrets, simhash, token_counts, trie, warc,
 )
 from revtide.llm.base import read
 
@@ -95,3 +95,8 @@ def _(spark, sf):
 @query("op13_structure_repair", repair.SQL)
 def _(spark, sf):
     return repair.report(read(spark, sf, "conversations"))
+
+
+@query("op12_prefix_trie", trie.SQL)
+def _(spark, sf):
+    return trie.report(read(spark, sf, "conversations"))
