@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtide.llm import (
-    ann, bpe, interpolation, mixing, quality_model, repair, rules, secrets, simhash, token_counts, trie, warc,
+    ann, bpe, interpolation, mixing, quality_model, repair, rules, secrets, simhash, token_counts, toxicity, trie, warc,
 )
 from revtide.llm.base import read
 
@@ -100,3 +100,8 @@ def _(spark, sf):
 @query("op12_prefix_trie", trie.SQL)
 def _(spark, sf):
     return trie.report(read(spark, sf, "conversations"))
+
+
+@query("op11_toxicity")
+def _(spark, sf):
+    return toxicity.predictions(read(spark, sf, "documents"), read(spark, sf, "labels"))
