@@ -37,6 +37,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def unused_name(df: DataFrame, base: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def smallest_hashes(df: DataFrame, n: int, id_column: str, *ties, seed: int | None = None) -> DataFrame:
     """At most n rows, those whose ids hash lowest: a bounded sample that is the same in reruns.
 

@@ -24,13 +24,14 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.base import native_words, smallest_hashes, stored
+from revtide.llm.base import SPACES, native_words, smallest_hashes, stored, unused_name
 
 #: Findings the forest is trained on, and its size.
 SAMPLE_FINDINGS, TREES, DEPTH, THRESHOLD = 5_000, 24, 5, 0.5
 #: How many words and letter pairs of all texts the dictionary keeps.
 WORDS, PAIRS = 400, 150
 REDACTED = "[SECRET]"
+WORD = r"[^\x20\x09-\x0D]+"
 
 NAMED = r"^[^A-Za-z0-9]*[A-Za-z][A-Za-z0-9_.-]*(?:=|:)+[\"']?([^\"',;]{8,})"
 PLAIN = r"[A-Za-z0-9+/_.~-]{12,}={0,2}"
@@ -57,10 +58,10 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def candidates(text: Column, path: Column) -> Column:
-    """An array of (at, value, named, before, after, path, word); `at` counts the words before.
+def by_word(text: Column, path: Column) -> Column:
+    """Per word its candidates as an array of (at, value, named, before, after, path, word), or null.
 
-    `word` is the piece that the value is in, or the whole word.
+    `at` counts the words before; `word` is the piece that the value is in, or the whole word.
     """
     def near(words: Column, i: Column, steps: range) -> Column:
         return F.lower(F.concat_ws(" ", *[F.get(words, i + k) for k in steps]))
@@ -97,8 +98,16 @@ def candidates(text: Column, path: Column) -> Column:
             F.concat_ws(" ", near(words, i, range(-3, 0)), x["before"]).alias("before"),
             near(words, i, range(1, 2)).alias("after"), F.lower(F.coalesce(path, F.lit(""))).alias("path"), x["word"].alias("word"))))
 
-    return _let(native_words(text), lambda w: F.flatten(F.filter(
-        F.transform(w, lambda x, i: one(w, x, i)), lambda f: f.isNotNull())))
+    return _let(native_words(text), lambda w: F.transform(w, lambda x, i: one(w, x, i)))
+
+
+def _flat(per_word: Column) -> Column:
+    return F.flatten(F.filter(per_word, lambda f: f.isNotNull()))
+
+
+def candidates(text: Column, path: Column) -> Column:
+    """All candidates of a text in one array."""
+    return _flat(by_word(text, path))
 
 
 # --- features -------------------------------------------------------------
@@ -160,11 +169,13 @@ NAMES = ["length", "changes", "usual_pairs", "dictionary", "digits", "capitals",
          "named", "secret_word", "harmless_word", "harmless_path", "address"]
 
 
-def findings(docs: DataFrame, known: Language, path: str = "source") -> Column:
-    """An array of findings with their features."""
-    return F.transform(candidates(F.col("text"), F.col(path)), lambda x: F.struct(
-        *[x[c].alias(c) for c in ("at", "value", "named", "before", "after", "path", "word")],
-        F.struct(*[c.alias(n) for n, c in features(x, known).items()]).alias("f")))
+def findings(known: Language, path: str = "source") -> Column:
+    """Per word an array of findings with their features, or null."""
+    def with_features(x: Column) -> Column:
+        return F.struct(*[x[c].alias(c) for c in ("at", "value", "named", "before", "after", "path", "word")],
+                        F.struct(*[c.alias(n) for n, c in features(x, known).items()]).alias("f"))
+
+    return F.transform(by_word(F.col("text"), F.col(path)), lambda found: F.transform(found, with_features))
 
 
 # --- labels and the forest ------------------------------------------------
@@ -215,31 +226,50 @@ def train(examples: DataFrame, seed: int = 5) -> str:
 def fit(docs: DataFrame, path: str = "source") -> tuple[Language, str]:
     """The language of the texts and a forest trained on their labelled findings."""
     known = language(docs)
-    found = docs.select("doc_id", F.explode(findings(docs, known, path)).alias("x")).select("doc_id", "x.*")
+    found = docs.select("doc_id", F.explode(_flat(findings(known, path))).alias("x")).select("doc_id", "x.*")
     return known, train(labelled(found))
 
 
-def _scored(docs: DataFrame, model: tuple[Language, str], path: str) -> DataFrame:
+def _scored(docs: DataFrame, model: tuple[Language, str], path: str, out: str) -> DataFrame:
+    """The documents and, per word, its findings with scores in the column `out`."""
     known, forest = model
-    found = docs.withColumn("_found", findings(docs, known, path))
-    return found.withColumn("_found", F.expr(f"transform(_found, x -> struct(x.at, x.value, {forest} as score))"))
+    found = docs.withColumn(out, findings(known, path))
+    return found.withColumn(out, F.expr(
+        f"transform({out}, found -> transform(found, x -> struct(x.at, x.value, {forest} as score)))"))
 
 
 def scan(docs: DataFrame, model: tuple[Language, str] | None = None, path: str = "source") -> DataFrame:
     """A row per finding: doc_id, at, value, score and is_secret."""
     rows = docs.select("doc_id", "text", path)
-    scored = _scored(rows, model or fit(rows, path), path)
-    return scored.select("doc_id", F.explode("_found").alias("x")).select(
+    scored = _scored(rows, model or fit(rows, path), path, "found")
+    return scored.select("doc_id", F.explode(_flat(F.col("found"))).alias("x")).select(
         "doc_id", "x.at", "x.value", "x.score", (F.col("x.score") >= THRESHOLD).alias("is_secret"))
 
 
 def redact(docs: DataFrame, model: tuple[Language, str] | None = None, path: str = "source") -> DataFrame:
-    """All documents and columns, with REDACTED in the place of each secret value."""
-    scored = _scored(docs, model or fit(docs, path), path)
-    hidden = F.aggregate(
-        F.filter("_found", lambda x: x["score"] >= THRESHOLD), F.col("text"),
-        lambda text, x: F.replace(text, x["value"], F.lit(REDACTED)))
-    return scored.withColumn("text", hidden).select(*docs.columns)
+    """All documents and columns, with REDACTED in the place of each secret value.
+
+    A value is replaced in the word that it was found in, the longest of a word first, so
+    that none leaves its tail where another one is its beginning.
+    """
+    found = unused_name(docs, "found")
+    scored = _scored(docs, model or fit(docs, path), path, found)
+
+    def hidden(word: Column, of_word: Column) -> Column:
+        values = F.array_sort(
+            F.filter(of_word, lambda x: x["score"] >= THRESHOLD), lambda a, b: F.length(b["value"]) - F.length(a["value"]))
+        return F.aggregate(values, word, lambda text, x: F.replace(text, x["value"], F.lit(REDACTED)))
+
+    def rebuilt(runs: Column) -> Column:
+        """Runs of words and of spaces follow each other in turn."""
+        first = F.get(runs, F.lit(0)).rlike(f"^{SPACES}").cast("int")
+        return F.array_join(F.transform(runs, lambda run, i: F.when(
+            F.pmod(i - first, F.lit(2)) == 0, F.coalesce(hidden(run, F.get(F.col(found), ((i - first) / 2).cast("int"))), run))
+            .otherwise(run)), "")
+
+    secret = F.exists(found, lambda of_word: F.coalesce(F.exists(of_word, lambda x: x["score"] >= THRESHOLD), F.lit(False)))
+    text = F.when(secret, rebuilt(F.regexp_extract_all("text", F.lit(f"{SPACES}|{WORD}"), F.lit(0)))).otherwise(F.col("text"))
+    return scored.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from revtide.llm.base import stored, utf8
+from revtide.llm.base import stored, unused_name, utf8
 from revtide.llm.components import connected_components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -253,13 +253,14 @@ def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def first_of_each(docs: DataFrame, component_of: DataFrame) -> DataFrame:
     """The row with the smallest id of each component; rows of `component_of` are (key, doc_id, component)."""
+    of_id, of_key, count, place = (unused_name(docs, n) for n in ("of_id", "of_key", "rows", "place"))
     each = component_of.groupBy("component", "doc_id", "key").agg(F.count("*").alias("n"))
     first = F.struct(F.isnull("doc_id"), "doc_id", "key")
     chosen = stored(each.groupBy("component").agg(F.min_by(F.struct("doc_id", "key", "n"), first).alias("x")).select(
-        F.col("x.doc_id").alias("_id"), F.col("x.key").alias("_key"), F.col("x.n").alias("_n")), "chosen")
-    mine = F.xxhash64(docs["doc_id"], docs["text"]) == chosen["_key"]
-    kept = docs.join(chosen, mine & docs["doc_id"].eqNullSafe(chosen["_id"]))
-    if chosen.filter("_n > 1").head(1):  # the row itself is repeated
-        nth = F.row_number().over(W.partitionBy("_key", "_id").orderBy("_id"))
-        kept = kept.withColumn("_nth", nth).filter("_nth = 1")
+        F.col("x.doc_id").alias(of_id), F.col("x.key").alias(of_key), F.col("x.n").alias(count)), "chosen")
+    mine = F.xxhash64(docs["doc_id"], docs["text"]) == chosen[of_key]
+    kept = docs.join(chosen, mine & docs["doc_id"].eqNullSafe(chosen[of_id]))
+    if chosen.filter(F.col(count) > 1).head(1):  # the row itself is repeated
+        nth = F.row_number().over(W.partitionBy(of_key, of_id).orderBy(of_id))
+        kept = kept.withColumn(place, nth).filter(F.col(place) == 1)
     return kept.select(*[docs[c] for c in docs.columns])

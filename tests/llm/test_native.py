@@ -83,6 +83,32 @@ def test_every_secret_of_a_word_is_a_candidate_and_redacted(spark, text, want):
     assert not any(s in hidden for s in want)
 
 
+ALL = (secrets.Language((), ()), "1.0D")
+
+
+@pytest.mark.parametrize("text,want", [
+    (f"key={AKIA} then token={AKIA}XYZTAILSECRET99", "key=[SECRET] then token=[SECRET]"),
+    (f"a {AKIA},{AKIA}TAIL99 b", "a [SECRET],[SECRET] b"),
+    (f" \n{AKIA}\t\x0b{AKIA}9 ", " \n[SECRET]\t\x0b[SECRET] "),
+    ("no secret  here\n", "no secret  here\n"), ("", ""), (None, None), (" \t ", " \t "),
+])
+def test_redaction_leaves_no_tail_and_all_else(spark, text, want):
+    docs = spark.createDataFrame([(1, text, None)], "doc_id long, text string, source string")
+    assert secrets.redact(docs, ALL).first().text == want
+
+
+def test_a_value_is_redacted_in_its_own_word_only(spark):
+    docs = spark.createDataFrame([(1, "password=abcd1234 and xabcd1234x", None)], "doc_id long, text string, source string")
+    only = (secrets.Language((), ()), "case when x.named then 1.0D else 0.0D end")
+    assert secrets.redact(docs, only).first().text == "password=[SECRET] and xabcd1234x"
+
+
+def test_redaction_gives_clashing_columns_back_as_they_were(spark):
+    docs = spark.createDataFrame([(1, f"key {AKIA}", None, "mine", "too")], "doc_id long, text string, source string, found string, found_ string")
+    out = secrets.redact(docs, ALL)
+    assert out.columns == docs.columns and tuple(out.first()) == (1, "key [SECRET]", None, "mine", "too")
+
+
 def test_the_sample_holds_both_kinds_whatever_their_shares(spark, monkeypatch):
     monkeypatch.setattr(secrets, "SAMPLE_FINDINGS", 40)
     secret = [f"AKIA{i:016d}" for i in range(12)]

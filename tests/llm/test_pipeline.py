@@ -11,7 +11,7 @@ from revtide.llm import bpe, mixing
 from revtide.llm.base import read, stored
 from tests.llm.helpers import odd_documents, texts, words
 from tests.llm.test_native import planted, water_filling
-from tests.llm.test_simhash import expected
+from tests.llm.test_near import kept_of
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -31,7 +31,7 @@ def test_stages(spark):
     assert np.mean([(d in kept) == (y == 1) for d, y in labels.items()]) > 0.97
 
     unique, single = after("near-duplicates", good)
-    assert unique.columns == columns and sorted(single) == sorted({c for _, _, c in expected(list(kept.items()))})
+    assert unique.columns == columns and sorted(single) == kept_of(list(kept.items()))
 
     clean, safe = after("secrets", unique)
     assert clean.columns == columns and safe.keys() == single.keys()
@@ -81,3 +81,11 @@ def test_stages_take_odd_and_empty_documents(spark):
             before, docs = docs, stored(stage(spark, docs, "/root/testdata/sf0.001"), "stage")
             if name != "byte-level BPE":
                 assert docs.columns == before.columns
+
+
+def test_stages_give_clashing_columns_back(spark):
+    docs = odd_documents(spark).selectExpr("doc_id", "text", "lang", "source", "n_chars", "'a' as quality", "'b' as found", "'c' as of_key", "'d' as of_id", "'e' as rows", "'f' as place")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns, name
+        assert {tuple(r)[5:] for r in out.collect()} <= {("a", "b", "c", "d", "e", "f")}, name
