@@ -37,6 +37,8 @@ SAMPLE_ROWS, TERMS = 8_000, 4_096
 #: A term is this many times as frequent among toxic examples, and as unlikely by chance (log-likelihood ratio).
 LIFT, LEAST_RATIO = 2.0, 16.0
 NEIGHBOURS, BLOCK, NEAREST = 16, 64, 0.1
+#: Documents that one task scores.
+SCORED_ROWS = 20_000
 THRESHOLD = 0.3
 PIECE_CHARS = 1 << 20
 WORD = re.compile(r"[^\W\d_]+")
@@ -74,7 +76,7 @@ def examples(docs: DataFrame, marked: DataFrame) -> DataFrame:
     chosen = [smallest_hashes(rows, SAMPLE_ROWS // 2, "doc_id", seed=11) for rows in kinds]
     few = stored(chosen[0].union(chosen[1]), "chosen")  # a bounded side
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(few), "doc_id")
-    single = texts.groupBy("label", F.sha2("text", 256).alias("digest")).agg(F.min("text").alias("text"))
+    known = texts.select("label", F.sha2("text", 256).alias("digest"), "text")
     schema = pa.schema([("label", pa.int32()), ("digest", pa.string()), ("mark", pa.int64()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 
     def run(batches):
@@ -84,7 +86,9 @@ def examples(docs: DataFrame, marked: DataFrame) -> DataFrame:
                 batch.column("label"), batch.column("digest"), pa.array(map(mark, found), pa.int64()),
                 pa.array([list(f) for f in found], schema.types[3]), pa.array([list(f.values()) for f in found], schema.types[4])], schema=schema)
 
-    found = stored(single.mapInArrow(run, "label int, digest string, mark long, words array<string>, counts array<long>"), "examples")
+    counted = known.mapInArrow(run, "label int, digest string, mark long, words array<string>, counts array<long>")
+    found = stored(counted.groupBy("label", "digest").agg(
+        *[F.any_value(c).alias(c) for c in ("mark", "words", "counts")]), "examples")  # equal texts, equal words
     kept = [smallest_hashes(found.filter(F.col("label") == k), SAMPLE_ROWS // 2, "digest") for k in (0, 1)]
     return stored(kept[0].union(kept[1]), "examples")
 
@@ -312,7 +316,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), *(pa.array(list(c), t) for c, t in zip((scores, found, near), types[1:]))],
                 ["doc_id", "score", "terms", "neighbours"])
 
-    return of_docs.mapInArrow(run, SCORED)
+    # The vectors take little room and long to judge: dealt by number, not by bytes.
+    return of_docs.repartition(max(1, -(-of_docs.count() // SCORED_ROWS))).mapInArrow(run, SCORED)
 
 
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
