@@ -70,6 +70,30 @@ def scd2_check(
     return closed.unionByName(versions)
 
 
+def scd2_delta(
+    open_rows: DataFrame, current: DataFrame, key: str, check_cols: list[str], now
+) -> DataFrame:
+    """What a run changes: the versions it closes and those it opens.
+
+    For a history stored by state, closed versions apart from open ones: the closed rows of
+    this frame are appended there, the open ones replace their key's open version here.
+    Closed versions are never read. Keys missing from `current` stay open.
+    """
+    at, columns = F.lit(now).cast("timestamp_ntz"), current.columns
+    old = open_rows.select(F.col(key).alias("_key"), F.struct(*columns, *VALIDITY).alias("o"))
+    new = _opened(current, key, at).select(F.col(key).alias("_key"), F.struct(*columns, *VALIDITY).alias("n"))
+    changed = F.col("o").isNull() | ~F.struct(*[f"o.{c}" for c in check_cols]).eqNullSafe(
+        F.struct(*[f"n.{c}" for c in check_cols]))
+    closed = F.col("o").withField("valid_to", at).withField("is_current", F.lit(False))
+    pairs = new.join(old, "_key", "left").filter(changed)
+    return pairs.select(F.inline(F.array_compact(F.array(F.when(F.col("o").isNotNull(), closed), "n"))))
+
+
+def first_versions(current: DataFrame, key: str, now) -> DataFrame:
+    """The open versions of a history that begins."""
+    return _opened(current, key, F.lit(now).cast("timestamp_ntz"))
+
+
 def subscriptions_history(history: DataFrame | None, staged: DataFrame, now) -> DataFrame:
     return scd2_check(
         history, staged.select(*SUBSCRIPTION_COLUMNS), "subscription_id", SUBSCRIPTION_CHECK, now

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revtide.functions import count_true, day_of
+from revtide.operators.current import current_entity
+from revtide.operators.staging import stg_logins
 
 
 def with_built_at(df: DataFrame, built_at) -> DataFrame:
@@ -81,7 +83,8 @@ def fct_logins(staged: DataFrame, users: DataFrame, target: DataFrame | None = N
 
     Without a target: every staged login. With one: only rows loaded after
     the newest row of the target. Load time, not login time, decides, so a
-    login that is recorded late is still picked up.
+    login that is recorded late is still picked up. `changed_logins` stages
+    just those rows.
     """
     if target is not None:
         mark = F.lit(high_water_mark(target)).cast("timestamp_ntz")
@@ -95,6 +98,48 @@ def fct_logins(staged: DataFrame, users: DataFrame, target: DataFrame | None = N
     )
 
 
+def changed_logins(batch: DataFrame, changes: DataFrame, mark) -> DataFrame:
+    """The staged logins loaded after `mark`, without staging all of them.
+
+    A load of a login can change its own row and which login of its retry group is kept.
+    So: the retry groups of all rows loaded after the mark, the logins that have any row in
+    such a group, and the usual current row and retry rules over those logins alone. The
+    first scan is cut by load time, the second reads keys only, the third joins the few.
+    """
+    late = F.col("_loaded_at") > F.lit(mark).cast("timestamp_ntz")
+    event = F.coalesce("client_event_id", "login_id").alias("_event")
+    keys = [df.select("login_id", event, "_loaded_at") for df in (batch, changes)]
+    groups = keys[0].filter(late).union(keys[1].filter(late)).select("_event").distinct()
+    members = keys[0].union(keys[1]).join(groups, "_event", "left_semi").select("login_id").distinct()
+    few = [df.join(members, "login_id", "left_semi") for df in (batch, changes)]
+    return stg_logins(current_entity(*few, "logins")).filter(late)
+
+
+ACTIVITY_DAY = "coalesce(cast(cast({} as date) as string), 'none')"
+
+
+def touched_days(rows: DataFrame, target: DataFrame) -> set[str]:
+    """The days whose activity a merge of `rows` into the fact changes: theirs, and those they leave.
+
+    One text per day comes to the driver; 'none' is for logins without a time.
+    """
+    before = target.join(rows.select("login_id"), "login_id", "left_semi")
+    day = F.expr(ACTIVITY_DAY.format("logged_in_at")).alias("day")
+    return {r["day"] for r in rows.select(day).union(before.select(day)).distinct().collect()}
+
+
+def restated_activity(fact: DataFrame, days: set[str]) -> DataFrame:
+    """Daily activity of some days, from all their logins; the scan is cut to their span."""
+    known, at = sorted(days - {"none"}), F.col("logged_in_at")
+    wanted = F.lit(False)
+    if known:
+        first, last = (F.lit(d).cast("date").cast("timestamp_ntz") for d in (known[0], known[-1]))
+        wanted = (at >= first) & (at < last + F.expr("interval 1 day")) & day_of(at).cast("string").isin(known)
+    if "none" in days:
+        wanted = wanted | at.isNull()
+    return login_activity_daily(fact.filter(wanted))
+
+
 def login_activity_daily(fact: DataFrame) -> DataFrame:
     """Daily logins per organization, rebuilt in full so late rows restate their day."""
     return fact.groupBy(day_of(F.col("logged_in_at")).alias("activity_date"), "org_id").agg(

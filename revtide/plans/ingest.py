@@ -73,10 +73,12 @@ def ingest(
         )
         stamped = stamp(rows, batch_id, now).select(*schema.names)
         replaced = full_refresh or entity.mode == "full"
-        if replaced:
+        if entity.mode == "full":
             staged[name] = lake.replace(name, stamped)
+        elif full_refresh:
+            staged[name] = lake.replace_keyed(name, stamped, entity.pk, [entity.watermark])
         else:
-            staged[name] = lake.upsert(name, stamped, entity.pk, schema)
+            staged[name] = lake.upsert(name, stamped, entity.pk, schema, [entity.watermark])
         loaded = lake.read(name, schema, staged[name])
         return ingest_state(loaded, table, "full" if replaced else "upsert", now)
 

@@ -16,10 +16,13 @@ from revtide.operators import history, marts, movements
 from revtide.operators.current import current_entity
 from revtide.operators.quality import MART_RULES, UPSTREAM_RULES, freshness, run_checks
 from revtide.operators.staging import STAGING
-from revtide.session import side_by_side
+from revtide.session import side_by_side, written
 from revtide.sources.lake import Lake
 
 HISTORY = "subscriptions_history"
+#: The history is stored by state: closed versions are only added to, open ones lie by key.
+OPEN, CLOSED = f"{HISTORY}_open", f"{HISTORY}_closed"
+ACTIVITY = "fct_login_activity_daily"
 
 
 @dataclass
@@ -61,6 +64,9 @@ class Publisher:
         Read by the schema it was published with: a column that came later is null in
         older segments, whichever file Spark opens first.
         """
+        if name == HISTORY:
+            open_rows, closed = self.published(OPEN), self.published(CLOSED)
+            return None if open_rows is None else closed.unionByName(open_rows)
         schema = self.lake.schema(name)
         return None if schema is None else self.lake.read(name, schema)
 
@@ -92,37 +98,71 @@ class Publisher:
             {"int_org_month_mrr": lambda: movements.org_month_mrr(moves)}, staged
         )
 
-    def _login_fact(self, frames: dict[str, DataFrame], staged: dict, full_refresh: bool, at):
-        """Merge newly loaded logins into the published fact, segment by segment."""
+    def login_fact(self, frames: dict[str, DataFrame], staged: dict, full_refresh: bool, at):
+        """The login fact and, unless it is built anew, the days that its new rows touch.
+
+        Logins loaded since the fact's newest row are staged from their own retry groups and
+        merged into the key partitions that they fall into.
+        """
         target = None if full_refresh else self.published("fct_logins")
-        rows = marts.with_built_at(
-            marts.fct_logins(frames["stg_logins"], frames["stg_users"], target), at
-        )
+        logins = frames["stg_logins"] if target is None else marts.changed_logins(
+            self.raw("logins"), self.changes("logins"), marts.high_water_mark(target))
+        rows = marts.with_built_at(marts.fct_logins(logins, frames["stg_users"]), at)
         old = [] if target is None else target.schema.fields
         added = [f for f in rows.schema.fields if f.name not in {o.name for o in old}]
         schema = self.schemas["fct_logins"] = T.StructType([*old, *added])
+        days = None
         if target is None:
-            staged["fct_logins"] = self.lake.replace("fct_logins", rows)
+            staged["fct_logins"] = self.lake.replace_keyed("fct_logins", rows, "login_id", ["logged_in_at"])
         else:
-            staged["fct_logins"] = self.lake.upsert(
-                "fct_logins", rows.select(*[F.col(n) if n in rows.columns
-                                            else F.lit(None).cast(schema[n].dataType).alias(n)
-                                            for n in schema.names]), "login_id", schema,
-            )
-        return self.lake.read("fct_logins", schema, staged["fct_logins"])
+            rows = written(rows.select(*[F.col(n) if n in rows.columns else F.lit(None).cast(schema[n].dataType).alias(n)
+                                         for n in schema.names]), "fct_logins")
+            days = marts.touched_days(rows, target)
+            staged["fct_logins"] = self.lake.upsert("fct_logins", rows, "login_id", schema, ["logged_in_at"])
+        return self.lake.read("fct_logins", schema, staged["fct_logins"]), days
+
+    def activity(self, fact: DataFrame, days: set[str] | None, staged: dict, at) -> DataFrame:
+        """Daily activity; with `days`, only those are computed and overwritten."""
+        part = F.expr(marts.ACTIVITY_DAY.format("activity_date"))
+        schema = self.lake.schema(ACTIVITY)
+        if days is None or schema is None:
+            rows = marts.with_built_at(marts.login_activity_daily(fact), at)
+            staged[ACTIVITY] = self.lake.write_parts(ACTIVITY, rows, part, ["org_id"])
+            schema = rows.schema
+        elif days:
+            rows = marts.with_built_at(marts.restated_activity(fact, days), at)
+            staged[ACTIVITY] = self.lake.overwrite_parts(ACTIVITY, rows, part, days, ["org_id"])
+        self.schemas[ACTIVITY] = schema
+        return self.lake.read(ACTIVITY, schema, staged.get(ACTIVITY))
+
+    def subscription_history(self, subs: DataFrame, staged: dict, now) -> DataFrame:
+        """Close and open versions where subscriptions changed; other files stay."""
+        key, current = "subscription_id", subs.select(*history.SUBSCRIPTION_COLUMNS)
+        before = self.published(OPEN)
+        if before is None:
+            rows = history.first_versions(current, key, now)
+            schema = rows.schema
+            staged[OPEN], staged[CLOSED] = self.lake.replace_keyed(OPEN, rows, key), []
+        else:
+            delta = written(history.scd2_delta(before, current, key, history.SUBSCRIPTION_CHECK, now), "history")
+            schema = delta.schema
+            staged[OPEN] = self.lake.upsert(OPEN, delta.filter("is_current"), key, schema)
+            closed = delta.filter("not is_current")
+            staged[CLOSED] = self.lake.segments(CLOSED) + ([self.lake.write(CLOSED, closed)] if closed.head(1) else [])
+        self.schemas[OPEN] = self.schemas[CLOSED] = schema
+        return self.lake.read(CLOSED, schema, staged[CLOSED]).unionByName(self.lake.read(OPEN, schema, staged[OPEN]))
 
     def build_marts(
         self, frames: dict[str, DataFrame], staged: dict[str, list[str]], now, full_refresh: bool
     ) -> dict[str, DataFrame]:
         moves, subs = frames["int_subscription_movements"], frames["stg_subscriptions"]
-        fact = self._login_fact(frames, staged, full_refresh, now)
+        fact, days = self.login_fact(frames, staged, full_refresh, now)
         models = {
             "fct_mrr_monthly": lambda: movements.mrr_monthly(moves),
             "fct_plan_changes": lambda: marts.fct_plan_changes(moves),
             "dim_organizations": lambda: marts.dim_organizations(
                 frames["stg_organizations"], subs, frames["stg_users"], frames["stg_logins"]
             ),
-            "fct_login_activity_daily": lambda: marts.login_activity_daily(fact),
             "fct_invoices": lambda: marts.fct_invoices(frames["stg_invoices"]),
         }
 
@@ -130,8 +170,10 @@ class Publisher:
             return lambda: marts.with_built_at(build(), now)
 
         stages = {name: stamped(build) for name, build in models.items()}
-        stages[HISTORY] = lambda: history.subscriptions_history(self.published(HISTORY), subs, now)
-        return {"fct_logins": fact, **self._stage(stages, staged)}
+        return {
+            "fct_logins": fact, ACTIVITY: self.activity(fact, days, staged, now),
+            HISTORY: self.subscription_history(subs, staged, now), **self._stage(stages, staged),
+        }
 
     def publish(
         self, now: datetime | None = None, full_refresh: bool = False, clock=None,

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every operator relies on; safe to set on a running session.
 RUNTIME = {
@@ -55,6 +55,13 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read again: what is used twice runs once."""
+    folder = work_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def side_by_side(spark: SparkSession, work: Callable, items: Iterable) -> list:
     """Run independent Spark jobs at the same time; results in the order of the items.
 
