@@ -179,19 +179,20 @@ def mrr_monthly(movements: DataFrame) -> DataFrame:
     return _with_opening(totals)
 
 
+#: What a month looks like whose ending is not its beginning plus the flows, and one with impossible churn.
+BRIDGE_BROKEN = "ending_mrr_cents <> beginning_mrr_cents + " + " + ".join(f"{flow}_mrr_cents" for flow in FLOWS)
+CHURN_OUT_OF_BOUNDS = ("logo_churn_rate < 0 or logo_churn_rate > 1 or (active_orgs_start = 0 and logo_churn_rate is not null) "
+                       "or churned_orgs > active_orgs_start")
+
+
 def bridge_violations(bridge: DataFrame) -> DataFrame:
     """Months whose ending amount differs from the beginning plus the flows."""
-    flows = sum((F.col(f"{flow}_mrr_cents") for flow in FLOWS), F.col("beginning_mrr_cents"))
-    return bridge.filter(F.col("ending_mrr_cents") != flows).select(
+    return bridge.filter(BRIDGE_BROKEN).select(
         "month_start", "beginning_mrr_cents", *[f"{flow}_mrr_cents" for flow in FLOWS],
         "ending_mrr_cents",
     )
 
 
 def churn_bounds_violations(bridge: DataFrame) -> DataFrame:
-    rate, start = F.col("logo_churn_rate"), F.col("active_orgs_start")
-    bad = (
-        (rate < 0) | (rate > 1) | ((start == 0) & rate.isNotNull())
-        | (F.col("churned_orgs") > start)
-    )
-    return bridge.filter(bad).select("month_start", "active_orgs_start", "churned_orgs", "logo_churn_rate")
+    return bridge.filter(CHURN_OUT_OF_BOUNDS).select(
+        "month_start", "active_orgs_start", "churned_orgs", "logo_churn_rate")

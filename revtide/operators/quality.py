@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revtide.contracts import ENTITIES
-from revtide.operators.movements import bridge_violations, churn_bounds_violations
+from revtide.operators.movements import BRIDGE_BROKEN, CHURN_OUT_OF_BOUNDS
 
 FRESH_WARN_HOURS = 36
 FRESH_ERROR_HOURS = 72
@@ -155,55 +155,104 @@ class Rule:
             "non_negative": f"{self.column} < 0",
             "canceled_has_timestamp": "status = 'canceled' and canceled_at is null",
             "paid_has_timestamp": "status = 'paid' and paid_at is null",
+            "bridge_identity": BRIDGE_BROKEN,
+            "churn_bounds": CHURN_OUT_OF_BOUNDS,
         }.get(self.kind)
         if failing is None:
             return None
         return f"({self.where}) and ({failing})" if self.where else failing
 
 
-def _row_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """All row-level rules of one table in a single pass."""
-    results = ", ".join(
-        f"struct('{r.name}' as rule, '{r.severity}' as severity, "
-        f"count_if({r.condition()}) as failures)" for r in rules
-    )
-    return df.selectExpr(f"array({results}) as results").selectExpr("inline(results)")
+def _entry(condition: str, slot: str, key: str, tag: str = "") -> str:
+    return f"if({condition}, named_struct('slot', '{slot}', 'key', cast({key} as string), 'tag', '{tag}'), null)"
 
 
-def _counted(rule: Rule, failing: DataFrame, measure: str) -> DataFrame:
-    return failing.selectExpr(
-        f"'{rule.name}' as rule", f"'{rule.severity}' as severity",
-        f"coalesce({measure}, 0L) as failures",
-    )
+def _entries(table: str, df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """What one scan of a table gives to all rules: (slot, key, tag).
+
+    A failing row of a row-level rule goes to the rule's own slot. Every value of a key
+    column goes to the column's slot: without a tag from the table that the key belongs to,
+    with the rule's name from the tables that refer to it.
+    """
+    found = []
+    slots = dict.fromkeys(
+        [f"{r.table}.{r.column}" for r in rules if r.table == table and r.kind == "unique"]
+        + [".".join(r.parent) for r in rules if r.kind == "relationships" and r.parent[0] == table])
+    if any(r.kind == "no_duplicate_keys" for r in rules) and (pk := _staged_keys().get(table)):
+        slots[f"{table}.{pk}"] = None
+    for slot in slots:
+        column = slot.rsplit(".", 1)[1]
+        found.append(_entry(f"{column} is not null", slot, column))
+    for r in rules:
+        if r.table == table and r.kind == "relationships":
+            where = f"({r.where}) and " if r.where else ""
+            found.append(_entry(f"{where}{r.column} is not null", ".".join(r.parent), r.column, r.name))
+        elif r.table == table and (failing := r.condition()):
+            found.append(_entry(failing, r.name, "null"))
+    return df.selectExpr(f"array_compact(array({', '.join(found)})) as entries").selectExpr("inline(entries)")
+
+
+def _staged_keys() -> dict[str, str]:
+    return {f"stg_{name}": e.pk for name, e in ENTITIES.items()}
 
 
-def _set_rule(rule: Rule, frames: dict[str, DataFrame]) -> DataFrame:
-    df, count = frames.get(rule.table), "count(*)"
+def run_checks(frames: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
+    """Failures per rule: (rule, severity, failures), one row per rule.
+
+    Each table is scanned once. All keys of all rules are counted together, once per key
+    column and value, map-side first; uniqueness, duplicates and orphans follow from the
+    counts: a value that its own table has more than once, or that only others have.
+    """
+    references = [r for r in rules if r.kind == "relationships"]
+    tables = dict.fromkeys([r.table for r in rules if r.kind != "no_duplicate_keys"] + [r.parent[0] for r in references])
+    if any(r.kind == "no_duplicate_keys" for r in rules):
+        tables |= dict.fromkeys(_staged_keys())
+    entries = reduce(DataFrame.unionByName, [_entries(t, frames[t], rules) for t in tables])
+    counted = entries.groupBy("slot", "key").agg(
+        F.count_if(F.col("tag") == "").alias("own"),
+        *[F.count_if(F.col("tag") == r.name).alias(f"n{i}") for i, r in enumerate(references)])
+
+    def failure(name: str, condition: str, n: str) -> str:
+        return f"if({condition}, named_struct('rule', '{name}', 'n', {n}), null)"
+
+    found = [failure(r.name, f"own = 0 and n{i} > 0", f"n{i}") for i, r in enumerate(references)]
+    for r in rules:
+        if r.kind == "unique":
+            found.append(failure(r.name, f"slot = '{r.table}.{r.column}' and own > 1", "1L"))
+        elif r.kind == "no_duplicate_keys":
+            keys = ", ".join(f"'{t}.{pk}'" for t, pk in _staged_keys().items())
+            found.append(failure(r.name, f"slot in ({keys}) and own > 1", "1L"))
+        elif r.kind != "relationships":
+            found.append(failure(r.name, f"slot = '{r.name}'", "own"))
+    per_rule = counted.selectExpr(f"inline(array_compact(array({', '.join(found)})))").groupBy("rule").agg(F.sum("n").alias("n"))
+    listed = ", ".join(f"struct('{r.name}' as rule, '{r.severity}' as severity)" for r in rules)
+    every = entries.sparkSession.range(1).selectExpr(f"inline(array({listed}))")
+    return every.join(per_rule, "rule", "left").selectExpr("rule", "severity", "coalesce(n, 0L) as failures")
+
+
+def failing_rows(frames: dict[str, DataFrame], rule: Rule) -> DataFrame:
+    """The rows, or keys, that a rule counts."""
+    if rule.kind == "no_duplicate_keys":
+        return no_duplicate_keys({n: frames[f"stg_{n}"] for n in ENTITIES})
+    df = frames[rule.table]
     if rule.kind == "unique":
-        return _counted(rule, unique(df, rule.column), count)
+        return unique(df, rule.column)
     if rule.kind == "relationships":
-        parent, parent_col = rule.parent
-        orphans = relationships(df, rule.column, frames[parent], parent_col, rule.where)
-        return _counted(rule, orphans, "sum(n_rows)")
-    if rule.kind == "bridge_identity":
-        return _counted(rule, bridge_violations(df), count)
-    if rule.kind == "churn_bounds":
-        return _counted(rule, churn_bounds_violations(df), count)
-    if rule.kind == "no_duplicate_keys":
-        return _counted(rule, no_duplicate_keys({n: frames[f"stg_{n}"] for n in ENTITIES}), count)
-    raise ValueError(f"unknown rule kind {rule.kind}")
+        return relationships(df, rule.column, frames[rule.parent[0]], rule.parent[1], rule.where)
+    return df.filter(rule.condition())
 
 
-def run_checks(frames: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
-    """Failures per rule: (rule, severity, failures), one row per rule."""
-    parts = []
-    for table in dict.fromkeys(r.table for r in rules):
-        mine = [r for r in rules if r.table == table]
-        per_row = [r for r in mine if r.condition() is not None]
-        if per_row:
-            parts.append(_row_rules(frames[table], per_row))
-        parts += [_set_rule(r, frames) for r in mine if r.condition() is None]
-    return reduce(DataFrame.unionByName, parts)
+def write_failing(frames: dict[str, DataFrame], rules: list[Rule], checks: DataFrame, folder: str) -> dict[str, str]:
+    """Write the failing rows of the rules that count any; the folder of each such rule.
+
+    `checks` has been evaluated: one row per rule is read from it. Rules without failures
+    cost nothing.
+    """
+    named = {r.name: r for r in rules}
+    failed = [row["rule"] for row in checks.filter("failures > 0").collect() if row["rule"] in named]
+    for name in failed:
+        failing_rows(frames, named[name]).write.mode("overwrite").parquet(f"{folder}/{name}")
+    return {name: f"{folder}/{name}" for name in failed}
 
 
 # The rules and value lists that guard publication.

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import UTC, datetime
 from functools import reduce
 
@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 from revtide.contracts import ENTITIES
 from revtide.operators import history, marts, movements
 from revtide.operators.current import current_entity
-from revtide.operators.quality import MART_RULES, UPSTREAM_RULES, freshness, run_checks
+from revtide.operators.quality import MART_RULES, UPSTREAM_RULES, freshness, run_checks, write_failing
 from revtide.operators.staging import STAGING
-from revtide.session import side_by_side, written
+from revtide.session import side_by_side, work_folder, written
 from revtide.sources.lake import Lake
 
 HISTORY = "subscriptions_history"
@@ -30,6 +30,7 @@ class Outcome:
     published: bool
     stage: str
     checks: DataFrame
+    failing: dict[str, str] = field(default_factory=dict)  # folders with the failing rows of each such rule
 
     @property
     def failed(self) -> DataFrame:
@@ -197,15 +198,18 @@ class Publisher:
         upstream = self._settle(run_checks(frames, UPSTREAM_RULES))
         checks = upstream if fresh is None else fresh.unionByName(upstream)
         if self._blocked(upstream):
-            return Outcome(False, "upstream", checks)
+            return Outcome(False, "upstream", checks, self._kept(frames, UPSTREAM_RULES, upstream))
         built = self.build_marts(frames, staged, now, full_refresh)
         mart_checks = self._settle(run_checks(built, MART_RULES))
         checks = checks.unionByName(mart_checks)
         if self._blocked(mart_checks):
-            return Outcome(False, "marts", checks)
+            return Outcome(False, "marts", checks, self._kept(built, MART_RULES, mart_checks))
         self.lake.commit(staged, based_on=started, schemas=self.schemas)
         return Outcome(True, "published", checks)
 
+    def _kept(self, frames: dict[str, DataFrame], rules: list, checks: DataFrame) -> dict[str, str]:
+        return write_failing(frames, rules, checks, work_folder(self.lake.spark, "failing"))
+
     def _settle(self, checks: DataFrame) -> DataFrame:
         """Evaluate the rules once; one row per rule reaches the driver."""
         return self.lake.spark.createDataFrame(checks.collect(), checks.schema)

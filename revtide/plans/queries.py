@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtide.contracts import ENTITIES, PLAN_PRICE_CENTS
 from revtide.operators import current, history, marts, movements, quality, reports, staging, upsert
-from revtide.plans.oracle import compose, rule_sql
+from revtide.plans.oracle import compose, feed_sql, rule_sql
 from revtide.plans.ingest import ingest, raw_table
 from revtide.plans.publish import Publisher
 from revtide.session import configure, work_folder
@@ -19,7 +19,9 @@ from revtide.sources.changes import read_change_files
 from revtide.sources.lake import Lake
 from revtide.streaming import lag, promotion
 from revtide.streaming.envelope import parse_envelopes, with_table
+from revtide.streaming.current_state import CurrentState
 from revtide.streaming.landing import Landing
+from revtide.streaming.progress import ProgressTable, rows_read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -671,29 +673,35 @@ def _(spark, sf):
 
 # --- change stream --------------------------------------------------------
 
-LANDED = ["org_id", "name", "status", "updated_at", "_op", "_source_lsn", "_kafka_topic",
-          "_kafka_partition", "_kafka_offset", "_source_ts", "_deleted", "_dedup_token", "_extra"]
+META = ["_op", "_source_lsn", "_kafka_topic", "_kafka_partition", "_kafka_offset", "_source_ts", "_deleted", "_dedup_token", "_extra"]
+LANDED = ["table_name", "entity_id", "org_id", "name", "status", "updated_at", *META]
+TOPICS = {"organizations": ("org_id", "name"), "users": ("user_id", "full_name")}
 
 
-def _record_files(spark, sf, root: str) -> str:
-    """The change records as files, in two parts by offset order."""
-    records = samples.change_records(spark, sf).repartition(spark.sparkContext.defaultParallelism)
-    half = records.agg((F.max("offset") / 2).cast("bigint")).first()[0]
-    for part, rows in enumerate((F.col("offset") <= half, F.col("offset") > half)):
-        records.filter(rows).write.parquet(f"{root}/records/part={part}")
+def _of_topics(read: Callable[[str], DataFrame], *more: str) -> DataFrame:
+    """Both topics of the sample records in common columns."""
+    return reduce(DataFrame.unionByName, [
+        read(t).select(F.lit(t).alias("table_name"), F.col(pk).alias("entity_id"), "org_id", F.col(name).alias("name"), "status", "updated_at", *META, *more)
+        for t, (pk, name) in TOPICS.items()])
+
+
+def _record_files(spark, sf, root: str, records: DataFrame | None = None) -> str:
+    """Change records as files in offset order, written in one pass."""
+    records = samples.change_records(spark, sf) if records is None else records
+    records.repartitionByRange(6, "offset").write.parquet(f"{root}/records")
     return f"{root}/records"
 
 
 def _stream(spark, landing: Landing, files: str, checkpoint: str, files_per_batch=None) -> None:
     """Run the landing stream over the files until all are landed."""
-    stream = read_change_files(spark, f"{files}/*", files_per_batch)
+    stream = read_change_files(spark, files, files_per_batch)
     landing.start(stream, checkpoint, {"availableNow": True}).awaitTermination()
 
 
-def _landed(spark, sf) -> tuple[Landing, str]:
+def _landed(spark, sf, files_per_batch=None) -> tuple[Landing, str]:
     root = work_folder(spark, "landing")
     files, landing = _record_files(spark, sf, root), Landing(spark, f"{root}/cdc")
-    _stream(spark, landing, files, f"{root}/checkpoint")
+    _stream(spark, landing, files, f"{root}/checkpoint", files_per_batch)
     return landing, root
 
 
@@ -701,23 +709,43 @@ PARSED = [name for name in LANDED if name != "_deleted"]
 
 
 @query("parse_envelopes", f"""select {", ".join(PARSED)}, cast(null as varchar) as error
-    from org_records
-  union all select null, null, null, null, null, null, topic, partition_id, offset_id, null,
-    'kafka:' || dead_letter_id, null, error
-    from broken_records where topic = 'saas.app.organizations'""")
+    from landed_records
+  union all select if(topic = 'saas.app.users', 'users', 'organizations'), null, null, null, null, null, null, null, topic,
+    partition_id, offset_id, null, 'kafka:' || dead_letter_id, null, error
+    from broken_records""")
 def _(spark, sf):
-    """Envelopes of one topic as typed columns; broken records carry their reason."""
+    """Envelopes of both topics as typed columns; broken records carry their reason."""
     records = with_table(samples.change_records(spark, sf))
-    mine = records.filter("_table = 'organizations'")
-    parsed = parse_envelopes(mine, "organizations").select(*PARSED, "error")
-    # The key of a broken record may still name an organization.
-    return parsed.withColumn("org_id", F.when(F.col("error").isNull(), F.col("org_id")))
+    parsed = _of_topics(lambda t: parse_envelopes(records.filter(F.col("_table") == t), t), "error")
+    # The key of a broken record may still name an entity, and one without a body counts as a delete.
+    good = F.col("error").isNull()
+    return parsed.select(*[F.when(good, F.col(c)).alias(c) if c in ("entity_id", "org_id", "_op") else c for c in PARSED], "error")
 
 
-@query("cdc_land", f"select {', '.join(LANDED)} from org_records")
+@query("cdc_land", f"select {', '.join(LANDED)} from landed_records")
 def _(spark, sf):
     """A stream of change records landed by micro-batches."""
-    return _landed(spark, sf)[0].changes("organizations").select(*LANDED)
+    return _of_topics(_landed(spark, sf)[0].changes)
+
+
+def _register_feed(name: str) -> None:
+    @query(f"cdc_land_{name}", feed_sql(name))
+    def _(spark, sf):
+        """The feed of an entity with numbers, booleans, times and dates in all their forms, landed."""
+        landing = Landing(spark, work_folder(spark, "feed"), bucket=10_000_000_000_000)
+        landing.apply_records(samples.entity_feed(spark, sf, name), "feed")
+        flags = {c: F.col(c).cast("bigint") for c, typ in ENTITIES[name].columns if typ == "boolean"}
+        return landing.changes(name).drop("_loaded_at", "_batch_id", "_source_system").withColumns(flags)
+
+
+for _name in ("logins", "invoices", "subscriptions", "subscription_events"):
+    _register_feed(_name)
+
+
+@query("cdc_paced", f"select {', '.join(LANDED)} from landed_records")
+def _(spark, sf):
+    """A backlog taken file by file gives what one batch gives."""
+    return _of_topics(_landed(spark, sf, files_per_batch=1)[0].changes)
 
 
 @query("dead_letters", "select * from broken_records")
@@ -725,19 +753,42 @@ def _(spark, sf):
     return _landed(spark, sf)[0].dead_letters().drop("_loaded_at", "_source_system")
 
 
-@query("cdc_replay", """select 'organizations' as table_name, count(*) as n_rows,
-    count(distinct _dedup_token) as n_tokens, 0 as surplus from org_records""")
+@query("dead_letter_reasons", """select topic || ':' || (user_id % 3) || ':' || event_id as dead_letter_id, topic,
+    user_id % 3 as partition_id, event_id as offset_id,
+    case event_id % 13 when 0 then 'no single json value in the payload' when 1 then 'bytes do not decode as utf-8'
+      when 2 then 'json payload holds no object' when 3 then 'op is none of c, u, d, r' when 4 then 'no source block'
+      when 5 then 'no row image for this op' when 6 then 'lsn does not read as a whole number'
+      when 7 then 'ts_ms does not read as a time' when 8 then 'value of logged_in_at does not read as timestamp'
+      when 9 then 'no value for key login_id' when 10 then 'tombstone without login_id in its key'
+      when 11 then 'no single json value in the payload' else 'topic saas.app.not_a_table has no table' end as error,
+    case event_id % 13 when 0 then length('broken ' || event_id) when 1 then null when 2 then length('[' || event_id || ']')
+      when 3 then length('{"op":"x' || event_id || '"}') when 4 then length('{"op":"c","source":"{}"}') when 5 then length('{"op":"c","source":{},"before":{"login_id":"a"}}') when 6 then length('{"op":"c","source":{"lsn":"x"},"after":{"login_id":"a"}}') when 7 then length('{"op":"c","source":{"ts_ms":"soon"},"after":{"login_id":"a"}}')
+      when 8 then length('{"op":"c","source":{},"after":{"login_id":"a","logged_in_at":true}}') when 9 then length('{"op":"c","source":{},"after":{"org_id":"a"}}') when 10 then 2 when 11 then 20000 else 2 end as payload_length
+  from (select *, if(event_id % 13 = 12, 'saas.app.not_a_table', 'saas.app.logins') as topic from events)""")
+def _(spark, sf):
+    """Every reason for a dead letter; payloads are kept whole. Broken bytes have no length in characters."""
+    landing = Landing(spark, work_folder(spark, "reasons"))
+    landing.apply_records(samples.broken_feed(spark, sf), "reasons")
+    length = F.when(~F.col("error").startswith("bytes"), F.length("payload")).cast("long")
+    return landing.dead_letters().select("dead_letter_id", "topic", "partition_id", "offset_id", "error", length.alias("payload_length"))
+
+
+@query("cdc_replay", """select table_name, count(*) as n_rows, count(distinct _dedup_token) as n_tokens, 0 as surplus
+    from landed_records group by table_name""")
 def _(spark, sf):
     """The whole input again under a new checkpoint adds and changes nothing."""
     landing, root = _landed(spark, sf)
-    before = landing.changes("organizations")
+    before = {t: landing.changes(t) for t in TOPICS}
     _stream(spark, landing, f"{root}/records", f"{root}/checkpoint-2")
-    after = landing.changes("organizations")
-    surplus = lag.assert_replay_safe(before, after, "org_id").agg(F.count("*").cast("int")).scalar()
-    return after.agg(
-        F.lit("organizations").alias("table_name"), F.count("*").alias("n_rows"),
-        F.count_distinct("_dedup_token").alias("n_tokens"), surplus.alias("surplus"),
-    )
+
+    def audited(table: str) -> DataFrame:
+        after = landing.changes(table)
+        surplus = lag.assert_replay_safe(before[table], after, TOPICS[table][0]).agg(F.count("*").cast("int")).scalar()
+        return after.agg(
+            F.lit(table).alias("table_name"), F.count("*").alias("n_rows"),
+            F.count_distinct("_dedup_token").alias("n_tokens"), surplus.alias("surplus"))
+
+    return reduce(DataFrame.unionByName, map(audited, TOPICS))
 
 
 @query("cdc_crash", """select 'saas-cdc-consumer' as consumer_group,
@@ -768,42 +819,101 @@ def _(spark, sf):
     return spark.createDataFrame([tuple(stats.values())], columns)
 
 
-@query("cdc_drift", """select org_id, _kafka_offset,
-    json_extract_string(_extra, '$.plan_note') as plan_note from org_records""")
+@query("cdc_drift", """select table_name, entity_id, _kafka_offset,
+    json_extract_string(_extra, '$.plan_note') as plan_note from landed_records""")
 def _(spark, sf):
     """An unknown field is promoted between two batches and filled in for the first."""
     root = work_folder(spark, "drift")
     records = samples.change_records(spark, sf)
-    half = records.agg((F.max("offset") / 2).cast("bigint")).first()[0]
-    Landing(spark, root).apply_records(records.filter(F.col("offset") <= half), "before")
-    promoted = {"organizations": {"plan_note": "varchar"}}
-    landing = Landing(spark, root, promoted)
-    landing.apply_records(records.filter(F.col("offset") > half), "after")
-    filled = promotion.backfill_promoted(landing.changes("organizations"), "plan_note", "varchar")
-    return filled.select("org_id", "_kafka_offset", "plan_note")
-
-
-@query("landing_signature", "select count(*) as n_rows from org_records")
-def _(spark, sf):
-    return lag.landing_signature(_landed(spark, sf)[0].changes("organizations"), "org_id").drop("digest")
-
-
-@query("current_from_stream", """select org_id, name, status from (
-  select *, row_number() over (partition by org_id order by version desc, source desc) as n from (
-    select cast(org_id as varchar) as org_id, name, status, false as gone, _loaded_at as version,
+    early = F.col("offset") % 2 == 0
+    Landing(spark, root).apply_records(records.filter(early), "before")
+    landing = Landing(spark, root, {t: {"plan_note": "varchar"} for t in TOPICS})
+    landing.apply_records(records.filter(~early), "after")
+    return reduce(DataFrame.unionByName, [
+        promotion.backfill_promoted(landing.changes(t), "plan_note", "varchar").select(
+            F.lit(t).alias("table_name"), F.col(pk).alias("entity_id"), "_kafka_offset", "plan_note")
+        for t, (pk, _) in TOPICS.items()])
+
+
+_HALF = "cast(cast('0x' || substr(md5(entity_id || '|' || _dedup_token), {}, 15) as bigint) as hugeint)"
+
+
+@query("landing_signature", f"""select table_name, count(*) as n_rows,
+    cast(sum({_HALF.format(1)}) as varchar) || ':' || cast(sum({_HALF.format(16)}) as varchar) as digest
+  from landed_records group by table_name""")
+def _(spark, sf):
+    landing = _landed(spark, sf)[0]
+    return reduce(DataFrame.unionByName, [
+        lag.landing_signature(landing.changes(t), pk).withColumn("table_name", F.lit(t)) for t, (pk, _) in TOPICS.items()])
+
+
+@query("lag_report", """select topic, partition_id, max(if(offset_id % 2 = 0, offset_id + 1, null)) as committed_offset,
+    max(offset_id) + 1 as end_offset, max(offset_id) + 1 - max(if(offset_id % 2 = 0, offset_id + 1, null)) as lag,
+    (select count(*) from events where event_id % 2 = 0) as input_rows
+  from (select 'saas.app.' || case when user_id % 2 = 0 then 'organizations' else 'users' end as topic,
+    user_id % 3 as partition_id, event_id as offset_id from events)
+  group by topic, partition_id having count_if(offset_id % 2 = 0) > 0""")
+def _(spark, sf):
+    """Half of the records landed by a stream: its ledger against the ends, and the rows it says it read."""
+    root, landing = work_folder(spark, "lag"), Landing(spark, work_folder(spark, "lag-cdc"))
+    records, progress = samples.change_records(spark, sf), ProgressTable(spark)
+    files = _record_files(spark, sf, root, records.filter("offset % 2 = 0"))
+    spark.streams.addListener(progress)
+    try:
+        running = landing.start(read_change_files(spark, files, 2), f"{root}/checkpoint", {"availableNow": True})
+        running.awaitTermination()
+        progress.wait(running.runId)
+    finally:
+        spark.streams.removeListener(progress)
+    ends = records.groupBy("topic", F.col("partition").cast("long").alias("partition_id")).agg((F.max("offset") + 1).alias("end_offset"))
+    _, offsets = lag.lag_report({t: landing.changes(t) for t in TOPICS}, landing.offsets(), ends)
+    mine = rows_read(progress.table().filter(F.col("run_id") == str(running.runId)))
+    return offsets.withColumn("input_rows", mine.agg(F.sum("input_rows")).scalar())
+
+
+@query("current_from_stream", """select table_name, entity_id, name, status from (
+  select *, row_number() over (partition by table_name, entity_id order by version desc, source desc) as n from (
+    select 'organizations' as table_name, cast(org_id as varchar) as entity_id, name, status, false as gone, _loaded_at as version,
       0 as source from organizations
     union all
-    select org_id, name, status, _deleted, coalesce(_source_ts, timestamp '2100-01-01'), 1
-    from org_records qualify row_number() over (partition by org_id order by _kafka_offset desc) = 1
+    select 'users', cast(user_id as varchar), full_name, status, false, _loaded_at, 0 from users
+    union all
+    select table_name, entity_id, name, status, _deleted, coalesce(_source_ts, timestamp '2100-01-01'), 1
+    from landed_records qualify row_number() over (partition by table_name, entity_id order by _kafka_offset desc) = 1
   )) where n = 1 and not gone""")
 def _(spark, sf):
-    """Batch organizations merged with the landed change table.
+    """Batch rows merged with the landed change tables.
 
     A tombstone has no source time and counts from when it landed.
     """
-    batch = samples.organizations(spark, sf).withColumn("org_id", F.col("org_id").cast("string"))
-    landed = _landed(spark, sf)[0].changes("organizations")
-    return current.current_entity(batch, landed, "organizations").select("org_id", "name", "status")
+    landing = _landed(spark, sf)[0]
+    return _current_of_topics(spark, sf, landing.changes)
+
+
+ORACLES["current_continuous"] = ORACLES["current_from_stream"]
+
+
+def _current_of_topics(spark, sf, changes: Callable[[str], DataFrame]) -> DataFrame:
+    def one(table: str) -> DataFrame:
+        pk, name = TOPICS[table]
+        batch = samples.BATCH[table](spark, sf).withColumns({c: F.col(c).cast("string") for c in {pk, "org_id"}})
+        return current.current_entity(batch, changes(table), table).select(
+            F.lit(table).alias("table_name"), F.col(pk).alias("entity_id"), F.col(name).alias("name"), "status")
+
+    return reduce(DataFrame.unionByName, map(one, TOPICS))
+
+
+@query("current_continuous")
+def _(spark, sf):
+    """The last change of each key kept by a running stream that is stopped and goes on, merged with the batch."""
+    root, lake = work_folder(spark, "state"), Lake(spark, work_folder(spark, "state-lake"))
+    records, states = samples.change_records(spark, sf), {t: CurrentState(lake, t) for t in TOPICS}
+    for part in (0, 1):  # the second half comes after the first run has ended
+        records.filter(F.col("offset") % 2 == part).repartitionByRange(3, "offset").write.mode("append").parquet(f"{root}/records")
+        for t, state in states.items():
+            stream = read_change_files(spark, f"{root}/records", 2)
+            state.start(stream, f"{root}/checkpoint-{t}", {"availableNow": True}).awaitTermination()
+    return _current_of_topics(spark, sf, lambda t: states[t].changes())
 
 
 # --- whole runs -----------------------------------------------------------
@@ -878,6 +988,47 @@ def _(spark, sf):
     return Publisher(lake, *_gate_inputs(spark, sf)).published("fct_logins")
 
 
+_BAD = {"fct_mrr_monthly": "bad_mrr_monthly", "fct_plan_changes": "bad_plan_changes", "fct_logins": "bad_logins",
+        "fct_login_activity_daily": "bad_activity", "dim_organizations": "bad_dim", "fct_invoices": "bad_invoices",
+        "subscriptions_history": "bad_history"}
+
+
+@query("mart_rules_found", " union all ".join(rule_sql(r, _BAD) for r in quality.MART_RULES))
+def _(spark, sf):
+    """Every rule over marts in which rows break it."""
+    def unless(test: str, column: str, other: str = "null") -> dict[str, Column]:
+        return {column: F.expr(f"if({test}, {other}, {column})")}
+
+    def bad(df: DataFrame, again: str, **changed) -> DataFrame:
+        return df.select(*[changed.get(c, F.col(c)).alias(c) for c in df.columns]).union(df.filter(again))
+
+    month, bridge = "month(month_start)", movements.mrr_monthly(moved(spark, sf))
+    ending = F.expr(f"case {month} when 4 then -1 when 5 then null else ending_mrr_cents end")
+    opening = F.expr(f"case {month} when 3 then null when 8 then -1 else beginning_mrr_cents end")
+    amount = F.expr("case invoice_id % 7 when 0 then null when 1 then -amount_cents else amount_cents end")
+    runs = None
+    for cut in samples.HISTORY_CUTS:
+        runs = history.subscriptions_history(runs, staging.stg_subscriptions(samples.subscriptions_at(spark, sf, cut)), cut)
+    frames = {
+        "fct_mrr_monthly": bad(
+            bridge, f"{month} = 7", **unless(f"{month} = 2", "month_start"), beginning_mrr_cents=opening, ending_mrr_cents=ending,
+            **unless(f"{month} = 6", "logo_churn_rate", "1.5D")),
+        "fct_plan_changes": bad(
+            marts.fct_plan_changes(moved(spark, sf)), "event_id % 11 = 0", **unless("event_id % 5 = 0", "event_id"), **unless("event_id % 7 = 0", "movement_type")),
+        "fct_logins": bad(
+            fact(spark, sf), "login_id % 9 = 0", **unless("login_id % 5 = 0", "login_id"), **unless("login_id % 6 = 0", "org_id"),
+            **unless("login_id % 7 = 0", "logged_in_at")),
+        "fct_login_activity_daily": bad(
+            activity(spark, sf), "false", **unless("org_id % 3 = 0", "activity_date"), **unless("org_id % 4 = 0", "org_id"), **unless("org_id % 5 = 0", "login_count")),
+        "dim_organizations": bad(
+            dim(spark, sf), "org_id % 7 = 0", **unless("org_id % 3 = 0", "org_id"), **unless("org_id % 4 = 0", "is_active"), **unless("org_id % 5 = 0", "is_paying")),
+        "fct_invoices": bad(
+            marts.fct_invoices(staged(spark, sf, "invoices")), "invoice_id % 9 = 0", **unless("invoice_id % 5 = 0", "invoice_id"), amount_cents=amount),
+        "subscriptions_history": bad(runs, "false", **unless("subscription_id % 3 = 0", "subscription_id")),
+    }
+    return quality.run_checks(frames, quality.MART_RULES)
+
+
 @query("run_mart_checks", " union all ".join(
     f"select '{r.name}' as rule, '{r.severity}' as severity, cast(0 as bigint) as failures" for r in quality.MART_RULES))
 def _(spark, sf):

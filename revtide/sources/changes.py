@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,31 +12,54 @@ from revtide.contracts import DEAD_LETTER_TOPIC, ENTITIES, RECORD_SCHEMA
 FIELDS = [field.name for field in RECORD_SCHEMA]
 
 
-def read_changes(spark: SparkSession, servers: str, min_partitions: int | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Pace:
+    """How much one micro-batch takes: at most `most` offsets; with `least`, it waits for that
+    many, but no longer than `delay`."""
+
+    most: int | None = 10_000_000
+    least: int | None = None
+    delay: str = "5m"
+
+    def options(self) -> dict[str, str]:
+        found = {} if self.most is None else {"maxOffsetsPerTrigger": str(self.most)}
+        if self.least is not None:
+            if self.most is not None and self.least > self.most:
+                raise ValueError("a batch cannot wait for more offsets than it may take")
+            found |= {"minOffsetsPerTrigger": str(self.least), "maxTriggerDelay": self.delay}
+        return found
+
+
+def topic_options(servers: str, tasks: int, pace: Pace = Pace()) -> dict[str, str]:
+    """The options of a stream over the six change topics."""
+    return {
+        "kafka.bootstrap.servers": servers, "subscribe": ",".join(e.topic for e in ENTITIES.values()),
+        "startingOffsets": "earliest", "failOnDataLoss": "false", "minPartitions": str(tasks), **pace.options(),
+    }
+
+
+def read_changes(
+    spark: SparkSession, servers: str, min_partitions: int | None = None, pace: Pace = Pace()
+) -> DataFrame:
     """Stream of the six change topics; needs the Kafka connector on the classpath.
 
     Long offset ranges are split until there are `min_partitions` read tasks
     (the session's parallelism by default), so one busy topic partition does
-    not become one long task.
+    not become one long task. A backlog is landed in batches of the pace.
     """
     tasks = min_partitions or spark.sparkContext.defaultParallelism
-    return (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", ",".join(e.topic for e in ENTITIES.values()))
-        .option("startingOffsets", "earliest")
-        .option("failOnDataLoss", "false")
-        .option("minPartitions", tasks)
-        .load()
-        .select(*FIELDS)
-    )
-
-
-def read_change_files(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Stream of Parquet files that hold change records."""
+    return spark.readStream.format("kafka").options(**topic_options(servers, tasks, pace)).load().select(*FIELDS)
+
+
+def read_change_files(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, bytes_per_batch: int | None = None
+) -> DataFrame:
+    """Stream of Parquet files that hold change records; a batch takes some files or bytes at most."""
     reader = spark.readStream.schema(RECORD_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.parquet(path)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtide.contracts import BATCH_SOURCE, STREAM_SOURCE
+from revtide.contracts import BATCH_SOURCE, ENTITIES, STREAM_SOURCE, TOPIC_PREFIX
 from revtide.operators.current import first_per_key
 
 # Load times of the full-mode snapshots, and the cut-off dates of the history runs.
@@ -36,10 +36,10 @@ def _loaded(df: DataFrame, at: str) -> DataFrame:
     )
 
 
-def _changed(df: DataFrame, columns: str, offset: str, at: str, op: str) -> DataFrame:
-    """The named columns and the change-table columns; the log position follows the offset."""
+def _changed(df: DataFrame, table: str, offset: str, at: str, op: str) -> DataFrame:
+    """The table's columns and the change-table columns; the log position follows the offset."""
     return df.selectExpr(
-        *columns.split(), f"{op} as _op", f"{offset} * 10 as _source_lsn",
+        *ENTITIES[table].column_names, f"{op} as _op", f"{offset} * 10 as _source_lsn",
         f"{offset} as _kafka_offset", f"{at} as _source_ts", f"{op} = 'd' as _deleted",
         f"concat('lsn:', {offset} * 10, ':offset:', {offset}) as _dedup_token",
         "cast(null as string) as _extra", f"{at} + interval 1 day as _loaded_at",
@@ -52,9 +52,6 @@ def _plan(cents: str) -> str:
         when {cents} < 35000000 then 'growth' else 'enterprise' end"""
 
 
-EVENT_COLUMNS = ("event_id subscription_id org_id event_type from_plan to_plan "
-                 "mrr_cents_before mrr_cents_after occurred_at recorded_at")
-
 
 def subscription_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as subscription events, with the amount before each event.
@@ -103,11 +100,8 @@ def subscription_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def subscription_events_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event once more as a snapshot read, three days after it happened."""
     events = subscription_events(spark, sf_dir)
-    return _changed(events, EVENT_COLUMNS, "event_id", "(occurred_at + interval 3 days)", "'r'")
-
+    return _changed(events, "subscription_events", "event_id", "(occurred_at + interval 3 days)", "'r'")
 
-SUBSCRIPTION_COLUMNS = ("subscription_id org_id plan status mrr_cents seats started_at "
-                        "canceled_at updated_at")
 
 
 def _subscription_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,12 +136,9 @@ def subscriptions_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as an update of its subscription; offsets follow order time."""
     offset = "(datediff(updated_at, date'1990-01-01') * 10000000000 + o_orderkey)"
     rows = _subscription_rows(spark, sf_dir)
-    return _changed(rows, SUBSCRIPTION_COLUMNS, offset, "updated_at", "'u'")
+    return _changed(rows, "subscriptions", offset, "updated_at", "'u'")
 
 
-INVOICE_COLUMNS = ("invoice_id org_id subscription_id amount_cents currency status period_start "
-                   "period_end issued_at paid_at recorded_at")
-
 
 def _invoice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(
@@ -172,7 +163,7 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def invoices_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every invoice again three days after issue; low-priority ones are deleted."""
     return _changed(
-        _invoice_rows(spark, sf_dir), INVOICE_COLUMNS, "invoice_id",
+        _invoice_rows(spark, sf_dir), "invoices", "invoice_id",
         "(issued_at + interval 3 days)", "if(o_orderpriority = '5-LOW', 'd', 'u')",
     )
 
@@ -199,9 +190,7 @@ def organizations_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'1-10' as employee_band", "'US' as country_code", "'ACTIVE' as status",
         "timestamp_ntz'2023-01-01' as created_at", "ts as updated_at", "event_id",
     )
-    columns = ("org_id name domain industry employee_band country_code status created_at "
-               "updated_at")
-    return _changed(rows, columns, "event_id", "updated_at", "if(industry = 'error', 'd', 'u')")
+    return _changed(rows, "organizations", "event_id", "updated_at", "if(industry = 'error', 'd', 'u')")
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,12 +216,8 @@ def users_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "if(event_type = 'error', 'deactivated', 'active') as status",
         "timestamp_ntz'2023-06-01' as created_at", "ts as updated_at", "event_id",
     )
-    columns = "user_id org_id email full_name role status created_at updated_at"
-    return _changed(rows, columns, "event_id", "updated_at", "'u'")
-
+    return _changed(rows, "users", "event_id", "updated_at", "'u'")
 
-LOGIN_COLUMNS = ("login_id client_event_id user_id org_id idp success ip_country logged_in_at "
-                 "recorded_at")
 
 
 def _login_rows(spark: SparkSession, sf_dir: str, country: str) -> DataFrame:
@@ -255,7 +240,7 @@ def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
 def logins_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every login again as a change at login time, seen from another country."""
     rows = _login_rows(spark, sf_dir, "DE")
-    return _changed(rows, LOGIN_COLUMNS, "login_id", "logged_in_at", "'c'").withColumn(
+    return _changed(rows, "logins", "login_id", "logged_in_at", "'c'").withColumn(
         "_loaded_at", F.col("recorded_at")
     )
 
@@ -290,6 +275,63 @@ def change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _json_value(name: str, typ: str) -> str:
+    """A column as a JSON value, in several of the forms that a feed may use; null where it is null."""
+    text = f"""concat('"', cast({name} as string), '"')"""
+    seconds = f"unix_seconds(to_utc_timestamp(cast({name} as string), 'UTC'))"
+    return {
+        "varchar": text,
+        "bigint": f"if(_kafka_offset % 2 = 0, cast({name} as string), {text})",
+        "boolean": f"case when {name} is null then null when _kafka_offset % 3 = 0 then cast({name} as string) when _kafka_offset % 3 = 1 then if({name}, '\"T\"', '\"no\"') else if({name}, '1', '0') end",
+        "timestamp": f"""case _kafka_offset % 3 when 0 then concat('"', date_format({name}, "yyyy-MM-dd'T'HH:mm:ss'Z'"), '"')
+          when 1 then if({seconds} = 0, '0', concat(cast({seconds} as string), '000')) else cast({seconds} as string) end""",
+        "date": f"if(_kafka_offset % 2 = 0, cast(unix_date({name}) as string), {text})",
+    }[typ]
+
+
+def entity_feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The change table of an entity as the change records that it came from.
+
+    Numbers, booleans, times and dates come in the forms that records may have them in:
+    as JSON numbers or texts, in milliseconds, seconds or ISO form, as days since 1970.
+    """
+    fields = ", ".join(f"""concat('"{c}":', {_json_value(c, typ)})""" for c, typ in ENTITIES[name].columns)
+    image = f"concat('{{', concat_ws(',', {fields}), '}}')"
+    body = f"""concat('{{"op":"', _op, '","', if(_op = 'd', 'before', 'after'), '":', {image},
+      ',"source":{{"lsn":', _source_lsn, ',"ts_ms":', unix_millis(to_utc_timestamp(cast(_source_ts as string), 'UTC')), '}}}}')"""
+    return CHANGES[name](spark, sf_dir).selectExpr(
+        f"'{TOPIC_PREFIX}{name}' as topic", "cast(_kafka_offset % 3 as int) as partition", "_kafka_offset as offset",
+        f"cast(cast({ENTITIES[name].pk} as string) as binary) as key", f"cast({body} as binary) as value",
+    )
+
+
+#: Broken records, one for each reason, as (value, key) in SQL; the event number makes each its own.
+BROKEN = [
+    ("encode(concat('broken ', event_id), 'utf-8')", "null"),
+    ("unhex('FFFE')", "null"),
+    ("cast(concat('[', event_id, ']') as binary)", "null"),
+    ("""cast(concat('{"op":"x', event_id, '"}') as binary)""", "null"),
+    ("""cast('{"op":"c","source":"{}"}' as binary)""", "null"),
+    ("""cast('{"op":"c","source":{},"before":{"login_id":"a"}}' as binary)""", "null"),
+    ("""cast('{"op":"c","source":{"lsn":"x"},"after":{"login_id":"a"}}' as binary)""", "null"),
+    ("""cast('{"op":"c","source":{"ts_ms":"soon"},"after":{"login_id":"a"}}' as binary)""", "null"),
+    ("""cast('{"op":"c","source":{},"after":{"login_id":"a","logged_in_at":true}}' as binary)""", "null"),
+    ("""cast('{"op":"c","source":{},"after":{"org_id":"a"}}' as binary)""", "null"),
+    ("cast(null as binary)", "cast('17' as binary)"),
+    ("cast(rpad('x', 20000, 'y') as binary)", "null"),
+]
+
+
+def broken_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a record that must become a dead letter, the reasons in turn; every 13th has no table."""
+    n, kinds = len(BROKEN), range(len(BROKEN))
+    value, key = ("case event_id % 13 " + " ".join(f"when {i} then {BROKEN[i][side]}" for i in kinds) + " end" for side in (0, 1))
+    return table(spark, sf_dir, "events").selectExpr(
+        f"if(event_id % 13 = {n}, 'saas.app.not_a_table', 'saas.app.logins') as topic", "cast(user_id % 3 as int) as partition",
+        "event_id as offset", f"cast({key} as binary) as key", f"if(event_id % 13 = {n}, cast('{{}}' as binary), {value}) as value",
+    )
+
+
 BATCH = {
     "organizations": organizations,
     "users": users,

@@ -70,21 +70,21 @@ def parse_envelopes(records: DataFrame, table: str, promoted: dict | None = None
         return f"{text} is not null and {converted} is null"
 
     pk_value = f"coalesce({pk}, try_cast(_key_pk as {pk_type}))"
-    not_json = (f"if({E.parse_one('value', 'variant')} is null, 'payload is not json', "
-                "'payload is not a json object')")
+    not_json = (f"if({E.parse_one('value', 'variant')} is null, 'no single json value in the payload', "
+                "'json payload holds no object')")
     checks = [
-        ("not _readable", "'payload is not utf-8 text'"),
-        ("value is null and _key_pk is null", f"'tombstone key has no {pk}'"),
+        ("not _readable", "'bytes do not decode as utf-8'"),
+        ("value is null and _key_pk is null", f"'tombstone without {pk} in its key'"),
         ("value is not null and _no_body", not_json),
-        (f"_op is null or _op not in ({E.listed(E.OPS)})", "'missing or unknown op'"),
-        ("value is not null and _no_source", "'source metadata is missing'"),
-        ("value is not null and _fields is null", "'change image is missing'"),
-        (broken("_t_lsn", "_source_lsn"), "'source lsn is not a bigint'"),
-        (broken("_t_ts_ms", "_source_ts"), "'source ts_ms is not a timestamp'"),
+        (f"_op is null or _op not in ({E.listed(E.OPS)})", "'op is none of c, u, d, r'"),
+        ("value is not null and _no_source", "'no source block'"),
+        ("value is not null and _fields is null", "'no row image for this op'"),
+        (broken("_t_lsn", "_source_lsn"), "'lsn does not read as a whole number'"),
+        (broken("_t_ts_ms", "_source_ts"), "'ts_ms does not read as a time'"),
         # Every JSON value has a text, so a text column cannot fail.
-        *[(broken(f"_t_{name}", name), f"'column {name} is not a {typ}'")
+        *[(broken(f"_t_{name}", name), f"'value of {name} does not read as {typ}'")
           for name, typ in kinds.items() if typ != "varchar"],
-        (f"{pk_value} is null", f"'missing primary key {pk}'"),
+        (f"{pk_value} is null", f"'no value for key {pk}'"),
     ]
     where = ("topic", "partition", "offset")
     return typed.selectExpr(
@@ -102,7 +102,7 @@ def reject_unknown(records: DataFrame) -> DataFrame:
     """Records of topics outside the contract, in the columns dead letters need."""
     return records.filter("_table is null").selectExpr(
         "topic as _kafka_topic", "partition as _kafka_partition", "offset as _kafka_offset",
-        "concat('topic ', topic, ' is not an app change feed') as error",
+        "concat('topic ', topic, ' has no table') as error",
         f"{E.payload('key', 'value')} as payload",
     )
 

@@ -36,11 +36,14 @@ def lag_report(
 
 
 def landing_signature(changes: DataFrame, pk: str) -> DataFrame:
-    """Row count and an order-free digest of the (key, token) pairs; one row."""
-    pair = F.xxhash64(F.col(pk).cast("string"), "_dedup_token")
-    return changes.agg(
-        F.count("*").alias("n_rows"), F.coalesce(F.bit_xor(pair), F.lit(0)).alias("digest")
-    )
+    """Row count and a digest of the multiset of (key, token) pairs, in any order; one row.
+
+    The digest is two sums of 60 bits of each pair's md5, so a pair that comes twice does not
+    cancel out, and other rows of the same number give other sums.
+    """
+    pair = F.md5(F.concat_ws("|", F.coalesce(F.col(pk).cast("string"), F.lit("")), F.coalesce("_dedup_token", F.lit(""))))
+    sums = [F.coalesce(F.sum(F.conv(F.substring(pair, at, 15), 16, 10).cast("decimal(28,0)")), F.lit(0)).cast("string") for at in (1, 16)]
+    return changes.agg(F.count("*").alias("n_rows"), F.concat_ws(":", *sums).alias("digest"))
 
 
 def assert_replay_safe(before: DataFrame, after: DataFrame, pk: str) -> DataFrame:

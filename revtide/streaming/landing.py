@@ -1,7 +1,8 @@
 """Idempotent landing of change records into append-only change tables.
 
-Rows lie by offset, and below that by batch: `bucket=<offset div BUCKET>/landing=<id>/
-epoch=<n>`. The id belongs to one checkpoint. A retried epoch replaces its own folders and
+Rows lie by offset, and below that by batch: `bucket=<offset div bucket size>/landing=<id>/
+epoch=<n>`. The bucket size is a parameter: choose it so that a bucket holds some hundred
+megabytes of records, however many offsets these are; a landing keeps the first it was given. The id belongs to one checkpoint. A retried epoch replaces its own folders and
 is compared with all others, so a crash at any point neither loses nor repeats a change; a
 replay under a new checkpoint has a new id and adds nothing. A batch opens only the
 buckets that its offsets lie in, so its cost does not grow with history.
@@ -39,13 +40,13 @@ from revtide.streaming.envelope import (
 
 DEAD_LETTERS = "_dead_letters"
 OFFSETS = "_offsets"
-BUCKET = 10_000  # offsets
+BUCKET = 10_000  # offsets, unless another size is given
 BATCH_FIELDS = [T.StructField("landing", T.StringType()), T.StructField("epoch", T.LongType())]
 
 
-def spanned(found: list) -> set[int]:
+def spanned(found: list, size: int = BUCKET) -> set[int]:
     """The buckets that the offsets of these topic partitions lie in."""
-    return {b for r in found for b in range(r["first"] // BUCKET, r["last"] // BUCKET + 1)}
+    return {b for r in found for b in range(r["first"] // size, r["last"] // size + 1)}
 
 
 class Landing:
@@ -54,23 +55,38 @@ class Landing:
     def __init__(
         self, spark: SparkSession, root: str, promoted: dict | None = None,
         consumer_group: str = CONSUMER_GROUP,
-        publish: Callable[[DataFrame], None] | None = None,
+        publish: Callable[[DataFrame], None] | None = None, bucket: int = BUCKET,
     ) -> None:
         self.spark = configure(spark)
         self.root = root
+        self._bucket: int | None = None
+        self._wanted_bucket = bucket
         self.promoted = promoted
         self.group = consumer_group
         self.publish = publish
 
+    @property
+    def bucket(self) -> int:
+        """Offsets in a bucket: what the first writer chose, as its rows lie by it."""
+        if self._bucket is None:
+            path = f"{self.root}/_bucket_size"
+            if not folders.exists(self.spark, path):
+                folders.create_text(self.spark, path, str(self._wanted_bucket))
+            self._bucket = int(folders.read_text(self.spark, path))
+        return self._bucket
+
     # --- reads ------------------------------------------------------------
 
+    def _present(self, path: str, buckets: set[int]) -> list[str]:
+        """The folders of some buckets that exist. No other bucket is listed."""
+        found = [f"bucket={b}" for b in sorted(buckets)]
+        return [n for n in found if folders.exists(self.spark, f"{path}/{n}")]
+
     def _read(self, name: str, schema: T.StructType, buckets: set[int] | None = None) -> DataFrame:
         """Landed rows with their batch, of all buckets or some; empty before the first batch."""
         path = f"{self.root}/{name}"
         full = T.StructType(schema.fields + BATCH_FIELDS)
-        found = folders.names(self.spark, path)
-        if buckets is not None:
-            found = [n for n in found if n in {f"bucket={b}" for b in buckets}]
+        found = self._present(path, buckets) if buckets is not None else folders.exists(self.spark, path)
         if not found:
             return self.spark.createDataFrame([], full)
         paths = [path] if buckets is None else [f"{path}/{n}" for n in found]
@@ -104,15 +120,14 @@ class Landing:
             folders.delete(self.spark, bucket)
         seen = Observation()
         rows = df.observe(seen, F.count(F.lit(1)).alias("n")).withColumns({
-            "bucket": F.floor(F.col(offset) / BUCKET), "landing": F.lit(landing_id), "epoch": F.lit(epoch)})
+            "bucket": F.expr(f"{offset} div {self.bucket}"), "landing": F.lit(landing_id), "epoch": F.lit(epoch)})
         rows.write.mode("append").partitionBy("bucket", "landing", "epoch").parquet(f"{self.root}/{name}")
         return seen.get["n"]
 
     def _own(self, name: str, buckets: set[int], landing_id: str, epoch: int) -> list[str]:
         """The folders that an earlier attempt of this batch has left."""
         path = f"{self.root}/{name}"
-        present = set(folders.names(self.spark, path))
-        own = [f"{path}/bucket={b}/landing={landing_id}/epoch={epoch}" for b in buckets if f"bucket={b}" in present]
+        own = [f"{path}/{b}/landing={landing_id}/epoch={epoch}" for b in self._present(path, buckets)]
         return [folder for folder in own if folders.exists(self.spark, folder)]
 
     def _others(
@@ -158,17 +173,19 @@ class Landing:
         """Next offset to read per topic partition, one row of `found` each.
 
         Each epoch writes the whole ledger of its landing, a row per topic partition that
-        it has seen, and then drops those of other epochs.
+        it has seen, and then drops those of other epochs. Within a landing an offset never
+        goes back, whatever clock wrote it and in whatever order files come.
         """
         schema, path = struct_of(OFFSET_COLUMNS), f"{self.root}/{OFFSETS}/landing={landing_id}"
         ledger = {}
         if folders.exists(self.spark, path):
             rows = self._read(OFFSETS, schema).filter(F.col("landing") == landing_id)
-            for row in sorted(rows.select(*schema.names).collect(), key=lambda r: r["updated_at"]):
+            for row in sorted(rows.select(*schema.names).collect(), key=lambda r: r["committed_offset"]):
                 ledger[row["topic"], row["partition_id"]] = tuple(row)
         for row in found:
+            before = ledger.get((row["topic"], row["partition"]))
             ledger[row["topic"], row["partition"]] = (
-                self.group, row["topic"], row["partition"], row["last"] + 1, saved_at)
+                self.group, row["topic"], row["partition"], max(row["last"] + 1, before[3] if before else 0), saved_at)
         fresh = self.spark.createDataFrame(list(ledger.values()), schema).coalesce(1)
         fresh.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
         for name in folders.names(self.spark, path):
@@ -209,7 +226,7 @@ class Landing:
                 ).persist(keep)
                 held.append(parsed)
                 good, inserted = parsed.filter("error is null").count(), 0
-                buckets = spanned(mine)
+                buckets = spanned(mine, self.bucket)
                 if good or self._own(f"{table}_cdc", buckets, landing_id, epoch):
                     inserted = self.land_changes(
                         parsed, table, buckets, batch_id, loaded_at, landing_id, epoch
@@ -227,7 +244,7 @@ class Landing:
             letters = as_dead_letters(reduce(DataFrame.unionByName, rejected), loaded_at)
             if stats["parsed_dead_letters"]:
                 stats["dead_letters"] = self.land_dead_letters(
-                    letters, spanned(found), landing_id, epoch)
+                    letters, spanned(found, self.bucket), landing_id, epoch)
             if commit_offsets:
                 self.save_offsets(found, loaded_at, landing_id, epoch)
             if self.publish and stats["parsed_dead_letters"]:

@@ -98,3 +98,35 @@ def test_hot_key_results(spark):
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
     orphans = quality.relationships(rows, "org_id", spark.range(1, 60), "id")
     assert [tuple(r) for r in orphans.collect()] == [(0, rows.filter("org_id = 0").count())]
+
+
+def test_all_rules_of_a_table_are_one_scan(spark, folder):
+    """Every rule of the staged tables; each stored table is read once, keys are counted map-side first."""
+    frames = {}
+    names = dict.fromkeys([r.table for r in quality.UPSTREAM_RULES if r.kind != "no_duplicate_keys"])
+    columns = {n: {r.column for r in quality.UPSTREAM_RULES if r.table == n and r.column} for n in names}
+    columns["stg_subscriptions"] |= {"canceled_at"}
+    columns["stg_invoices"] |= {"paid_at"}
+    for name in names:
+        spark.range(50).selectExpr(*[f"{'id' if c.endswith(('cents', '_after')) else 'string(id)'} as {c}" for c in sorted(columns[name])], "id as unread").write.parquet(f"{folder}/{name}")
+        frames[name] = spark.read.parquet(f"{folder}/{name}")
+    text = plan(quality.run_checks(frames, quality.UPSTREAM_RULES))
+    assert text.count("FileScan") == len(names) and "partial_count(" in text and "unread" not in text
+
+
+def test_failing_rows_are_written_for_failing_rules_only(spark, folder):
+    df = spark.createDataFrame([(1, "a"), (1, "x"), (None, "a")], "k long, v string")
+    rules = [quality.Rule("t", "unique", "k"), quality.Rule("t", "not_null", "v"), quality.Rule("t", "accepted_values", "v", values=("a",)),
+             quality.Rule("t", "relationships", "k", parent=("p", "id"))]
+    frames = {"t": df, "p": spark.createDataFrame([(1,)], "id long")}
+    checks = quality.run_checks(frames, rules)
+    assert {r["rule"]: r["failures"] for r in checks.collect()} == {
+        "unique.t.k": 1, "not_null.t.v": 0, "accepted_values.t.v": 1, "relationships.t.k": 0}
+    kept = quality.write_failing(frames, rules, checks, folder)
+    assert kept.keys() == {"unique.t.k", "accepted_values.t.v"}
+    assert [tuple(r) for r in spark.read.parquet(kept["accepted_values.t.v"]).collect()] == [(1, "x")]
+
+
+def test_every_mart_rule_is_broken_somewhere(spark):
+    found = QUERIES["mart_rules_found"](spark, "/root/testdata/sf0.01").collect()
+    assert len(found) == 27 and all(r["failures"] > 0 for r in found)

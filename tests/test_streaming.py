@@ -6,15 +6,18 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from revtide.operators.current import current_entity
+from revtide.operators.current import current_entity, latest_change
 from revtide.operators.staging import stg_organizations
-from revtide.contracts import raw_schema
+from revtide.contracts import RECORD_SCHEMA, raw_schema
 from revtide.operators.quality import duplicate_keys
-from revtide.sources.changes import publish_to_files, read_change_files
+from revtide.sources.changes import Pace, publish_to_files, read_change_files, topic_options
+from revtide.sources.lake import Lake
 from revtide.contracts import change_schema
 from revtide.sources import folders
 from revtide.streaming.landing import Landing, spanned
-from revtide.streaming.lag import assert_replay_safe, broker_lag, landing_signature
+from revtide.streaming.current_state import CurrentState, latest_changes
+from revtide.streaming.lag import assert_replay_safe, broker_lag, lag_report, landing_signature
+from revtide.streaming.progress import PROGRESS, ProgressTable, broker_ends, rows_read
 from revtide.streaming.promotion import backfill_promoted
 from tests.records import change, frame, org, raw
 
@@ -114,26 +117,26 @@ def test_tombstone_and_tokens(spark, folder):
 
 
 REASONS = [
-    ("not-json", None, "payload is not json"),
-    ('{"a":1} junk', None, "payload is not json"),
-    ('{"a":1}],[{"b":2}', None, "payload is not json"),
-    ("{'op':'c'}", None, "payload is not json"),
-    ("[1]", None, "payload is not a json object"),
-    ('"text"', None, "payload is not a json object"),
-    ('{"op":"x"}', None, "missing or unknown op"),
-    ('{"op":["c"]}', None, "missing or unknown op"),
-    ('{"op":"c","source":"{}"}', None, "source metadata is missing"),
-    ('{"op":"c","source":{},"after":[1]}', None, "change image is missing"),
-    ('{"op":"d","source":{},"after":{"org_id":"a"}}', None, "change image is missing"),
-    ('{"op":"c","source":{"lsn":"x"},"after":{"org_id":"a"}}', None, "source lsn is not a bigint"),
-    ('{"op":"c","source":{"ts_ms":"x"},"after":{"org_id":"a"}}', None, "source ts_ms is not a timestamp"),
+    ("not-json", None, "no single json value in the payload"),
+    ('{"a":1} junk', None, "no single json value in the payload"),
+    ('{"a":1}],[{"b":2}', None, "no single json value in the payload"),
+    ("{'op':'c'}", None, "no single json value in the payload"),
+    ("[1]", None, "json payload holds no object"),
+    ('"text"', None, "json payload holds no object"),
+    ('{"op":"x"}', None, "op is none of c, u, d, r"),
+    ('{"op":["c"]}', None, "op is none of c, u, d, r"),
+    ('{"op":"c","source":"{}"}', None, "no source block"),
+    ('{"op":"c","source":{},"after":[1]}', None, "no row image for this op"),
+    ('{"op":"d","source":{},"after":{"org_id":"a"}}', None, "no row image for this op"),
+    ('{"op":"c","source":{"lsn":"x"},"after":{"org_id":"a"}}', None, "lsn does not read as a whole number"),
+    ('{"op":"c","source":{"ts_ms":"x"},"after":{"org_id":"a"}}', None, "ts_ms does not read as a time"),
     ('{"op":"c","source":{},"after":{"org_id":"a","created_at":true}}', None,
-     "column created_at is not a timestamp"),
-    ('{"op":"c","source":{},"after":{"name":"a"}}', None, "missing primary key org_id"),
-    (None, "17", "tombstone key has no org_id"),
-    (None, '{"other":1}', "tombstone key has no org_id"),
-    (None, "", "tombstone key has no org_id"),
-    (b"\xff\xfe", None, "payload is not utf-8 text"),
+     "value of created_at does not read as timestamp"),
+    ('{"op":"c","source":{},"after":{"name":"a"}}', None, "no value for key org_id"),
+    (None, "17", "tombstone without org_id in its key"),
+    (None, '{"other":1}', "tombstone without org_id in its key"),
+    (None, "", "tombstone without org_id in its key"),
+    (b"\xff\xfe", None, "bytes do not decode as utf-8"),
 ]
 
 
@@ -177,7 +180,7 @@ def test_values_convert_by_their_json_type(spark, folder):
     assert row["issued_at"] == dt.datetime(2023, 11, 14, 22, 13, 20)
     assert row["paid_at"] == dt.datetime(2023, 11, 14, 22, 13, 20, 123000)
     assert row["recorded_at"] == dt.datetime(2024, 1, 1, 4, 30, 0, 500000)
-    assert landing.dead_letters().first()["error"] == "column amount_cents is not a bigint"
+    assert landing.dead_letters().first()["error"] == "value of amount_cents does not read as bigint"
     first, second = landed(landing, "logins")
     assert (first["login_id"], first["success"], first["idp"]) == ("5", True, "True")
     assert first["logged_in_at"] == dt.datetime(2024, 1, 1, 10)
@@ -278,3 +281,99 @@ def test_a_batch_opens_only_the_buckets_of_its_offsets(spark, folder):
     assert landing.changes("organizations").count() == 5
     ledger = [n for n in folders.names(spark, f"{folder}/_offsets/landing=check")]
     assert ledger == ["epoch=4"] and landing.offsets().first()["committed_offset"] == 90_001
+
+
+# --- pace, progress and continuous state ----------------------------------
+
+def test_pace_of_the_topics():
+    options = topic_options("broker:9092", 8, Pace(most=1000, least=100, delay="30s"))
+    assert options["maxOffsetsPerTrigger"] == "1000" and options["minOffsetsPerTrigger"] == "100" and options["maxTriggerDelay"] == "30s"
+    assert options["subscribe"].count(",") == 5 and options["minPartitions"] == "8"
+    assert "maxOffsetsPerTrigger" in topic_options("b", 1) and "maxOffsetsPerTrigger" not in Pace(most=None).options()
+    with pytest.raises(ValueError):
+        Pace(most=10, least=11).options()
+
+
+def many_changes(n, seed=0):
+    r, out = random.Random(seed), []
+    for i in range(n):
+        key = f"org-{r.randrange(7)}"
+        if r.random() < 0.1:
+            out.append(raw(i, None, f'{{"org_id":"{key}"}}'))
+        elif r.random() < 0.1:
+            out.append(raw(i, "broken"))
+        else:
+            out.append(change(r.choice("cud"), org(org_id=key, name=f"n{i}"), 100 + r.randrange(n), i))
+    return out
+
+
+def test_a_backlog_lands_in_bounded_batches_as_in_one(spark, folder):
+    records = many_changes(60)
+    for i in range(6):
+        frame(spark, records[i * 10:(i + 1) * 10]).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    landings, epochs = [Landing(spark, f"{folder}/{n}") for n in ("one", "many")], []
+    for landing, files in zip(landings, (None, 1)):
+        progress = ProgressTable(spark, f"{landing.root}-progress", every=2)
+        spark.streams.addListener(progress)
+        query = landing.start(read_change_files(spark, f"{folder}/in", files), f"{landing.root}-check", {"availableNow": True})
+        query.awaitTermination()
+        progress.wait(query.runId)
+        spark.streams.removeListener(progress)
+        found = progress.table().filter(F.col("run_id") == str(query.runId))
+        epochs.append(sorted(r["input_rows"] for r in found.collect() if r["input_rows"]))
+        total = rows_read(found).first()
+        assert (total["input_rows"], total["query_id"]) == (60, str(query.id))
+    assert epochs == [[60], [10] * 6]
+    assert landed(landings[0]) == landed(landings[1]) and committed(landings[0]) == committed(landings[1])
+
+
+def test_broker_ends_come_from_the_latest_offsets(spark):
+    row = lambda epoch, latest: ("q", "r", epoch, "KafkaV2[Subscribe[a]]", None, None, latest, 5, "t")
+    progress = spark.createDataFrame(
+        [row(0, '{"a":{"0":5,"1":9}}'), row(1, '{"a":{"0":7,"1":9},"b":{"2":1}}'), row(2, None), row(3, '{"logOffset":3}'), row(4, "?")], PROGRESS)
+    ends = broker_ends(progress)
+    assert sorted(map(tuple, ends.collect())) == [("a", 0, 7), ("a", 1, 9), ("b", 2, 1)]
+    ledger = spark.createDataFrame([("g", "a", 0, 4, None), ("g", "c", 0, 2, None)], "consumer_group string, topic string, partition_id long, committed_offset long, updated_at timestamp_ntz")
+    _, lags = lag_report({"organizations": spark.createDataFrame([], change_schema("organizations"))}, ledger, ends)
+    assert sorted(map(tuple, lags.collect())) == [("a", 0, 4, 7, 3), ("c", 0, 2, 0, -2)]
+
+
+def test_landings_of_equal_size_have_different_signatures(spark):
+    sign = lambda *pairs: tuple(landing_signature(spark.createDataFrame(pairs, "k string, _dedup_token string"), "k").first())
+    assert sign(("a", "1"), ("a", "1")) != sign(("b", "2"), ("b", "2")) and sign(("a", "1"), ("b", "2")) == sign(("b", "2"), ("a", "1"))
+    assert sign((None, "x"))[0] == 1 and landing_signature(spark.createDataFrame([], "k string, _dedup_token string"), "k").first()["digest"] == "0:0"
+
+
+def test_continuous_state_equals_the_batch_form_after_restarts(spark, folder):
+    records, lake = many_changes(90, seed=4), Lake(spark, f"{folder}/lake", key_parts=4)
+    order = random.Random(9).sample(range(90), 90)  # files come in any order of offsets
+    state, landing = CurrentState(lake, "organizations"), Landing(spark, f"{folder}/cdc")
+    for i in range(3):
+        frame(spark, [records[j] for j in order[i * 30:(i + 1) * 30]]).repartition(2).write.mode("append").parquet(f"{folder}/in")
+        state.start(read_change_files(spark, f"{folder}/in", 1), f"{folder}/check", {"availableNow": True}).awaitTermination()
+        landing.apply_records(spark.read.schema(RECORD_SCHEMA).parquet(f"{folder}/in"), f"b{i}")
+        last = latest_change(landing.changes("organizations"), "org_id")
+        columns = [c for c in last.columns if c not in ("_loaded_at", "_batch_id", "_source_system")]
+        assert sorted(map(tuple, state.changes().select(columns).collect()), key=repr) == sorted(map(tuple, last.select(columns).collect()), key=repr)
+        if i == 1:  # an epoch whose commit was lost runs again: the same rows are merged once more
+            again = latest_changes(spark.read.schema(RECORD_SCHEMA).parquet(f"{folder}/in"), "organizations")
+            lake.commit({state.name: lake.upsert(state.name, again, "org_id", change_schema("organizations"))})
+    batch = spark.createDataFrame([("org-1", dt.datetime(2030, 1, 1)), ("org-99", dt.datetime(2020, 1, 1))], "org_id string, _loaded_at timestamp_ntz")
+    nulls = {f.name: F.lit(None).cast(f.dataType) for f in raw_schema("organizations") if f.name not in batch.columns}
+    sides = [current_entity(batch.withColumns(nulls), c, "organizations").select("org_id", "name") for c in (state.changes(), landing.changes("organizations"))]
+    assert sorted(map(tuple, sides[0].collect()), key=repr) == sorted(map(tuple, sides[1].collect()), key=repr)
+
+
+def test_a_landing_keeps_its_bucket_size(spark, folder):
+    Landing(spark, folder, bucket=3).apply_records(frame(spark, [change("c", org(), i, i) for i in range(8)]), "a")
+    assert {n for n in folders.names(spark, f"{folder}/organizations_cdc") if n[0] == "b"} == {"bucket=0", "bucket=1", "bucket=2"}
+    later = Landing(spark, folder, bucket=100)
+    assert later.bucket == 3
+    assert later.apply_records(frame(spark, [change("c", org(), i, i) for i in range(8)]), "b")["skipped"] == 8
+
+
+def test_an_offset_never_goes_back_within_a_landing(spark, folder):
+    landing = Landing(spark, folder)
+    for epoch, at in enumerate((5, 2)):
+        landing.apply_records(frame(spark, [change("c", org(), at, at)]), f"b{epoch}", True, "check", epoch)
+    assert committed(landing) == {("saas.app.organizations", 0): 6}
