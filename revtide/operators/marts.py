@@ -104,7 +104,7 @@ def changed_logins(batch: DataFrame, changes: DataFrame, mark) -> DataFrame:
     A load of a login can change its own row and which login of its retry group is kept.
     So: the retry groups of all rows loaded after the mark, the logins that have any row in
     such a group, and the usual current row and retry rules over those logins alone. The
-    first scan is cut by load time, the second reads keys only, the third joins the few.
+    first two scans read keys and load times only, the third joins all columns to the few.
     """
     late = F.col("_loaded_at") > F.lit(mark).cast("timestamp_ntz")
     event = F.coalesce("client_event_id", "login_id").alias("_event")
@@ -129,7 +129,7 @@ def touched_days(rows: DataFrame, target: DataFrame) -> set[str]:
 
 
 def restated_activity(fact: DataFrame, days: set[str]) -> DataFrame:
-    """Daily activity of some days, from all their logins; the scan is cut to their span."""
+    """Daily activity of some days, from all their logins."""
     known, at = sorted(days - {"none"}), F.col("logged_in_at")
     wanted = F.lit(False)
     if known:

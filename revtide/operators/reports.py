@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revtide.contracts import MOVEMENT_ORDER, PLAN_ORDER
@@ -77,6 +77,10 @@ def _latest_month(bridge: DataFrame) -> DataFrame:
 
 def kpis(bridge: DataFrame) -> DataFrame:
     """Headline numbers of the latest month; no row with fewer than two months."""
+    return _headline(bridge).drop("previous_label")
+
+
+def _headline(bridge: DataFrame) -> DataFrame:
     now, before = to_units(F.col("ending_mrr_cents")), to_units(F.col("previous_ending_mrr_cents"))
     change = now - before
     points = (F.col("logo_churn_rate") - F.col("previous_logo_churn_rate")) * 100
@@ -90,10 +94,51 @@ def kpis(bridge: DataFrame) -> DataFrame:
         to_units(F.col("new_mrr_cents")).alias("new_mrr"), "new_orgs",
         to_units(F.col("expansion_mrr_cents")).alias("expansion_mrr"),
         money(now).alias("current_mrr_text"), money(change, signed=True).alias("mrr_change_text"),
-        pct(F.col("logo_churn_rate")).alias("churn_text"),
+        pct(F.col("logo_churn_rate")).alias("churn_text"), month_label(F.col("previous_month_start")).alias("previous_label"),
     )
 
 
+def report_header(bridge: DataFrame) -> DataFrame:
+    """Months of history, their first and last, and when the tables were built; one row."""
+    built = F.date_format(F.max("_built_at"), "MMM dd, yyyy HH:mm")
+    return bridge.agg(
+        F.count("*").alias("months"), month_label(F.min("month_start")).alias("first_month"),
+        month_label(F.max("month_start")).alias("last_month"), built.alias("built_at_text"))
+
+
+def _signed(value: Column, unit: str = "") -> Column:
+    """One place after the point and always a sign; halves to even."""
+    return F.when(value.isNotNull(), F.format_string(f"%+.1f{unit}", F.bround(value, 1) + F.lit(0.0)))
+
+
+def _direction(value: Column, good: str = "up") -> Column:
+    """up is good news, down is bad, flat is no change."""
+    bad = {"up": "down", "down": "up"}[good]
+    return F.when(value > 0, good).when(value < 0, bad).otherwise("flat")
+
+
+def kpi_tiles(bridge: DataFrame) -> DataFrame:
+    """The headline numbers as texts: (position, label, value, detail, direction); six rows."""
+    row, none = _headline(bridge), F.lit("–")
+
+    def tile(position: int, label: Column, value: Column, detail: Column, direction: Column) -> Column:
+        return F.struct(F.lit(position).alias("position"), label.alias("label"), value.alias("value"),
+                        detail.alias("detail"), direction.alias("direction"))
+
+    tiles = [
+        tile(1, F.concat(F.lit("MRR, "), "month_label"), F.col("current_mrr_text"),
+             F.concat("previous_label", F.lit(": "), money(F.col("previous_mrr"))), F.lit("flat")),
+        tile(2, F.lit("MRR change"), F.col("mrr_change_text"), _signed(F.col("mrr_change_pct"), "%%"), _direction(F.col("mrr_change"))),
+        tile(3, F.lit("Customers"), F.col("customers").cast("string"), F.format_string("%+d", "customer_change"), _direction(F.col("customer_change"))),
+        tile(4, F.lit("Logo churn"), F.coalesce("churn_text", none),
+             F.concat(F.coalesce(_signed(F.col("churn_points"), " points"), none), F.lit(", "), F.col("churned_orgs").cast("string"), F.lit(" lost")),
+             _direction(F.col("churn_points"), good="down")),
+        tile(5, F.lit("New MRR"), money(F.col("new_mrr")), F.concat(F.col("new_orgs").cast("string"), F.lit(" new")), _direction(F.col("new_mrr"))),
+        tile(6, F.lit("Expansion MRR"), money(F.col("expansion_mrr")), F.lit(""), _direction(F.col("expansion_mrr"))),
+    ]
+    return row.select(F.inline(F.array(*tiles)))
+
+
 def trend(bridge: DataFrame) -> DataFrame:
     return bridge.select(
         "month_start", month_label(F.col("month_start")).alias("month_label"),

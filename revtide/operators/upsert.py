@@ -9,8 +9,12 @@ from pyspark.sql import types as T
 from revtide.contracts import BATCH_SOURCE, ENTITIES, LOOKBACK_DAYS, SPARK_TYPES
 
 
+#: The day of the watermark in sources that are laid out by it.
+LAID_OUT_DAY = "_watermark_day"
+
+
 def normalize(df: DataFrame, table: str) -> DataFrame:
-    """Contract columns only; zoned times become naive UTC, decimals whole numbers."""
+    """Contract columns only, and the layout's day if there is one; zoned times become naive UTC, decimals whole numbers."""
     columns = []
     for name, typ in ENTITIES[table].columns:
         col = F.col(name)
@@ -18,19 +22,25 @@ def normalize(df: DataFrame, table: str) -> DataFrame:
             local = col.cast("timestamp_ntz")
             col = F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
         columns.append(col.cast(SPARK_TYPES[typ]).alias(name))
-    return df.select(*columns)
+    return df.select(*columns, *[c for c in df.columns if c == LAID_OUT_DAY])
 
 
 def incremental_scan(
     df: DataFrame, table: str, watermark=None, lookback_days: int = LOOKBACK_DAYS,
     full_refresh: bool = False,
 ) -> DataFrame:
-    """Rows at or after the stored watermark less the lookback; a pushed-down filter."""
+    """Rows at or after the stored watermark less the lookback; a pushed-down filter.
+
+    Of a source that is laid out by its watermark only the files of those days are read. A
+    day more is taken there, as the layout may have been made in another zone.
+    """
     entity = ENTITIES[table]
     rows = df.select(*entity.column_names)
     if entity.mode != "upsert" or watermark is None or full_refresh:
         return rows
     start = F.lit(watermark).cast("timestamp_ntz") - F.make_dt_interval(F.lit(lookback_days))
+    if LAID_OUT_DAY in df.columns:
+        rows = df.filter(F.col(LAID_OUT_DAY) >= F.date_sub(start.cast("date"), 1)).select(*entity.column_names)
     return rows.filter(F.col(entity.watermark) >= start)
 
 

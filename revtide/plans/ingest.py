@@ -5,12 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from revtide.contracts import ENTITIES, STATE_COLUMNS, raw_schema, struct_of
-from revtide.operators.upsert import incremental_scan, ingest_state, normalize, stamp
+from revtide.operators.upsert import LAID_OUT_DAY, incremental_scan, ingest_state, normalize, stamp
 from revtide.session import side_by_side
 from revtide.sources.lake import Lake
 
@@ -22,15 +24,56 @@ def read_contract(spark, table: str, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*ENTITIES[table].column_names)
 
 
-def read_contract_jdbc(spark, table: str, options: dict) -> DataFrame:
+def lay_out(df: DataFrame, table: str, path: str, files: int) -> None:
+    """Write a source so that the lookback scan opens little of it.
+
+    Files are ranges of the watermark, sorted by it, with its day as a date: Parquet footers
+    rule files out by dates, not by times without a zone. `incremental_scan` uses the day.
+    """
+    mark = ENTITIES[table].watermark
+    laid = df.withColumn(LAID_OUT_DAY, F.col(mark).cast("date")).repartitionByRange(files, mark)
+    laid.sortWithinPartitions(mark).write.parquet(path)
+
+
+def split_points(sample: DataFrame, key: str, parts: int) -> list:
+    """Keys that cut a sample into parts of about equal size; at most parts - 1 values."""
+    spread = sample.select(key).filter(F.col(key).isNotNull()).repartitionByRange(parts, key)
+    starts = spread.groupBy(F.spark_partition_id().alias("part")).agg(F.min(key).alias("start")).orderBy("part").collect()
+    return [row["start"] for row in starts][1:]
+
+
+def split_predicates(key: str, points: list) -> list[str]:
+    """Conditions that each row meets exactly one of; null keys meet the first."""
+    def literal(value) -> str:
+        if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+            return str(value)
+        return "'" + str(value).replace("'", "''") + "'"
+
+    points = sorted(set(points))
+    if not points:
+        return ["1 = 1"]
+    cuts = [literal(p) for p in points]
+    inside = [f"{key} >= {low} and {key} < {high}" for low, high in zip(cuts, cuts[1:])]
+    return [f"{key} < {cuts[0]} or {key} is null", *inside, f"{key} >= {cuts[-1]}"]
+
+
+def read_contract_jdbc(spark, table: str, options: dict, points: list | None = None, whole: bool = False) -> DataFrame:
     """The same from a database; filters and columns are pushed to the server.
 
-    Give `partitionColumn`, `lowerBound`, `upperBound` and `numPartitions` in
-    the options to read a large table in parallel.
+    A table is read in parallel: by `points`, keys that cut it (`split_points` of a sample),
+    or by `partitionColumn`, `lowerBound`, `upperBound` and `numPartitions` in the options.
+    One task for all of it has to be asked for with `whole`.
     """
     entity = ENTITIES[table]
     source = {"dbtable": f"app.{table}", **options}
-    return spark.read.format("jdbc").options(**source).load().select(*entity.column_names)
+    if points:
+        rest = {k: v for k, v in source.items() if k not in ("url", "dbtable")}
+        rows = spark.read.jdbc(source["url"], source["dbtable"], predicates=split_predicates(entity.pk, points), properties=rest)
+    elif whole or "partitionColumn" in options:
+        rows = spark.read.format("jdbc").options(**source).load()
+    else:
+        raise ValueError(f"{table} would be read by one task: give points or partition options")
+    return rows.select(*entity.column_names)
 
 
 def ensure_tables(lake: Lake) -> None:

@@ -632,6 +632,74 @@ def _(spark, sf):
     )
 
 
+_TILE = """select {} as position, {} as label, {} as value, {} as detail, {} as direction from (select *, strftime(p_month, '%b %Y') as p_label,
+    strftime(month_start, '%b %Y') as label, ending_mrr_cents / 100 - p_ending / 100 as change, active_orgs_end - p_active as customers,
+    (logo_churn_rate - p_rate) * 100 as points from mrr_latest where p_month is not null)"""
+
+
+def _signed_sql(x: str) -> str:
+    return f"printf('%+.1f', round_even({x}, 1) + 0.0)"
+
+
+def _direction_sql(x: str, up: str = "up", down: str = "down") -> str:
+    return f"case when {x} > 0 then '{up}' when {x} < 0 then '{down}' else 'flat' end"
+
+
+_PCT = "case when p_ending = 0 then 0.0 else change / (p_ending / 100) * 100 end"
+
+
+@query("kpi_tiles", " union all ".join([
+    _TILE.format(1, "'MRR, ' || label", _money_sql("(ending_mrr_cents / 100)"), f"p_label || ': ' || {_money_sql('(p_ending / 100)')}", "'flat'"),
+    _TILE.format(2, "'MRR change'", _money_sql("change", "+"), f"{_signed_sql(_PCT)} || '%'", _direction_sql("change")),
+    _TILE.format(3, "'Customers'", "cast(active_orgs_end as varchar)", "printf('%+d', customers)", _direction_sql("customers")),
+    _TILE.format(4, "'Logo churn'", "coalesce(format('{:.1f}%', round_even(logo_churn_rate * 100, 1)), '–')",
+                 f"coalesce({_signed_sql('points')} || ' points', '–') || ', ' || churned_orgs || ' lost'", _direction_sql("points", "down", "up")),
+    _TILE.format(5, "'New MRR'", _money_sql("(new_mrr_cents / 100)"), "new_orgs || ' new'", _direction_sql("new_mrr_cents")),
+    _TILE.format(6, "'Expansion MRR'", _money_sql("(expansion_mrr_cents / 100)"), "''", _direction_sql("expansion_mrr_cents")),
+]))
+def _(spark, sf):
+    return reports.kpi_tiles(_bridge(spark, sf))
+
+
+@query("report_header", """select count(*) as months, strftime(min(month_start), '%b %Y') as first_month,
+    strftime(max(month_start), '%b %Y') as last_month, 'Feb 01, 2024 07:30' as built_at_text from mrr_monthly""")
+def _(spark, sf):
+    return reports.report_header(marts.with_built_at(_bridge(spark, sf), "2024-02-01 07:30:00"))
+
+
+def _report(spark, sf, name: str) -> DataFrame:
+    return reports.report_frames({
+        "fct_mrr_monthly": _bridge(spark, sf), "dim_organizations": dim(spark, sf),
+        "fct_login_activity_daily": activity(spark, sf), "fct_plan_changes": marts.fct_plan_changes(moved(spark, sf))})[name]
+
+
+@query("report_mrr", "select " + ", ".join(
+    f"cast({c} as double) as {c}" if c.endswith("_cents") else c for c in (
+        "month_start", "beginning_mrr_cents", "new_mrr_cents", "expansion_mrr_cents", "contraction_mrr_cents", "churn_mrr_cents",
+        "reactivation_mrr_cents", "ending_mrr_cents", "active_orgs_start", "active_orgs_end", "new_orgs", "churned_orgs", "logo_churn_rate")
+) + " from mrr_monthly")
+def _(spark, sf):
+    return _report(spark, sf, "mrr")
+
+
+@query("report_orgs", """select org_id, org_name, plan, subscription_status, cast(mrr_cents as double) as mrr_cents, seats, user_count,
+    active_user_count, is_active, is_paying from dim_organizations""")
+def _(spark, sf):
+    return _report(spark, sf, "orgs")
+
+
+@query("report_logins", """select activity_date, cast(sum(login_count) as bigint) as logins, cast(sum(successful_login_count) as bigint) as successful_logins,
+    cast(sum(distinct_users) as bigint) as active_users from activity group by activity_date""")
+def _(spark, sf):
+    return _report(spark, sf, "logins")
+
+
+@query("report_changes", """select m.event_id, m.occurred_at, m.occurred_month, m.movement_type, m.event_type, m.from_plan, m.to_plan,
+    cast(m.mrr_delta_cents as double) as mrr_delta_cents, d.org_name from movements m left join dim_organizations d using (org_id)""")
+def _(spark, sf):
+    return _report(spark, sf, "changes")
+
+
 # --- stream side tables ---------------------------------------------------
 
 @query("landing_lag", " union all ".join(
@@ -918,27 +986,41 @@ def _(spark, sf):
 
 # --- whole runs -----------------------------------------------------------
 
-@query("ingest", """select cast(invoice_id as varchar) as invoice_id, cast(org_id as varchar) as org_id,
-  cast(subscription_id as varchar) as subscription_id, amount_cents, currency,
-  case when recorded_at >= (select max(recorded_at) from invoices
-    where recorded_at <= timestamp '2001-06-01') - interval 2 day then upper(status) else status end
-    as status, period_start, period_end, issued_at, paid_at, recorded_at from invoices""")
+#: What the second load of `ingest` brings changed, and how far the first one of each incremental table goes.
+_CHANGED = {"organizations": "name", "users": "full_name", "subscriptions": "plan", "logins": "idp", "subscription_events": "event_type", "invoices": "status"}
+_FIRST_LOAD = {"logins": "2024-01-20", "subscription_events": "2001-06-01", "invoices": "2001-06-01"}
+
+
+def _ingested_sql(table: str) -> str:
+    """Every row's key and the digest of its columns after both loads."""
+    entity, column = ENTITIES[table], _CHANGED[table]
+    changed = f"upper({column})"
+    if table in _FIRST_LOAD:
+        mark = (f"(select max({entity.watermark}) from {table} where {entity.watermark} <= timestamp '{_FIRST_LOAD[table]}')")
+        changed = f"if({entity.watermark} >= {mark} - interval 2 day, upper({column}), {column})"
+    texts = {"timestamp": "cast(epoch_us({}) as varchar)", "date": "cast(date_diff('day', date '1970-01-01', {}) as varchar)"}
+    parts = ", ".join(f"coalesce({texts.get(typ, 'cast({} as varchar)').format(changed if c == column else c)}, '~')" for c, typ in entity.columns)
+    return f"select '{table}' as table_name, cast({entity.pk} as varchar) as entity_id, md5(concat_ws('|', {parts})) as row_md5 from {table}"
+
+
+@query("ingest", " union all ".join(map(_ingested_sql, ENTITIES)))
 def _(spark, sf):
-    """Two batch runs: a first load, then a merge of what the lookback re-reads."""
+    """Two batch runs over all tables: a first load, then what the lookback and full tables bring again."""
     lake = Lake(spark, work_folder(spark, "lake"))
 
     def first(table: str) -> DataFrame:
         rows = samples.BATCH[table](spark, sf)
-        mark = ENTITIES[table].watermark
-        return rows.filter(F.col(mark) <= samples.ntz("2001-06-01")) if table == "invoices" else rows
-
-    def second(table: str) -> DataFrame:
-        rows = samples.BATCH[table](spark, sf)
-        return rows.withColumn("status", F.upper("status")) if table == "invoices" else rows
+        return rows.filter(F.col(ENTITIES[table].watermark) <= samples.ntz(_FIRST_LOAD[table])) if table in _FIRST_LOAD else rows
 
     ingest(lake, first)
-    ingest(lake, second)
-    return raw_table(lake, "invoices").drop("_loaded_at", "_batch_id", "_source_system")
+    ingest(lake, lambda table: samples.BATCH[table](spark, sf).withColumn(_CHANGED[table], F.upper(_CHANGED[table])))
+
+    def digested(table: str) -> DataFrame:
+        texts = {"timestamp": "cast(unix_micros(to_utc_timestamp(cast({} as string), 'UTC')) as string)", "date": "cast(unix_date({}) as string)"}
+        parts = ", ".join(f"coalesce({texts.get(typ, 'cast({} as string)').format(c)}, '~')" for c, typ in ENTITIES[table].columns)
+        return raw_table(lake, table).selectExpr(f"'{table}' as table_name", f"{ENTITIES[table].pk} as entity_id", f"md5(concat_ws('|', {parts})) as row_md5")
+
+    return reduce(DataFrame.unionByName, map(digested, ENTITIES))
 
 
 def _gate_inputs(spark, sf):

@@ -2,10 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtide.contracts import SPARK_TYPES
+from revtide.contracts import ENTITIES, SPARK_TYPES, promoted_columns
+from revtide.sources import folders
+
+
+def promoted_from_file(spark: SparkSession, path: str) -> dict[str, dict[str, str]]:
+    """Promoted columns per table out of a JSON file on any file system, checked.
+
+    `{"users": {"plan_note": "varchar"}}`. A file that is missing promotes nothing; a table
+    that does not exist, or a column that is not allowed, is refused.
+    """
+    if not folders.exists(spark, path):
+        return {}
+    config = json.loads(folders.read_text(spark, path))
+    if not isinstance(config, dict) or not set(config) <= set(ENTITIES):
+        raise ValueError(f"{path} names tables that do not exist")
+    return {table: dict(promoted_columns(config, table)) for table in config}
 
 
 def widen_schema(changes: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:

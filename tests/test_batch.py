@@ -8,13 +8,17 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from revtide.contracts import ENTITIES, PLAN_PRICE_CENTS, raw_schema
-from revtide.operators import history, marts, movements, quality, reports, upsert
+from revtide.operators import history, marts, movements, quality, reports, staging, upsert
 from revtide.operators.current import current_entity, latest_change
-from revtide.plans.ingest import ensure_tables, ingest, raw_table, read_watermarks
+from revtide.plans.ingest import (
+    ensure_tables, ingest, lay_out, raw_table, read_contract_jdbc, read_watermarks, split_points, split_predicates,
+)
 from revtide.plans.publish import Publisher
+from revtide.plans.queries import QUERIES
 from revtide.session import work_folder
-from revtide.sources import samples
+from revtide.sources import folders, samples
 from revtide.sources.lake import Lake
+from revtide.streaming.promotion import promoted_from_file
 
 SF_DIR = "/root/testdata/sf0.001"
 SUBS = "subscription_id long, plan string, status string, mrr_cents long, seats long, canceled_at timestamp_ntz"
@@ -233,7 +237,7 @@ def test_quiet_months_carry_state(spark):
         movements.ending_state(states), movements.month_flows(moves), movements.starting_churn(moves, states)
     )
     assert sorted(parts.collect()) == rows
-    assert quality.bridge_violations(got).count() == quality.churn_bounds_violations(got).count() == 0
+    assert movements.bridge_violations(got).count() == movements.churn_bounds_violations(got).count() == 0
 
 
 def test_negative_amounts_are_repaired_or_refused(spark):
@@ -298,3 +302,81 @@ def test_gate(spark, folder):
     # Nothing new was loaded, so the fact keeps its rows and history its versions.
     assert clean.published("fct_logins").count() == clean.published("stg_logins").count()
     assert clean.published("subscriptions_history").filter("not is_current").count() == 0
+
+
+def test_split_predicates_are_disjoint_and_complete(spark):
+    """No database here: the conditions are run over a frame, the read itself is left to a deployment."""
+    keys = [None, "", "a", "a'b", "ab", "b", "é", "zz", *[f"k{i:03d}" for i in range(300)]]
+    rows = spark.createDataFrame([(k,) for k in keys], "k string")
+    points = split_points(rows, "k", 6)
+    assert 3 <= len(points) <= 5
+    for cuts in (points, ["a'b"], [], ["a", "a", "b"]):
+        met = [rows.filter(p).count() for p in split_predicates("k", cuts)]
+        every = " + ".join(f"cast(coalesce({p}, false) as int)" for p in split_predicates("k", cuts))
+        assert sum(met) == len(keys) and {r[0] for r in rows.selectExpr(every).collect()} == {1}
+        assert rows.filter(split_predicates("k", cuts)[0]).filter("k is null").count() == 1
+    sizes = [rows.filter(p).count() for p in split_predicates("k", points)]
+    assert max(sizes) < len(keys) / 2
+    numbers = spark.range(1000).selectExpr("if(id % 9 = 0, null, id) as n")
+    assert sum(numbers.filter(p).count() for p in split_predicates("n", split_points(numbers, "n", 4))) == 1000
+    assert split_points(rows.limit(0), "k", 4) == []
+
+
+def test_a_database_table_is_not_read_by_one_task_unasked(spark):
+    with pytest.raises(ValueError, match="one task"):
+        read_contract_jdbc(spark, "logins", {"url": "jdbc:postgresql://db/app"})
+
+
+def test_the_lookback_opens_few_rows_of_a_laid_out_source(spark, folder):
+    """Files in watermark order: footers cut the scan to the newest files; without, it reads all."""
+    rows = spark.range(200_000).selectExpr("string(id) as invoice_id", "timestamp_ntz'2020-01-01' + make_dt_interval(0, 0, int(hash(id) % 500000)) as recorded_at")
+    mark = rows.agg(F.max("recorded_at")).first()[0]
+    lay_out(rows, "invoices", f"{folder}/laid", 40)
+    rows.repartition(40).write.parquet(f"{folder}/mixed")
+
+    def incremental_rows(source, mark):
+        rest = {c: F.lit(None).cast("string") for c in ENTITIES["invoices"].column_names if c not in source.columns}
+        return upsert.incremental_scan(source.withColumns(rest), "invoices", mark).select("invoice_id")
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        read = {}
+        for name in ("laid", "mixed"):
+            source = spark.read.parquet(f"{folder}/{name}")
+            found = incremental_rows(source, mark)
+            execution = found._jdf.queryExecution()
+            n = len(execution.executedPlan().executeCollect())
+            leaf = execution.executedPlan().collectLeaves().head()
+            read[name] = (n, leaf.metrics().apply("numOutputRows").value())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert read["laid"][0] == read["mixed"][0] > 0
+    assert read["mixed"][1] == 200_000 and read["laid"][1] <= 4 * 200_000 // 40
+
+
+def test_reports_come_in_order(spark):
+    frames = {n: QUERIES[f"report_{n}"](spark, "/root/testdata/sf0.001").collect() for n in ("mrr", "logins", "changes")}
+    for name, column in (("mrr", "month_start"), ("logins", "activity_date"), ("changes", "occurred_at")):
+        found = [r[column] for r in frames[name]]
+        assert len(found) > 5 and found == sorted(found)
+
+
+def test_tiles_of_few_months(spark):
+    moves = movements.subscription_movements(staging.stg_subscription_events(samples.subscription_events(spark, SF_DIR)))
+    bridge = movements.mrr_monthly(moves)
+    assert reports.kpi_tiles(bridge).count() == 6
+    assert reports.kpi_tiles(bridge.limit(1)).count() == reports.kpi_tiles(bridge.limit(0)).count() == 0
+    flat = spark.createDataFrame([(dt.date(2024, m, 1), *[0] * 7, 4, 4, 0, 0, None) for m in (1, 2)], bridge.schema)
+    got = [tuple(r)[2:] for r in reports.kpi_tiles(flat).orderBy("position").collect()]
+    assert got == [("$0", "Jan 2024: $0", "flat"), ("$0", "+0.0%", "flat"), ("4", "+0", "flat"), ("–", "–, 0 lost", "flat"), ("$0", "0 new", "flat"), ("$0", "", "flat")]
+
+
+def test_promoted_columns_from_a_file(spark, folder):
+    path = f"{folder}/promoted.json"
+    assert promoted_from_file(spark, path) == {}
+    folders.create_text(spark, path, '{"users": {"plan_note": "varchar"}, "logins": {}}')
+    assert promoted_from_file(spark, path) == {"users": {"plan_note": "varchar"}, "logins": {}}
+    for n, bad in enumerate(('{"users": {"Bad-Name": "varchar"}}', '{"users": {"a": "double"}}', '{"users": []}', '{"nothing": {}}', "[]")):
+        folders.create_text(spark, f"{folder}/{n}", bad)
+        with pytest.raises(ValueError):
+            promoted_from_file(spark, f"{folder}/{n}")
