@@ -5,6 +5,11 @@ up or counted over the corpus is asked once per chunk and distinct key, so a key
 fills a third of the corpus costs one row per chunk. Keys are in the order of their
 64-bit hashes, and a bucket is a range of hashes: a chunk's questions to a bucket are one
 slice, and the answers put together in bucket order line up with the keys.
+
+More buckets than FAN are reached in steps, so that a chunk makes FAN slices at most however
+large the corpus is: chunks send to FAN ranges; in a range the slices of as many chunks as
+fill a bucket become one node with their distinct keys; nodes send to the FAN parts of their
+range, and so on. Answers come back the same way, each node spreading them to its slices.
 """
 
 from __future__ import annotations
@@ -15,8 +20,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revtide.llm.base import stored
+
 #: Text bytes in a chunk and, on average, keys in a bucket.
 CHUNK_BYTES, BUCKET_KEYS = 16 << 20, 400_000
+#: The most slices that a chunk or node makes.
+FAN = 512
 
 
 def pack(values: np.ndarray, kind: str = "<u4") -> bytes:
@@ -48,6 +57,28 @@ def bucket_count(state: DataFrame, keys: str) -> int:
     return max(1, -(-int(state.agg(F.sum(keys)).first()[0] or 0) // BUCKET_KEYS))
 
 
+def exchange(state: DataFrame, keys: str, ask, total, merge, spread, level: int = 0) -> DataFrame:
+    """The answers to what the rows of `state` ask, in steps of FAN.
+
+    ask(state, n, level): questions (bucket, chunk, ...) to n buckets. total(questions, level):
+    their answers. merge(questions, groups, level): nodes, the state of the next level, each of
+    one bucket and of the chunks of one of so many groups. spread(nodes, answers): the answers
+    to what the nodes were made of.
+    """
+    wanted = bucket_count(state, keys)
+    n = min(wanted, FAN ** (level + 1))
+    questions = ask(state, n, level)
+    if n == wanted:
+        return total(questions, level)
+    nodes = stored(merge(questions, -(-wanted // n), level), "nodes")
+    return spread(nodes, stored(exchange(nodes, keys, ask, total, merge, spread, level + 1), "node-answers"))
+
+
+def node_number(bucket, part, group):
+    """A number for a node that no other node of its level has."""
+    return (int(bucket) << 32) | (int(part) << 28) | int(group)
+
+
 def slices(hashes: np.ndarray, n: int):
     """(bucket, start, end) of the buckets that hold any of the sorted unsigned hashes."""
     bucket = ((hashes >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revtide.llm.base import crc_fold, stored, utf8
-from revtide.llm.chunks import Numbering, bucket_count, pack, slices, unpack
+from revtide.llm.chunks import Numbering, exchange, node_number, pack, slices, unpack
 
 FOLDS, HELD_OUT, DELETED = 7, 2, 0
 #: Text bytes in a chunk; a task builds one for each of the three parts at once.
@@ -130,39 +130,81 @@ class Chunk:
 
 # --- counts over the corpus -----------------------------------------------
 
-def corpus_counts(state: DataFrame) -> DataFrame:
-    """(chunk, bucket, train, kept, n, v): counts for each chunk's keys, bucket by bucket.
+ANSWER = "chunk long, train binary, kept binary, n long, v long, kept_n long, kept_v long, bucket long"
 
-    `kept` is filled for deleted chunks. Rows of chunk -1 hold the bucket's training
-    tokens n and distinct training words v, and those without the deleted fold in kept_n
-    and kept_v. A bucket holds BUCKET_KEYS keys on average, at most one per chunk of each.
-    """
-    n = bucket_count(state, "n_keys")
 
+def _questions(state: DataFrame, n: int, level: int) -> DataFrame:
+    """(bucket, chunk, part, steps, counts): the keys of a chunk or node per bucket, and how often each occurs."""
     def ask(batches):
         for batch in batches:
             for i in range(batch.num_rows):  # a chunk is large: one at a time
                 (row,) = batch.slice(i, 1).to_pylist()
-                chunk = Chunk(row)
-                cut = list(slices(chunk.keys, n))
-                steps = [pack(np.diff(chunk.keys[s:e], prepend=np.uint64(0)), "<u8") for _, s, e in cut]
-                counts = [pack(chunk.counts[s:e]) for _, s, e in cut]
+                if level:
+                    keys, counts, kind = np.cumsum(unpack(row["steps"], "<u8")), unpack(row["counts"], "<u8"), "<u8"
+                else:
+                    chunk = Chunk(row)
+                    keys, counts, kind = chunk.keys, chunk.counts, "<u4"
+                cut = list(slices(keys, n))
+                steps = [pack(np.diff(keys[s:e], prepend=np.uint64(0)), "<u8") for _, s, e in cut]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([b for b, _, _ in cut], pa.int64()), pa.array([row["chunk"]] * len(cut), pa.int64()),
                      pa.array([row["part"]] * len(cut), pa.int32()), pa.array(steps, pa.binary()),
-                     pa.array(counts, pa.binary())], ["bucket", "chunk", "part", "steps", "counts"])
+                     pa.array([pack(counts[s:e], kind) for _, s, e in cut], pa.binary())], ["bucket", "chunk", "part", "steps", "counts"])
+
+    columns = ["chunk", "part", "steps", "counts"] if level else ["chunk", "part", "sizes", "tokens", "hashes"]
+    return state.select(*columns).mapInArrow(ask, "bucket long, chunk long, part int, steps binary, counts binary")
+
+
+def _joined(rows: pd.DataFrame, level: int):
+    """The keys and counts of all slices, and where each slice ends."""
+    keys = [np.cumsum(unpack(s, "<u8")) for s in rows["steps"]]
+    counts = np.concatenate([unpack(c, "<u8" if level else "<u4") for c in rows["counts"]]).astype(np.float64)  # exact below 2^53
+    return np.concatenate(keys), counts, np.cumsum([len(k) for k in keys])
+
+
+def _merged(questions: DataFrame, groups: int, level: int) -> DataFrame:
+    """Nodes: the distinct keys of the slices of a bucket, part and group of chunks, with the places of each slice's keys."""
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        keys, counts, ends = _joined(rows, level)
+        distinct, place = np.unique(keys, return_inverse=True)
+        bucket, part = int(rows["bucket"].iloc[0]), int(rows["part"].iloc[0])
+        return pd.DataFrame([{
+            "chunk": node_number(bucket, part, rows["group"].iloc[0]), "part": part, "bucket": bucket,
+            "steps": pack(np.diff(distinct, prepend=np.uint64(0)), "<u8"),
+            "counts": pack(np.bincount(place, counts, len(distinct)).astype(np.uint64), "<u8"), "n_keys": len(distinct),
+            "members": rows["chunk"].tolist(), "places": [pack(p) for p in np.split(place, ends[:-1])]}])
+
+    dealt = questions.withColumn("group", F.pmod(F.xxhash64("chunk"), F.lit(groups)))
+    return dealt.groupBy("bucket", "part", "group").applyInPandas(
+        merge, "chunk long, part int, bucket long, steps binary, counts binary, n_keys long, members array<long>, places array<binary>")
+
 
+def _spread(nodes: DataFrame, answers: DataFrame) -> DataFrame:
+    """The answers to the slices that nodes were made of; the bucket's own figures pass through."""
+    def spread(held: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        node, known = held.iloc[0], known.sort_values("bucket")
+        train, kept = (np.concatenate([unpack(a, "<u8") for a in known[c]]) if known[c].notna().all() else None for c in ("train", "kept"))
+        out = [(member, pack(train[place], "<u8"), None if kept is None else pack(kept[place], "<u8"), 0, 0, 0, 0, node["bucket"])
+               for member, place in zip(node["members"], map(unpack, node["places"]))]
+        return pd.DataFrame(out, columns=["chunk", "train", "kept", "n", "v", "kept_n", "kept_v", "bucket"])
+
+    own = nodes.select("chunk", "bucket", "members", "places")
+    mine = answers.filter("chunk >= 0").select("chunk", "bucket", "train", "kept")
+    found = own.groupBy("chunk").cogroup(mine.groupBy("chunk")).applyInPandas(spread, ANSWER)
+    return found.union(answers.filter("chunk = -1").select(*found.columns))
+
+
+def _totals(questions: DataFrame, level: int) -> DataFrame:
     def total(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.cumsum(unpack(s, "<u8")) for s in rows["steps"]]
-        ends = np.cumsum([len(k) for k in keys])
-        part = np.repeat(rows["part"].to_numpy(), [len(k) for k in keys])
-        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-        counts = np.concatenate([unpack(c) for c in rows["counts"]]).astype(np.float64)  # exact below 2^53
+        keys, counts, ends = _joined(rows, level)
+        starts = np.concatenate([[0], ends[:-1]])
+        part = np.repeat(rows["part"].to_numpy(), ends - starts)
+        distinct, place = np.unique(keys, return_inverse=True)
         kept = np.bincount(place, counts * (part == KEPT_PART), len(distinct)).astype(np.int64)
         train = kept + np.bincount(place, counts * (part == DELETED_PART), len(distinct)).astype(np.int64)
         word = (distinct & np.uint64(1)) == 0
         out = []
-        for chunk, its, start, end in zip(rows["chunk"], rows["part"], ends - [len(k) for k in keys], ends):
+        for chunk, its, start, end in zip(rows["chunk"], rows["part"], starts, ends):
             at = place[start:end]
             out.append((chunk, pack(train[at], "<u8"), pack(kept[at], "<u8") if its == DELETED_PART else None, 0, 0, 0, 0))
         sums = [int(x) for x in (train[word].sum(), (train[word] > 0).sum(), kept[word].sum(), (kept[word] > 0).sum())]
@@ -171,10 +213,17 @@ def corpus_counts(state: DataFrame) -> DataFrame:
         frame["bucket"] = rows["bucket"].iloc[0]
         return frame
 
-    asked = state.select("chunk", "part", "sizes", "tokens", "hashes").mapInArrow(
-        ask, "bucket long, chunk long, part int, steps binary, counts binary")
-    return asked.groupBy("bucket").applyInPandas(
-        total, "chunk long, train binary, kept binary, n long, v long, kept_n long, kept_v long, bucket long")
+    return questions.groupBy("bucket").applyInPandas(total, ANSWER)
+
+
+def corpus_counts(state: DataFrame) -> DataFrame:
+    """(chunk, bucket, train, kept, n, v): counts for each chunk's keys, bucket by bucket.
+
+    `kept` is filled for deleted chunks. Rows of chunk -1 hold a bucket's training
+    tokens n and distinct training words v, and those without the deleted fold in kept_n
+    and kept_v. A bucket holds BUCKET_KEYS keys on average, at most one per chunk or node of each.
+    """
+    return exchange(state, "n_keys", _questions, _totals, _merged, _spread)
 
 
 def _looked_up(chunk: Chunk, answers: pd.DataFrame, column: str, n_docs: int):

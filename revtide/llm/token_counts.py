@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revtide.llm.base import stored, utf8
-from revtide.llm.chunks import CHUNK_BYTES, Numbering, bucket_count, pack, slices, unpack
+from revtide.llm.chunks import CHUNK_BYTES, Numbering, exchange, node_number, pack, slices, unpack
 
 #: Marks a word that the library must encode whole; no pre-token holds a space.
 WHOLE = " "
@@ -148,13 +148,8 @@ def _arrow(docs: DataFrame, schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
-def vocabulary_counts(state: DataFrame, path: str) -> DataFrame:
-    """(chunk, bucket, pieces): the pieces of each chunk's pre-tokens, in their order.
-
-    All rows with a pre-token meet in its bucket, where its pieces are counted once.
-    """
-    n = bucket_count(state, "n_pretokens")
-
+def _questions(state: DataFrame, n: int, level: int) -> DataFrame:
+    """(bucket, chunk, pretokens): the pre-tokens of a chunk or node per bucket, in the order of their hashes."""
     def ask(batches):
         for batch in batches:
             for i in range(batch.num_rows):  # a chunk is large: one at a time
@@ -166,6 +161,45 @@ def vocabulary_counts(state: DataFrame, path: str) -> DataFrame:
                      pa.array([names[s:e] for _, s, e in cut], pa.list_(pa.string()))],
                     ["bucket", "chunk", "pretokens"])
 
+    return state.select("chunk", "pretokens").mapInArrow(ask, "bucket long, chunk long, pretokens array<string>")
+
+
+def _merged(questions: DataFrame, groups: int, level: int) -> DataFrame:
+    """Nodes: the distinct pre-tokens of the slices of a bucket and group of chunks, with the places of each slice's."""
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        number: dict[str, int] = {}
+        own = [np.fromiter((number.setdefault(p, len(number)) for p in names), np.int64, len(names)) for names in rows["pretokens"]]
+        names = list(number)
+        order = np.argsort(np.fromiter(map(hashed, names), np.uint64, len(names)), kind="stable")
+        place = np.empty(len(names), np.int64)
+        place[order] = np.arange(len(names))
+        bucket = int(rows["bucket"].iloc[0])
+        return pd.DataFrame([{
+            "chunk": node_number(bucket, 0, rows["group"].iloc[0]), "bucket": bucket, "pretokens": [names[i] for i in order],
+            "n_pretokens": len(names), "members": rows["chunk"].tolist(), "places": [pack(place[i]) for i in own]}])
+
+    dealt = questions.withColumn("group", F.pmod(F.xxhash64("chunk"), F.lit(groups)))
+    return dealt.groupBy("bucket", "group").applyInPandas(
+        merge, "chunk long, bucket long, pretokens array<string>, n_pretokens long, members array<long>, places array<binary>")
+
+
+def _spread(nodes: DataFrame, answers: DataFrame) -> DataFrame:
+    """The answers to the slices that nodes were made of."""
+    def spread(held: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        node = held.iloc[0]
+        pieces = np.concatenate([unpack(p) for p in known.sort_values("bucket")["pieces"]])
+        return pd.DataFrame([(member, node["bucket"], pack(pieces[unpack(place)])) for member, place in zip(node["members"], node["places"])],
+                            columns=["chunk", "bucket", "pieces"])
+
+    own = nodes.select("chunk", "bucket", "members", "places")
+    return own.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(spread, "chunk long, bucket long, pieces binary")
+
+
+def vocabulary_counts(state: DataFrame, path: str) -> DataFrame:
+    """(chunk, bucket, pieces): the pieces of each chunk's pre-tokens, in their order.
+
+    All rows with a pre-token meet in its bucket, where its pieces are counted once.
+    """
     def count(rows: pd.DataFrame) -> pd.DataFrame:
         pieces: dict[str, int] = {}
         out = []
@@ -176,8 +210,10 @@ def vocabulary_counts(state: DataFrame, path: str) -> DataFrame:
             out.append(pack(np.fromiter((pieces[p] for p in names), np.int64, len(names))))
         return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"], "pieces": out})
 
-    asked = state.select("chunk", "pretokens").mapInArrow(ask, "bucket long, chunk long, pretokens array<string>")
-    return asked.groupBy("bucket").applyInPandas(count, "chunk long, bucket long, pieces binary")
+    def total(questions: DataFrame, level: int) -> DataFrame:
+        return questions.groupBy("bucket").applyInPandas(count, "chunk long, bucket long, pieces binary")
+
+    return exchange(state, "n_pretokens", _questions, total, _merged, _spread)
 
 
 def token_counts(docs: DataFrame, path: str, key: str = "doc_id") -> DataFrame:

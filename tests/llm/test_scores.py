@@ -8,7 +8,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 
-from revtide.llm import interpolation, quality_model
+from revtide.llm import chunks, interpolation, quality_model
 from revtide.llm.queries import QUERIES
 from tests.llm.helpers import SF_DIR, lower, odd_documents, rows, texts, words
 
@@ -47,6 +47,22 @@ def test_scores_of_odd_rows_in_small_chunks(spark, monkeypatch):
     assert interpolation.score(docs.limit(0)).collect() == []
 
 
+def test_scores_in_steps(spark, monkeypatch):
+    """Several levels of nodes give the counts that one exchange gives; a chunk makes few slices."""
+    monkeypatch.setattr(interpolation, "CHUNK_BYTES", 20_000)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").union(odd_documents(spark).select("doc_id", "text", "lang", "source", "n_chars"))
+    one = scored(interpolation.score(docs))
+    monkeypatch.setattr(chunks, "BUCKET_KEYS", 9000)
+    monkeypatch.setattr(chunks, "FAN", 3)
+    levels, merge = [], interpolation._merged
+    monkeypatch.setattr(interpolation, "_merged", lambda *a: levels.append(a[2]) or merge(*a))
+    many = scored(interpolation.score(docs))
+    key = lambda r: repr(tuple(round(x, 6) if isinstance(x, float) else x for x in r))
+    assert len(levels) > 1 and one[1] == many[1] and sorted(map(key, one[0])) == sorted(map(key, many[0]))
+    state = interpolation.tokenized(docs)
+    assert max(r["count"] for r in interpolation._questions(state, 3, 0).groupBy("chunk").count().collect()) <= 3
+
+
 def test_model_equals_brute_force(spark):
     """Score by counts in Python, with the weights that EM gives for the same cells."""
     docs = list(texts().items())

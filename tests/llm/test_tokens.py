@@ -36,6 +36,18 @@ def test_token_counts_of_odd_rows(spark, library, monkeypatch):
     assert rows(token_counts.token_counts(docs.limit(0), WORD_FILE)) == []
 
 
+def test_token_counts_in_steps(spark, library, monkeypatch):
+    """Small chunks and buckets, two slices a step: several levels of nodes, the same counts."""
+    monkeypatch.setattr(token_counts, "CHUNK_BYTES", 3000)
+    monkeypatch.setattr(chunks, "BUCKET_KEYS", 400)
+    monkeypatch.setattr(chunks, "FAN", 2)
+    levels, merge = [], token_counts._merged
+    monkeypatch.setattr(token_counts, "_merged", lambda *a: levels.append(a[2]) or merge(*a))
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").union(odd_documents(spark).select("doc_id", "text", "lang", "source", "n_chars")).limit(60)
+    want = [(r.doc_id, len((r.text or "").encode()), library(r.text)) for r in docs.collect()]
+    assert rows(token_counts.token_counts(docs, WORD_FILE)) == sorted(want, key=repr) and len(levels) > 1
+
+
 def test_direct_splitting_equals_the_library():
     random.seed(3)
     fast, slow = token_counts.LowerCaseSplitter(WORD_FILE), token_counts.Splitter(WORD_FILE)
