@@ -187,6 +187,35 @@ def test_a_cell_with_very_many_equal_documents(spark, monkeypatch):
     check_mix(got, lambda r: "a" if r.doc_id < 1000 else "b", lambda s, target: 3 if s == "a" else 40)
 
 
+def test_very_many_equal_rows_are_one_row_and_come_back_as_many(spark, monkeypatch):
+    for name, n in (("RANKED", 8), ("SUMMED", 4), ("UNFOLDED", 16)):
+        monkeypatch.setattr(mixing, name, n)
+    data = [(7, "same words here", "a", "x")] * 1200 + [(7, "same words here", "a", "y")] * 37 + [(100 + i, "w " * (i % 90), "b", "z") for i in range(400)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string, row_key string")
+    decided = mixing.decisions(docs)
+    assert decided.count() == 401 and decided.filter("doc_id = 7").first().m == 1237
+    got = mixing.report(docs).collect()
+    assert len(got) == len(data)
+    check_mix(got, lambda r: "a" if r.doc_id == 7 else "b", lambda s, target: 3 if s == "a" else 90)
+    out = mixing.mix(docs)
+    assert out.columns == docs.columns
+    taken = {d: sum(r.taken for r in got if (r.doc_id == 7) == d) for d in (True, False)}
+    mixed = out.collect()
+    assert {d: sum(len(words(r.text)) for r in mixed if (r.doc_id == 7) == d) for d in (True, False)} == taken
+    assert 0 < sum(r.row_key == "y" for r in mixed) <= 2 * 37
+
+
+def test_sums_level_by_level_equal_one_window(spark):
+    cells = spark.range(3000).selectExpr("if(id % 3 = 0, null, string(id % 3)) as source", "id * 7919 % 200 as size", "id as part", "id % 11 as m")
+    order = [F.floor(F.col("size") / 16), F.col("size"), F.floor(F.col("part") / 64), F.col("part")]
+    got = mixing.carried_before(cells, "source", order, F.col("m").cast("decimal(38,9)")).collect()
+    sums = {}
+    for r in sorted(got, key=lambda r: (r.size, r.part)):
+        assert int(r.before) == sums.get(r.source, 0)
+        sums[r.source] = sums.get(r.source, 0) + r.m
+    assert len(got) == 3000
+
+
 def test_tilts_solve_the_dual(spark):
     cells = spark.createDataFrame([("a", z, 10) for z in range(1, 60)] + [("b", 5, 7), ("b", 0, 3)], "source string, size long, n long")
     total = {"a": 10 * sum(range(1, 60)), "b": 35}
