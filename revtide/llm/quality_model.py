@@ -1,10 +1,11 @@
 """Quality classifier: supervised subword embeddings.
 
 A document is the average of the learned vectors of its hashed words and character
-n-grams; word pairs of twice the same word share bucket 0. A softmax layer turns the
-average into class probabilities. Vectors and layer are trained by stochastic gradient descent in numpy on a bounded sample of labelled rows. The softmax
-input is linear in the average, so for scoring each bucket's vector is folded into one
-number and a document's score is the logistic function of a mean.
+n-grams. A softmax layer turns the average into class probabilities. Vectors and layer are
+trained by stochastic gradient descent in numpy on a bounded number of labelled rows, whole
+texts of any length: of a long one the tasks send its buckets' shares, at most 1 MB, and not
+its text. The softmax input is linear in the average, so for scoring each bucket's vector is
+folded into one number and a document's score is the logistic function of a mean.
 
 Null and empty texts have no features and get the score of the bias. Without any labelled
 row the score is 0.5 everywhere. Repeated rows are scored each; a document with several
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 
 from revtide.llm.base import crc_fold, smallest_hashes, utf8
 
-#: The training sample: at most so many labelled rows, each of at most so many bytes.
-SAMPLE_ROWS, SAMPLE_BYTES = 4_000, 32_768
+#: The training sample: at most so many labelled rows. Texts longer than this come as shares of buckets.
+SAMPLE_ROWS, LONG_BYTES = 4_000, 32_768
 BITS, DIMENSIONS, SHORTEST, LONGEST = 17, 16, 2, 5
 EPOCHS, RATE = 8, 8.0
 #: Longer texts are read in pieces that end at a space.
@@ -62,8 +63,7 @@ class Hasher:
         if space.all():
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         hashes, places = self._word_ids(chars, space)
-        again = places[1:][hashes[1:] == hashes[:-1]]
-        out = [(hashes * _MULTIPLIER) >> np.uint64(64 - BITS), np.zeros(len(again), np.uint64)], [places, again]
+        out = [(hashes * _MULTIPLIER) >> np.uint64(64 - BITS)], [places]
         rolling, inside = chars * _MULTIPLIER, None
         for n in range(2, LONGEST + 1):
             size = len(chars) - n + 1
@@ -118,23 +118,51 @@ def sample(docs: DataFrame, labels: DataFrame, seed: int = 7) -> DataFrame:
     marked = labels.select("doc_id", F.col("quality").cast("int").alias("label")).filter(
         F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & (crc_fold(F.col("doc_id"), 3) != 1)
     )
+    present = marked.join(docs.select("doc_id"), "doc_id", "left_semi")
     order = [F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "label"]
-    chosen = F.broadcast(smallest_hashes(marked, SAMPLE_ROWS, "doc_id", "label", seed=seed))  # a bounded side
-    rows = docs.select("doc_id", "text").filter(F.octet_length("text") <= SAMPLE_BYTES)
-    return rows.join(chosen, "doc_id").orderBy(*order, F.xxhash64("text")).limit(SAMPLE_ROWS)
+    chosen = F.broadcast(smallest_hashes(present, SAMPLE_ROWS, "doc_id", "label", seed=seed))  # a bounded side
+    return docs.select("doc_id", "text").join(chosen, "doc_id").orderBy(*order, F.xxhash64("text")).limit(SAMPLE_ROWS)
 
 
-def train(rows: list[tuple[str, int]], seed: int = 7) -> QualityModel:
-    """Stochastic gradient descent over (text, label) pairs."""
+def shares(text: str, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a text's features and the share of each."""
+    total = np.zeros(1 << BITS, np.int64)
+    for piece in pieces(text):
+        found = hasher.features(_points(piece))[0]
+        total += np.bincount(found, minlength=len(total))
+    ids = np.flatnonzero(total)
+    return ids.astype(np.int32), (total[ids] / max(total.sum(), 1)).astype(np.float32)
+
+
+def examples(rows: DataFrame) -> DataFrame:
+    """(text, ids, weights, label): the text where it is short, else its shares, worked out by the tasks."""
+    def run(batches):
+        hasher = Hasher()
+        for batch in batches:
+            texts, ids, weights = [], [], []
+            for data in utf8(batch.column("text")):
+                long = len(data) > LONG_BYTES
+                texts.append(None if long else data.decode())
+                pair = shares(data.decode(), hasher) if long else (None, None)
+                ids.append(pair[0].tobytes() if long else None)
+                weights.append(pair[1].tobytes() if long else None)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts, pa.string()), pa.array(ids, pa.binary()), pa.array(weights, pa.binary()), batch.column("label")],
+                ["text", "ids", "weights", "label"])
+
+    return rows.select("text", "label").mapInArrow(run, "text string, ids binary, weights binary, label int")
+
+
+def train(rows, seed: int = 7) -> QualityModel:
+    """Stochastic gradient descent over (text or pair of ids and shares, label)."""
     random = np.random.default_rng(seed)
     vectors = random.uniform(-1, 1, (1 << BITS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     layer, bias = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2, np.float32)
     hasher, known = Hasher(), []
-    for text, label in rows:
-        found = np.concatenate([hasher.features(_points(p))[0] for p in pieces(text)])
-        if len(found):
-            ids, counts = np.unique(found, return_counts=True)
-            known.append((ids.astype(np.int32), (counts / counts.sum()).astype(np.float32), label))
+    for found, label in rows:
+        ids, weights = shares(found, hasher) if isinstance(found, str) else found
+        if len(ids):
+            known.append((ids, weights, label))
     steps = max(1, EPOCHS * len(known))
     for step in range(EPOCHS * len(known)):
         if step % len(known) == 0:
@@ -156,7 +184,9 @@ def train(rows: list[tuple[str, int]], seed: int = 7) -> QualityModel:
 
 def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
     """A model of `labels.quality`, learned outside the held-out third of the ids."""
-    return train([(row.text, row.label) for row in sample(docs, labels).toLocalIterator()])
+    found = examples(sample(docs, labels)).toLocalIterator()
+    return train((row.text if row.ids is None else (np.frombuffer(row.ids, np.int32), np.frombuffer(row.weights, np.float32)), row.label)
+                 for row in found)
 
 
 def score(docs: DataFrame, model: QualityModel, out: str = "score", text: str = "text") -> DataFrame:
