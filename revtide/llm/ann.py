@@ -37,8 +37,9 @@ from revtide.llm.base import smallest_hashes, stored
 SAMPLE, ROUNDS, PER_LIST, MOST_LISTS = 16_384, 12, 1_000, 4_096
 #: A query visits as many lists as hold this share of the sample's true neighbours.
 COVERAGE, TRIALS, NEIGHBOURS = 0.97, 256, 20
-#: Entries in a block; dimensions in a column block; errors that the test allows.
-BLOCK, COLUMNS, ERRORS = 16_384, 16, 2.1
+#: Entries in a block; queries that search a block together at most; dimensions in a column
+#: block; errors that the test allows.
+BLOCK, QUERIES, COLUMNS, ERRORS = 16_384, 4_096, 16, 2.1
 
 
 def usable(vectors: DataFrame, id_column: str, vector: str) -> DataFrame:
@@ -187,13 +188,24 @@ def search(vectors: DataFrame, id_column: str, vector: str, queries: Column, k:
     listed = stored(in_lists(entries, index, 1, groups), "lists").withColumn("list", F.get("lists", F.lit(0)))
     # Groups of lists over the bound, as one with a very full list is, are cut by hash.
     sizes = listed.groupBy("group").agg(F.ceil(F.count("*") / (2 * BLOCK)).cast("long").alias("blocks"))
-    stocked = listed.join(sizes, "group").select(
-        "group", F.pmod(F.xxhash64("id"), "blocks").alias("block"), "list", "id", "ids", "v")
+    spark = vectors.sparkSession
     # Queries with the same vector search once, under the smallest of their ids.
     asked = stored(rows.filter(queries).groupBy("v").agg(F.min("id").alias("q")), "queries")
-    sent = in_lists(asked, index, index.probes, groups).join(sizes, "group").select(
-        "group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "lists", "q", "v")
-    shared = vectors.sparkSession.sparkContext.broadcast(index)
+    # The queries of a block are dealt to shares, each with the block's entries, so that no task
+    # holds more than QUERIES and few blocks still make work for all cores.
+    sent = stored(in_lists(asked, index, index.probes, groups), "asked")
+    spread = max(1, 2 * spark.sparkContext.defaultParallelism // groups)
+    shares = sent.groupBy("group").agg(F.greatest(F.ceil(F.count("*") / QUERIES), F.lit(spread)).cast("long").alias("shares"))
+    shares = stored(sizes.join(shares, "group"), "shares")
+
+    def all_of(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+    stocked = listed.join(shares, "group").select(
+        "group", F.pmod(F.xxhash64("id"), "blocks").alias("block"), all_of("shares").alias("share"), "list", "id", "ids", "v")
+    sent = sent.join(shares, "group").select(
+        "group", all_of("blocks").alias("block"), F.pmod(F.xxhash64("q"), "shares").alias("share"), "lists", "q", "v")
+    shared = spark.sparkContext.broadcast(index)
 
     def scan(stock: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -209,7 +221,8 @@ def search(vectors: DataFrame, id_column: str, vector: str, queries: Column, k:
                 out += [(q, ids[left[i]], scores[i]) for i in best]
         return pd.DataFrame(out, columns=["q", "ids", "score"])
 
-    found = stocked.groupBy("group", "block").cogroup(sent.groupBy("group", "block")).applyInPandas(
+    place = ["group", "block", "share"]
+    found = stocked.groupBy(*place).cogroup(sent.groupBy(*place)).applyInPandas(
         scan, "q long, ids array<long>, score double")
     # The k + 1 best entries of each query vector hold its k best rows, itself left out.
     place = F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), F.get("ids", F.lit(0))))

@@ -44,6 +44,7 @@ def test_query_recall_and_scores(spark):
 def test_several_lists_and_blocks_with_very_many_copies(spark, monkeypatch):
     monkeypatch.setattr(ann, "PER_LIST", 60)
     monkeypatch.setattr(ann, "BLOCK", 25)
+    monkeypatch.setattr(ann, "QUERIES", 4)
     rng = np.random.default_rng(4)
     vectors = rng.standard_normal((900, 40)) * rng.uniform(0.2, 3, (900, 1))
     vectors[300:600] = vectors[300]  # a third of all rows
