@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from revtide.llm.base import native_words, smallest_hashes
 
 WINDOW, LEAST_WORDS, REPEATED_PERCENT = 3, 50, 50
-#: Twice so many documents, of at most so many bytes, are what rules are measured on; runs of each.
-SAMPLE_ROWS, SAMPLE_BYTES, RUNS = 200, 16_384, 3
+#: So many documents are what rules are measured on, copied up to so many bytes a run; runs of each.
+SAMPLE_ROWS, TIMED_BYTES, RUNS = 400, 24 << 20, 3
 SYMBOLS, SPACE_CHARS = "#*$%&|<>", " \t\n\x0b\x0c\r"
 
 
@@ -103,31 +103,51 @@ RULES = [
 
 
 def sample(docs: DataFrame) -> DataFrame:
-    """A bounded sample for measuring rules; it decides only their order."""
-    few = smallest_hashes(docs.select("doc_id", "text"), 2 * SAMPLE_ROWS, "doc_id", F.xxhash64("text"))
-    return few.filter(F.octet_length("text") <= SAMPLE_BYTES)
+    """A bounded sample of whole texts for measuring rules; it decides only their order."""
+    return smallest_hashes(docs.select("doc_id", "text"), SAMPLE_ROWS, "doc_id", F.xxhash64("text"))
 
 
-def measured(docs: DataFrame, rules: list[Rule]) -> list[tuple[Rule, float, float]]:
-    """Each rule with its share of rejections and its seconds on the sample."""
+def measured(docs: DataFrame, rules: list[Rule]) -> tuple[list[float], list[tuple[bool, ...]]]:
+    """The seconds a row that each rule costs, and for each row of the sample which rules reject it."""
     rows = base_figures(sample(docs)).filter("not base_failed").persist()
-    n = max(rows.count(), 1)
-    shares = rows.agg(*[F.count_if(F.expr(r.rejects)).alias(r.name) for r in rules]).first()
-    out = []
-    for rule in rules:
-        seconds = []
+    n, size = rows.agg(F.count("*"), F.sum(F.octet_length("text") + 1)).first()
+    if not n:
+        rows.unpersist()
+        return [0.0] * len(rules), []
+    times = max(1, TIMED_BYTES // size)
+    copies = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(times))))
+
+    def seconds(rejects: str) -> float:
+        found = []
         for _ in range(RUNS):
             start = time.perf_counter()
-            rows.agg(F.count_if(F.expr(rule.rejects))).first()
-            seconds.append(time.perf_counter() - start)
-        out.append((rule, shares[rule.name] / n, min(seconds)))
+            copies.agg(F.count_if(F.expr(rejects))).first()
+            found.append(time.perf_counter() - start)
+        return min(found)
+
+    empty = seconds("copy < 0 and text is null")
+    costs = [max(0.0, seconds(f"copy > 0 and ({r.rejects})") - empty) / (n * times) for r in rules]
+    found = rows.select(F.array(*[F.coalesce(F.expr(r.rejects), F.lit(False)) for r in rules]).alias("rejected")).collect()
     rows.unpersist()
-    return out
+    return costs, [tuple(r.rejected) for r in found]
 
 
-def ordered(figures: list[tuple[Rule, float, float]]) -> list[Rule]:
-    """By rejections per second, the best first; rules that never reject by cost."""
-    return [r for r, share, cost in sorted(figures, key=lambda x: (-x[1] / max(x[2], 1e-9), x[2], x[0].name))]
+def ordered(rules: list[Rule], costs: list[float], rejected: list[tuple[bool, ...]]) -> list[Rule]:
+    """The rule with most rejections per cost first, then that among the rows it lets pass, and so on.
+
+    Rules that reject nothing any more come last, the cheapest first.
+    """
+    left, rows, out = list(range(len(rules))), rejected, []
+    while left:
+        def gain(i: int) -> tuple:
+            hits = sum(r[i] for r in rows)
+            return -hits / max(costs[i], 1e-12), costs[i], rules[i].name
+
+        best = min(left, key=gain)
+        left.remove(best)
+        rows = [r for r in rows if not r[best]]
+        out.append(rules[best])
+    return out
 
 
 def passes(rules: list[Rule]) -> Column:
@@ -140,7 +160,8 @@ def passes(rules: list[Rule]) -> Column:
 
 def judged(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """Per document its base figures, `base_failed` and `kept`."""
-    rules = ordered(measured(docs, RULES if rules is None else rules))
+    rules = RULES if rules is None else rules
+    rules = ordered(rules, *measured(docs, rules))
     return base_figures(docs).withColumn("kept", passes(rules)).drop("text")
 
 

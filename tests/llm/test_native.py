@@ -251,4 +251,18 @@ def test_rules_of_odd_rows_in_any_order(spark, tmp_path):
 
 def test_rules_are_ordered_by_rejections_per_cost():
     a, b, c, d = (rules.Rule(n, "true") for n in "abcd")
-    assert rules.ordered([(a, 0.1, 1.0), (b, 0.5, 2.0), (c, 0.0, 3.0), (d, 0.0, 1.0)]) == [b, a, d, c]
+    # a and b reject the same rows: once b has run, a rejects nothing, and c, dearer, comes before it.
+    rejected = [(True, True, False, False)] * 5 + [(False, False, True, False)] + [(False,) * 4] * 4
+    assert rules.ordered([a, b, c, d], [2.0, 1.0, 9.0, 1.0], rejected) == [b, c, d, a]
+    assert rules.ordered([a, b], [0.0, 0.0], []) == [a, b]
+
+
+def test_costs_are_per_row_and_of_whole_texts(spark):
+    """A rule that does nothing costs next to nothing, however long a job takes to start; a dear one stands out."""
+    text = lambda i, n: " ".join(f"word{i}letters{j}" for j in range(n))
+    docs = spark.createDataFrame([(i, text(i, 200)) for i in range(60)] + [(99, text(99, 9000))], "doc_id long, text string")
+    cheap, dear = rules.Rule("cheap", "n_words < 0"), rules.Rule("dear", "length(regexp_replace(lower(text), '[aeiou]+[a-z]', '')) < 0")
+    costs, rejected = rules.measured(docs, [dear, cheap])
+    assert costs[0] > 5 * costs[1] and costs[0] > 0 and all(r == (False, False) for r in rejected)
+    assert rules.ordered([dear, cheap], costs, rejected) == [cheap, dear]
+    assert any(r.doc_id == 99 for r in rules.sample(docs).collect())
