@@ -13,7 +13,7 @@ from revtide.operators import current, history, marts, movements, quality, repor
 from revtide.plans.oracle import compose, feed_sql, rule_sql
 from revtide.plans.ingest import ingest, raw_table
 from revtide.plans.publish import Publisher
-from revtide.session import configure, work_folder
+from revtide.session import configure, work_folder, written
 from revtide.sources import samples
 from revtide.sources.changes import read_change_files
 from revtide.sources.lake import Lake
@@ -104,9 +104,9 @@ def _(spark, sf):
 
 @query("mrr_monthly_from_states", "select * from mrr_monthly")
 def _(spark, sf):
-    """The bridge assembled from its parts: month states, flows and churn."""
-    moves = moved(spark, sf)
-    states = movements.org_month_mrr(moves)
+    """The bridge assembled from its parts: month states, flows and churn. What they share is written once."""
+    moves = written(moved(spark, sf), "movements")
+    states = written(movements.org_month_mrr(moves), "states")
     return movements.mrr_bridge(
         movements.ending_state(states), movements.month_flows(moves),
         movements.starting_churn(moves, states),
@@ -125,7 +125,7 @@ def _(spark, sf):
 
 @query("starting_churn", "select * from churned")
 def _(spark, sf):
-    moves = moved(spark, sf)
+    moves = written(moved(spark, sf), "movements")
     return movements.starting_churn(moves, movements.org_month_mrr(moves))
 
 
@@ -245,7 +245,7 @@ def _(spark, sf):
   where login_id not in (select login_id from late_fact) union all select * from late_fact""")
 def _(spark, sf):
     """A second run merges what was loaded after the first into its result."""
-    first = _early_fact(spark, sf)
+    first = written(_early_fact(spark, sf), "early-fact")
     late = marts.fct_logins(staged(spark, sf, "logins"), staged(spark, sf, "users"), target=first)
     return upsert.upsert_by_key(first, late, "login_id")
 
