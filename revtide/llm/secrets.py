@@ -332,15 +332,17 @@ def redact(docs: DataFrame, model: tuple[Language, str] | None = None, path: str
             F.filter(of_word, lambda x: x["score"] >= THRESHOLD), lambda a, b: F.length(b["value"]) - F.length(a["value"]))
         return F.aggregate(values, word, lambda text, x: F.replace(text, x["value"], F.lit(REDACTED)))
 
-    def rebuilt(runs: Column) -> Column:
-        """Runs of words and of spaces follow each other in turn."""
-        first = F.get(runs, F.lit(0)).rlike(f"^{SPACES}").cast("int")
+    def rebuilt(runs: Column, first: Column) -> Column:
+        """Runs of words and of spaces follow each other in turn; `first` is the place of the first word."""
         return F.array_join(F.transform(runs, lambda run, i: F.when(
             F.pmod(i - first, F.lit(2)) == 0, F.coalesce(hidden(run, F.get(F.col(found), ((i - first) / 2).cast("int"))), run))
             .otherwise(run)), "")
 
     secret = F.exists(found, lambda of_word: F.coalesce(F.exists(of_word, lambda x: x["score"] >= THRESHOLD), F.lit(False)))
-    text = F.when(secret, rebuilt(F.regexp_extract_all("text", F.lit(f"{SPACES}|{WORD}"), F.lit(0)))).otherwise(F.col("text"))
+    runs = F.regexp_extract_all("text", F.lit(f"{SPACES}|{WORD}"), F.lit(0))
+    first = F.col("text").rlike(f"\\A{SPACES}").cast("int")
+    parted = _let(F.struct(runs.alias("runs"), first.alias("first")), lambda x: rebuilt(x["runs"], x["first"]))
+    text = F.when(secret, parted).otherwise(F.col("text"))
     return scored.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
