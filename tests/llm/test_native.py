@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import duckdb
 import pytest
@@ -152,6 +153,14 @@ def test_redaction_leaves_no_tail_and_all_else(spark, text, want):
     assert secrets.redact(docs, ALL).first().text == want
 
 
+def test_a_very_long_text_is_split_once(spark):
+    long = " ".join(f"word{i}" for i in range(40_000))
+    docs = spark.createDataFrame([(1, f"{long} key={AKIA}\n{long} {AKIA}, end", None)], "doc_id long, text string, source string")
+    start = time.monotonic()
+    assert secrets.redact(docs, (secrets.Language((), ()), "0.0D")).first().text == f"{long} key=[SECRET]\n{long} [SECRET], end"
+    assert time.monotonic() - start < 60
+
+
 def test_a_value_is_redacted_in_its_own_word_only(spark):
     docs = spark.createDataFrame([(1, "password=abcd1234 and xabcd1234x", None)], "doc_id long, text string, source string")
     only = (secrets.Language((), ()), "case when x.named then 1.0D else 0.0D end")
