@@ -1,4 +1,4 @@
-"""A corpus pipeline: stages over documents, each written and reread. All but near-duplicates are dealt operators."""
+"""A corpus pipeline: stages of dealt operators over documents, each written and reread."""
 
 from __future__ import annotations
 
@@ -20,8 +20,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (5-word Jaccard 0.8 or more), that with the smallest id.
 
-    Not by the SimHash comparison of op3: pairs at 0.8 differ in about 10 of 64 bits, far beyond
-    a radius that blocks can tell apart (see `near`). MinHash bands find the candidates instead.
+    SimHash fingerprints of 5-word shingles, compared bit-sliced as in op3 at a wider radius, give
+    the candidates, exact Jaccard confirms them. For buckets see `near`: pairs at 0.8 differ in about
+    10 of 64 bits, far beyond what op3's segments can tell apart.
     """
     prepare(spark)
     return simhash.first_of_each(docs, near.classified(docs))

@@ -1,17 +1,22 @@
-"""Near-duplicates by word shingles: pairs whose Jaccard similarity is LEAST or more.
+"""Near-duplicates by SimHash: pairs whose 5-word Jaccard similarity is LEAST or more.
 
 A document is the set of its 5-word shingles (ASCII lower case; a shorter text is one
-shingle), as XXH64 values. Documents with the same set are one class. Candidates share one
-of BANDS bands of ROWS MinHash values, which a pair at 0.8 does with a probability of
-1 - (1 - 0.8^4)^20, over 0.9999; what candidates connect is compared exactly, each text
+shingle), as XXH64 values. Documents with the same set are one class. Its fingerprint is the
+majority of each bit over the set. Fingerprints meet in buckets and are compared there by
+`simhash`'s bit planes, carry-save counters and abandoned words; those that differ in at most
+RADIUS bits are candidates. A pair at 0.8 differs in about 10 of 64 bits and in more than
+RADIUS with a probability below 0.00001 (at worst, sets of four and five shingles, 0.0002).
+Segments, op3's buckets, would be two or three bits for such a radius, so that nearly
+everything meets. Buckets are BANDS bands of ROWS MinHash values instead, one of which a pair
+at 0.8 shares with a probability of 1 - (1 - 0.8^4)^20, over 0.9999. In a bucket of more than
+simhash.BLOCK classes all are candidates of one of them, without comparison.
+
+What candidates connect is compared exactly, each text
 sent once. A connected group of more than PART classes is cut into parts: first each part is
 compared in itself and with one common class, then whatever is not in the group's largest
 component is compared with all of the group. Pairs that are connected already, or whose MinHash
 values agree in less than AGREE, far below LEAST, are not compared.
 
-A SimHash radius does not serve here: a pair at 0.8 differs in about 10 of 64 bits, and
-segments for such a radius are so short that nearly everything meets.
-
 Texts without a word (null and empty ones too) are one class. Repeated rows give repeated
 results. Only the columns doc_id and text are read.
 """
@@ -23,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revtide.llm import simhash
 from revtide.llm.base import stored, utf8
 from revtide.llm.components import connected_components
 
 SHINGLE, LEAST = 5, 0.8
+RADIUS = 24
 BANDS, ROWS, AGREE = 20, 4, 0.5
 #: Classes in a part of a large group.
 PART = 256
@@ -35,7 +42,7 @@ _random = np.random.default_rng(17)
 _FLIP, _TIMES, _FOLD = (_random.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(3))
 
 
-# --- sets and MinHash values ----------------------------------------------
+# --- sets, fingerprints and MinHash values --------------------------------
 
 def shingles(text: bytes) -> np.ndarray:
     """The different shingle hashes of a UTF-8 text, ascending."""
@@ -60,28 +67,65 @@ def minima(found: np.ndarray) -> np.ndarray:
     return least
 
 
+def fingerprint(found: np.ndarray) -> int:
+    """The unsigned 64-bit fingerprint of a set; without shingles zero."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(found), 1 << 16):
+        ones += simhash.set_bits(found[at:at + (1 << 16)])
+    return simhash.majority(ones, len(found))
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """key, doc_id, `class` (a hash of the set) and `bands`, the buckets of its MinHash values."""
+    """key, doc_id, `class` (a hash of the set), its `print` and `bands`, the buckets of its MinHash values."""
     source = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
 
     def run(batches):
         import xxhash
 
         for batch in batches:
-            classes, bands = [], []
+            classes, prints, bands = [], [], []
             for text in utf8(batch.column(2)):
                 found = shingles(text)
                 classes.append(xxhash.xxh64_intdigest(found.tobytes()))
+                prints.append(fingerprint(found))
                 folded = (minima(found) * _FOLD).reshape(BANDS, ROWS).sum(axis=1, dtype=np.uint64) + _FLIP[:BANDS]
                 bands.append(folded.view(np.int64) if len(found) else np.zeros(0, np.int64))
+            numbers = [pa.array(np.array(n, np.uint64).view(np.int64)) for n in (classes, prints)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.array(classes, np.uint64).view(np.int64)), pa.array(bands, pa.list_(pa.int64()))],
-                ["key", "doc_id", "class", "bands"])
+                [batch.column(0), batch.column(1), *numbers, pa.array(bands, pa.list_(pa.int64()))],
+                ["key", "doc_id", "class", "print", "bands"])
 
-    columns = {"class": F.lit(0).cast("long"), "bands": F.array(F.lit(0).cast("long"))}
+    columns = {"class": F.lit(0).cast("long"), "print": F.lit(0).cast("long"), "bands": F.array(F.lit(0).cast("long"))}
     return source.mapInArrow(run, source.drop("text").withColumns(columns).schema)
 
 
+# --- candidates -----------------------------------------------------------
+
+def near_prints(buckets: np.ndarray, classes: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (class, class) that connect exactly what pairs of a bucket within RADIUS connect."""
+    names, node = np.unique(classes, return_inverse=True)
+    parent = np.arange(len(names))
+    for i, j in simhash.near_pairs(prints, RADIUS):
+        met = buckets[i] == buckets[j]
+        parent = simhash.join_sets(parent, node[i[met]], node[j[met]])
+    moved = np.flatnonzero(parent != np.arange(len(names)))
+    return names[moved], names[parent[moved]]
+
+
+def candidates(keyed: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the candidates; rows are (class, print, bucket)."""
+    leads = stored(keyed.groupBy("bucket").agg(F.min("class").alias("lead"), F.count("*").alias("n")).filter("n > 1"), "leads")
+    met = keyed.join(leads.filter(F.col("n") <= simhash.BLOCK), "bucket").select("bucket", "class", "print")
+    full = keyed.join(leads.filter(F.col("n") > simhash.BLOCK), "bucket").filter("class <> lead")
+
+    def run(batches):
+        for buckets, classes, prints in simhash.bundles(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in near_prints(buckets, classes, prints.view(np.uint64))], ["a", "b"])
+
+    dealt = met.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, "a long, b long").union(full.select("class", "lead"))
+
+
 # --- exact comparison -----------------------------------------------------
 
 def exact_links(texts: list[bytes], labels: np.ndarray) -> list[tuple[int, int]]:
@@ -167,10 +211,8 @@ def confirmed(held: DataFrame) -> DataFrame:
 def classified(docs: DataFrame) -> DataFrame:
     """(key, doc_id, component) of each document; `key` is a hash of id and text."""
     all_docs = stored(signed(docs), "signed")
-    classes = stored(all_docs.groupBy("class").agg(F.min("key").alias("key"), F.first("bands").alias("bands")), "near-classes")
-    keyed = classes.select("class", F.explode("bands").alias("bucket"))
-    leads = stored(keyed.groupBy("bucket").agg(F.min("class").alias("lead"), F.count("*").alias("n")).filter("n > 1").select("bucket", "lead"), "leads")
-    near = keyed.join(leads, "bucket").filter("class <> lead").select(F.col("class").alias("a"), F.col("lead").alias("b"))
+    classes = stored(all_docs.groupBy("class").agg(F.min("key").alias("key"), F.first("print").alias("print"), F.first("bands").alias("bands")), "near-classes")
+    near = candidates(classes.select("class", "print", F.explode("bands").alias("bucket")))
     groups = stored(connected_components(near).select(F.col("node").alias("class"), F.col("component").alias("group")), "near-groups")
     sizes = stored(groups.groupBy("group").agg(F.count("*").alias("n")).select("group", _parts("n").alias("parts")), "near-sizes")
     asked = stored(groups.join(sizes, "group").join(classes.select("class", "key"), "class"), "near-asked")

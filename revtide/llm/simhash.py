@@ -50,8 +50,17 @@ def fingerprint(text: bytes) -> int:
     hash_of, ones, count = xxhash.xxh64_intdigest, np.zeros(64, np.int64), len(ends)
     for at in range(0, count, 1 << 16):
         part = list(zip(starts[at:at + (1 << 16)], ends[at:at + (1 << 16)]))
-        hashes = np.fromiter((hash_of(joined[a:b], SEED) for a, b in part), np.uint64, len(part))
-        ones += np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        ones += set_bits(np.fromiter((hash_of(joined[a:b], SEED) for a, b in part), np.uint64, len(part)))
+    return majority(ones, count)
+
+
+def set_bits(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each of the 64 bits, the highest first."""
+    return np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+
+
+def majority(ones: np.ndarray, count: int) -> int:
+    """The bits that more than half of `count` hashes have."""
     return int.from_bytes(np.packbits(2 * ones > count).tobytes(), "big")
 
 
@@ -124,7 +133,15 @@ def _above(count: list[np.ndarray], radius: int) -> np.ndarray:
     return more
 
 
-def _join_sets(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+def near_pairs(prints: np.ndarray, radius: int):
+    """Arrays (i, j), j > i, that hold all pairs within the radius, tile by tile."""
+    planes = bit_planes(prints)
+    step = max(1, TILE_WORDS // planes.shape[1])
+    for low in range(0, len(prints), step):
+        yield _near(prints, planes, low, min(low + step, len(prints)), radius)
+
+
+def join_sets(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     while True:
         while True:
             up = parent[parent]
@@ -141,12 +158,10 @@ def _join_sets(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def forest(prints: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Links (member, root) that connect exactly what links within the radius connect."""
     prints = np.unique(prints)
-    planes, parent = bit_planes(prints), np.arange(len(prints))
-    step = max(1, TILE_WORDS // planes.shape[1])
-    for low in range(0, len(prints), step):
-        i, j = _near(prints, planes, low, min(low + step, len(prints)), radius)
+    parent = np.arange(len(prints))
+    for i, j in near_pairs(prints, radius):
         if len(i):
-            parent = _join_sets(parent, i, j)
+            parent = join_sets(parent, i, j)
     moved = np.flatnonzero(parent != np.arange(len(prints)))
     return prints[moved], prints[parent[moved]]
 
@@ -194,31 +209,33 @@ def buckets(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> Data
     return small.union(whole).union(pairs)
 
 
+def bundles(batches):
+    """The columns of whole buckets, small ones up to TOGETHER rows at once. Rows come sorted by the first column, the bucket."""
+    held, size, last = [], 0, None
+    for batch in batches:
+        columns = [c.to_numpy() for c in batch.columns]
+        keys = columns[0]
+        cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+        for start, end in zip([0, *cuts], [*cuts, len(keys)]):
+            if keys[start] != last and size >= TOGETHER:
+                yield [np.concatenate(c) for c in zip(*held)]
+                held, size = [], 0
+            last = keys[start]
+            held.append([c[start:end] for c in columns])
+            size += end - start
+    if size > 1:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
 def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between distinct fingerprints that span all links within the radius.
 
     Rows of other buckets in the same comparison can only add true links.
     """
     def run(batches):
-        held, size = [], 0
-
-        def flush():
-            a, b = forest(np.concatenate(held).view(np.uint64), radius)
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
-
-        last = None
-        for batch in batches:
-            keys, values = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-            for start, end in zip([0, *cuts], [*cuts, len(keys)]):
-                if keys[start] != last and size >= TOGETHER:
-                    yield flush()
-                    held, size = [], 0
-                last = keys[start]
-                held.append(values[start:end])
-                size += end - start
-        if size > 1:
-            yield flush()
+        for _, values in bundles(batches):
+            a, b = forest(values.view(np.uint64), radius)
+            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
     dealt = buckets(prints, radius, block).repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(run, "a long, b long")

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -37,6 +38,56 @@ def test_stage_equals_brute_force_jaccard(spark):
     assert not {1, 255} <= set(got)  # 0.831, 7 bits apart
 
 
+def fingerprint_of(text):
+    """The majority of each bit over the different 5-word shingles."""
+    import xxhash
+
+    found = words(lower(text))
+    hashes = {xxhash.xxh64_intdigest(" ".join(found[i:i + 5]).encode()) for i in range(max(1, len(found) - 4))} if found else set()
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints_of_sets(spark):
+    docs = odd_documents(spark).filter("doc_id is not null")
+    text_of = {r.doc_id: r.text for r in docs.collect()}
+    for r in near.signed(docs).collect():
+        assert r.print % 2**64 == fingerprint_of(text_of[r.doc_id])
+
+
+@pytest.mark.parametrize("together, block", [(512, 8192), (1, 8192), (512, 30)])
+def test_candidates_are_fingerprints_near_in_a_bucket(spark, monkeypatch, together, block):
+    monkeypatch.setattr(simhash, "TOGETHER", together)
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng, rows = random.Random(5), []
+    base = [rng.getrandbits(64) for _ in range(12)]
+    prints = [base[i % 12] ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(16))) for i in range(150)]
+    for c, p in enumerate(prints):  # the first bucket holds 40, over the smaller block
+        rows += [(c, p - (1 << 64) * (p >> 63), k) for k in {0 if c < 40 else 99, 1 + rng.randrange(20), 50 + c % 7} if k != 99]
+    buckets = {}
+    for c, _, k in rows:
+        buckets.setdefault(k, []).append(c)
+    linked = []
+    for inside in buckets.values():
+        if len(inside) > block:
+            linked += [(min(inside), c) for c in inside]
+        else:
+            linked += [(c, d) for c in inside for d in inside if c < d and (prints[c] ^ prints[d]).bit_count() <= near.RADIUS]
+    got = near.candidates(spark.createDataFrame(rows, "class long, print long, bucket long")).collect()
+    assert roots(range(150), [(r.a, r.b) for r in got]) == roots(range(150), linked)
+    met = [(min(inside), c) for inside in buckets.values() for c in inside]
+    assert len(set(roots(range(150), met).values())) == 1 < len(set(roots(range(150), linked).values()))
+
+
+def test_pairs_at_the_bound_are_within_the_radius():
+    rng, apart = np.random.default_rng(2), []
+    for size in (9, 18, 90, 450):  # 8 of 10 shingles common, and so on
+        for _ in range(500):
+            h = rng.integers(0, 1 << 64, size + size // 9, np.uint64, endpoint=False)
+            a, b = near.fingerprint(h[:size]), near.fingerprint(h[size // 9:])
+            apart.append((a ^ b).bit_count())
+    assert max(apart) <= near.RADIUS and 8 < np.mean(apart) < 11
+
+
 @pytest.mark.parametrize("part", [4, 16, 256])
 def test_groups_over_the_bound(spark, monkeypatch, part):
     monkeypatch.setattr(near, "PART", part)
