@@ -14,6 +14,9 @@ labels counts once per label. Only the named columns are read.
 
 from __future__ import annotations
 
+import tempfile
+from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -153,21 +156,44 @@ def examples(rows: DataFrame) -> DataFrame:
     return rows.select("text", "label").mapInArrow(run, "text string, ids binary, weights binary, label int")
 
 
+@contextmanager
+def spooled(rows):
+    """How many of (text or pair of ids and shares, label) have features, and a function that reads one of them.
+
+    They lie in a temporary file: features take about ten times the room of their text.
+    """
+    with tempfile.TemporaryFile() as spool:
+        hasher, places = Hasher(), []
+        for found, label in rows:
+            ids, weights = shares(found, hasher) if isinstance(found, str) else found
+            if len(ids):
+                places.append((spool.tell(), len(ids), label))
+                spool.write(ids.tobytes() + weights.tobytes())
+
+        def known(i: int) -> tuple[np.ndarray, np.ndarray, int]:
+            start, n, label = places[i]
+            spool.seek(start)
+            data = spool.read(8 * n)
+            return np.frombuffer(data, np.int32, n), np.frombuffer(data, np.float32, n, 4 * n), label
+
+        yield len(places), known
+
+
 def train(rows, seed: int = 7) -> QualityModel:
     """Stochastic gradient descent over (text or pair of ids and shares, label)."""
+    with spooled(rows) as (count, known):
+        return descend(count, known, seed)
+
+
+def descend(count: int, known: Callable[[int], tuple], seed: int) -> QualityModel:
     random = np.random.default_rng(seed)
     vectors = random.uniform(-1, 1, (1 << BITS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     layer, bias = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2, np.float32)
-    hasher, known = Hasher(), []
-    for found, label in rows:
-        ids, weights = shares(found, hasher) if isinstance(found, str) else found
-        if len(ids):
-            known.append((ids, weights, label))
-    steps = max(1, EPOCHS * len(known))
-    for step in range(EPOCHS * len(known)):
-        if step % len(known) == 0:
-            order = random.permutation(len(known))
-        ids, weights, label = known[order[step % len(known)]]
+    steps = max(1, EPOCHS * count)
+    for step in range(EPOCHS * count):
+        if step % count == 0:
+            order = random.permutation(count)
+        ids, weights, label = known(order[step % count])
         mean = weights @ vectors[ids]
         odds = mean @ layer + bias
         error = np.exp(odds - odds.max())

@@ -1,6 +1,7 @@
 """Language-model scores and the quality classifier."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -149,3 +150,21 @@ def test_long_texts_are_read_in_pieces_without_change(monkeypatch):
     whole = count()
     monkeypatch.setattr(quality_model, "PIECE_CHARS", 40)
     assert count() == whole
+
+
+def test_training_features_are_not_held_in_memory(monkeypatch):
+    monkeypatch.setattr(quality_model, "EPOCHS", 1)
+    rng = np.random.default_rng(3)
+    data = [("".join(map(chr, rng.choice([32, *range(97, 123)], 8_000))), i % 2) for i in range(400)]
+    hasher = quality_model.Hasher()
+    size = sum(8 * len(quality_model.shares(t, hasher)[0]) for t, _ in data)
+    tracemalloc.start()
+    model = quality_model.train(iter(data))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.vectors.any() and 50e6 < size and peak < 0.7 * size
+    with quality_model.spooled(iter(data)) as (count, known):
+        for i in (399, 0, 150):
+            ids, weights = quality_model.shares(data[i][0], hasher)
+            got = known(i)
+            assert count == 400 and (got[0] == ids).all() and (got[1] == weights).all() and got[2] == i % 2
