@@ -11,7 +11,7 @@ grow by column blocks of the rotated dimensions. For a random rotation the dista
 of D dimensions, times sqrt(D / d), estimates the whole one with a relative error of about
 1 / sqrt(d). The inner product that a candidate has to reach is, with both norms, a
 distance it has to stay within; it is abandoned when the estimate is so many errors beyond
-that. Survivors are scored on the original vectors in double precision, one dimension
+that. The entries that look best after each column block raise that bar. Survivors are scored on the original vectors in double precision, one dimension
 after another, so copies score the same.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do
@@ -148,24 +148,29 @@ class Block:
     def search(self, query: np.ndarray, turned: np.ndarray, lists: np.ndarray, k: int) -> np.ndarray:
         """Places of the entries of these lists that may be among their k best.
 
-        The first column block ranks the entries; those that look best there set the
-        inner product that the others have to reach.
+        After each column block the k entries that look best set the inner product that the
+        others have to reach; they stay. With all dimensions seen little more than k is left.
         """
-        left, all_dims = np.flatnonzero(np.isin(self.lists, lists)), self.cuts[-1]
+        asked = np.zeros(max(self.lists.max(), lists.max(initial=0)) + 1, bool)
+        asked[lists] = True
+        left, all_dims = np.flatnonzero(asked[self.lists]), self.cuts[-1]
         if len(left) <= k:
             return left
+        whole, partial, bar = self.whole[left], np.zeros(len(left)), -np.inf
         for b, (start, end) in enumerate(zip(self.cuts, self.cuts[1:])):
-            part = turned[start:end]
-            if not b:
-                partial = (part @ part + self.norms[0] - 2 * (part @ self.columns[0]))[left]
-                first = left[np.argpartition(partial - self.whole[left], k - 1)[:k]]
-                bar = exact(query, self.vectors[first]).min()
-                within = np.maximum(query @ query + self.whole - 2 * bar, 0) + 1e-9 * (query @ query + self.whole)
-            else:
-                partial = partial + part @ part + self.norms[b][left] - 2 * (part @ self.columns[b][:, left])
+            part, columns = turned[start:end], self.columns[b]
+            few = 4 * len(left) < len(self.whole)  # then to pick columns is cheaper than to multiply all
+            inner = part @ columns[:, left] if few else (part @ columns)[left]
+            partial += part @ part + self.norms[b][left] - 2 * inner
+            guess = partial * (all_dims / end)
+            first = np.argpartition(guess - whole, k - 1)[:k]
+            bar = max(bar, (self.vectors[left[first]] @ query).min())
+            size = query @ query + whole
+            within = np.maximum(size - 2 * bar, 0) + 1e-9 * size
             error = ERRORS / np.sqrt(end) if end < all_dims else 0.0
-            stays = partial * (all_dims / end) <= (1 + error) ** 2 * within[left]
-            left, partial = left[stays], partial[stays]
+            stays = guess <= (1 + error) ** 2 * within
+            stays[first] = True
+            left, whole, partial = left[stays], whole[stays], partial[stays]
         return left
 
 

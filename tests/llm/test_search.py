@@ -83,6 +83,23 @@ def test_test_never_abandons_the_clearly_best():
     assert set(lists[some]) == {1}
 
 
+def test_few_are_left_of_vectors_spread_evenly():
+    rng = np.random.default_rng(8)
+    for length in (np.ones((3000, 1)), np.exp(0.5 * rng.standard_normal((3000, 1)))):
+        vectors = rng.standard_normal((3000, 64)) * length
+        vectors[100:130] = vectors[100]  # more copies than asked for
+        rotation, other = (np.linalg.qr(rng.standard_normal((64, 64)))[0] for _ in range(2))
+        block = ann.Block(vectors, np.zeros(3000, int), rotation)
+        hits = 0
+        for query in vectors[:120]:
+            left = block.search(query, query @ other, np.array([0]), 10)
+            assert len(left) >= 10  # even where the estimates are wrong
+            left = block.search(query, query @ rotation, np.array([0]), 10)
+            assert len(left) <= 45
+            hits += len(set(np.argsort(-ann.exact(query, vectors), kind="stable")[:10]) & set(left))
+        assert hits >= 0.98 * 10 * 120
+
+
 def test_odd_vectors(spark):
     inf, nan = float("inf"), float("nan")
     data = [(0, [1.0, 2.0], "a"), (20, [1.0, 2.0], "a"), (20, [1.0, 2.0], "a"), (1, None, None), (2, [0.0, 0.0], "b"), (3, [1.0, None], "c"),
