@@ -988,7 +988,7 @@ def _(spark, sf):
     for part in (0, 1):  # the second half comes after the first run has ended
         records.filter(F.col("offset") % 2 == part).repartitionByRange(3, "offset").write.mode("append").parquet(f"{root}/records")
         for t, state in states.items():
-            stream = read_change_files(spark, f"{root}/records", 2)
+            stream = read_change_files(spark, f"{root}/records", 2, min_partitions=2 * spark.sparkContext.defaultParallelism)
             state.start(stream, f"{root}/checkpoint-{t}", {"availableNow": True}).awaitTermination()
     return _current_of_topics(spark, sf, lambda t: states[t].changes())
 

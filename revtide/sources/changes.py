@@ -52,15 +52,21 @@ def read_changes(
 
 
 def read_change_files(
-    spark: SparkSession, path: str, files_per_batch: int | None = None, bytes_per_batch: int | None = None
+    spark: SparkSession, path: str, files_per_batch: int | None = None, bytes_per_batch: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
-    """Stream of Parquet files that hold change records; a batch takes some files or bytes at most."""
+    """Stream of Parquet files that hold change records; a batch takes some files or bytes at most.
+
+    A file is read by one task per row group at most. With `min_partitions` the records are
+    dealt to that many tasks, so that a few large files do not become a few long ones.
+    """
     reader = spark.readStream.schema(RECORD_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if bytes_per_batch:
         reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
-    return reader.parquet(path)
+    records = reader.parquet(path)
+    return records.repartition(min_partitions, "topic", "partition", "offset") if min_partitions else records
 
 
 def publish_to_topic(servers: str):

@@ -23,8 +23,11 @@ def latest_changes(records: DataFrame, table: str, promoted: dict | None = None)
     Last is by offset, then log position, then token, as in the batch form.
     """
     names = change_schema(table, promoted).names
-    parsed = parse_envelopes(with_table(records).filter(F.col("_table") == table), table, promoted).filter("error is null")
-    stamped = parsed.withColumns({
+    parsed = parse_envelopes(with_table(records).filter(F.col("_table") == table), table, promoted)
+    # Below a projection the filter would parse all over again, and a stream cannot be persisted; above a generator it stays.
+    columns = ", ".join(f"`{n}`" for n in parsed.columns if n in names or n == "error")
+    valid = parsed.selectExpr(f"stack(1, {columns}) as ({columns})").filter("error is null")
+    stamped = valid.withColumns({
         "_loaded_at": F.current_timestamp().cast("timestamp_ntz"), "_batch_id": F.lit("state")})
     order = F.struct(
         F.coalesce("_kafka_offset", F.lit(-1)), F.coalesce("_source_lsn", F.lit(-1)), F.coalesce("_dedup_token", F.lit("")))

@@ -14,6 +14,7 @@ from revtide.sources.changes import Pace, publish_to_files, read_change_files, t
 from revtide.sources.lake import Lake
 from revtide.contracts import change_schema
 from revtide.sources import folders
+from revtide.streaming.envelope import parse_envelopes, with_table
 from revtide.streaming.landing import Landing, spanned
 from revtide.streaming.current_state import CurrentState, latest_changes
 from revtide.streaming.lag import assert_replay_safe, broker_lag, lag_report, landing_signature
@@ -364,6 +365,26 @@ def test_continuous_state_equals_the_batch_form_after_restarts(spark, folder):
     assert sorted(map(tuple, sides[0].collect()), key=repr) == sorted(map(tuple, sides[1].collect()), key=repr)
 
 
+def test_last_changes_parse_a_record_once(spark):
+    records = frame(spark, [change("c", org(), i, i) for i in range(4)])
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    alone = parse_envelopes(with_table(records).filter("_table = 'organizations'"), "organizations")
+    assert 0 < plan(latest_changes(records, "organizations")).count("from_json") <= plan(alone).count("from_json")
+
+
+def test_records_of_one_file_are_dealt_to_tasks(spark, folder):
+    records, dealt = many_changes(60, seed=3), []
+    frame(spark, records).coalesce(1).write.parquet(f"{folder}/in")
+
+    def seen(batch, epoch):
+        dealt.append((batch.select(F.spark_partition_id()).distinct().count(), sorted(batch.select("topic", "partition", "offset", "value").collect(), key=repr)))
+
+    for tasks in (None, 3):
+        stream = read_change_files(spark, f"{folder}/in", 1, min_partitions=tasks)
+        stream.writeStream.foreachBatch(seen).option("checkpointLocation", f"{folder}/check-{tasks}").trigger(availableNow=True).start().awaitTermination()
+    assert [n for n, _ in dealt] == [1, 3] and dealt[0][1] == dealt[1][1] and len(dealt[0][1]) == 60
+
+
 def test_a_landing_keeps_its_bucket_size(spark, folder):
     Landing(spark, folder, bucket=3).apply_records(frame(spark, [change("c", org(), i, i) for i in range(8)]), "a")
     assert {n for n in folders.names(spark, f"{folder}/organizations_cdc") if n[0] == "b"} == {"bucket=0", "bucket=1", "bucket=2"}
