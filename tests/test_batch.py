@@ -1,13 +1,14 @@
 """Loads, versioned tables, incremental facts, history and the publish gate."""
 
 import datetime as dt
+import time
 from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from revtide.contracts import ENTITIES, PLAN_PRICE_CENTS, raw_schema
+from revtide.contracts import ENTITIES, PLAN_PRICE_CENTS, change_schema, raw_schema
 from revtide.operators import history, marts, movements, quality, reports, staging, upsert
 from revtide.operators.current import current_entity, latest_change
 from revtide.plans.ingest import (
@@ -15,7 +16,7 @@ from revtide.plans.ingest import (
 )
 from revtide.plans.publish import Publisher
 from revtide.plans.queries import QUERIES
-from revtide.session import work_folder
+from revtide.session import DROP_SHUFFLES, work_folder
 from revtide.sources import folders, samples
 from revtide.sources.lake import Lake
 from revtide.streaming.promotion import promoted_from_file
@@ -262,6 +263,52 @@ def test_rules_ignore_nulls_and_count_rows(spark):
     assert len(quality.UPSTREAM_RULES) == 68 and len(quality.MART_RULES) == 27
 
 
+def test_rules_without_a_common_table_are_counted_apart(spark):
+    groups = quality.independent(quality.UPSTREAM_RULES)
+    tables = [{r.table for r in g} | {r.parent[0] for r in g if r.parent} for g in groups]
+    assert sorted(r.name for g in groups for r in g) == sorted(r.name for r in quality.UPSTREAM_RULES)
+    assert {"int_org_month_mrr"} in tables and {"int_subscription_movements"} in tables and len(groups) == 3
+    rules = [quality.Rule("c", "unique", "k"), quality.Rule("d", "not_null", "k"), quality.Rule("c", "relationships", "k", parent=("p", "k")),
+             quality.Rule("p", "unique", "k"), quality.Rule("d", "unique", "k")]
+    frames = {t: spark.createDataFrame(keys, "k long") for t, keys in {"c": [(1,), (1,), (2,)], "p": [(1,)], "d": [(None,), (5,), (5,)]}.items()}
+    apart = [r for g in quality.independent(rules) for r in quality.run_checks(frames, g).collect()]
+    assert sorted(apart) == sorted(quality.run_checks(frames, rules).collect()) and len(quality.independent(rules)) == 2
+
+
+def test_staging_holds_one_shuffle_at_a_time(spark, folder):
+    running, together = [], []
+
+    class Watched(Lake):
+        def replace(self, table, df):
+            running.append(table)
+            together.append(len(running))
+            try:
+                return super().replace(table, df)
+            finally:
+                running.remove(table)
+
+    def keyed(schema, pk):
+        df = spark.createDataFrame([("a",), ("b",), (None,)], f"{pk} string")
+        return df.select(*[F.col(f.name) if f.name == pk else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+    before, setting = shuffles(), spark.conf.get(DROP_SHUFFLES)
+    lake, staged = Watched(spark, folder), {}
+    publisher = Publisher(lake, lambda t: keyed(raw_schema(t), ENTITIES[t].pk), lambda t: keyed(change_schema(t), ENTITIES[t].pk))
+    frames = publisher.upstream(staged)
+    for _ in range(100):  # files go in the background
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before and spark.conf.get(DROP_SHUFFLES) == setting
+    assert set(together) == {1} and len(together) == 8
+    assert sorted(str(r["user_id"]) for r in frames["stg_users"].collect()) == ["None", "None", "a", "b"]  # null keys are not one key
+    assert all(n.endswith(".zstd.parquet") for n in folders.names(spark, f"{folder}/{staged['stg_users'][0]}") if n.endswith(".parquet"))
+
+
 def test_gate(spark, folder):
     raw = lambda t: samples.BATCH[t](spark, SF_DIR)
 
